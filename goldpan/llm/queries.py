@@ -7,15 +7,77 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup
+from . import decontaminate, line_dedup, mixing, quality_rules, secret_scan, token_records
 from .common import read_table
 
+#: Name of the tokenizer file of op9, looked up where the public tokenizers are installed.
+TOKENIZER = "byte_bpe_50k.json"
+
+
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontaminate.find_overlaps(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), size=10)
+    return out.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = secret_scan.find_secrets(read_table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return out.select(
+        "doc_id", count("assign"), count("access"), count("hex"), F.sha2(secret_scan.span_text(F.col("base")), 256).alias("base_sha256"),
+        secret_scan.span_text(F.concat("base", "linked")).alias("spans"), F.size("linked").cast("long").alias("n_linked"),
+    )
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality_rules.judge(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    return out.select("doc_id", *[F.col(f"_q.{c}") for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")], "base_failed", "kept")
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup_lines(read_table(spark, sf_dir, "documents"), min_chars=40, min_docs=5)
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op9_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_records.encode_and_read(read_table(spark, sf_dir, "documents"), tokenizer_path=tokenizer_path(), end_id=0)
+
+
+OP2_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), b AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), bs AS (
+  SELECT item, w, least(10, len(w)) AS m, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM b WHERE len(w) > 0
+), bw AS (
+  SELECT DISTINCT item, m, array_to_string(w[i:i + m - 1], ' ') AS win FROM bs
+), ds AS (
+  SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM d, (SELECT DISTINCT m FROM bw) WHERE len(w) >= m
+), hit AS (
+  SELECT ds.doc_id, ds.i, ds.m, bw.item FROM ds JOIN bw ON ds.m = bw.m AND array_to_string(ds.w[ds.i:ds.i + ds.m - 1], ' ') = bw.win
+), words AS (
+  SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + m)) AS p FROM hit) GROUP BY doc_id
+), its AS (
+  SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS list FROM (SELECT DISTINCT doc_id, item FROM hit) GROUP BY doc_id
+)
+SELECT d.doc_id, len(d.w) AS n_words, coalesce(words.n, 0) AS n_hit, coalesce(its.n, 0) AS n_items,
+       sha256(coalesce(its.list, '')) AS items_sha256, coalesce(words.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN its USING (doc_id)
+"""
+
 OP7_SQL = r"""
 WITH l AS (
   SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS pos
@@ -34,8 +96,15 @@ FROM m GROUP BY doc_id
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op7_line_dedup": op7_line_dedup}
+    return {
+        "op2_decontamination": op2_decontamination,
+        "op4_secret_scan": op4_secret_scan,
+        "op5_quality_rules": op5_quality_rules,
+        "op6_mixing": op6_mixing,
+        "op7_line_dedup": op7_line_dedup,
+        "op9_token_records": op9_token_records,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_line_dedup": OP7_SQL}
+    return {"op2_decontamination": OP2_SQL, "op7_line_dedup": OP7_SQL}
