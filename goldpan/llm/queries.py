@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, mixing, quality_rules, secret_scan, token_records
+from . import decontaminate, line_dedup, mixing, quality_rules, secret_scan, substring_dedup, suffix_dedup, token_records
 from .common import read_table
 
 #: Name of the tokenizer file of op9, looked up where the public tokenizers are installed.
@@ -20,6 +20,11 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.dedup_strings(read_table(spark, sf_dir, "documents"), length=50)
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontaminate.find_overlaps(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), size=10)
     return out.select(
@@ -28,6 +33,11 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup.dedup_windows(read_table(spark, sf_dir, "documents"), length=50)
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = secret_scan.find_secrets(read_table(spark, sf_dir, "documents"))
     count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
@@ -55,6 +65,29 @@ def op9_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_records.encode_and_read(read_table(spark, sf_dir, "documents"), tokenizer_path=tokenizer_path(), end_id=0)
 
 
+OP1_SQL = r"""
+WITH h AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents
+), s AS (
+  SELECT doc_id, x, unnest(range(0, len(x) // 2 - 49)) AS i FROM h WHERE len(x) >= 100
+), w AS (
+  SELECT doc_id, i, substring(x, 2 * i + 1, 100) AS k FROM s
+), f AS (
+  SELECT k, min(doc_id) AS first FROM w GROUP BY k HAVING min(doc_id) <> max(doc_id)
+), hit AS (
+  SELECT w.doc_id, w.i, lag(w.i) OVER (PARTITION BY w.doc_id ORDER BY w.i) AS before FROM w JOIN f USING (k) WHERE f.first < w.doc_id
+), g AS (
+  SELECT doc_id, i, sum(CASE WHEN i <= before + 50 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS n FROM hit
+), sp AS (
+  SELECT doc_id, n, min(i) AS a, max(i) + 50 AS b FROM g GROUP BY doc_id, n
+), gaps AS (
+  SELECT h.doc_id, h.x, sp.n, sp.a, sp.b, coalesce(lag(sp.b) OVER (PARTITION BY h.doc_id ORDER BY sp.a), 0) AS from_ FROM h LEFT JOIN sp USING (doc_id)
+)
+SELECT doc_id, max(len(x) // 2) AS n_bytes, CAST(coalesce(sum(b - a), 0) AS BIGINT) AS n_removed, count(n) AS n_spans,
+       sha256(unhex(coalesce(string_agg(substring(x, 2 * from_ + 1, 2 * (a - from_)), '' ORDER BY a), '') || substring(max(x), 2 * coalesce(max(b), 0) + 1))) AS kept_sha256
+FROM gaps GROUP BY doc_id
+"""
+
 OP2_SQL = r"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
@@ -78,6 +111,28 @@ SELECT d.doc_id, len(d.w) AS n_words, coalesce(words.n, 0) AS n_hit, coalesce(it
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN its USING (doc_id)
 """
 
+OP3_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50
+), k AS (
+  SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS h FROM s
+), f AS (
+  SELECT h, min(doc_id) AS first FROM k GROUP BY h HAVING min(doc_id) <> max(doc_id)
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS p FROM (SELECT k.doc_id, k.i FROM k JOIN f USING (h) WHERE f.first < k.doc_id)
+), words AS (
+  SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM d
+), m AS (
+  SELECT words.doc_id, words.p, words.word, gone.p IS NOT NULL AS gone FROM words LEFT JOIN gone ON words.doc_id = gone.doc_id AND words.p = gone.p
+), r AS (
+  SELECT doc_id, count(*) FILTER (WHERE gone) AS n_removed, string_agg(word, ' ' ORDER BY p) FILTER (WHERE NOT gone) AS kept FROM m GROUP BY doc_id
+)
+SELECT d.doc_id, len(d.w) AS n_words, coalesce(r.n_removed, 0) AS n_removed, sha256(coalesce(r.kept, '')) AS kept_sha256
+FROM d LEFT JOIN r USING (doc_id)
+"""
+
 OP7_SQL = r"""
 WITH l AS (
   SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS pos
@@ -97,7 +152,9 @@ FROM m GROUP BY doc_id
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_suffix_dedup": op1_suffix_dedup,
         "op2_decontamination": op2_decontamination,
+        "op3_substring_dedup": op3_substring_dedup,
         "op4_secret_scan": op4_secret_scan,
         "op5_quality_rules": op5_quality_rules,
         "op6_mixing": op6_mixing,
@@ -107,4 +164,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontamination": OP2_SQL, "op7_line_dedup": OP7_SQL}
+    return {"op1_suffix_dedup": OP1_SQL, "op2_decontamination": OP2_SQL, "op3_substring_dedup": OP3_SQL, "op7_line_dedup": OP7_SQL}
