@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, mixing, quality_rules, secret_scan, substring_dedup, suffix_dedup, token_records
+from . import decontaminate, jaccard_join, line_dedup, mixing, quality_rules, secret_scan, substring_dedup, suffix_dedup, token_records
 from .common import read_table
 
 #: Name of the tokenizer file of op9, looked up where the public tokenizers are installed.
@@ -65,6 +65,11 @@ def op9_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_records.encode_and_read(read_table(spark, sf_dir, "documents"), tokenizer_path=tokenizer_path(), end_id=0)
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = jaccard_join.link_documents(read_table(spark, sf_dir, "documents"), n=3, num=90, den=100)
+    return out.select("doc_id", "n_shingles", "component_id")
+
+
 OP1_SQL = r"""
 WITH h AS (
   SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents
@@ -150,6 +155,28 @@ FROM m GROUP BY doc_id
 """
 
 
+OP10_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(w) < 3 THEN array_to_string(w, ' ') ELSE array_to_string(w[i:i + 2], ' ') END AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM d WHERE len(w) > 0)
+), c AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both_ FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2
+), e AS (
+  SELECT p.a, p.b FROM p JOIN c x ON x.doc_id = p.a JOIN c y ON y.doc_id = p.b WHERE 100 * p.both_ >= 90 * (x.n + y.n - p.both_)
+), u AS (
+  SELECT a, b FROM e UNION SELECT b, a FROM e
+), r AS (
+  SELECT doc_id AS node, doc_id AS reached FROM d UNION SELECT r.node, u.b FROM r JOIN u ON r.reached = u.a
+)
+SELECT d.doc_id, coalesce(c.n, 0) AS n_shingles, q.m AS component_id
+FROM d LEFT JOIN c USING (doc_id) JOIN (SELECT node, min(reached) AS m FROM r GROUP BY node) q ON q.node = d.doc_id
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_suffix_dedup": op1_suffix_dedup,
@@ -160,8 +187,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_mixing": op6_mixing,
         "op7_line_dedup": op7_line_dedup,
         "op9_token_records": op9_token_records,
+        "op10_jaccard_join": op10_jaccard_join,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_suffix_dedup": OP1_SQL, "op2_decontamination": OP2_SQL, "op3_substring_dedup": OP3_SQL, "op7_line_dedup": OP7_SQL}
+    return {"op1_suffix_dedup": OP1_SQL, "op2_decontamination": OP2_SQL, "op3_substring_dedup": OP3_SQL, "op7_line_dedup": OP7_SQL, "op10_jaccard_join": OP10_SQL}
