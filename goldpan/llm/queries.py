@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard_join, line_dedup, mixing, quality_rules, secret_scan, substring_dedup, suffix_dedup, token_records
+from . import decontaminate, jaccard_join, line_dedup, lm_scoring, mixing, quality_rules, secret_scan, substring_dedup, suffix_dedup, token_records
 from .common import read_table
 
 #: Name of the tokenizer file of op9, looked up where the public tokenizers are installed.
@@ -61,6 +61,10 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op9_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_records.encode_and_read(read_table(spark, sf_dir, "documents"), tokenizer_path=tokenizer_path(), end_id=0)
 
@@ -186,6 +190,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_quality_rules": op5_quality_rules,
         "op6_mixing": op6_mixing,
         "op7_line_dedup": op7_line_dedup,
+        "op8_lm_scoring": op8_lm_scoring,
         "op9_token_records": op9_token_records,
         "op10_jaccard_join": op10_jaccard_join,
     }
