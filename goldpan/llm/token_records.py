@@ -21,10 +21,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .common import lookup, materialize, scratch_path, text_bytes
+from .rolling import BYTE_SYMBOL, U, laid_out, mix, prefix, slices, spans
+from .shared_prints import contains
 
-_PIECE = re.compile(r" (?=\w)")
-#: Pieces remembered by a task; beyond that it starts afresh.
-CACHE_PIECES = 400_000
+#: Distinct pieces that a worker remembers, at about 30 bytes each; beyond that it starts afresh.
+CACHE_PIECES = 3_000_000
 _BLOCK = 64
 
 
@@ -77,36 +78,95 @@ def masked_crc32c(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nd
     return ((crc >> np.uint32(15)) | (crc << np.uint32(17))) + np.uint32(0xA282EAD8)
 
 
+#: First bytes of characters that are not white space: digits, letters, and beyond ASCII all lead bytes that no white space has.
+_SOLID = np.array([chr(b).isalnum() and b < 128 or 0xC3 <= b <= 0xE0 or 0xE4 <= b <= 0xF4 for b in range(256)])
+_encoders: dict[tuple, "Encoder"] = {}
+
+
 class Encoder:
-    """Ids of texts by the tokenizers library, each distinct piece encoded once.
+    """Ids of texts by the tokenizers library, each distinct piece encoded once and remembered by its hash.
 
     Byte-level tokenizers never join a word to what stands before its leading space, so a text may be cut before each space
-    that a word character follows. A tokenizer of another kind gets whole texts (``cut=False``).
+    that a solid character follows, and such pieces may be laid end to end and encoded together. A tokenizer of another
+    kind gets whole texts (``cut=False``).
     """
 
     def __init__(self, path: str, end_id: int, dtype: str, cut: bool):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.dtype, self.cut = Tokenizer.from_file(path), np.dtype(dtype), cut
-        self.end, self.known = np.array([end_id], self.dtype).tobytes(), {}
-
-    def _learn(self, pieces: list[str]) -> None:
-        for piece, found in zip(pieces, self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)):
-            self.known[piece] = np.array(found.ids, self.dtype).tobytes()
-
-    def __call__(self, text: str) -> bytes:
+        self.tokenizer, self.dtype, self.cut, self.end = Tokenizer.from_file(path), np.dtype(dtype), cut, end_id
+        if cut:
+            vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+            self.bytes_of = np.zeros(max(vocabulary.values()) + 1, np.int64)
+            for token, i in vocabulary.items():
+                self.bytes_of[i] = len(token)  # a character of a token stands for a byte
+            self._forget()
+
+    @classmethod
+    def of_task(cls, *key) -> "Encoder":
+        """Workers run many tasks, and what one has learnt serves the next."""
+        if key not in _encoders:
+            _encoders[key] = cls(*key)
+        return _encoders[key]
+
+    def _forget(self) -> None:
+        self.known, self.at, self.count, self.pool = np.zeros(0, U), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, self.dtype)
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, self.dtype) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
+
+    def _learn(self, hashes: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> None:
+        spaced = (data[start] == 32) & _SOLID[data[np.minimum(start + 1, len(data) - 1)]]
+        order = np.concatenate((np.flatnonzero(spaced), np.flatnonzero(~spaced)))
+        hashes, start, size = hashes[order], start[order], (end - start)[order]
+        n, ids, counts = int(spaced.sum()), [], []
+        for first in range(0, n, 4000):  # pieces laid end to end; byte lengths of tokens tell where each ends
+            own = slice(first, min(first + 4000, n))
+            sizes = size[own]
+            from_ = np.repeat(start[own] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+            (found,) = self._encode([data[from_].tobytes().decode()])
+            ends = np.searchsorted(np.cumsum(self.bytes_of[found]), np.cumsum(sizes)) + 1
+            ids.append(found)
+            counts.append(np.diff(ends, prepend=0))
+        lone = self._encode([data[a : a + b].tobytes().decode() for a, b in zip(start[n:].tolist(), size[n:].tolist())])
+        counts = np.concatenate([*counts, np.array([len(x) for x in lone], np.int64)]).astype(np.int64)
+        self.known = np.concatenate((self.known, hashes))
+        self.at = np.concatenate((self.at, len(self.pool) + np.cumsum(counts) - counts))
+        self.count = np.concatenate((self.count, counts))
+        self.pool = np.concatenate((self.pool, *ids, *lone)) if ids or lone else self.pool
+        order = np.argsort(self.known, kind="stable")
+        self.known, self.at, self.count = self.known[order], self.at[order], self.count[order]
+
+    def __call__(self, texts: pa.Array) -> list[bytes]:
+        """The ids of each text, with the end id, as bytes."""
+        end = np.array([self.end], self.dtype)
         if not self.cut:
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes() + self.end
-        parts = _PIECE.split(text)
-        pieces = parts[:1] + [" " + x for x in parts[1:]]
-        known = self.known
-        new = {x for x in pieces if x not in known}
-        if new:
-            if len(known) > CACHE_PIECES:
-                known.clear()
-                new = set(pieces)
-            self._learn(list(new))
-        return b"".join([known[x] for x in pieces]) + self.end
+            return [np.concatenate((x, end)).tobytes() for x in self._encode(texts.to_pylist())]
+        out: list[bytes] = []
+        for begin, stop in slices(texts, 4 << 20):
+            data, offsets = laid_out(texts, begin, stop)
+            cut = np.zeros(len(data), bool)
+            cut[:-1] = (data[:-1] == 32) & _SOLID[data[1:]]
+            full = np.diff(offsets) > 1
+            cut[offsets[:-1][full]] = True
+            start = np.flatnonzero(cut)
+            close = offsets[1:][np.searchsorted(offsets, start, "right") - 1] - 1
+            ends = np.minimum(np.append(start[1:], len(data)), close)
+            hashes = mix(spans(prefix(BYTE_SYMBOL[data]), start, ends) + (ends - start).astype(U))
+            distinct, first, of = np.unique(hashes, return_index=True, return_inverse=True)
+            if len(self.known) > CACHE_PIECES:
+                self._forget()
+            new = ~contains(self.known, distinct)
+            if new.any():
+                self._learn(distinct[new], data, start[first[new]], ends[first[new]])
+            entry = np.searchsorted(self.known, distinct)[of]
+            counts = self.count[entry]
+            total = np.cumsum(counts)
+            ids = self.pool[np.repeat(self.at[entry] - total + counts, counts) + np.arange(int(counts.sum()))]
+            upto = np.concatenate(([0], total))[np.searchsorted(start, offsets[1:])]
+            edges = np.concatenate(([0], upto)).tolist()
+            out += [ids[a:b].tobytes() + end.tobytes() for a, b in zip(edges[:-1], edges[1:])]
+        return out
 
 
 def _is_byte_level(path: str) -> bool:
@@ -150,18 +210,18 @@ def write_records(docs: DataFrame, path: str, *, tokenizer_path: str, end_id: in
         from pyarrow import fs
 
         shard, docs_, tokens, offset = TaskContext.get().partitionId(), 0, 0, 0
-        encode = Encoder(tokenizer_path, end_id, f"<u{width}", cut)
+        encode = Encoder.of_task(tokenizer_path, end_id, f"<u{width}", cut)
         out = index = None
         name = f"part-{shard:08d}"
         for batch in batches:
-            for begin in range(0, batch.num_rows, 500):
-                part = batch.slice(begin, 500)
+            for begin, end in slices(batch.column("text"), 4 << 20):
+                part = batch.slice(begin, end - begin)
                 if out is None:
                     system, root = fs.FileSystem.from_uri(path)
                     system.create_dir(root, recursive=True)
                     own = f"{root}/_{name}.{TaskContext.get().taskAttemptId()}"
                     out, index = system.open_output_stream(own + ".bin"), system.open_output_stream(own + ".idx")
-                ids = [encode(t) for t in part.column("text").to_pylist()]
+                ids = encode(part.column("text"))
                 data, size = _frames(ids, part.column("doc_id").to_pylist(), width)
                 out.write(data)
                 counts = np.array([len(x) // width for x in ids], "<u8")
