@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 
 def _common(a: str, b: str) -> int:
@@ -55,7 +56,7 @@ def _token_set(a: str | None, b: str | None) -> float:
 
 
 def _pairwise(f):
-    @F.pandas_udf("double")
+    @F.pandas_udf(DoubleType())
     def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
         known: dict[tuple, float] = {}
         out = []

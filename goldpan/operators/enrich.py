@@ -40,7 +40,7 @@ def cascade(df: DataFrame, sources: list[Source], fields: list[str], *, threshol
     used = [s for s in sources if allow_network or not s.network]
     picks = F.filter(F.array(*[F.when(s.data.isNotNull(), F.struct(F.lit(i).alias("i"), F.lit(s.confidence).alias("confidence"), F.lit(s.name).alias("name"))) for i, s in enumerate(used)]), lambda x: x.isNotNull())
     sure = F.get(F.filter(picks, lambda x: x["confidence"] >= threshold), F.lit(0))
-    best = F.element_at(F.array_sort(F.transform(picks, lambda x: F.struct(x["confidence"].alias("confidence"), (-x["i"]).alias("order"), x["i"].alias("i"), x["name"].alias("name")))), -1)
+    best = F.get(F.sort_array(F.transform(picks, lambda x: F.struct(x["confidence"].alias("confidence"), (-x["i"]).alias("order"), x["i"].alias("i"))), asc=False), F.lit(0))
     at = F.coalesce(sure["i"], best["i"])
     out = df.withColumn("_picks", picks).withColumn("_at", F.when(F.size("_picks") > 0, at))
     fill = {}
@@ -52,7 +52,13 @@ def cascade(df: DataFrame, sources: list[Source], fields: list[str], *, threshol
     tried = F.array(*[F.when(F.col("_at").isNull() | (F.col("_at") >= i), F.struct(F.lit(s.name).alias("source"), F.lit(s.confidence).alias("confidence"), s.data.isNotNull().alias("succeeded"), F.lit("enabled" if allow_network else "disabled").alias("status"))) for i, s in enumerate(used)])
     skipped = F.array(*[F.struct(F.lit(s.name).alias("source"), F.lit(0.0).alias("confidence"), F.lit(False).alias("succeeded"), F.lit("skipped: network disabled").alias("status")) for s in sources if s not in used])
     attempts = F.filter(tried, lambda x: x.isNotNull()) if len(used) == len(sources) else F.concat(F.filter(tried, lambda x: x.isNotNull()), skipped)
-    pick = lambda value, default: F.coalesce(F.element_at(F.array(*map(F.lit, value)), F.col("_at") + 1) if value else F.lit(None), F.lit(default))
+
+    def pick(values: list, default) -> Column:
+        value = F.lit(default)
+        for i, v in enumerate(values):
+            value = F.when(F.col("_at") == i, v).otherwise(value)
+        return value
+
     return out.withColumns({
         "attempts": attempts, "provenance_source": pick([s.name for s in used], "original"), "provenance_confidence": pick([s.confidence for s in used], 1.0),
         "provenance_strategy": F.when(F.col("_at").isNotNull(), "deterministic").otherwise("none"), "provenance_network_status": F.lit("enabled" if allow_network else "disabled"), **fill,

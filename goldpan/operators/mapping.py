@@ -7,6 +7,7 @@ import difflib
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 #: The canonical columns of a source, and which of them are lists.
 SOURCE_COLUMNS = (
@@ -35,7 +36,7 @@ def distinct_names(df: DataFrame) -> DataFrame:
     return df.toDF(*names)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def _ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b)], dtype=float)
 

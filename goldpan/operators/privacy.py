@@ -20,7 +20,7 @@ PII = {
 def _found(text: Column, kind: str) -> Column:
     hits = F.regexp_extract_all(text, F.lit(PII[kind]), F.lit(0))
     if kind in ("CREDIT_CARD", "ID_NUMBER"):
-        hits = F.filter(hits, lambda x: F.luhn_check(F.translate(x, " -", "")))
+        hits = F.filter(hits, lambda x: F.call_function("luhn_check", F.translate(x, " -", "")))
     return hits
 
 

@@ -49,7 +49,7 @@ def best(value: str, rank: str = "rank") -> Column:
 def long_values(rows: DataFrame) -> DataFrame:
     """entity, field, value, rank, at: every filled value of every field, list fields by position."""
     scalars = [F.struct(F.lit(f).alias("field"), F.array(tidy(f)).alias("values")) for f in (*BEST, *JOINED)]
-    lists = [F.struct(F.lit(f).alias("field"), F.transform(F.coalesce(F.col(f), F.array().cast("array<string>")), tidy).alias("values")) for f in LISTS]
+    lists = [F.struct(F.lit(f).alias("field"), F.transform(F.coalesce(F.col(f), F.array().cast("array<string>")), lambda x: tidy(x)).alias("values")) for f in LISTS]
     each = rows.select("entity", "rank", "source_dataset", "source_record_id", "source_priority", "row_quality", "seen_at", F.explode(F.array(*scalars, *lists)).alias("f"))
     return each.select("*", F.col("f.field").alias("field"), F.posexplode("f.values").alias("at", "value")).drop("f").filter(F.col("value").isNotNull())
 
