@@ -77,7 +77,7 @@ def semantic_types(df: DataFrame, sample_rows: int = 100) -> DataFrame:
     for c in df.columns:
         numbers.append(F.struct(
             F.lit(c).alias("column_name"), F.count(text[c]).alias("n"), share(c, r"^[^@\s]+@[^@\s]+\.[^@\s]+$").alias("email"),
-            share(c, r"^\+?[0-9()\s-]{7,}$").alias("phone"), share(c, r"^(https?://|www\.)").alias("url"),
+            share(c, r"^(?![0-9]{4}-[0-9]{2}-[0-9]{2}$)\+?[0-9()\s-]{7,}$").alias("phone"), share(c, r"^(https?://|www\.)").alias("url"),
             F.avg(F.to_date(F.try_to_timestamp(F.substring(text[c], 1, 10), F.lit("yyyy-MM-dd"))).isNotNull().cast("double")).alias("date"),
             F.avg(text[c].try_cast("double").isNotNull().cast("double")).alias("numeric"), (F.approx_count_distinct(text[c]) / F.count(text[c])).alias("distinct"),
         ))

@@ -14,6 +14,8 @@ from goldpan.functions.text import tidy
 BEST = {"province": "province", "area": "area", "address": "address_primary", "category": "organization_category", "organization_type": "organization_type", "status": "status", "website": "website", "priority": "priority"}
 JOINED = ("planes", "description", "notes")
 LISTS = {"contact_emails": "email", "contact_phones": "phone", "contact_names": "name", "contact_roles": "role"}
+#: What fields are called in provenance, where not by their own name.
+NAMES = {**BEST, "contact_emails": "contact_primary_email", "contact_phones": "contact_primary_phone", "contact_names": "contact_primary_name", "contact_roles": "contact_primary_role"}
 #: Key of the one group of rows without a slug.
 NO_SLUG = "\u0000"
 
@@ -48,7 +50,7 @@ def best(value: str, rank: str = "rank") -> Column:
 
 def long_values(rows: DataFrame) -> DataFrame:
     """entity, field, value, rank, at: every filled value of every field, list fields by position."""
-    scalars = [F.struct(F.lit(f).alias("field"), F.array(tidy(f)).alias("values")) for f in (*BEST, *JOINED)]
+    scalars = [F.struct(F.lit(f).alias("field"), F.array(tidy(f)).alias("values")) for f in ("organization_name", *BEST, *JOINED)]
     lists = [F.struct(F.lit(f).alias("field"), F.transform(F.coalesce(F.col(f), F.array().cast("array<string>")), lambda x: tidy(x)).alias("values")) for f in LISTS]
     each = rows.select("entity", "rank", "source_dataset", "source_record_id", "source_priority", "row_quality", "seen_at", F.explode(F.array(*scalars, *lists)).alias("f"))
     return each.select("*", F.col("f.field").alias("field"), F.posexplode("f.values").alias("at", "value")).drop("f").filter(F.col("value").isNotNull())
@@ -77,12 +79,14 @@ def provenance(lists: DataFrame) -> DataFrame:
     """entity, selection_provenance: JSON of each field's value, source, record, priority, quality, date and other contributors."""
     first = F.get("picks", F.lit(0))
     more = F.transform(F.slice("picks", 2, F.greatest(F.size("picks") - 1, F.lit(1))), lambda p: F.struct(p["source_dataset"].alias("source_dataset"), p["source_record_id"].alias("source_record_id"), p["value"].alias("value")))
+    names = F.create_map(*[F.lit(x) for kv in NAMES.items() for x in kv])
+    field = F.coalesce(names[F.col("field")], "field")
     entry = F.struct(
-        F.col("field").alias("field"), first["value"].alias("value"), first["source_dataset"].alias("source_dataset"), first["source_record_id"].alias("source_record_id"),
+        field.alias("field"), first["value"].alias("value"), first["source_dataset"].alias("source_dataset"), first["source_record_id"].alias("source_record_id"),
         first["source_priority"].alias("source_priority"), first["row_quality"].alias("quality_score"), first["last_interaction_date"].alias("last_interaction_date"),
         F.when(F.size("picks") > 1, more).alias("contributors"),
     )
-    return lists.groupBy("entity").agg(F.to_json(F.map_from_entries(F.sort_array(F.collect_list(F.struct(F.col("field").alias("k"), entry.alias("v")))))).alias("selection_provenance"))
+    return lists.groupBy("entity").agg(F.to_json(F.map_from_entries(F.sort_array(F.collect_list(F.struct(field.alias("k"), entry.alias("v")))))).alias("selection_provenance"))
 
 
 def labels(column: str) -> Column:
