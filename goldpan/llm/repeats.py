@@ -8,7 +8,7 @@ Symbols are bytes or words. Steps, each a Spark job over groups of bounded size:
    buckets by anchor, once a chunk with its smallest id. Copies that are not the first are covered at once.
 3. What is left is one copy of each distinct run whose anchor has several contents: edges of passages and of edits. These
    meet by anchor in groups, where ``local`` finds their common parts. An anchor with very many contents is spread over
-   groups by content; its windows are then counted by hash, with partial aggregation.
+   groups by content; each group sends its distinct windows once, by hash, and hears which of them a smaller id has.
 """
 
 from __future__ import annotations
@@ -25,11 +25,11 @@ from .common import materialize, release, text_bytes
 from .rolling import U, fixed_windows, grams, mix, prefix, sliding_min, spans
 
 _PARTS = "chunk int, ord long, text_hash long, start int, data binary"
-_FOUND = "kind int, ord long, text_hash long, start int, stop int, part long, spread boolean, print long, window long, data binary"
-_FIELDS = pa.schema([("kind", pa.int32()), ("ord", pa.int64()), ("text_hash", pa.int64()), ("start", pa.int32()), ("stop", pa.int32()), ("part", pa.int64()), ("spread", pa.bool_()), ("print", pa.int64()), ("window", pa.int64()), ("data", pa.binary())])
-COVERED, LEFT, WINDOW = 0, 1, 2
+_FOUND = "kind int, ord long, text_hash long, start int, stop int, part long, spread boolean, print long, data binary"
+_FIELDS = pa.schema([("kind", pa.int32()), ("ord", pa.int64()), ("text_hash", pa.int64()), ("start", pa.int32()), ("stop", pa.int32()), ("part", pa.int64()), ("spread", pa.bool_()), ("print", pa.int64()), ("data", pa.binary())])
+COVERED, LEFT = 0, 1
 #: log2 of the contents of one anchor up to which they meet in one group.
-TOGETHER = 9
+TOGETHER = 12
 _SLICE = 1 << 20
 
 
@@ -240,34 +240,61 @@ def covered(docs: DataFrame, *, length: int, k: int, read: Callable, dtype, loca
             done += n
         return pa.concat_tables(out)
 
-    def compare(table: pa.Table) -> pa.Table:
+    def contents(cols: dict):
+        """Contents laid end to end: symbols, their number in each, and windows of spread ones: (start, content, key)."""
+        offsets = np.frombuffer(cols["data"].buffers()[1], np.int32)[cols["data"].offset : cols["data"].offset + len(cols["data"]) + 1].astype(np.int64)
+        symbols = np.frombuffer(np.frombuffer(cols["data"].buffers()[2], np.uint8)[offsets[0] : offsets[-1]].tobytes(), dtype)
+        lengths, spread = np.diff(offsets) // np.dtype(dtype).itemsize, sp.numbers(cols["spread"])
+        if not spread.any():
+            return symbols, lengths, None
+        at = np.flatnonzero(fixed_windows(lengths, length))
+        owner = np.repeat(np.arange(len(lengths)), lengths)[at]
+        at, owner = at[spread[owner]], owner[spread[owner]]
+        return symbols, lengths, (at, owner, mix(spans(prefix(_wide(symbols)), at, at + length)))
+
+    def classes(table: pa.Table) -> pa.Table:
         cols = sp.columns(table)
-        ord_, hash_, from_, spread, prints = (sp.numbers(cols[n]) for n in ("ord", "text_hash", "start", "spread", "print"))
-        offsets = np.frombuffer(cols["data"].buffers()[1], np.int32)[cols["data"].offset : cols["data"].offset + len(ord_) + 1].astype(np.int64)
-        raw = np.frombuffer(cols["data"].buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
-        symbols = np.frombuffer(raw.tobytes(), dtype)
-        lengths = np.diff(offsets) // np.dtype(dtype).itemsize
+        _, _, (_, owner, window) = contents(cols)
+        prints, ord_ = sp.numbers(cols["print"])[owner], sp.numbers(cols["ord"])[owner]
+        order = np.lexsort((ord_, window, prints))
+        p, w = prints[order], window[order]
+        new = np.ones(len(p), bool)
+        new[1:] = (p[1:] != p[:-1]) | (w[1:] != w[:-1])
+        return pa.table({"part": pa.array(np.full(int(new.sum()), cols["part"][0].as_py(), np.int64)), "print": pa.array(p[new]), "window": pa.array(w[new].view(np.int64)), "least": pa.array(ord_[order][new])})
+
+    def compare(table: pa.Table, answers: pa.Table) -> pa.Table:
+        if not table.num_rows:
+            return _FIELDS.empty_table()
+        cols = sp.columns(table)
+        ord_, hash_, from_ = (sp.numbers(cols[n]) for n in ("ord", "text_hash", "start"))
+        symbols, lengths, windows = contents(cols)
         starts = np.cumsum(lengths) - lengths
-        low, high, owner = local(symbols, lengths, ord_, length)
-        shift = from_[owner] - starts[owner]
-        out = [_table(COVERED, ord=ord_[owner], text_hash=hash_[owner], start=(low + shift).astype(np.int32), stop=(high + shift).astype(np.int32))]
-        if spread.any():
-            at = np.flatnonzero(fixed_windows(lengths, length))
-            owner = np.repeat(np.arange(len(lengths)), lengths)[at]
-            at, owner = at[spread[owner]], owner[spread[owner]]
-            hashes = mix(spans(prefix(_wide(symbols)), at, at + length))
-            out.append(_table(WINDOW, ord=ord_[owner], text_hash=hash_[owner], start=(at - starts[owner] + from_[owner]).astype(np.int32), print=prints[owner], window=hashes.view(np.int64)))
+        found = [local(symbols, lengths, ord_, length)]
+        if windows is not None and answers.num_rows:
+            at, owner, window = windows
+            told = sp.columns(answers)
+            known = mix(sp.numbers(told["window"]).view(U) ^ mix(sp.numbers(told["print"]).view(U), 1))
+            order = np.argsort(known)
+            key = mix(window ^ mix(sp.numbers(cols["print"])[owner].view(U), 1))
+            place = np.minimum(np.searchsorted(known[order], key), len(known) - 1)
+            hit = (known[order][place] == key) & (sp.numbers(told["first"])[order][place] < ord_[owner])
+            found.append(_joined(at[hit], at[hit] + length, owner[hit]))
+        out = []
+        for low, high, owner in found:
+            shift = from_[owner] - starts[owner]
+            out.append(_table(COVERED, ord=ord_[owner], text_hash=hash_[owner], start=(low + shift).astype(np.int32), stop=(high + shift).astype(np.int32)))
         return pa.concat_tables(out)
 
     met = parts.groupBy("chunk").applyInArrow(send, "bucket int, chunk int, prints binary, counts binary, contents binary, ords binary").groupBy("bucket").applyInArrow(_meet, "chunk int, bucket int, flags binary")
     settled = materialize(parts.groupBy("chunk").cogroup(met.groupBy("chunk")).applyInArrow(settle, _FOUND), "settled-runs")
     release(parts)
-    compared = materialize(settled.filter(F.col("kind") == LEFT).groupBy("part").applyInArrow(compare, _FOUND), "compared-runs")
-    windows = compared.filter(F.col("kind") == WINDOW)
-    firsts = windows.groupBy("print", "window").agg(F.min("ord").alias("first"))
-    later = windows.join(firsts, ["print", "window"]).filter(F.col("first") < F.col("ord")).select("ord", "text_hash", "start", (F.col("start") + length).alias("stop"))
+    left = settled.filter(F.col("kind") == LEFT)
+    sent = materialize(left.filter("spread").groupBy("part").applyInArrow(classes, "part long, print long, window long, least long"), "window-classes")
+    firsts = sent.groupBy("print", "window").agg(F.min("least").alias("first"), F.count("*").alias("c")).filter("c > 1").select("print", "window", "first")
+    told = sent.join(firsts, ["print", "window"]).filter("first < least").select("part", "print", "window", "first")
+    compared = materialize(left.groupBy("part").cogroup(told.groupBy("part")).applyInArrow(compare, _FOUND), "compared-runs")
     pairs = [df.filter(F.col("kind") == COVERED).select("ord", "text_hash", "start", "stop") for df in (settled, compared)]
-    return pairs[0].unionByName(pairs[1]).unionByName(later).groupBy("ord", "text_hash").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
+    return pairs[0].unionByName(pairs[1]).groupBy("ord", "text_hash").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
 
 
 def united(spans_: list[tuple[int, int]]) -> list[tuple[int, int]]:
