@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import _col, clamp, logistic_scale, phone_parts, tidy
+from .text import _col, bind, clamp, logistic_scale, phone_parts, tidy
 
 #: Domains that count as trusted, weights of roles in the order they are looked for, weights of lead scores.
 TRUSTED_DOMAINS = ("example.com", "example.org", "example.net")
@@ -21,28 +21,26 @@ def _result(status: str, confidence: float, reason: str | None) -> Column:
 
 def validate_email(c: Column | str, has_mx: Column | None = None, trusted: tuple[str, ...] = TRUSTED_DOMAINS) -> Column:
     """struct(status, confidence, reason); ``has_mx``: whether the domain has a mail host in a supplied table."""
-    text = tidy(c)
-    domain = F.lower(F.element_at(F.split(text, "@"), -1))
     mx = F.coalesce(has_mx, F.lit(False)) if has_mx is not None else F.lit(False)
-    return (
-        F.when(text.isNull(), F.lit(None))
-        .when(~text.rlike(_EMAIL), _result("undeliverable", 0.0, "invalid_format"))
-        .when(domain.isin(*trusted), _result("deliverable", 0.92, None))
-        .when(mx, _result("deliverable", 0.75, None))
-        .otherwise(_result("risky", 0.35, "missing_mx_records"))
-    )
+
+    def judged(text: Column) -> Column:
+        return (
+            F.when(text.isNull(), F.lit(None)).when(~text.rlike(_EMAIL), _result("undeliverable", 0.0, "invalid_format"))
+            .when(F.lower(F.regexp_extract(text, "@([^@]*)$", 1)).isin(*trusted), _result("deliverable", 0.92, None))
+            .when(mx, _result("deliverable", 0.75, None)).otherwise(_result("risky", 0.35, "missing_mx_records"))
+        )
+
+    return bind(tidy(c), judged)
 
 
 def validate_phone(c: Column | str, region: str = "ZA") -> Column:
-    text = tidy(c)
-    parts = phone_parts(text, region)
-    return (
-        F.when(text.isNull(), F.lit(None))
-        .when(parts.isNull(), _result("undeliverable", 0.0, "parse_error:not_a_number"))
-        .when(parts["e164"].isNotNull(), _result("deliverable", 0.85, None))
-        .when(parts["possible"], _result("risky", 0.45, "number_possible"))
-        .otherwise(_result("undeliverable", 0.1, "number_invalid"))
-    )
+    def judged(parts: Column) -> Column:
+        return (
+            F.when(parts.isNull(), _result("undeliverable", 0.0, "parse_error:not_a_number")).when(parts["e164"].isNotNull(), _result("deliverable", 0.85, None))
+            .when(parts["possible"], _result("risky", 0.45, "number_possible")).otherwise(_result("undeliverable", 0.1, "number_invalid"))
+        )
+
+    return bind(tidy(c), lambda text: F.when(text.isNotNull(), bind(phone_parts(text, region), judged)))
 
 
 def _bad(status: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import _col, tidy
+from .text import _col, bind, tidy
 
 _YEAR_FIRST = ("yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "yyyy-MM-dd'T'HH:mm:ssXXX", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm", "yyyy-MM-dd", "yyyy/MM/dd", "yyyy.MM.dd", "yyyyMMdd")
 _DAY_FIRST = ("d/M/yyyy", "d-M-yyyy", "d.M.yyyy", "d/M/yyyy HH:mm", "d MMM yyyy", "d MMMM yyyy", "M/d/yyyy", "M-d-yyyy", "MMMM d, yyyy", "MMM d, yyyy", "MMMM d yyyy")
@@ -17,14 +17,13 @@ def _first(text: Column, formats: tuple[str, ...]) -> Column:
 
 def flexible_timestamp(c: Column | str) -> Column:
     """Year-first text as ISO; other text day first, then month first; anything else is null. Times are UTC."""
-    text = tidy(c)
-    return F.when(text.rlike("^[0-9]{4}"), _first(text, _YEAR_FIRST)).otherwise(_first(text, _DAY_FIRST))
+    return bind(tidy(c), lambda text: F.when(text.rlike("^[0-9]{4}"), _first(text, _YEAR_FIRST)).otherwise(_first(text, _DAY_FIRST)))
 
 
 def registry_date(c: Column | str) -> Column:
     """ISO date of the five formats that registries use; other text as it is."""
-    text = tidy(c)
-    return F.coalesce(F.date_format(_first(text, ("yyyy-MM-dd", "yyyy/MM/dd", "dd/MM/yyyy", "dd-MM-yyyy", "d MMMM yyyy")), "yyyy-MM-dd"), text)
+    formats = ("yyyy-MM-dd", "yyyy/MM/dd", "dd/MM/yyyy", "dd-MM-yyyy", "d MMMM yyyy")
+    return bind(tidy(c), lambda text: F.coalesce(F.date_format(_first(text, formats), "yyyy-MM-dd"), text))
 
 
 def event_timestamp(c: Column | str, issued_at: Column) -> Column:
