@@ -210,4 +210,28 @@ SELECT p.page_id, coalesce(ok, true) AS robots_ok FROM p LEFT JOIN v USING (page
 ) SELECT 'registry:' || c_custkey || ':0' AS source_record_id, s_name AS organization_name, 'a' || s_suppkey || '@x.example' AS contact_email, '+27821234567' AS contact_phone FROM j""",
     "refined_pipeline": f"""WITH {_REFINED}, q AS (SELECT *, ((contact_primary_email IS NOT NULL)::INT + (contact_primary_phone IS NOT NULL)::INT + (website IS NOT NULL)::INT + (province IS NOT NULL)::INT + (address_primary IS NOT NULL)::INT) / 5 AS s FROM refined)
 SELECT organization_slug, organization_name, contact_primary_email, s AS data_quality_score, CASE WHEN s >= 0.8 THEN 'excellent' WHEN s >= 0.6 THEN 'good' WHEN s >= 0.4 THEN 'fair' ELSE 'poor' END AS band FROM q""",
+    "registry_payloads": """SELECT s_suppkey, CASE WHEN s_suppkey % 11 <> 0 THEN s_name END AS name, CASE WHEN s_suppkey % 11 <> 0 THEN 'A' || s_suppkey || '07' END AS number, CASE WHEN s_suppkey % 11 <> 0 THEN 'In Business' END AS status,
+  CASE WHEN s_suppkey % 11 = 0 THEN NULL WHEN s_suppkey % 3 < 2 THEN '2015-02-01' ELSE 'early 2015' END AS registered, CASE WHEN s_suppkey % 11 <> 0 THEN s_suppkey || ' Rd, JHB' END AS address FROM supplier""",
+    "registry_join": """SELECT c_custkey, CASE WHEN s_suppkey IS NOT NULL THEN 'cipc' END AS registry_type, CASE WHEN s_suppkey IS NOT NULL THEN 'open' END AS registry_status, 'N' || s_suppkey AS registry_number, s_suppkey IS NOT NULL AS registry_enriched
+FROM customer LEFT JOIN supplier ON lower(replace(c_name, 'Customer', 'Supplier')) = lower(s_name)""",
+    "geocoded": "SELECT c_custkey, CASE WHEN s_suppkey IS NOT NULL THEN s_suppkey::DOUBLE END AS latitude, 'f' || s_suppkey AS formatted_address, s_suppkey IS NOT NULL AS geocoded FROM customer LEFT JOIN supplier ON s_suppkey = c_custkey % 50 AND s_suppkey % 2 = 0",
+    "reverse_geocoded": f"WITH {_PLACES}, q AS (SELECT round(latitude, 3) AS y, round(longitude, 3) AS x, min(CASE WHEN id % 2 = 0 THEN 'Gauteng' ELSE 'Limpopo' END) AS v FROM p WHERE latitude IS NOT NULL AND id % 3 = 0 GROUP BY 1, 2) SELECT id, v AS province_inferred FROM p LEFT JOIN q ON round(latitude, 3) = y AND round(longitude, 3) = x",
+    "research_plan": f"""WITH {ORGS_SQL}, u AS (SELECT slug, website IS NOT NULL AS w, email IS NOT NULL AS e, coalesce('https://' || split_part(email, '@', 2) = website, false) AS same, (province IS NULL)::INT + (status IS NULL)::INT AS b FROM orgs)
+SELECT slug, count(*) AS n, CAST(sum(w::INT + e::INT - same::INT) AS BIGINT) AS urls, CAST(sum(b) AS BIGINT) AS backfill, count(*) FILTER (WHERE w OR e) AS crawls FROM u GROUP BY slug""",
+    "new_targets": "SELECT DISTINCT 'i' || (c_custkey % 200) AS identifier, 'd' || (c_custkey % 200) AS domain FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE NOT EXISTS (SELECT 1 FROM supplier WHERE s_suppkey = c_custkey % 200)",
+    "authority_hits": "SELECT 'firm-' || s_suppkey AS slug, r_name AS source, min('u' || c_custkey) AS url FROM supplier CROSS JOIN region JOIN customer ON c_custkey % 7 = r_regionkey AND c_custkey % 130 = s_suppkey GROUP BY 1, 2",
+    "policy_warnings": "SELECT event_type, concat_ws(',', CASE WHEN event_id % 3 = 0 THEN 'robots_disallowed' END, CASE WHEN event_id % 5 = 1 THEN 'tos_not_accepted' END) AS reasons, count(*) AS n FROM events WHERE event_id % 3 = 0 OR event_id % 5 = 1 GROUP BY 1, 2",
+    "allowed_providers": "SELECT o_orderpriority AS provider, count(*) AS n FROM orders WHERE lower(o_orderpriority) IN (SELECT lower(o_orderpriority) FROM orders WHERE o_orderkey % 2 = 0) AND o_orderpriority NOT LIKE '5%' GROUP BY 1",
+    "person_names": "SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'Dr.' END AS title, 'Ann' AS given, CASE WHEN c_custkey % 2 = 0 THEN 'Marie' END AS middle, 'Lee' || (c_custkey % 10) AS family FROM customer",
+    "identifiers": f"""WITH v AS (SELECT p_partkey, '4' || lpad(CAST(p_partkey * 7919 % 1000000000 AS VARCHAR), 9, '0') AS vat FROM part)
+SELECT p_partkey, 'P' || p_partkey || 'A' AS identifier, CASE WHEN {_luhn('vat')} THEN vat END AS vat, CASE WHEN p_partkey % 2 = 0 THEN lpad(CAST(p_partkey % 10000 AS VARCHAR), 4, '0') END AS postal FROM v""",
+    "entity_priorities": """WITH c AS (SELECT c_custkey, c_acctbal, (1 + (c_custkey % 2 = 0)::INT + (c_custkey % 3 = 0)::INT) / 3 AS d, ((c_custkey % 5 = 0)::INT + (c_custkey % 2 = 0)::INT + (c_custkey % 3 = 0)::INT + 1) / 4 AS score FROM customer)
+SELECT c_custkey, round(d, 6) AS completeness, round((d + c_acctbal / 10000) / 2, 6) AS priority, score, CASE WHEN d >= 0.8 THEN 'excellent' WHEN d >= 0.6 THEN 'good' WHEN d >= 0.4 THEN 'fair' ELSE 'poor' END AS band FROM c""",
+    "party_confidence": """WITH c AS (SELECT c_custkey, least(1, greatest(0.05, greatest(0.5, CASE WHEN c_custkey % 4 <> 0 THEN least(1, 0.25 + 0.2 * (c_custkey % 4)) ELSE 0 END, CASE WHEN c_acctbal / 2000 > 1 THEN least(1, c_acctbal / 2000 / 5) ELSE c_acctbal / 2000 END))) AS x FROM customer)
+SELECT c_custkey, round(x, 6) AS confidence, CASE WHEN x >= 0.75 THEN 'high' WHEN x >= 0.5 THEN 'medium' ELSE 'low' END AS band FROM c""",
+    "resolved_intent": """WITH g AS (SELECT user_id % 30 AS k, round(avg(value), 4) AS score, count(*) AS signal_count FROM events GROUP BY 1)
+SELECT n_nationkey, CASE WHEN n_nationkey % 2 = 0 OR n_nationkey % 5 <> 0 THEN g.score ELSE 0.5 END AS score, CASE WHEN n_nationkey % 2 = 0 OR n_nationkey % 5 <> 0 THEN g.signal_count ELSE 1 END AS signal_count FROM nation LEFT JOIN g ON g.k = n_nationkey""",
+    "field_classes": "SELECT * FROM (VALUES ('c_custkey', 'internal', false, NULL, NULL), ('c_name', 'personal', true, 365, 'consent'), ('c_nationkey', 'internal', false, NULL, NULL), ('c_acctbal', 'internal', false, NULL, NULL), ('c_mktsegment', 'internal', false, NULL, NULL)) t(field, classification, requires_consent, retention_days, lawful_basis)",
+    "order_checksum": "SELECT 'orders' AS dataset, 1 AS major, 0 AS minor, 0 AS patch, count(*) AS n_rows FROM orders",
+    "target_signals": "SELECT CASE WHEN c_custkey % 2 = 0 THEN 'USER-' || c_custkey ELSE 'user-' || c_custkey END AS target_slug, count(*) AS n FROM customer JOIN events ON user_id = c_custkey WHERE c_custkey < 150 GROUP BY 1",
 }

@@ -511,6 +511,136 @@ def refined_pipeline(spark, d):
     return out.table.select("organization_slug", "organization_name", "contact_primary_email", "data_quality_score", "band")
 
 
+def registry_payloads(spark, d):
+    """N20 N25 E05 N12"""
+    s = read(spark, d, "supplier")
+    k = F.col("s_suppkey")
+    address = F.struct(F.concat(k, F.lit(" Rd")).alias("line1"), F.lit("JHB").alias("city"))
+    entry = F.struct(
+        F.when(k % 2 == 0, F.col("s_name")).alias("enterprise_name"), F.when(k % 2 == 1, F.col("s_name")).alias("company_name"), F.concat(F.lit("a-"), k, F.lit("/07")).alias("registration_number"),
+        F.lit("In Business").alias("status"), F.when(k % 3 == 0, "01/02/2015").when(k % 3 == 1, "2015-02-01").otherwise("early 2015").alias("registration_date"), address.alias("registered_address"),
+    )
+    payload = F.when(k % 11 == 0, "no json").otherwise(F.to_json(entry))
+    parsed = s.select("s_suppkey", enrich.registry_entry(payload).alias("e"))
+    return parsed.select("s_suppkey", "e.name", T.normalize_identifier("e.number").alias("number"), "e.status", F.col("e.date").alias("registered"), "e.address")
+
+
+def registry_join(spark, d):
+    """E05"""
+    s = read(spark, d, "supplier").select(F.upper("s_name").alias("query"), F.lit("cipc").alias("registry"), F.to_json(F.struct(F.col("s_name").alias("name"), F.lit("open").alias("status"), F.concat(F.lit("n "), "s_suppkey").alias("enterprise_number"))).alias("payload"))
+    c = read(spark, d, "customer").withColumn("name", F.regexp_replace("c_name", "Customer", "Supplier"))
+    return enrich.registry_columns(c, s, "name").select("c_custkey", "registry_type", "registry_status", "registry_number", "registry_enriched")
+
+
+def geocoded(spark, d):
+    """G01"""
+    k = F.col("c_custkey")
+    c = read(spark, d, "customer").withColumns({"address": F.concat(k % 50, F.lit("  Main St.")), "country": F.lit("ZA")})
+    stored = read(spark, d, "supplier").select(F.concat("s_suppkey", F.lit(" main Street")).alias("address"), F.lit("za").alias("country"), F.col("s_suppkey").cast("double").alias("latitude"), F.lit(1.0).alias("longitude"), F.concat(F.lit("f"), "s_suppkey").alias("formatted_address")).filter(F.col("latitude") % 2 == 0)
+    return geo.apply_geocodes(c, stored, "address", "country").select("c_custkey", "latitude", "formatted_address", "geocoded")
+
+
+def reverse_geocoded(spark, d):
+    """G02"""
+    places = _places(spark, d)
+    stored = places.filter("latitude is not null and id % 3 = 0").select("latitude", "longitude", F.when(F.col("id") % 2 == 0, "gauteng").alias("state"), F.lit("Limpopo").alias("province"), F.lit(None).cast("string").alias("region"), F.lit("x").alias("county"))
+    return geo.province_of_coordinates(places, stored).select("id", "province_inferred")
+
+
+def research_plan(spark, d):
+    """E10 N03 N04 P13"""
+    o = organisations(spark, d).select("organization_name", F.col("slug").alias("organization_slug"), "website", F.get("contact_emails", F.lit(0)).alias("contact_primary_email"), "province", "status", "source_record_id")
+    plan_ = enrich.research_plan(o, ["province", "status"])
+    return plan_.groupBy("slug").agg(F.count("*").alias("n"), F.sum(F.size("urls")).alias("urls"), F.sum(F.size("backfill")).alias("backfill"), F.count_if(F.col("steps")["crawl"] == "planned").alias("crawls"))
+
+
+def new_targets(spark, d):
+    """P11"""
+    queries = read(spark, d, "nation").select(F.upper("n_name").alias("query"))
+    results = read(spark, d, "customer").join(read(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).select(F.lower("n_name").alias("query"), F.concat(F.lit("i"), F.col("c_custkey") % 200).alias("identifier"), F.concat(F.lit("d"), F.col("c_custkey") % 200).alias("domain"))
+    known = read(spark, d, "supplier").select(F.concat(F.lit("i"), "s_suppkey").alias("identifier"), F.concat(F.lit("d"), "s_suppkey").alias("domain"))
+    return mapping.search_lookup(queries, results, known)
+
+
+def authority_hits(spark, d):
+    """J13"""
+    entities = read(spark, d, "supplier").select(F.concat(F.lit("firm-"), "s_suppkey").alias("slug"))
+    sources = read(spark, d, "region").select(F.col("r_name").alias("source"), F.concat(F.lit("k"), "r_regionkey").alias("cache_key"))
+    snapshots = read(spark, d, "customer").select(F.concat(F.lit("k"), F.col("c_custkey") % 7).alias("cache_key"), F.concat(F.lit("firm-"), F.col("c_custkey") % 130).alias("slug"), F.concat(F.lit("u"), "c_custkey").alias("url"))
+    return enrich.authority_hits(entities, sources, snapshots)
+
+
+def policy_warnings(spark, d):
+    """P08"""
+    e = read(spark, d, "events").select("event_type", (F.col("event_id") % 3 != 0).alias("robots_allowed"), F.when(F.col("event_id") % 5 != 0, F.col("event_id") % 5 != 1).alias("tos_accepted"))
+    _, warned = mapping.policy_split(e)
+    return warned.groupBy("event_type", F.array_join("reasons", ",").alias("reasons")).agg(F.count("*").alias("n"))
+
+
+def allowed_providers(spark, d):
+    """P09"""
+    policy = read(spark, d, "orders").filter("o_orderkey % 2 = 0").select(F.lower("o_orderpriority").alias("provider")).filter("provider not like '5%'")
+    return mapping.allowed(read(spark, d, "orders").withColumnRenamed("o_orderpriority", "provider"), policy, strict=False).groupBy("provider").agg(F.count("*").alias("n"))
+
+
+def person_names(spark, d):
+    """N11"""
+    k = F.col("c_custkey")
+    name = F.concat(F.when(k % 3 == 0, "Dr. ").otherwise(""), F.lit("Ann "), F.when(k % 2 == 0, "Marie ").otherwise(""), F.concat(F.lit("Lee"), k % 10))
+    return read(spark, d, "customer").select("c_custkey", T.parse_person_name(name).alias("p")).select("c_custkey", "p.title", "p.given", "p.middle", "p.family")
+
+
+def identifiers(spark, d):
+    """N12 N13 N14"""
+    k = F.col("p_partkey")
+    vat = F.concat(F.lit("4"), F.lpad((k * 7919 % 1_000_000_000).cast("string"), 9, "0"))
+    return read(spark, d, "part").select("p_partkey", T.normalize_identifier(F.concat(F.lit(" p-"), k, F.lit("/a"))).alias("identifier"), T.normalize_vat(vat).alias("vat"), T.normalize_postal_code(F.when(k % 2 == 0, F.lpad((k % 10000).cast("string"), 4, "0")).otherwise("12")).alias("postal"))
+
+
+def entity_priorities(spark, d):
+    """V11 V12 N26"""
+    k = F.col("c_custkey")
+    c = read(spark, d, "customer").withColumns({"a": F.when(k % 2 == 0, "x"), "b": F.when(k % 3 == 0, "y"), "w": F.when(k % 5 == 0, "https://x.org").otherwise("nope")})
+    done, priority = C.entity_priority([F.col("c_name"), F.col("a"), F.col("b")], F.col("c_acctbal") / 10000)
+    score = C.optimisation_score(T.website_is_valid("w"), F.col("a"), F.col("b"), F.lit(True))
+    return c.select("c_custkey", F.round(done, 6).alias("completeness"), F.round(priority, 6).alias("priority"), score.alias("score"), T.quality_band(done).alias("band"))
+
+
+def party_confidence(spark, d):
+    """N23"""
+    c = read(spark, d, "customer").withColumn("x", C.confidence(0.5, F.col("c_custkey") % 4, F.col("c_acctbal") / 2000))
+    return c.select("c_custkey", F.round("x", 6).alias("confidence"), C.confidence_band(F.col("x")).alias("band"))
+
+
+def resolved_intent(spark, d):
+    """J02"""
+    digest = read(spark, d, "events").groupBy(F.concat(F.lit("nation-"), F.col("user_id") % 30).alias("target_slug")).agg(F.round(F.avg("value"), 4).alias("score"), F.count("*").alias("signal_count"))
+    digest = digest.unionByName(read(spark, d, "region").select(F.concat(F.lit("REGION_"), "r_regionkey").alias("target_slug"), F.lit(0.5).alias("score"), F.lit(1).cast("long").alias("signal_count")))
+    n = read(spark, d, "nation").select(F.when(F.col("n_nationkey") % 2 == 0, F.concat(F.lit("Nation-"), "n_nationkey")).alias("organization_slug"), F.when(F.col("n_nationkey") % 5 != 0, F.concat(F.lit("Nation "), "n_nationkey")).otherwise(F.concat(F.lit("region_"), F.col("n_regionkey"))).alias("organization_name"), "n_nationkey")
+    return intent.resolve_digest(n, digest).select("n_nationkey", "intent.score", "intent.signal_count")
+
+
+def field_classes(spark, d):
+    """C04"""
+    policy = read(spark, d, "customer").limit(0).select(F.lit("").alias("field"), F.lit("").alias("classification"), F.lit(True).alias("requires_consent"), F.lit(1).alias("retention_days"), F.lit("").alias("lawful_basis"))
+    policy = policy.unionByName(read(spark, d, "region").filter("r_regionkey = 0").select(F.lit("c_name").alias("field"), F.lit("personal").alias("classification"), F.lit(True).alias("requires_consent"), F.lit(365).alias("retention_days"), F.lit("consent").alias("lawful_basis")))
+    return privacy.classify_fields(read(spark, d, "customer"), policy)
+
+
+def order_checksum(spark, d):
+    """C08 C09 D06"""
+    o = read(spark, d, "orders")
+    history = o.limit(0).select(F.lit("orders").alias("dataset"), F.lit(1).alias("major"), F.lit(0).alias("minor"), F.lit(0).alias("patch"))
+    return party.next_version(o, history, "orders", "major", _now()).select("dataset", "major", "minor", "patch", "n_rows")
+
+
+def target_signals(spark, d):
+    """I03"""
+    found = read(spark, d, "events").select(F.concat(F.lit("user-"), "user_id").alias("target_key"), "event_id")
+    targets = read(spark, d, "customer").filter("c_custkey < 150").select(F.concat(F.lit("User "), "c_custkey").alias("identifier"), F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lit("USER-"), "c_custkey")).alias("slug"))
+    return intent.match_targets(found, targets).groupBy("target_slug").agg(F.count("*").alias("n"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -518,6 +648,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         first_document, slug_dedup, daily_list, expectation_suite, contract_check, valid_orders, page_websites, page_content, pii_documents, pii_redacted, pii_events, consent_report, consent_violations,
         lookup_cascade, cascade_entries, intent_scores, intent_digest, intent_since, signal_cache, response_cache, stream_dedup, stream_windows, stream_sessions, backfill_orders, rule_linkage, linkage_clusters,
         fellegi_sunter, review_queue, fuzzy_parts, entity_registry, near_suppliers, supplier_clusters, party_parties, party_methods, lead_model, contact_table, email_checks, phone_numbers, addresses, company_names,
-        changed_prices, backfill_plan, upserted, run_history, gate_history, frameworks_due, error_counts, first_turns, confidence_ranges, recent_orders, robots_pages, provider_join, refined_pipeline,
+        changed_prices, backfill_plan, upserted, run_history, gate_history, frameworks_due, error_counts, first_turns, confidence_ranges, recent_orders, robots_pages, provider_join, refined_pipeline, registry_payloads, registry_join, geocoded, reverse_geocoded, research_plan, new_targets, authority_hits,
+        policy_warnings, allowed_providers, person_names, identifiers, entity_priorities, party_confidence, resolved_intent, field_classes, order_checksum, target_signals,
     )
 }

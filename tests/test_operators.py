@@ -246,7 +246,7 @@ def test_party(spark):
     assert {(r.kind, r.display_name) for r in t["parties"].collect()} == {("organisation", "Aero School"), ("organisation", "Heli Ops"), ("person", "Jane Doe"), ("person", "John Smith")}
     assert party.orphans(t).count() == 0 and t["roles"].count() == 2
     email = t["contact_methods"].filter("value = 'jane.doe@aero.example'").first()
-    assert email.is_primary and email.confidence == 1.0 and email.provenance_source == "SACAA Cleaned"
+    assert email.is_primary and email.confidence == pytest.approx(0.85) and email.provenance_source == "SACAA Cleaned"
     history = spark.createDataFrame([("d", 1, 2, 3)], "dataset string, major int, minor int, patch int")
     v = party.next_version(refined, history, "d", "minor", now()).first()
     assert (v.major, v.minor, v.patch, v.n_rows) == (1, 3, 0, 2)
