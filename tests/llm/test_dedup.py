@@ -112,6 +112,34 @@ def test_links_are_brute_force(spark, n, num, chunks):
             assert r.component_id in {real(c) for c in component[(i, r.n_shingles)]}
 
 
+def test_near_copies_of_one_hub_are_brute_force(spark):
+    """Variants that are too far from the first one, some of them close to each other."""
+    import random
+
+    r = random.Random(8)
+    base = [f"w{r.randint(0, 400)}" for _ in range(90)]
+    texts = [" ".join(base)]
+    for i in range(90):
+        words = list(base if i % 3 else texts[r.randrange(len(texts))].split())
+        for _ in range(r.randint(1, 7)):
+            words[r.randrange(len(words))] = f"x{r.randint(0, 60)}"
+        if i % 5 == 0:
+            words += [f"y{i}", f"z{i % 2}"]
+        texts.append(" ".join(words))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for num in (85, 92):
+        own = [sets(t, 3) for t in texts]
+        label = list(range(len(texts)))
+        for _ in range(len(texts)):
+            for i in range(len(texts)):
+                for j in range(i):
+                    if 100 * len(own[i] & own[j]) >= num * len(own[i] | own[j]):
+                        label[i] = label[j] = min(label[i], label[j])
+        assert 1 < len(set(label)) < len(texts)
+        got = jaccard_join.link_documents(docs, n=3, num=num, den=100, chunks=3)
+        assert {x.doc_id: x.component_id for x in got.collect()} == dict(enumerate(label))
+
+
 def test_bands_never_lose_a_link():
     import numpy as np
 

@@ -89,9 +89,9 @@ def test_binomial_and_cutoffs():
 
 
 def test_quality(spark):
-    good, bad = "plain words make sense here and there because %d is a number of some kind and the rest goes on %d %d ", "&&& *** %d ### "
+    good = "plain words make sense here and there because %d is a number of some kind and the rest goes on %d %d "
     rows = [(i, (good % (i, i + 1, i * 7)) * 1 + " ".join(f"w{i}x{j}" for j in range(60)), "en") for i in range(3000)]
-    rows += [(10_000 + i, " ".join((bad % (i * j)) for j in range(40)), "en") for i in range(40)]
+    rows += [(10_000 + i, " ".join(f"&&&{i}w{j} *** ###{j}w{i}" for j in range(40)), "en") for i in range(40)]
     rows += [(20_000, None, "en"), (20_001, "", None), (20_002, "short", "xx"), (None, good * 9, "en"), (20_003, " ".join(f"u{j}" for j in range(60)), "xx")]
     docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, lang string, kept int").drop("kept")
     labels = spark.createDataFrame([(i, 1) for i in range(3000)] + [(10_000 + i, 0) for i in range(20)] + [(None, 1), (5, None)], "doc_id long, quality int")
