@@ -23,28 +23,40 @@ _MIXED = -1
 def suffix_array(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Order of all suffixes, and the common prefix of each with the one before it, by doubling. No two sentinels may be equal."""
     n = len(text)
-    rank = np.unique(text, return_inverse=True)[1].astype(np.int64)
-    ranks, step = [rank], 1
-    order = np.argsort(rank, kind="stable")
-    while n and rank.max() < n - 1 and step < n:
-        ahead = np.zeros(n, np.int64)
-        ahead[:-step] = rank[step:] + 1
-        key = rank * (n + 1) + ahead
-        order = np.argsort(key, kind="stable")
+    base = int(text.max(initial=0)) + 2
+    width = max(w for w in (1, 2, 3, 4) if w == 1 or base**w < 1 << 62)  # symbols that fit into the first key
+    key = np.zeros(n, np.int64)
+    for i in range(width):
+        key *= base
+        key[: max(0, n - i)] += text[i:] + 1
+    ranks, step = [], width
+    while True:
+        order = np.argsort(key)
         sorted_ = key[order]
         rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(np.concatenate(([0], sorted_[1:] != sorted_[:-1])))
+        rank[order] = np.cumsum(np.concatenate(([0], sorted_[1:] != sorted_[:-1]))) if n else 0
         ranks.append(rank)
+        if not n or rank[order[-1]] == n - 1 or step >= n:
+            break
+        key = rank * (n + 1)
+        key[: n - step] += rank[step:] + 1
         step *= 2
     common = np.zeros(n, np.int64)
     if n > 1:
         x, y = order[:-1].copy(), order[1:].copy()
+
+        def advance(values: np.ndarray, by: int, among: np.ndarray) -> np.ndarray:
+            at = among[(x[among] < n) & (y[among] < n)]
+            at = at[values[x[at]] == values[y[at]]]
+            x[at] += by
+            y[at] += by
+            return at
+
+        every = np.arange(n - 1)
         for j in range(len(ranks) - 1, -1, -1):
-            inside = (x < n) & (y < n)
-            same = np.zeros(n - 1, bool)
-            same[inside] = ranks[j][x[inside]] == ranks[j][y[inside]]
-            x[same] += 1 << j
-            y[same] += 1 << j
+            advance(ranks[j], width << j, every)
+        for _ in range(width - 1):
+            every = advance(text, 1, every)
         common[1:] = x - order[:-1]
     return order, common
 
