@@ -92,7 +92,7 @@ def targets(sizes: DataFrame, *, weights: tuple[float, ...] = WEIGHTS, share: fl
     return out.select("source", "source_size", "n_docs", F.least(F.col("_cap"), F.coalesce(F.col("_at") * F.col("_w"), F.col("_cap"))).alias("target"))
 
 
-def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0, seed: int = 1, bucket_rows: int = 20_000, fan_in: int = 1_000) -> DataFrame:
+def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0, seed: int = 1, bucket_rows: int = 2_000, fan_in: int = 1_000) -> DataFrame:
     """doc_id, text_hash, source, size, source_size, target, copies (0 to ceil(most)), taken; one row for each input row.
 
     size: words between white space (null or empty text: 0, never copied). A source's taken words differ from its target by
