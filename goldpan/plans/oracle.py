@@ -226,7 +226,7 @@ SELECT slug, count(*) AS n, CAST(sum(w::INT + e::INT - same::INT) AS BIGINT) AS
     "identifiers": f"""WITH v AS (SELECT p_partkey, '4' || lpad(CAST(p_partkey * 7919 % 1000000000 AS VARCHAR), 9, '0') AS vat FROM part)
 SELECT p_partkey, 'P' || p_partkey || 'A' AS identifier, CASE WHEN {_luhn('vat')} THEN vat END AS vat, CASE WHEN p_partkey % 2 = 0 THEN lpad(CAST(p_partkey % 10000 AS VARCHAR), 4, '0') END AS postal FROM v""",
     "entity_priorities": """WITH c AS (SELECT c_custkey, c_acctbal, (1 + (c_custkey % 2 = 0)::INT + (c_custkey % 3 = 0)::INT) / 3 AS d, ((c_custkey % 5 = 0)::INT + (c_custkey % 2 = 0)::INT + (c_custkey % 3 = 0)::INT + 1) / 4 AS score FROM customer)
-SELECT c_custkey, round(d, 6) AS completeness, round((d + c_acctbal / 10000) / 2, 6) AS priority, score, CASE WHEN d >= 0.8 THEN 'excellent' WHEN d >= 0.6 THEN 'good' WHEN d >= 0.4 THEN 'fair' ELSE 'poor' END AS band FROM c""",
+SELECT c_custkey, round(d, 6) AS completeness, round((d + c_acctbal / 10000) / 2, 8) AS priority, score, CASE WHEN d >= 0.8 THEN 'excellent' WHEN d >= 0.6 THEN 'good' WHEN d >= 0.4 THEN 'fair' ELSE 'poor' END AS band FROM c""",
     "party_confidence": """WITH c AS (SELECT c_custkey, least(1, greatest(0.05, greatest(0.5, CASE WHEN c_custkey % 4 <> 0 THEN least(1, 0.25 + 0.2 * (c_custkey % 4)) ELSE 0 END, CASE WHEN c_acctbal / 2000 > 1 THEN least(1, c_acctbal / 2000 / 5) ELSE c_acctbal / 2000 END))) AS x FROM customer)
 SELECT c_custkey, round(x, 6) AS confidence, CASE WHEN x >= 0.75 THEN 'high' WHEN x >= 0.5 THEN 'medium' ELSE 'low' END AS band FROM c""",
     "resolved_intent": """WITH g AS (SELECT user_id % 30 AS k, round(avg(value), 4) AS score, count(*) AS signal_count FROM events GROUP BY 1)

@@ -603,7 +603,7 @@ def entity_priorities(spark, d):
     c = read(spark, d, "customer").withColumns({"a": F.when(k % 2 == 0, "x"), "b": F.when(k % 3 == 0, "y"), "w": F.when(k % 5 == 0, "https://x.org").otherwise("nope")})
     done, priority = C.entity_priority([F.col("c_name"), F.col("a"), F.col("b")], F.col("c_acctbal") / 10000)
     score = C.optimisation_score(T.website_is_valid("w"), F.col("a"), F.col("b"), F.lit(True))
-    return c.select("c_custkey", F.round(done, 6).alias("completeness"), F.round(priority, 6).alias("priority"), score.alias("score"), T.quality_band(done).alias("band"))
+    return c.select("c_custkey", F.round(done, 6).alias("completeness"), F.round(priority, 8).alias("priority"), score.alias("score"), T.quality_band(done).alias("band"))
 
 
 def party_confidence(spark, d):
