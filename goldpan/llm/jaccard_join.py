@@ -2,10 +2,10 @@
 
 A document is its set of shingles. Two sets of sizes a <= b with similarity t or more have a >= t * b, so with size bands
 that grow by 1 / t they are in one band or in neighbouring ones, and differ in at most k = a * (1 - t) / t shingles. For each
-band the domain of shingles is cut, by hash, into groups of ``PARTS`` partitions. There are enough groups that one of them
+band the domain of shingles is cut, by hash, into groups of a few partitions. There are enough groups that one of them
 holds at most ``SLACK`` differing shingles; all but ``SLACK`` of its partitions then agree. So each set signs every choice of
-``PARTS - SLACK`` partitions of each group, and similar sets share a signature. Shared signatures are only candidates: links are
-decided on whole sets.
+all but ``SLACK`` partitions of each group, and similar sets share a signature. Shared signatures are only candidates: links
+are decided on whole sets.
 """
 
 from __future__ import annotations
@@ -22,10 +22,7 @@ from .common import id_text, materialize, text_bytes
 from .components import components
 from .rolling import SPACED, U, Words, fixed_windows, grams, laid_out, mix, prefix, slices, spans
 
-PARTS, SLACK = 4, 1
-CHOICES = tuple(combinations(range(PARTS), PARTS - SLACK))
-#: Sets that share a signature and are compared pair by pair; larger groups are split by further signatures first.
-PAIRED, SPLITS = 32, 3
+SLACK = 1
 _SETS = "ord long, text_hash long, n long, s1 long, s2 long, prints array<long>, shingles array<long>"
 
 
@@ -33,14 +30,17 @@ class Bands:
     """Size bands for a similarity of num / den: their borders, and the groups of each band's instance."""
 
     def __init__(self, num: int, den: int, most: int):
+        #: Partitions of a group: with fewer differences a partition holds more shingles, and fewer signatures will do.
+        self.parts = 3 if 100 * num >= 88 * den else 4
+        self.choices = tuple(combinations(range(self.parts), self.parts - SLACK))
         self.low, self.diff, self.groups, self.spare = [1], [], [], []
         while True:
             low = self.low[-1]
             high = low * den // num
             k = high * (den - num) // num  # differing shingles of a pair whose smaller set is in this band
             need = k // (SLACK + 1) + 1
-            per_choice = low * (PARTS - SLACK) / PARTS / need
-            spare = 1 + int(np.ceil(1.5 * need * len(CHOICES) * np.exp(-per_choice)))
+            per_choice = low * (self.parts - SLACK) / self.parts / need
+            spare = 1 + int(np.ceil(1.5 * need * len(self.choices) * np.exp(-per_choice)))
             self.diff.append(k)
             self.spare.append(spare)
             self.groups.append(need + spare)
@@ -52,7 +52,7 @@ class Bands:
 
 def signatures(shingles: np.ndarray, sizes: np.ndarray, bands: Bands, seed: int) -> tuple[np.ndarray, np.ndarray]:
     """(48-bit signature, set) of sets laid end to end, each in its own band's instance and in the one below."""
-    out, owners = [], []
+    out, owners, parts = [], [], bands.parts
     band = np.searchsorted(bands.low, sizes, "right") - 1
     of = np.repeat(np.arange(len(sizes)), sizes)
     place, value = mix(shingles, seed + 1), mix(shingles, seed + 2)
@@ -60,7 +60,7 @@ def signatures(shingles: np.ndarray, sizes: np.ndarray, bands: Bands, seed: int)
         at = band - below
         on = (sizes > 0) & (at >= 0)
         on &= bands.diff[np.maximum(at, 0)] > 0  # no difference allowed: only equal sets, which are found by their hash
-        cells = np.where(on, bands.groups[np.maximum(at, 0)] * PARTS, 0)
+        cells = np.where(on, bands.groups[np.maximum(at, 0)] * parts, 0)
         first = np.cumsum(cells) - cells
         mine = on[of]
         own = of[mine]
@@ -68,16 +68,16 @@ def signatures(shingles: np.ndarray, sizes: np.ndarray, bands: Bands, seed: int)
         sums, counts = np.zeros(int(cells.sum()), U), np.zeros(int(cells.sum()), np.int64)
         np.add.at(sums, cell, value[mine])
         np.add.at(counts, cell, 1)
-        set_of = np.repeat(np.arange(len(sizes)), cells // PARTS)
-        group = np.arange(len(set_of)) - (first // PARTS)[set_of]
+        set_of = np.repeat(np.arange(len(sizes)), cells // parts)
+        group = np.arange(len(set_of)) - (first // parts)[set_of]
         key = mix(group.astype(U) + (at[set_of].astype(U) << U(32)), seed + 3)
-        sums, counts = sums.reshape(-1, PARTS), counts.reshape(-1, PARTS)
-        held = np.stack([counts[:, c].sum(axis=1) for c in map(list, CHOICES)], axis=1)
+        sums, counts = sums.reshape(-1, parts), counts.reshape(-1, parts)
+        held = np.stack([counts[:, c].sum(axis=1) for c in map(list, bands.choices)], axis=1)
         # A group that a set leaves empty in some choice says little. With so many spare groups that one is always left
         # whose choices all hold shingles, the empty choices needn't be signed.
         poor = np.bincount(set_of, weights=(held == 0).any(axis=1), minlength=len(sizes))
         use = (held > 0) | (poor > bands.spare[np.maximum(at, 0)])[set_of][:, None]
-        for i, choice in enumerate(CHOICES):
+        for i, choice in enumerate(bands.choices):
             signed = key + U(i + 1)
             for j in choice:
                 signed = mix(signed ^ sums[:, j])
@@ -123,7 +123,7 @@ def _largest(texts: pa.Array) -> int:
 
 
 def shingle_sets(texts: DataFrame, *, n: int, num: int, den: int, chunks: int) -> DataFrame:
-    """One row for each row of ``texts`` (doc_id, text): ord, text_hash, n, s1, s2 and, if another set shares any of its signatures, those and the shingles."""
+    """One row for each row of ``texts`` (doc_id, text): ord, text_hash, n, s1, s2 and, for the first of a set in its chunk and if other sets share any of its signatures, those and the shingles."""
     dealt = sp.chunked(texts, chunks)
 
     def each(cols: dict):
@@ -147,6 +147,11 @@ def shingle_sets(texts: DataFrame, *, n: int, num: int, den: int, chunks: int) -
             parts.append((begin, shingles, sizes, signed, owner, s1, s2))
             prints.append(signed)
             ids.append(s1[owner])
+        # Of rows with one set in this chunk the first by id speaks for all.
+        ord_, two = sp.numbers(cols["ord"]), [np.concatenate([p[i] for p in parts]) for i in (5, 6)]
+        by = np.lexsort((ord_, two[1], two[0]))
+        speaks = np.ones(len(by), bool)
+        speaks[by[1:]] = (two[0][by[1:]] != two[0][by[:-1]]) | (two[1][by[1:]] != two[1][by[:-1]])
         prints, ids = np.concatenate(prints), np.concatenate(ids)
         order = np.argsort(prints, kind="stable")
         known, first = np.unique(prints[order], return_index=True)
@@ -155,7 +160,7 @@ def shingle_sets(texts: DataFrame, *, n: int, num: int, den: int, chunks: int) -
             shared |= np.minimum.reduceat(ids[order], first) != np.maximum.reduceat(ids[order], first)
         known, out = known[shared], []
         for begin, shingles, sizes, signed, owner, s1, s2 in parts:
-            on = sp.contains(known, signed)
+            on = sp.contains(known, signed) & speaks[begin + owner]
             owner, signed = owner[on], signed[on]
             order = np.argsort(owner, kind="stable")
             counts = np.bincount(owner, minlength=len(sizes))
@@ -171,63 +176,55 @@ def shingle_sets(texts: DataFrame, *, n: int, num: int, den: int, chunks: int) -
     return materialize(dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(keep, _SETS), "shingle-sets")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs (a, b) of set ids that are similar enough, decided on whole sets. One side is a key of its own, so AQE can split the other."""
-    a = sets.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("shingles").alias("xa"))
-    b = sets.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("shingles").alias("xb"))
-    sized = pairs.join(a.select("a", "na"), "a").join(b.select("b", "nb"), "b").filter(den * F.least("na", "nb") >= num * F.greatest("na", "nb")).select("a", "b")
-    both = F.size(F.array_intersect("xa", "xb"))
-    return sized.join(b, "b").join(a, "a").filter(den * both >= num * (F.col("na") + F.col("nb") - both)).select("a", "b")
-
-
-def _signed_again(sets: DataFrame, num: int, den: int, seed: int) -> DataFrame:
-    """rep and further signatures of the same kind, by other hashes."""
-
-    def sign(batches):
-        for batch in batches:
-            shingles = batch.column("shingles")
-            sizes = np.diff(shingles.offsets.to_numpy()).astype(np.int64)
-            values = shingles.flatten().to_numpy(zero_copy_only=False).view(U)
-            signed, owner = signatures(values, sizes, Bands(num, den, int(sizes.max(initial=2))), seed)
-            yield pa.RecordBatch.from_arrays([batch.column("rep").take(pa.array(owner)), pa.array(signed.astype(np.int64))], names=["rep", "more"])
-
-    return sets.select("rep", "shingles").mapInArrow(sign, "rep long, more long")
-
-
 def similar_sets(rows: DataFrame, *, num: int, den: int) -> DataFrame:
     """rep, component for each distinct set with a link to another; ``rows`` as of ``shingle_sets``.
 
-    First each set is compared with the first set of each of its signatures; that joins whole groups of near copies without
-    pairing them out. Then only signatures whose sets are still in several components are looked at: sets of
-    different components are compared pair by pair in groups up to ``PAIRED``; larger groups are split by further
-    signatures, which similar sets share too, ``SPLITS`` times at most, before their pairs are compared as well.
+    Each set is compared with the first set (the hub) of each of its signatures, and what it adds to the hub and lacks of it
+    is kept. Two sets that share a signature share its hub, so all other links are between sets of one hub. Sets that both
+    link to the hub are in one component already; a pair still to be found has a set c that doesn't. For any set b
+    that links to c, c holds one of b's first q additions, if b has as many, as it lacks fewer than q of b's shingles; else
+    one of the first p of b's additions and lacks is among c's, as these overlap by more than half. So few pairs meet
+    in an equi-join on (hub, shingle), and they are decided on their differences. No pairs of a group are listed.
     """
+    # The table of sets is narrow: signatures and shingles stay where they are and are read when they are needed.
     marked = rows.filter(F.size("prints") > 0)
-    sets = materialize(
-        marked.groupBy("s1", "s2", "n").agg(F.min("ord").alias("rep")).join(
-            marked.select("s1", "s2", F.col("ord").alias("rep"), "prints", "shingles").dropDuplicates(["s1", "s2", "rep"]), ["s1", "s2", "rep"]), "distinct-sets",
-    )
-    keyed = materialize(sets.select("rep", F.explode("prints").alias("key")), "signed-sets")
-    first = keyed.groupBy("key").agg(F.min("rep").alias("a"), F.count("*").alias("c")).filter("c > 1")
-    tried = materialize(keyed.join(first.select("key", "a"), "key").filter("rep > a").select("a", F.col("rep").alias("b")).distinct(), "first-pairs")
-    links = materialize(_verified(tried, sets, num, den), "first-links")
-    for split in range(SPLITS + 1):
-        found = materialize(components(links), "set-components")
-        labelled = keyed.join(found.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-        mixed = labelled.groupBy("key").agg(F.count("*").alias("c"), F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("key", "c")
-        keyed = materialize(labelled.join(mixed, "key"), "mixed-groups")
-        small = keyed if split == SPLITS else keyed.filter(F.col("c") <= PAIRED)
-        left, right = (small.select("key", F.col("rep").alias(r), F.col("component").alias(f"c{r}")) for r in "ab")
-        pairs = left.join(right, "key").filter("a < b and ca <> cb").select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
-        new = materialize(_verified(pairs, sets, num, den), "more-links")
-        links = links.unionByName(new)
-        keyed = keyed.filter(F.col("c") > PAIRED).select("rep", "key")
-        if split == SPLITS or keyed.isEmpty():
-            break
-        wide = keyed.select("rep").distinct().join(sets.select("rep", "shingles"), "rep")
-        again = _signed_again(wide, num, den, 100 * (split + 1))
-        keyed = materialize(keyed.join(again, "rep").select("rep", F.xxhash64("key", "more").alias("key")), "split-groups")
-    return components(links).select(F.col("node").alias("rep"), "component")
+    ids = marked.groupBy("s1", "s2", "n").agg(F.min(F.struct("ord", "text_hash")).alias("first"))
+    chosen = materialize(ids.select(F.col("first.ord").alias("rep"), "first.text_hash", "s1", "n"), "distinct-sets")
+    own = lambda column: marked.select(F.col("ord").alias("rep"), "text_hash", "s1", "n", column).join(chosen, ["rep", "text_hash", "s1", "n"], "left_semi").select("rep", "n", column)
+    keyed, sets = own("prints").select("rep", F.explode("prints").alias("key")), own("shingles")
+    first = keyed.groupBy("key").agg(F.min("rep").alias("hub"), F.count("*").alias("c")).filter("c > 1").select("key", "hub")
+    tried = materialize(keyed.join(first, "key").filter("rep > hub").select("hub", "rep").distinct(), "hub-pairs")
+
+    hubs = sets.select(F.col("rep").alias("hub"), F.col("n").alias("hub_n"), F.col("shingles").alias("hub_shingles"))
+    compared = tried.join(sets, "rep").join(hubs, "hub")
+    compared = compared.select("hub", "rep", "n", "hub_n", F.array_except("shingles", "hub_shingles").alias("adds"), F.array_except("hub_shingles", "shingles").alias("lacks"))
+    linked = den * (F.col("n") - F.size("adds")) >= num * (F.col("hub_n") + F.size("adds"))
+    compared = materialize(compared.withColumn("linked", linked), "hub-differences")
+    links = compared.filter("linked").select(F.col("hub").alias("a"), F.col("rep").alias("b"))
+    found = materialize(components(links), "set-components")
+
+    labels = found.select(F.col("node").alias("rep"), "component")
+    labelled = compared.join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    differs, size = F.concat("adds", "lacks"), F.size("adds") + F.size("lacks")
+    share = (den - num) / (den + num)  # sets of sizes n and m link if they differ in share * (n + m) shingles at most
+    q = (F.col("n") - F.ceil(num * F.col("n") / F.lit(den)) + 1).cast("int")
+    p = size - F.floor((size - share * F.greatest(F.lit(0), F.col("n") - F.col("hub_n"))) / 2 - 1e-9).cast("int")
+    far = F.size("adds") >= q
+    prefix = F.when(far, F.slice("adds", 1, q)).otherwise(F.slice(differs, 1, p))
+    b = labelled.select("hub", F.col("rep").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"), size.alias("sb"), far.alias("far"), F.posexplode(prefix).alias("i", "x"))
+    c = labelled.filter("not linked").select("hub", F.col("rep").alias("c"), F.col("component").alias("cc"), F.col("n").alias("nc"), size.alias("sc"), F.explode(differs).alias("x"))
+    room = share * (F.col("nb") + F.col("nc")) + 1e-9
+    # The shingle at place i of b is the first that both differ in: no more than those behind it can be shared.
+    enough = F.col("far") | (F.col("sc") <= F.col("sb") - 2 * F.col("i") + room)
+    met = b.join(c, ["hub", "x"]).filter(F.expr("b <> c and cb <> cc") & enough & (F.abs(F.col("sb") - F.col("sc")) <= room))
+    met = materialize(met.select("hub", F.least("b", "c").alias("b"), F.greatest("b", "c").alias("c")).distinct(), "met-pairs")
+    side = lambda k: compared.select("hub", F.col("rep").alias(k), F.col("n").alias(f"n{k}"), F.col("adds").alias(f"a{k}"), F.col("lacks").alias(f"l{k}"))
+    both = F.size(F.array_intersect("ab", "ac")) + F.size(F.array_intersect("lb", "lc"))
+    apart = F.size("ab") + F.size("lb") + F.size("ac") + F.size("lc") - 2 * both
+    new = materialize(met.join(side("b"), ["hub", "b"]).join(side("c"), ["hub", "c"]).filter((den + num) * apart <= (den - num) * (F.col("nb") + F.col("nc"))).select(F.col("b").alias("a"), F.col("c").alias("b")).distinct(), "more-links")
+    if not new.isEmpty():
+        found = components(links.unionByName(new))
+    return found.select(F.col("node").alias("rep"), "component")
 
 
 def link_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n: int = 5, num: int = 80, den: int = 100, chunks: int | None = None) -> DataFrame:
