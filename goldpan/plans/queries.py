@@ -13,6 +13,7 @@ from goldpan.functions import text as T
 from goldpan.operators import contacts, dedup, enrich, geo, intent, lead, linkage, mapping, party, privacy, quality, stats, survivorship
 from goldpan.plans import refine as plan
 from goldpan.plans.tables import PRIORITIES, organisations, read
+from goldpan.scratch import written
 from goldpan.streaming import intent as streams
 
 NOW = "2024-02-01 00:00:00"
@@ -357,7 +358,8 @@ def supplier_clusters(spark, d):
 
 
 def _refined(spark, d):
-    return survivorship.refine(organisations(spark, d), PRIORITIES).withColumn("pos", F.col("organization_slug"))
+    """Written once, as the party tables read it many times."""
+    return written(survivorship.refine(organisations(spark, d), PRIORITIES), "refined").withColumn("pos", F.col("organization_slug"))
 
 
 def party_parties(spark, d):

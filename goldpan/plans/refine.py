@@ -12,6 +12,7 @@ from goldpan.operators import privacy, quality, survivorship
 from goldpan.operators.dedup import union_sources
 from goldpan.operators.enrich import Registry
 from goldpan.operators.mapping import canonical
+from goldpan.scratch import written
 
 
 @dataclass(frozen=True)
@@ -54,7 +55,8 @@ def run(sources: list[DataFrame], profile: Profile = Profile(), *, intent: DataF
     rows = ingest(sources)
     if profile.redact:
         rows, _ = privacy.redact(rows, list(profile.redact), "pos")
-    refined = survivorship.refine(rows, profile.priorities, intent=intent, country=profile.country, region=profile.region)
+    # Written once: validation, expectations, report and result all read it.
+    refined = written(survivorship.refine(rows, profile.priorities, intent=intent, country=profile.country, region=profile.region), "refined")
     checks = {"organization_name": F.col("organization_name").isNotNull(), "data_quality_score": F.col("data_quality_score").between(0, 1)}
     valid, invalid, critical = quality.split_valid(refined, checks)
     expectations = quality.run_suite(valid, quality.refined_suite(profile.email_share, profile.phone_share, profile.website_share, profile.country))
