@@ -25,7 +25,7 @@ from .rolling import BYTE_SYMBOL, U, laid_out, mix, prefix, slices, spans
 from .shared_prints import contains
 
 #: Distinct pieces that a worker remembers, at about 30 bytes each; beyond that it starts afresh.
-CACHE_PIECES = 3_000_000
+CACHE_PIECES = 1_000_000
 _BLOCK = 64
 
 
@@ -143,7 +143,7 @@ class Encoder:
         if not self.cut:
             return [np.concatenate((x, end)).tobytes() for x in self._encode(texts.to_pylist())]
         out: list[bytes] = []
-        for begin, stop in slices(texts, 4 << 20):
+        for begin, stop in slices(texts, 2 << 20):
             data, offsets = laid_out(texts, begin, stop)
             cut = np.zeros(len(data), bool)
             cut[:-1] = (data[:-1] == 32) & _SOLID[data[1:]]
@@ -214,7 +214,7 @@ def write_records(docs: DataFrame, path: str, *, tokenizer_path: str, end_id: in
         out = index = None
         name = f"part-{shard:08d}"
         for batch in batches:
-            for begin, end in slices(batch.column("text"), 4 << 20):
+            for begin, end in slices(batch.column("text"), 2 << 20):
                 part = batch.slice(begin, end - begin)
                 if out is None:
                     system, root = fs.FileSystem.from_uri(path)
