@@ -280,6 +280,40 @@ def test_scores_tell_target_from_rest(spark):
     assert max(x.score for x in held if x.doc_id % 2) < min(x.score for x in held if not x.doc_id % 2)
 
 
+def test_scores_know_every_word(spark):
+    """More words than any fixed table would hold: texts that differ in rare words only score apart, as brute force has it."""
+    import random
+
+    r = random.Random(4)
+    texts = [" ".join(f"w{r.randrange(3000)}" for _ in range(150)) for _ in range(60)] + ["w1 w2 seen twice here", "w1 w2 seen twice here", "w1 w2 never seen elsewhere", "", "w1 w2"]
+    docs = spark.createDataFrame(list(enumerate(texts)) + [(None, "w1 w2")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(65)], "doc_id long, quality int")
+    data = [(i, t.split()) for i, t in (*enumerate(texts), (None, "w1 w2"))]
+    expected = {}
+    vocabulary = len({w for _, ws in data for w in ws}) + 2
+    for name, use in (("t", lambda i: i is not None and i % 3 == 0), ("b", lambda i: True)):
+        grams, ones, after, kinds = Counter(), Counter(), Counter(), Counter()
+        for i, ws in data:
+            if use(i):
+                grams.update(zip([None, *ws], ws))
+                ones.update(ws)
+        for (h, _), v in grams.items():
+            after[h] += v
+            kinds[h] += 1
+        total = sum(ones.values())
+        for i, ws in data:
+            base = [(ones[w] + 1) / (total + vocabulary) for w in ws]
+            p = [(grams[h, w] + kinds[h] * b) / (after[h] + kinds[h]) if kinds[h] else b for h, w, b in zip([None, *ws], ws, base)]
+            expected[name, i] = -sum(map(math.log2, p)) / len(ws) if ws else None
+    for chunks in (1, 5):
+        got = {x.doc_id: x for x in lm_scoring.score(docs, labels, chunks=chunks).collect()}
+        assert len(got) == len(data)
+        for i, ws in data:
+            assert got[i].target_bits == (pytest.approx(expected["t", i], rel=1e-9) if ws else None)
+            assert got[i].background_bits == (pytest.approx(expected["b", i], rel=1e-9) if ws else None)
+    assert got[60].score != got[62].score
+
+
 def test_digests_of_queries(spark, sf_dir):
     from goldpan.llm import queries
 
