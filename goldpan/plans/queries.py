@@ -310,12 +310,15 @@ def linkage_clusters(spark, d):
 
 
 def fellegi_sunter(spark, d):
-    """Weights from fixed u"""
-    rows = linkage.with_link_columns(_linkable(spark, d))
-    pairs = linkage.candidate_pairs(rows, [F.col("link_slug"), F.when(F.col("id") % 5 == 0, F.col("link_email"))])
+    """Weights from fixed u; rows alike in all fields are compared once, as the least id of them, and counted as the pairs they stand for"""
+    rows = linkage.with_link_columns(_linkable(spark, d)).groupBy("link_slug", *linkage.LEVELS).agg(F.min("id").alias("id"), F.count("*").alias("rows"))
+    alike = rows.filter("rows > 1 and coalesce(link_slug, link_email) is not null").select(F.col("id").alias("l"), F.col("id").alias("r"))
+    pairs = linkage.candidate_pairs(rows, [F.col("link_slug"), F.col("link_email")]).unionByName(alike)
     u = {"link_name": [0.001, 0.002, 0.01, 0.987], "link_email": [0.01, 0.99], "link_phone": [0.01, 0.02, 0.97], "link_province": [0.2, 0.8], "link_website": [0.05, 0.95]}
     out = linkage.match_probabilities(linkage.comparison_vectors(rows, pairs), u)
-    return out.groupBy("gamma_link_name", "gamma_link_email", "gamma_link_phone").agg(F.count("*").alias("n"), F.round(F.max("match_weight"), 5).alias("match_weight"))
+    side = lambda s: rows.select(F.col("id").alias(s), F.col("rows").alias(f"rows_{s}"))
+    out = out.join(side("l"), "l").join(side("r"), "r").withColumn("n", F.when(F.col("l") == F.col("r"), F.expr("rows_l * (rows_l - 1) div 2")).otherwise(F.col("rows_l") * F.col("rows_r")))
+    return out.groupBy("gamma_link_name", "gamma_link_email", "gamma_link_phone").agg(F.sum("n").alias("n"), F.round(F.max("match_weight"), 5).alias("match_weight"))
 
 
 def review_queue(spark, d):
@@ -639,7 +642,7 @@ def order_checksum(spark, d):
 def target_signals(spark, d):
     """I03"""
     found = read(spark, d, "events").select(F.concat(F.lit("user-"), "user_id").alias("target_key"), "event_id")
-    targets = read(spark, d, "customer").filter("c_custkey < 150").select(F.concat(F.lit("User "), "c_custkey").alias("identifier"), F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lit("USER-"), "c_custkey")).alias("slug"))
+    targets = read(spark, d, "customer").select(F.concat(F.lit("User "), "c_custkey").alias("identifier"), F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lit("USER-"), "c_custkey")).alias("slug"))
     return intent.match_targets(found, targets).groupBy("target_slug").agg(F.count("*").alias("n"))
 
 

@@ -10,6 +10,7 @@ from goldpan.functions.table import register as register_tables
 from goldpan.operators import contacts, dedup, enrich, geo, intent, lead, linkage, mapping, party, privacy, quality, stats, survivorship
 from goldpan.operators.components import connected_components
 from goldpan.plans import refine
+from goldpan.plans.queries import _linkable
 from goldpan.sources import readers, sinks
 from goldpan.streaming import intent as streams
 
@@ -304,3 +305,26 @@ def test_plans_have_no_cartesian_product(spark, sf_dir):
 
     for name in ("entity_survivorship", "rule_linkage", "near_suppliers", "fuzzy_parts", "intent_digest"):
         assert "CartesianProduct" not in QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_fellegi_sunter_query_takes_every_shared_email(spark, tmp_path):
+    """All pairs with one slug or one e-mail, row by row, against the query; ids 66,154 apart are alike in all fields."""
+    from goldpan.plans.queries import QUERIES
+
+    ids = [*range(1, 130), *range(66155, 66200)]
+    spark.createDataFrame([(i,) for i in ids], "c_custkey long").write.parquet(f"{tmp_path}/customer.parquet")
+    rows = linkage.with_link_columns(_linkable(spark, str(tmp_path)))
+    ordered = sorted(ids, key=lambda i: (i % 66154, i))  # the least id of rows alike in all fields says which side they are on
+    pairs = spark.createDataFrame([(a, b) for a, b in itertools.combinations(ordered, 2) if a % 97 == b % 97 or a % 31 == b % 31], "l long, r long")
+    want = linkage.comparison_vectors(rows, pairs).groupBy("gamma_link_name", "gamma_link_email", "gamma_link_phone").count()
+    got = QUERIES["fellegi_sunter"](spark, str(tmp_path)).drop("match_weight")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_target_signals_match_every_customer(spark, tmp_path):
+    from goldpan.plans.queries import QUERIES
+
+    spark.createDataFrame([(i,) for i in range(1, 401)], "c_custkey long").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame([(i, 1 + i % 400) for i in range(800)], "event_id long, user_id long").write.parquet(f"{tmp_path}/events.parquet")
+    got = {r.target_slug.lower(): r.n for r in QUERIES["target_signals"](spark, str(tmp_path)).collect()}
+    assert got == {f"user-{i}": 2 for i in range(1, 401)}
