@@ -177,7 +177,9 @@ def shingle_sets(texts: DataFrame, *, n: int, num: int, den: int, chunks: int) -
 
 
 def similar_sets(rows: DataFrame, *, num: int, den: int) -> DataFrame:
-    """rep, component for each distinct set with a link to another; ``rows`` as of ``shingle_sets``.
+    """s1, s2 and first (ord and text_hash of the first row of its component) for each distinct set with a link to another; ``rows`` as of ``shingle_sets``.
+
+    Sets are numbered in the order of their first rows, as one ord may stand for several texts.
 
     Each set is compared with the first set (the hub) of each of its signatures, and what it adds to the hub and lacks of it
     is kept. Two sets that share a signature share its hub, so all other links are between sets of one hub. Sets that both
@@ -189,8 +191,9 @@ def similar_sets(rows: DataFrame, *, num: int, den: int) -> DataFrame:
     # The table of sets is narrow: signatures and shingles stay where they are and are read when they are needed.
     marked = rows.filter(F.size("prints") > 0)
     ids = marked.groupBy("s1", "s2", "n").agg(F.min(F.struct("ord", "text_hash")).alias("first"))
-    chosen = materialize(ids.select(F.col("first.ord").alias("rep"), "first.text_hash", "s1", "n"), "distinct-sets")
-    own = lambda column: marked.select(F.col("ord").alias("rep"), "text_hash", "s1", "n", column).join(chosen, ["rep", "text_hash", "s1", "n"], "left_semi").select("rep", "n", column)
+    at = ["ord", "text_hash", "s1", "s2"]
+    chosen = materialize(ids.select("first.ord", "first.text_hash", "s1", "s2").orderBy(*at).withColumn("rep", F.monotonically_increasing_id()), "distinct-sets")
+    own = lambda column: marked.select(*at, "n", column).join(chosen, at).select("rep", "n", column)
     keyed, sets = own("prints").select("rep", F.explode("prints").alias("key")), own("shingles")
     first = keyed.groupBy("key").agg(F.min("rep").alias("hub"), F.count("*").alias("c")).filter("c > 1").select("key", "hub")
     tried = materialize(keyed.join(first, "key").filter("rep > hub").select("hub", "rep").distinct(), "hub-pairs")
@@ -223,8 +226,20 @@ def similar_sets(rows: DataFrame, *, num: int, den: int) -> DataFrame:
     apart = F.size("ab") + F.size("lb") + F.size("ac") + F.size("lc") - 2 * both
     new = materialize(met.join(side("b"), ["hub", "b"]).join(side("c"), ["hub", "c"]).filter((den + num) * apart <= (den - num) * (F.col("nb") + F.col("nc"))).select(F.col("b").alias("a"), F.col("c").alias("b")).distinct(), "more-links")
     if not new.isEmpty():
-        found = components(links.unionByName(new))
-    return found.select(F.col("node").alias("rep"), "component")
+        found = materialize(components(links.unionByName(new)), "set-components")
+    of = found.join(chosen, F.col("node") == F.col("rep")).select("component", "s1", "s2", F.struct("ord", "text_hash").alias("row"))
+    return of.join(of.groupBy("component").agg(F.min("row").alias("first")), "component").select("s1", "s2", "first")
+
+
+def _linked_rows(docs: DataFrame, id_col: str, text_col: str, n: int, num: int, den: int, chunks: int | None) -> DataFrame:
+    """ord, text_hash, n and first: ord and text_hash of the first row that links reach, itself included."""
+    texts = id_text(docs, id_col, text_col)
+    rows = shingle_sets(texts, n=n, num=num, den=den, chunks=chunks or sp.chunk_count(text_bytes(texts)))
+    linked = materialize(similar_sets(rows, num=num, den=den), "linked-sets")
+    row = F.struct("ord", "text_hash")
+    classes = rows.filter("n > 0").groupBy("s1", "s2").agg(F.min(row).alias("own")).join(linked, ["s1", "s2"], "left").select("s1", "s2", F.coalesce("first", "own").alias("first"))
+    base = rows.select("ord", "text_hash", "n", F.when(F.col("n") > 0, F.col("s1")).alias("s1"), F.col("s2"))
+    return base.join(classes, ["s1", "s2"], "left").select("ord", "text_hash", "n", F.coalesce("first", row).alias("first"))
 
 
 def link_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n: int = 5, num: int = 80, den: int = 100, chunks: int | None = None) -> DataFrame:
@@ -237,17 +252,13 @@ def link_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
 
     Equal sets are one set from the start. ``chunks``: tasks that the corpus is dealt to, by its size if not given.
     """
-    texts = id_text(docs, id_col, text_col)
-    rows = shingle_sets(texts, n=n, num=num, den=den, chunks=chunks or sp.chunk_count(text_bytes(texts)))
-    linked = materialize(similar_sets(rows, num=num, den=den), "linked-sets")
-    classes = rows.filter("n > 0").groupBy("s1", "s2").agg(F.min("ord").alias("rep")).join(linked, "rep", "left").select("s1", "s2", F.coalesce("component", "rep").alias("component"))
-    base = rows.select("ord", "text_hash", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("s1")).alias("s1"), F.col("s2"))
     real = lambda c: F.when(F.col(c) != (1 << 63) - 1, F.col(c))
-    return base.join(classes, ["s1", "s2"], "left").withColumn("component", F.coalesce("component", "ord")).select(real("ord").alias("doc_id"), "text_hash", "n_shingles", real("component").alias("component_id"))
+    rows = _linked_rows(docs, id_col, text_col, n, num, den, chunks)
+    return rows.select(real("ord").alias("doc_id"), "text_hash", F.col("n").alias("n_shingles"), real("first.ord").alias("component_id"))
 
 
-def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The row of ``docs`` with the smallest id of each component, with its columns; of rows equal in id and text one stays."""
-    kept = link_documents(docs, id_col=id_col, text_col=text_col, **options).filter(F.col("component_id").eqNullSafe(F.col("doc_id"))).select(F.col("doc_id").alias("k_id"), F.col("text_hash").alias("k_hash")).distinct()
+def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n: int = 5, num: int = 80, den: int = 100, chunks: int | None = None) -> DataFrame:
+    """The row of ``docs`` with the smallest id of each component, with its columns; of rows equal in id and text one stays, of other texts of that id the one whose hash is smallest."""
+    kept = _linked_rows(docs, id_col, text_col, n, num, den, chunks).filter((F.col("first.ord") == F.col("ord")) & (F.col("first.text_hash") == F.col("text_hash"))).select(F.col("ord").alias("k_ord"), F.col("text_hash").alias("k_hash")).distinct()
     keyed = docs.withColumn("_id", F.col(f"`{id_col}`").cast("long")).withColumn("_hash", F.xxhash64(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))))
-    return keyed.join(kept, keyed["_id"].eqNullSafe(F.col("k_id")) & (keyed["_hash"] == F.col("k_hash")), "left_semi").dropDuplicates(["_id", "_hash"]).select(docs.columns)
+    return keyed.join(kept, (F.coalesce("_id", F.lit((1 << 63) - 1)) == F.col("k_ord")) & (keyed["_hash"] == F.col("k_hash")), "left_semi").dropDuplicates(["_id", "_hash"]).select(docs.columns)

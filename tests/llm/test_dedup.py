@@ -168,6 +168,20 @@ def test_one_of_each_group_stays(spark):
     assert ids.count(5) == 1 and 6 in ids and 7 not in ids and 8 not in ids and 5000 in ids
 
 
+def test_rows_with_one_id_are_documents_of_their_own(spark):
+    """Null ids and an id with several texts: links of one text say nothing of the others, and near copies among them are found."""
+    text = lambda name, *changed: " ".join("changed" if i in changed else f"{name}{i}" for i in range(80))
+    data = [(5, text("a")), (None, text("a", 79)), (None, text("b")), (None, text("c")), (None, text("c", 79)), (7, text("d")), (7, text("a", 0)), (7, text("e")), (7, text("e", 79)), (None, ""), (9, "")]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    name = {spark.createDataFrame([(t,)], "text string").selectExpr("xxhash64(text)").first()[0]: t for _, t in data}
+    for chunks in (1, 4):
+        got = {(r.doc_id, name[r.text_hash]): r.component_id for r in jaccard_join.link_documents(docs, n=5, num=80, den=100, chunks=chunks).collect()}
+        assert got == {(i, t): 5 if t in (text("a"), text("a", 79), text("a", 0)) else i for i, t in data}
+        kept = {(r.doc_id, r.text) for r in jaccard_join.keep_one(docs, n=5, num=80, den=100, chunks=chunks).collect()}
+        assert len(kept) == 7 and kept - {(None, text("c")), (None, text("c", 79)), (7, text("e")), (7, text("e", 79))} == {(5, text("a")), (None, text("b")), (7, text("d")), (None, ""), (9, "")}
+        assert sum(t[:1] == "c" for _, t in kept) == 1
+
+
 def test_components(spark):
     edges = spark.createDataFrame([(1, 2), (2, 3), (3, 4), (9, 8), (5, 5), (10, 9), (2, 1)] + [(100 + i, 101 + i) for i in range(20)], "a long, b long")
     got = {r.node: r.component for r in components(edges).collect()}
