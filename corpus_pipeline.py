@@ -46,7 +46,7 @@ STAGES = [
     ("token_records", token_records_stage),
 ]
 
-#: Certified cutoffs, random rounding and tokenizers are beyond SQL; tests hold run() against a brute-force version.
+#: Certified cutoffs, random rounding and tokenizers are beyond SQL; the stages' operators have tests of their own, run() has none yet.
 ORACLE_SQL = None
 
 
