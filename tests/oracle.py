@@ -3,6 +3,7 @@
 import os
 
 import duckdb
+import pandas as pd
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
@@ -21,7 +22,7 @@ def _plain(v):
         v = v.tolist()
     if isinstance(v, (list, tuple)):
         return tuple(map(_plain, v))
-    if v is None or v != v:
+    if v is None or v is pd.NA or v is pd.NaT or v != v:
         return None
     if isinstance(v, bool):
         return v
