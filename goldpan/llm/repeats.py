@@ -14,6 +14,7 @@ Symbols are bytes or words. Steps, each a Spark job over groups of bounded size:
 from __future__ import annotations
 
 from collections.abc import Callable
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +38,7 @@ class Runs:
     """Maximal runs of windows with one anchor, of sequences laid end to end."""
 
     def __init__(self, symbols: np.ndarray, lengths: np.ndarray, length: int, k: int):
-        self.sums, self.length = prefix(symbols), length
+        self.symbols, self.sums, self.length = symbols, prefix(symbols), length
         least = sliding_min(grams(self.sums, k), length - k + 1)
         at = np.flatnonzero(fixed_windows(lengths, length)[: len(least)])
         anchor = least[at]
@@ -51,7 +52,12 @@ class Runs:
         self.owner = np.repeat(np.arange(len(lengths)), lengths)[self.start] if len(at) else at
 
     def contents(self) -> np.ndarray:
-        return mix(spans(self.sums, self.start, self.stop) + (self.stop - self.start).astype(U))
+        """64-bit hash of each run. Long runs, which only repetitive texts have, are no matter for polynomials (see ``rolling``)."""
+        size = self.stop - self.start
+        out = mix(spans(self.sums, self.start, self.stop) + size.astype(U))
+        for i in np.flatnonzero(size > 4 * self.length).tolist():
+            out[i] = int.from_bytes(blake2b(self.symbols[self.start[i] : self.stop[i]], digest_size=8).digest(), "little")
+        return out
 
 
 def _table(kind: int, **cols) -> pa.Table:

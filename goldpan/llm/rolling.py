@@ -1,17 +1,25 @@
 """Rabin-Karp hashing and winnowing on numpy arrays, for use inside Spark tasks.
 
-A sequence is an array of 64-bit symbols. Hashes are polynomials modulo 2**64 with an odd base, so a prefix sum and
-the inverse powers of the base give the hash of every window at once.
+A sequence is an array of 64-bit symbols. Hashes of windows are polynomials modulo 2**64 with an odd base, so a prefix sum
+and the inverse powers of the base give the hash of every window at once. Modulo 2**64 such polynomials only serve for
+windows of up to some hundred symbols: two strings of 1,024 symbols (Thue and Morse's) clash whatever the base is. Words and
+long sequences, whose length the input decides, are therefore hashed by ``strings``, which is no polynomial.
 """
 
 from __future__ import annotations
 
+import ctypes
+from hashlib import blake2b
+
 import numpy as np
+import pyarrow as pa
 
 U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
 _powers: dict[str, np.ndarray] = {}
+#: Powers that a worker keeps (32 MB); those of longer sequences are computed for the one call.
+_KEPT_POWERS = 1 << 21
 _rng = np.random.Generator(np.random.PCG64(20240607))
 #: A random 64-bit symbol for each byte.
 BYTE_SYMBOL = _rng.integers(0, 2**64, size=256, dtype=U)
@@ -19,13 +27,26 @@ BYTE_SYMBOL = _rng.integers(0, 2**64, size=256, dtype=U)
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """BASE**i and BASE**-i for i < n."""
+    found = _powers
     if len(_powers.get("up", ())) < n:
         size = max(n, 1 << 16)
+        found = {}
         for key, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
             steps = np.full(size, base, U)
             steps[0] = 1
-            _powers[key] = np.cumprod(steps, dtype=U)
-    return _powers["up"][:n], _powers["down"][:n]
+            found[key] = np.cumprod(steps, dtype=U)
+        if size <= _KEPT_POWERS:
+            _powers.update(found)
+    return found["up"][:n], found["down"][:n]
+
+
+def tidy() -> None:
+    """Give freed memory back to the system: a worker serves many tasks, and Arrow and malloc keep what they once had."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library: nothing to trim
+        pass
 
 
 def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
@@ -39,6 +60,33 @@ def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
     return x
 
 
+#: Masks that keep the first n of eight bytes.
+_FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], U)
+#: Bytes beyond which a string is hashed by blake2b.
+_LONG = 64
+
+
+def strings(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hash of the bytes data[start:end] for each pair.
+
+    Up to seven bytes it is one-to-one. Up to 64 bytes eight at a time go through a mixing step each; beyond that the hash
+    is blake2b's.
+    """
+    size = end - start
+    padded = np.concatenate((data, np.zeros(8, np.uint8)))
+    eight = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))  # the eight bytes from each place on
+    out = mix((eight[start] & _FIRST[np.minimum(size, 8)]) ^ (np.minimum(size, 255).astype(U) << U(56)))
+    at = np.flatnonzero(size > 8)
+    for done in range(8, _LONG, 8):
+        at = at[size[at] > done]
+        if not len(at):
+            break
+        out[at] = mix(out[at] ^ (eight[start[at] + done] & _FIRST[np.minimum(size[at] - done, 8)]), done)
+    for i in np.flatnonzero(size > _LONG).tolist():
+        out[i] = int.from_bytes(blake2b(data[start[i] : end[i]], digest_size=8).digest(), "little")
+    return out
+
+
 def prefix(symbols: np.ndarray) -> np.ndarray:
     """out[i]: sum of the first i symbols, each times its power."""
     out = np.zeros(len(symbols) + 1, U)
@@ -110,8 +158,7 @@ class Words:
         """data: bytes of all texts, with at least one separator byte after each; offsets: start of each text, and the end."""
         data = ascii_lower(data) if lower else data
         self.start, self.end = _word_ranges(alphabet[data])
-        sums = prefix(BYTE_SYMBOL[data])
-        self.hash = mix(spans(sums, self.start, self.end) + (self.end - self.start).astype(U))
+        self.hash = strings(data, self.start, self.end)
         #: Number of words of each text.
         self.counts = np.diff(np.searchsorted(self.start, offsets))
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .common import lookup, materialize, scratch_path, text_bytes
-from .rolling import BYTE_SYMBOL, U, laid_out, mix, prefix, slices, spans
+from .rolling import U, laid_out, slices, strings
 from .shared_prints import contains
 
 #: Distinct pieces that a worker remembers, at about 30 bytes each; beyond that it starts afresh.
@@ -152,7 +152,7 @@ class Encoder:
             start = np.flatnonzero(cut)
             close = offsets[1:][np.searchsorted(offsets, start, "right") - 1] - 1
             ends = np.minimum(np.append(start[1:], len(data)), close)
-            hashes = mix(spans(prefix(BYTE_SYMBOL[data]), start, ends) + (ends - start).astype(U))
+            hashes = strings(data, start, ends)
             distinct, first, of = np.unique(hashes, return_index=True, return_inverse=True)
             if len(self.known) > CACHE_PIECES:
                 self._forget()
