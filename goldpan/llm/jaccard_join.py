@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import shared_prints as sp
-from .common import id_text, materialize, text_bytes
+from .common import id_text, materialize, release, text_bytes
 from .components import components
 from .rolling import SPACED, U, Words, fixed_windows, grams, laid_out, mix, prefix, slices, spans
 
@@ -183,10 +183,11 @@ def similar_sets(rows: DataFrame, *, num: int, den: int) -> DataFrame:
 
     Each set is compared with the first set (the hub) of each of its signatures, and what it adds to the hub and lacks of it
     is kept. Two sets that share a signature share its hub, so all other links are between sets of one hub. Sets that both
-    link to the hub are in one component already; a pair still to be found has a set c that doesn't. For any set b
-    that links to c, c holds one of b's first q additions, if b has as many, as it lacks fewer than q of b's shingles; else
-    one of the first p of b's additions and lacks is among c's, as these overlap by more than half. So few pairs meet
-    in an equi-join on (hub, shingle), and they are decided on their differences. No pairs of a group are listed.
+    link to the hub are in one component already; a pair still to be found has a set c that doesn't. Their differences
+    from the hub differ in few shingles themselves, so this is a similarity join again, of small sets: the differences of a
+    hub are put in one order, rare ones first, and a pair must share one of the first few of both, at places that leave
+    enough to be shared. What only one set of the hub has comes first and meets nothing: copies that were edited on
+    their own have so much of it that they aren't compared at all. No pairs of a group are listed.
     """
     # The table of sets is narrow: signatures and shingles stay where they are and are read when they are needed.
     marked = rows.filter(F.size("prints") > 0)
@@ -203,30 +204,41 @@ def similar_sets(rows: DataFrame, *, num: int, den: int) -> DataFrame:
     compared = compared.select("hub", "rep", "n", "hub_n", F.array_except("shingles", "hub_shingles").alias("adds"), F.array_except("hub_shingles", "shingles").alias("lacks"))
     linked = den * (F.col("n") - F.size("adds")) >= num * (F.col("hub_n") + F.size("adds"))
     compared = materialize(compared.withColumn("linked", linked), "hub-differences")
+    release(tried)
     links = compared.filter("linked").select(F.col("hub").alias("a"), F.col("rep").alias("b"))
     found = materialize(components(links), "set-components")
 
     labels = found.select(F.col("node").alias("rep"), "component")
-    labelled = compared.join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    differs, size = F.concat("adds", "lacks"), F.size("adds") + F.size("lacks")
     share = (den - num) / (den + num)  # sets of sizes n and m link if they differ in share * (n + m) shingles at most
-    q = (F.col("n") - F.ceil(num * F.col("n") / F.lit(den)) + 1).cast("int")
-    p = size - F.floor((size - share * F.greatest(F.lit(0), F.col("n") - F.col("hub_n"))) / 2 - 1e-9).cast("int")
-    far = F.size("adds") >= q
-    prefix = F.when(far, F.slice("adds", 1, q)).otherwise(F.slice(differs, 1, p))
-    b = labelled.select("hub", F.col("rep").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"), size.alias("sb"), far.alias("far"), F.posexplode(prefix).alias("i", "x"))
-    c = labelled.filter("not linked").select("hub", F.col("rep").alias("c"), F.col("component").alias("cc"), F.col("n").alias("nc"), size.alias("sc"), F.explode(differs).alias("x"))
-    room = share * (F.col("nb") + F.col("nc")) + 1e-9
-    # The shingle at place i of b is the first that both differ in: no more than those behind it can be shared.
-    enough = F.col("far") | (F.col("sc") <= F.col("sb") - 2 * F.col("i") + room)
-    met = b.join(c, ["hub", "x"]).filter(F.expr("b <> c and cb <> cc") & enough & (F.abs(F.col("sb") - F.col("sc")) <= room))
-    met = materialize(met.select("hub", F.least("b", "c").alias("b"), F.greatest("b", "c").alias("c")).distinct(), "met-pairs")
+    lone = compared.groupBy("hub").agg(F.count("*").alias("sets"), F.bool_and("linked").alias("all")).filter("sets > 1 and not all").select("hub")
+    size = F.size("adds") + F.size("lacks")
+    # A set that links to one of size n has num * n / den to den * n / num shingles, and a difference as large as its own but for reach.
+    reach = share * F.col("n") * (1 + den / num) + 1e-9
+    room = size - (size - share * F.greatest(F.lit(0), F.col("n") - F.col("hub_n"))) / 2 + 1e-9  # as an unlinked partner's difference isn't small
+    compared_ = compared.join(lone, "hub").withColumn("s", size).withColumn("first", F.floor(reach).cast("int") + 1)
+    compared_ = compared_.withColumn("first_b", F.when(F.col("linked"), F.least("first", F.floor(room).cast("int") + 1)).otherwise(F.col("first")))
+    each = compared_.select("hub", "rep", F.explode(F.concat("adds", "lacks")).alias("x"))
+    common = each.groupBy("hub", "x").agg(F.count("*").alias("c")).filter("c > 1")
+    placed = each.join(common, ["hub", "x"]).groupBy("hub", "rep").agg(F.sort_array(F.collect_list(F.struct("c", "x"))).alias("order"))
+    placed = placed.join(compared_.select("hub", "rep", "n", "s", "linked", "first", "first_b"), ["hub", "rep"]).withColumn("lone", F.col("s") - F.size("order"))
+    placed = placed.filter(F.col("lone") < F.col("first_b")).withColumn("order", F.expr("slice(order, 1, first_b - lone).x"))
+    placed = placed.join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    placed = materialize(placed.select("hub", "rep", "component", "n", "s", "linked", "lone", "order"), "hub-orders")
+    side = lambda k: placed.select("hub", "linked", *[F.col(c).alias(f"{c}{k}") for c in ("rep", "component", "n", "s", "lone")], F.posexplode("order").alias(f"i{k}", "x"))
+    b, c = side("b"), side("c").filter("not linked").drop("linked")
+    may = share * (F.col("nb") + F.col("nc")) + 1e-9
+    left = F.least(F.col("sb") - F.col("loneb") - F.col("ib"), F.col("sc") - F.col("lonec") - F.col("ic"))  # behind the first shingle that both have
+    enough = (2 * left >= F.col("sb") + F.col("sc") - may) & (F.abs(F.col("sb") - F.col("sc")) <= may)
+    met = b.join(c, ["hub", "x"]).filter(F.expr("repb <> repc and componentb <> componentc") & enough)
+    met = materialize(met.select("hub", F.least("repb", "repc").alias("b"), F.greatest("repb", "repc").alias("c")).distinct(), "met-pairs")
+    release(placed)
     side = lambda k: compared.select("hub", F.col("rep").alias(k), F.col("n").alias(f"n{k}"), F.col("adds").alias(f"a{k}"), F.col("lacks").alias(f"l{k}"))
     both = F.size(F.array_intersect("ab", "ac")) + F.size(F.array_intersect("lb", "lc"))
     apart = F.size("ab") + F.size("lb") + F.size("ac") + F.size("lc") - 2 * both
     new = materialize(met.join(side("b"), ["hub", "b"]).join(side("c"), ["hub", "c"]).filter((den + num) * apart <= (den - num) * (F.col("nb") + F.col("nc"))).select(F.col("b").alias("a"), F.col("c").alias("b")).distinct(), "more-links")
     if not new.isEmpty():
         found = materialize(components(links.unionByName(new)), "set-components")
+    release(compared)
     of = found.join(chosen, F.col("node") == F.col("rep")).select("component", "s1", "s2", F.struct("ord", "text_hash").alias("row"))
     return of.join(of.groupBy("component").agg(F.min("row").alias("first")), "component").select("s1", "s2", "first")
 
