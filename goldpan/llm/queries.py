@@ -48,8 +48,9 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = quality_rules.judge(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
-    return out.select("doc_id", *[F.col(f"_q.{c}") for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")], "base_failed", "kept")
+    out = quality_rules.judge(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"), carry=["doc_id"])
+    counts = [F.col(f"counts.{c}") for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
+    return out.select("row.doc_id", *counts, "base_failed", "kept", *[F.col(f"certified.cut_{r.name}") for r in quality_rules.RULES])
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -82,27 +82,89 @@ def test_binomial_and_cutoffs():
     exact = lambda x, n, p: sum(math.comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(x + 1))
     for x, n, p in ((0, 10, 0.1), (3, 50, 0.05), (20, 20, 0.3), (7, 400, 0.02)):
         assert quality_rules.binomial_cdf(x, n, p) == pytest.approx(exact(x, n, p))
-    grid = (1.0, 2.0, 3.0)
-    assert quality_rules.certified(np.array([900, 0, 0]), 1000, grid, 0.01, 0.05) == 2.0
-    assert quality_rules.certified(np.array([0, 0, 0]), 50, grid, 0.01, 0.05) is None  # too few to tell
-    assert quality_rules.certified(np.array([0, 0, 0]), 0, grid, 0.01, 0.05) is None
+    assert quality_rules.certified(np.array([0, 1, 900]), 1000, 0.01, 0.05) == 1
+    assert quality_rules.certified(np.array([0, 0, 0]), 50, 0.01, 0.05) == -1  # too few to tell
+    assert quality_rules.certified(np.array([0, 0, 0]), 0, 0.01, 0.05) == -1
+    assert quality_rules.certified(np.array([0, 0]), 1000, 0.01, 0.05) == 1
+
+
+def test_the_bound_on_false_rejections_holds():
+    """Of many holdouts drawn from one population, at most the allowed share certifies a step whose true rate is too high."""
+    r = np.random.Generator(np.random.PCG64(5))
+    true = np.array([0.001, 0.005, 0.015, 0.0201, 0.03, 0.2])  # of each step of a path, over all good documents
+    wrong = 0
+    for _ in range(4000):
+        draws = np.sort(r.random(400))
+        last = quality_rules.certified(np.searchsorted(draws, true), 400, 0.02, 0.05)
+        wrong += last >= 3
+    assert wrong / 4000 <= 0.05 + 3 * math.sqrt(0.05 * 0.95 / 4000)
+
+
+def test_paths():
+    n = len(quality_rules.RULES)
+    r = np.random.Generator(np.random.PCG64(6))
+    good, bad = r.integers(0, 9, (500, n)), r.integers(0, 9, (60, n))
+    bad[:, 0] += 30
+    steps = quality_rules.path(bad[:30], np.concatenate((good, bad[30:])))
+    floor = [len(x.grid) + 1 for x in quality_rules.RULES]
+    for rule, t in steps:  # cutoffs only fall, one rule at a time
+        assert 1 <= t < floor[rule]
+        floor[rule] = t
+    assert steps[0][0] == 0 and min(t for rule, t in steps if rule == 0) > 8
+    lenient = quality_rules.path(bad[:0], good)
+    assert lenient[0] == (0, 64) and len(lenient) == 64 * n
+
+
+def scores(text):
+    w = re.findall(r"[^\x20\x09-\x0D]+", text)
+    chars, lines = sum(map(len, w)), [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    tri = [tuple(w[i : i + 3]) for i in range(len(w) - 2)]
+    c = Counter(tri)
+    inside = {i + j for i, x in enumerate(tri) if c[x] > 1 for j in range(3)}
+    share = lambda a, b: a / b if b else 0.0
+    base = len(w) < 50 or 100 * len(inside) > 50 * len(w)
+    return base, {
+        "symbol_share": share(sum(text.count(s) for s in "#*$%&|<>"), chars), "upper_share": share(sum(map(text.count, "ABCDEFGHIJKLMNOPQRSTUVWXYZ")), chars),
+        "bang_share": share(text.count("!"), len(w)), "dup_line_share": share(len(lines) - len(set(lines)), len(lines)), "repeat_share": share(len(inside), len(w)), "word_length": share(chars, len(w)),
+    }
 
 
 def test_quality(spark):
     good = "plain words make sense here and there because %d is a number of some kind and the rest goes on %d %d "
-    rows = [(i, (good % (i, i + 1, i * 7)) * 1 + " ".join(f"w{i}x{j}" for j in range(60)), "en") for i in range(3000)]
+    rows = [(i, (good % (i, i + 1, i * 7)) * 1 + " ".join(f"w{i}x{j}" for j in range(60)), "en" if i % 5 else "fr") for i in range(1500)]
     rows += [(10_000 + i, " ".join(f"&&&{i}w{j} *** ###{j}w{i}" for j in range(40)), "en") for i in range(40)]
-    rows += [(20_000, None, "en"), (20_001, "", None), (20_002, "short", "xx"), (None, good * 9, "en"), (20_003, " ".join(f"u{j}" for j in range(60)), "xx")]
-    docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, lang string, kept int").drop("kept")
-    labels = spark.createDataFrame([(i, 1) for i in range(3000)] + [(10_000 + i, 0) for i in range(20)] + [(None, 1), (5, None)], "doc_id long, quality int")
-    verdict = {r.doc_id: r for r in quality_rules.judge(docs, labels, limit=0.03).collect()}
-    assert sum(verdict[i].kept for i in range(3000)) >= 2900
+    rows += [(11_000 + i, "\n".join([f"SAME LINE {i}!"] * 2) + " ".join(f"W{j}!{i}" for j in range(70)), ("fr", "xx", "yy")[i % 3]) for i in range(60)]
+    rows += [(20_000, None, "en"), (20_001, "", None), (20_002, "short", "xx"), (None, good * 9, "en"), (20_003, " ".join(f"u{j}" for j in range(60)), "xx"), (7, rows[7][1], "en")]
+    # Names that the operator uses itself, and one with a dot.
+    docs = spark.createDataFrame([(*r, "mine", 5, "q", "x.y") for r in rows], "doc_id long, text string, lang string, kept string, counts int, row string, `a.b` string")
+    labels = spark.createDataFrame([(i, 1) for i in range(1500) if i % 2 or i < 700] + [(10_000 + i, 0) for i in range(20)] + [(11_000 + i, i % 2) for i in range(30)] + [(None, 1), (5, None), (9, 0), (9, 1)], "doc_id long, quality int")
+    cuts = {r.stratum: r for r in quality_rules.cutoffs(quality_rules.scored(docs), labels).collect()}
+    # Every number of the table by brute force: the holdout, what its cutoffs reject, the bound.
+    found = {i: (lang, *scores(t or "")) for i, t, lang in rows if i is not None}
+    good_ids = [i for i in range(1500) if (i % 2 or i < 700) and i != 9] + list(range(11_001, 11_030, 2)) + [7]  # 5 has a null beside its 1
+    holdout = [(found[i][0], found[i][2]) for i in good_ids if not found[i][1]]
+    assert set(cuts) == {"en", "fr", "xx", "yy"} and [cuts[s].pooled for s in ("en", "fr", "xx", "yy")] == [False, False, True, True]
+    over = lambda cut, s: any(cut[f"cut_{n}"] is not None and v > cut[f"cut_{n}"] for n, v in s.items())
+    for own in ({"en"}, {"fr"}, {"xx", "yy"}):
+        cut = cuts[min(own)]
+        mine = [s for lang, s in holdout if lang in own]
+        assert cut.n_good == len(mine) and cut.n_rejected == sum(over(cut, s) for s in mine)
+        if len(own) == 1:
+            chance = sum(math.comb(len(mine), i) * 0.02**i * 0.98 ** (len(mine) - i) for i in range(cut.n_rejected + 1))
+            assert chance <= 0.05 / 2  # two tests: the pool is too small for one
+    assert cuts["en"].cut_symbol_share is not None and all(cuts["xx"][f"cut_{r.name}"] is None for r in quality_rules.RULES)
+    verdict = {}
+    for r in quality_rules.judge(docs, labels).collect():
+        verdict.setdefault(r.row.doc_id, r)
+        want = scores(r.row.text or "")
+        assert r.base_failed == want[0]
+        assert r.kept == (not want[0] and not (r.row.lang in cuts and over(cuts[r.row.lang], want[1])))
     assert not any(verdict[10_000 + i].kept for i in range(40)) and not verdict[10_001].base_failed
     assert [verdict[i].kept for i in (20_000, 20_001, 20_002, 20_003)] == [False, False, False, True]
-    kept = quality_rules.keep_good(docs, labels, limit=0.03)
-    assert kept.columns == docs.columns
+    kept = quality_rules.keep_good(docs, labels)
+    assert kept.columns == docs.columns and {r.kept for r in kept.collect()} == {"mine"}
     assert quality_rules.judge(docs.limit(0), labels).count() == 0
-    assert quality_rules.judge(docs, labels.limit(0)).filter("kept").count() > 3000
+    assert quality_rules.judge(docs, labels.limit(0)).filter("kept").count() > 1500
 
 
 def test_base_counts(spark):
@@ -119,7 +181,7 @@ def test_base_counts(spark):
         return len(w), sum(map(len, w)), sum(t.count(s) for s in "#*$%&|<>"), dup, len(inside)
 
     labels = spark.createDataFrame([], "doc_id long, quality int")
-    got = collected(quality_rules.judge(corpus(spark), labels).select("doc_id", "_q.*"), "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    got = collected(quality_rules.judge(corpus(spark), labels).select("row.doc_id", "counts.*"), "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     assert got == sorted(((i, *want(t)) for i, t in table(spark)), key=repr)
 
 
