@@ -137,5 +137,6 @@ def find_overlaps(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id",
 def drop_contaminated(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """Rows of ``docs`` that hold no window of any item, with their columns."""
     hit = find_overlaps(docs, items, id_col=id_col, text_col=text_col, **options).filter("n_hit > 0").select(F.col("doc_id").alias("h_id"), F.col("text_hash").alias("h_hash"))
-    same = F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("h_id")) & (F.xxhash64(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))) == F.col("h_hash"))
-    return docs.join(hit, same, "left_anti")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    keyed = docs.select(row.alias("row"), F.col(f"`{id_col}`").cast("long").alias("id"), F.xxhash64(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))).alias("hash"))
+    return keyed.join(hit, F.col("id").eqNullSafe(F.col("h_id")) & (F.col("hash") == F.col("h_hash")), "left_anti").select("row.*")

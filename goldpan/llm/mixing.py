@@ -19,7 +19,7 @@ from pyspark.sql.window import Window
 from .common import lookup, materialize
 
 WEIGHTS = (3.0, 1.0, 2.0)
-_SCHEMA = "doc_id long, text_hash long, source string, size long, source_size long, target double, whole int, p double, bucket long, done boolean"
+_SCHEMA = "r long, doc_id long, text_hash long, row_hash long, source string, size long, source_size long, target double, whole int, p double, bucket long, done boolean"
 _M = (1 << 64) - 1
 #: Stands for a null doc_id inside tasks, where a null would turn ids into floats.
 _NULL_ID = -(1 << 63)
@@ -63,7 +63,7 @@ def pivot(sizes: list[int], probs: list[float], keys: list[int], seed: int) -> l
 
 def _rounder(seed: int, level: int, fan_in: int):
     def round_bucket(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["doc_id", "text_hash"], kind="stable").reset_index(drop=True)
+        rows = rows.sort_values(["doc_id", "text_hash", "row_hash"], kind="stable").reset_index(drop=True)
         keys = (rows["doc_id"] ^ rows["text_hash"]).tolist()
         p = np.array(pivot(rows["size"].tolist(), rows["p"].tolist(), keys, seed + level))
         rows["p"], rows["done"], rows["bucket"] = p, (p <= 0.0) | (p >= 1.0), rows["bucket"] // fan_in
@@ -92,31 +92,25 @@ def targets(sizes: DataFrame, *, weights: tuple[float, ...] = WEIGHTS, share: fl
     return out.select("source", "source_size", "n_docs", F.least(F.col("_cap"), F.coalesce(F.col("_at") * F.col("_w"), F.col("_cap"))).alias("target"))
 
 
-def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0, seed: int = 1, bucket_rows: int = 2_000, fan_in: int = 1_000) -> DataFrame:
-    """doc_id, text_hash, source, size, source_size, target, copies (0 to ceil(most)), taken; one row for each input row.
+def _sizes(docs: DataFrame, id_col: str, text_col: str, source_col: str, carry: bool) -> DataFrame:
+    """A written table: r (a number of the row), doc_id, text_hash, row_hash, source, size and, with ``carry``, row (struct of all columns)."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    named = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{source_col}`").cast("string").alias("source"), text.alias("t"), F.xxhash64(row).alias("row_hash"), *[row.alias("row")] * carry)
+    size = F.regexp_count("t", F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("size")
+    return materialize(named.select(F.monotonically_increasing_id().alias("r"), "doc_id", F.xxhash64("t").alias("text_hash"), "row_hash", "source", size, *["row"] * carry), "mix-sizes")
 
-    size: words between white space (null or empty text: 0, never copied). A source's taken words differ from its target by
-    less than one document. Reruns give the same rows; repeated rows are rounded on their own. Null sources are one
-    source, null ids are allowed; no rows give no rows.
 
-    Buckets hold about ``bucket_rows`` documents of one source by hash, so a hot source is spread. A bucket leaves at most
-    one open document; ``fan_in`` leftovers meet in a task of the next level, until each source has one bucket.
-    """
-    sizes = materialize(
-        docs.select(
-            F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{source_col}`").cast("string").alias("source"),
-            F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("_t"),
-        ).select("doc_id", F.xxhash64("_t").alias("text_hash"), "source", F.regexp_count("_t", F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("size")),
-        "mix-sizes",
-    )
+def _plan(sizes: DataFrame, weights: tuple[float, ...], share: float, most: float, seed: int, bucket_rows: int, fan_in: int) -> DataFrame:
+    """The columns of ``mix``, and r, for each row of ``sizes``."""
     aims = materialize(targets(sizes, weights=weights, share=share, most=most), "mix-targets")
     t = aims.select(F.col("source").alias("t_source"), "source_size", "n_docs", "target")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     rows = sizes.join(lookup(t), F.col("source").eqNullSafe(F.col("t_source"))).withColumn("rate", rate)
     rows = rows.select(
-        F.coalesce("doc_id", F.lit(_NULL_ID)).alias("doc_id"), "text_hash", "source", "size", "source_size", "target", F.floor("rate").cast("int").alias("whole"),
+        "r", F.coalesce("doc_id", F.lit(_NULL_ID)).alias("doc_id"), "text_hash", "row_hash", "source", "size", "source_size", "target", F.floor("rate").cast("int").alias("whole"),
         F.when(F.col("size") > 0, F.col("rate") - F.floor("rate")).otherwise(0.0).alias("p"),
-        F.pmod(F.xxhash64("doc_id", "text_hash"), F.ceil(F.col("n_docs") / bucket_rows)).cast("long").alias("bucket"), F.lit(False).alias("done"),
+        F.pmod(F.xxhash64("doc_id", "text_hash", "row_hash"), F.ceil(F.col("n_docs") / bucket_rows)).cast("long").alias("bucket"), F.lit(False).alias("done"),
     )
     most_rows = aims.agg(F.max("n_docs")).first()[0] or 0
     buckets, level = math.ceil(most_rows / bucket_rows), 0
@@ -134,15 +128,24 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sour
     last = F.pmod(F.xxhash64("doc_id", "text_hash", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30) < F.col("p")  # one open document a source at most
     copies = F.when(F.col("size") > 0, F.col("whole") + F.when(F.col("p") >= 1.0, 1).when(F.col("p") <= 0.0, 0).otherwise(last.cast("int"))).otherwise(0)
     real = F.when(F.col("doc_id") != _NULL_ID, F.col("doc_id")).alias("doc_id")
-    return out.select(real, "text_hash", "source", "size", "source_size", "target", copies.alias("copies")).withColumn("taken", F.col("size") * F.col("copies"))
-
-
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: rows of ``docs``, each as often as it is taken, with its columns."""
-    id_, text = options.get("id_col", "doc_id"), options.get("text_col", "text")
-    plan = mix(docs, **options).groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_list("copies"), asc=False).alias("_copies")).select(F.col("doc_id").alias("_m_id"), F.col("text_hash").alias("_m_hash"), "_copies")
-    keyed = docs.withColumn("_id", F.col(f"`{id_}`").cast("long")).withColumn("_hash", F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit(""))))
-    joined = keyed.join(plan, keyed["_id"].eqNullSafe(F.col("_m_id")) & (keyed["_hash"] == F.col("_m_hash")))
-    # Only rows that repeat an id and a text share a key here; each takes its own entry of the list.
-    nth = F.row_number().over(Window.partitionBy("_id", "_hash").orderBy(F.lit(1)))
-    return joined.withColumn("_n", F.get("_copies", nth - 1)).filter("_n > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n")))).select(docs.columns)
+    return out.select("r", real, "text_hash", "source", "size", "source_size", "target", copies.alias("copies")).withColumn("taken", F.col("size") * F.col("copies"))
+
+
+def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0, seed: int = 1, bucket_rows: int = 2_000, fan_in: int = 1_000) -> DataFrame:
+    """doc_id, text_hash, source, size, source_size, target, copies (0 to ceil(most)), taken; one row for each input row.
+
+    size: words between white space (null or empty text: 0, never copied). A source's taken words differ from its target by
+    less than one document. Reruns give the same rows; repeated rows are rounded on their own. Null sources are one
+    source, null ids are allowed; no rows give no rows.
+
+    Buckets hold about ``bucket_rows`` documents of one source by hash, so a hot source is spread. A bucket leaves at most
+    one open document; ``fan_in`` leftovers meet in a task of the next level, until each source has one bucket.
+    """
+    return _plan(_sizes(docs, id_col, text_col, source_col, False), weights, share, most, seed, bucket_rows, fan_in).drop("r")
+
+
+def mixed_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0, seed: int = 1, bucket_rows: int = 2_000, fan_in: int = 1_000) -> DataFrame:
+    """The mix itself: rows of ``docs``, each as often as ``mix`` takes it, with its columns, whatever their names. Rows are numbered once they are written, so each has its own copies, rows alike included."""
+    rows = _sizes(docs, id_col, text_col, source_col, True)
+    plan = _plan(rows.drop("row"), weights, share, most, seed, bucket_rows, fan_in).filter("copies > 0").select("r", "copies")
+    return rows.select("r", "row").join(plan, "r").select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
