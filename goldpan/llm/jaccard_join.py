@@ -272,5 +272,6 @@ def link_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
 def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n: int = 5, num: int = 80, den: int = 100, chunks: int | None = None) -> DataFrame:
     """The row of ``docs`` with the smallest id of each component, with its columns; of rows equal in id and text one stays, of other texts of that id the one whose hash is smallest."""
     kept = _linked_rows(docs, id_col, text_col, n, num, den, chunks).filter((F.col("first.ord") == F.col("ord")) & (F.col("first.text_hash") == F.col("text_hash"))).select(F.col("ord").alias("k_ord"), F.col("text_hash").alias("k_hash")).distinct()
-    keyed = docs.withColumn("_id", F.col(f"`{id_col}`").cast("long")).withColumn("_hash", F.xxhash64(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))))
-    return keyed.join(kept, (F.coalesce("_id", F.lit((1 << 63) - 1)) == F.col("k_ord")) & (keyed["_hash"] == F.col("k_hash")), "left_semi").dropDuplicates(["_id", "_hash"]).select(docs.columns)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    keyed = docs.select(row.alias("row"), F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit((1 << 63) - 1)).alias("id"), F.xxhash64(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))).alias("hash"))
+    return keyed.join(kept, (F.col("id") == F.col("k_ord")) & (F.col("hash") == F.col("k_hash")), "left_semi").dropDuplicates(["id", "hash"]).select("row.*")
