@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .rolling import U
+from .rolling import U, tidy
 
 BITS = 48
 BLOBS = "bucket int, chunk int, prints binary"
@@ -34,6 +34,8 @@ def chunked(docs: DataFrame, chunks: int) -> DataFrame:
 
 
 def columns(table: pa.Table) -> dict[str, pa.Array]:
+    """Each column in one piece. Groups begin with it, so what the last one left goes back first."""
+    tidy()
     batches = table.combine_chunks()
     return {n: (c.combine_chunks() if isinstance(c := batches.column(n), pa.ChunkedArray) else c) for n in table.column_names}
 

@@ -21,11 +21,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .common import lookup, materialize, scratch_path, text_bytes
-from .rolling import U, laid_out, slices, strings
+from .rolling import U, laid_out, slices, strings, tidy
 from .shared_prints import contains
 
 #: Distinct pieces that a worker remembers, at about 30 bytes each; beyond that it starts afresh.
-CACHE_PIECES = 1_000_000
+CACHE_PIECES = 400_000
 _BLOCK = 64
 
 
@@ -143,7 +143,7 @@ class Encoder:
         if not self.cut:
             return [np.concatenate((x, end)).tobytes() for x in self._encode(texts.to_pylist())]
         out: list[bytes] = []
-        for begin, stop in slices(texts, 2 << 20):
+        for begin, stop in slices(texts, 1 << 19):
             data, offsets = laid_out(texts, begin, stop)
             cut = np.zeros(len(data), bool)
             cut[:-1] = (data[:-1] == 32) & _SOLID[data[1:]]
@@ -192,7 +192,7 @@ def _frames(ids: list[bytes], doc_ids: list[int | None], width: int) -> tuple[by
 
 
 def write_records(docs: DataFrame, path: str, *, tokenizer_path: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", shard_bytes: int = 16 << 20) -> DataFrame:
-    """Write the ids of all texts in ascending doc_id order (null first; repeated ids by text) and return the manifest.
+    """Write the ids of all texts in ascending doc_id order (null first; repeated ids by the hash of their texts) and return the manifest.
 
     Manifest: shard, n_docs, n_tokens, width (bytes an id), one row for each shard that has documents. Null and empty texts
     give a record with the end id only. No rows: no files and an empty manifest.
@@ -214,7 +214,7 @@ def write_records(docs: DataFrame, path: str, *, tokenizer_path: str, end_id: in
         out = index = None
         name = f"part-{shard:08d}"
         for batch in batches:
-            for begin, end in slices(batch.column("text"), 2 << 20):
+            for begin, end in slices(batch.column("text"), 1 << 19):
                 part = batch.slice(begin, end - begin)
                 if out is None:
                     system, root = fs.FileSystem.from_uri(path)
@@ -232,9 +232,11 @@ def write_records(docs: DataFrame, path: str, *, tokenizer_path: str, end_id: in
             index.close()
             for kind in (".bin", ".idx"):
                 system.move(own + kind, f"{root}/{name}{kind}")
+            tidy()
             yield pa.RecordBatch.from_pydict({"shard": [shard], "n_docs": [docs_], "n_tokens": [tokens], "width": [width]}, pa.schema([("shard", pa.int32()), ("n_docs", pa.int64()), ("n_tokens", pa.int64()), ("width", pa.int32())]))
 
-    ordered = texts.repartitionByRange(shards, "doc_id").sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+    order = [F.col("doc_id").asc_nulls_first(), F.col("hash").asc()]  # not by id alone: many rows may have none, or the same
+    ordered = texts.withColumn("hash", F.xxhash64("text")).repartitionByRange(shards, *order).sortWithinPartitions(*order).drop("hash")
     return materialize(ordered.mapInArrow(write, "shard int, n_docs long, n_tokens long, width int"), "token-manifest")
 
 
