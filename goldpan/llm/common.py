@@ -16,6 +16,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors see; an own one only where the session names none (tests)."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir names no folder that the executors share")
         found = "file://" + tempfile.mkdtemp(prefix="goldpan-")
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
@@ -36,6 +38,21 @@ def _shuffles_end_with_the_job(spark: SparkSession):
         spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
 
 
+#: Lists that tables written from now on are added to.
+_watching: list[list[DataFrame]] = []
+
+
+@contextmanager
+def scratch_tables():
+    """A list of the scratch tables that are written inside, so that they can be released when nothing reads them any more."""
+    found: list[DataFrame] = []
+    _watching.append(found)
+    try:
+        yield found
+    finally:
+        _watching.remove(found)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it again: cuts lineage, survives lost executors."""
     spark = df.sparkSession
@@ -44,14 +61,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.goldpan_path = path
+    for found in _watching:
+        found.append(out)
     return out
 
 
-def release(df: DataFrame) -> None:
-    """Delete a table that ``materialize`` wrote and that no later plan reads."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(df.goldpan_path)
+def release(df: DataFrame, spark: SparkSession | None = None) -> None:
+    """Delete a table that ``materialize`` wrote and that no later plan reads; one that is gone already is no error."""
+    spark = spark or df.sparkSession
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df.goldpan_path)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
