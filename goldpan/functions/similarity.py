@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import lru_cache
+
 import pandas as pd
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -55,16 +58,16 @@ def _token_set(a: str | None, b: str | None) -> float:
     return max(indel(left, right), indel(both, left) if both else 0.0, indel(both, right) if both else 0.0)
 
 
+#: Pairs of strings that a worker remembers for each similarity.
+_REMEMBERED = 1 << 16
+
+
 def _pairwise(f):
     @F.pandas_udf(DoubleType())
-    def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
-        known: dict[tuple, float] = {}
-        out = []
-        for pair in zip(a, b):
-            if pair not in known:
-                known[pair] = f(*pair)
-            out.append(known[pair])
-        return pd.Series(out, dtype=float)
+    def similarity(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        known = lru_cache(_REMEMBERED)(f)
+        for a, b in batches:
+            yield pd.Series([1.0 if x and x == y else known(x, y) for x, y in zip(a, b)], dtype=float)
 
     return similarity
 

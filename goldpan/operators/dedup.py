@@ -22,6 +22,21 @@ def with_position(df: DataFrame, column: str = "pos") -> DataFrame:
     return marked.join(F.broadcast(offsets), "_p").withColumn(column, F.col("_o") + F.col("_m").bitwiseAND((1 << 33) - 1)).drop("_m", "_p", "_o")
 
 
+def numbered(df: DataFrame, order: str, column: str, rows: int = 1_000_000) -> DataFrame:
+    """Adds 1, 2, 3 and so on in the order of a numeric column: rows are dealt to ranges of about ``rows`` and counted there; each range starts behind those before it.
+
+    ``df`` is read twice and should be a written table.
+    """
+    parts = min(1024, -(-df.count() // rows))
+    edges = df.agg(F.percentile_approx(order, [i / parts for i in range(1, parts)], 10 * parts).alias("e")).first()["e"] if parts > 1 else []
+    part = F.size(F.filter(F.array(*map(F.lit, sorted(set(edges)))), lambda e: e < F.col(order))) if edges else F.lit(0)
+    marked = df.withColumn("_part", part)
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = marked.groupBy("_part").agg(F.count("*").alias("_c")).select("_part", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_o"))
+    inside = F.row_number().over(Window.partitionBy("_part").orderBy(order))
+    return marked.withColumn("_i", inside).join(F.broadcast(offsets), "_part").withColumn(column, F.col("_o") + F.col("_i")).drop("_part", "_i", "_o")
+
+
 def union_sources(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 

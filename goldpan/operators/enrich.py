@@ -160,9 +160,9 @@ def crawl_pages(targets: DataFrame, pages: DataFrame) -> DataFrame:
 
 
 def authority_hits(entities: DataFrame, sources: DataFrame, snapshots: DataFrame) -> DataFrame:
-    """slug, source, url for each configured source that has the entity; sources: source, cache_key (a small list of settings)."""
-    wanted = entities.select("slug").distinct().crossJoin(F.broadcast(sources.select("source", "cache_key")))
-    return wanted.join(snapshots.groupBy("cache_key", "slug").agg(F.min("url").alias("url")), ["cache_key", "slug"]).select("slug", "source", "url")
+    """slug, source, url for each configured source that has the entity; sources: source, cache_key."""
+    stored = snapshots.groupBy("cache_key", "slug").agg(F.min("url").alias("url")).join(entities.select("slug").distinct(), "slug", "left_semi")
+    return stored.join(sources.select("source", "cache_key"), "cache_key").select("slug", "source", "url")
 
 
 def acquire(targets: DataFrame, providers: dict[str, DataFrame], policies: DataFrame | None = None) -> DataFrame:

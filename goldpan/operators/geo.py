@@ -4,13 +4,10 @@ from __future__ import annotations
 
 import math
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from goldpan.functions.text import normalize_address, normalize_province
-from goldpan.operators.components import connected_components
 from goldpan.operators.dedup import keep_first
 from goldpan.scratch import written
 
@@ -76,23 +73,22 @@ def distance_matrix(df: DataFrame, *, id_: str = "id", lat: str = "latitude", lo
 def proximity_clusters(df: DataFrame, km: float = 50.0, *, id_: str = "id", lat: str = "latitude", lon: str = "longitude") -> DataFrame:
     """id, leader: the lowest id not taken yet takes all that are free within ``km``; -1 without coordinates.
 
-    A leader never reaches beyond a component of the "within km" graph, so components are worked on in parallel and only
-    the choice inside one is sequential. A component with very many points is the limit of this definition.
+    A point is a leader if no smaller leader is near it, and belongs to the smallest leader near it. Rounds of joins settle this: a
+    point without undecided smaller neighbours leads, and what is near a new leader doesn't. Each round is written to
+    the shared folder; their number is that of the longest chain of ever larger neighbours that hang on each other.
     """
     edges = written(pairs_within(df, km, id_=id_, lat=lat, lon=lon).select("l", "r"), "near-pairs")
-    parts = connected_components(edges, "l", "r").withColumnRenamed("component", "part")
-    both = edges.unionByName(edges.select(F.col("r").alias("l"), F.col("l").alias("r")))
-
-    def lead(rows: pd.DataFrame) -> pd.DataFrame:
-        near = rows.groupby("l")["r"].apply(np.array).to_dict()
-        leader: dict[int, int] = {}
-        for i in sorted(near):
-            if i not in leader:
-                leader[i] = i
-                for j in near[i]:
-                    leader.setdefault(int(j), i)
-        return pd.DataFrame({id_: list(leader), "leader": list(leader.values())})
-
-    found = both.join(parts, F.col("l") == F.col("node")).groupBy("part").applyInPandas(lead, f"{id_} long, leader long")
+    undecided = written(edges.select(F.col("l").alias("i")).unionByName(edges.select(F.col("r").alias("i"))).distinct(), "undecided")
+    leaders = None
+    while not undecided.isEmpty():
+        waiting = edges.join(undecided.select(F.col("i").alias("l")), "l", "left_semi").select(F.col("r").alias("i")).distinct()
+        new = written(undecided.join(waiting, "i", "left_anti"), "leaders")
+        taken = edges.join(new.select(F.col("i").alias("l")), "l", "left_semi").select(F.col("r").alias("i")).distinct()
+        undecided = written(undecided.join(new, "i", "left_anti").join(taken, "i", "left_anti"), "undecided")
+        leaders = new if leaders is None else leaders.unionByName(new)
     alone = F.when(F.col(lat).isNull() | F.col(lon).isNull(), F.lit(-1)).otherwise(F.col(id_))
-    return df.join(found, id_, "left").select(id_, F.coalesce("leader", alone).cast("long").alias("leader"))
+    if leaders is None:
+        return df.select(id_, alone.cast("long").alias("leader"))
+    of = edges.join(leaders.select(F.col("i").alias("l")), "l", "left_semi").groupBy("r").agg(F.min("l").alias("m"))
+    of = of.join(leaders.select(F.col("i").alias("r")), "r", "left_anti").select(F.col("r").alias("node"), "m")
+    return df.join(of, F.col(id_) == F.col("node"), "left").select(id_, F.coalesce("m", alone).cast("long").alias("leader"))

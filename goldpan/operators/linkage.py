@@ -12,6 +12,7 @@ from pyspark.sql.window import Window
 from goldpan.functions import text as T
 from goldpan.functions.similarity import partial_ratio, token_set_ratio, token_sort_ratio
 from goldpan.operators.components import connected_components
+from goldpan.operators.dedup import numbered
 from goldpan.scratch import written
 
 
@@ -36,6 +37,12 @@ def pairs_by(df: DataFrame, key: Column, id_: str = "id") -> DataFrame:
     return keyed.select(F.col(id_).alias("l"), "k").join(keyed.select(F.col(id_).alias("r"), "k"), "k").filter("l < r").select("l", "r")
 
 
+def star_pairs(df: DataFrame, key: Column, id_: str = "id") -> DataFrame:
+    """The smallest id of each non-null key with every other one: what clusters need, in as many rows as there are ids."""
+    keyed = df.select(F.col(id_).alias("r"), key.alias("k")).filter(F.col("k").isNotNull())
+    return keyed.join(keyed.groupBy("k").agg(F.min("r").alias("l")), "k").filter("l < r").select("l", "r")
+
+
 def candidate_pairs(df: DataFrame, keys: list[Column], id_: str = "id") -> DataFrame:
     """Distinct pairs that agree on any of the keys."""
     out = pairs_by(df, keys[0], id_)
@@ -88,12 +95,50 @@ def fuzzy_pairs(df: DataFrame, column: str, id_: str = "id", threshold: float =
     a = texts.select(F.col("s").alias("x"), F.explode(parts("s")).alias("k"))
     b = texts.select(F.col("s").alias("y"), F.explode(probes("s")).alias("k"))
     near = a.join(b, "k").filter("x <> y").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
-    near = near.filter(token_sort_ratio("x", "y") >= threshold)
+    # Substitutions count twice as insertions and deletions, so the edit distance is a bound that needs no Python.
+    near = near.filter(F.levenshtein("x", "y") <= (1 - threshold) * (F.length("x") + F.length("y")) + 1e-9).filter(token_sort_ratio("x", "y") >= threshold)
     similar = near.join(sorted_.select(F.col("id").alias("i"), F.col("s").alias("x")), "x").join(sorted_.select(F.col("id").alias("j"), F.col("s").alias("y")), "y")
     found = similar.select(F.least("i", "j").alias("l"), F.greatest("i", "j").alias("r"))
     return found.unionByName(pairs_by(sorted_, F.col("s"))).distinct()
 
 
+def partial_pairs(df: DataFrame, column: str, id_: str = "id", threshold: float = 0.92) -> DataFrame:
+    """Pairs l < r whose partial ratio is ``threshold`` or more.
+
+    The shorter string, of n characters, then differs from a window of the longer one by at most d = (1 - t) * 2n insertions
+    and deletions, so one of its d + 1 parts stands in the longer one as it is. Parts and substrings meet in an
+    equi-join of distinct strings; then pairs are compared, and equal strings are joined on their own.
+    """
+    texts_of = df.select(F.col(id_).alias("id"), F.col(column).alias("s")).filter(F.coalesce(F.length("s"), F.lit(0)) > 0)
+    texts = written(texts_of.select("s").distinct(), "partial-texts")
+    bound = lambda n: int(2 * (1 - threshold) * n + 1e-9)
+    sizes = [r["n"] for r in texts.select(F.length("s").alias("n")).distinct().collect()]  # lengths, not rows
+
+    @F.pandas_udf("array<struct<n: int, p: string>>")
+    def parts(values: pd.Series) -> pd.Series:
+        return pd.Series([[{"n": len(s), "p": p} for p in {p for _, p in _segments(s, bound(len(s)))}] for s in values])
+
+    @F.pandas_udf("array<struct<n: int, p: string>>")
+    def probes(values: pd.Series) -> pd.Series:
+        out = []
+        for s in values:
+            keys = set()
+            for n in sizes:
+                if n <= len(s):
+                    for size in {len(p) for _, p in _segments("x" * n, bound(n))}:
+                        keys |= {(n, s[i : i + size]) for i in range(len(s) - size + 1)}
+            out.append([{"n": n, "p": p} for n, p in keys])
+        return pd.Series(out)
+
+    a = texts.select(F.col("s").alias("x"), F.explode(parts("s")).alias("k"))
+    b = texts.select(F.col("s").alias("y"), F.explode(probes("s")).alias("k"))
+    near = a.join(b, "k").filter("x <> y").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+    near = near.filter(partial_ratio("x", "y") >= threshold)
+    similar = near.join(texts_of.select(F.col("id").alias("i"), F.col("s").alias("x")), "x").join(texts_of.select(F.col("id").alias("j"), F.col("s").alias("y")), "y")
+    found = similar.select(F.least("i", "j").alias("l"), F.greatest("i", "j").alias("r"))
+    return found.unionByName(pairs_by(texts_of, F.col("s"))).distinct()
+
+
 def rule_scores(df: DataFrame, pairs: DataFrame, id_: str = "id") -> DataFrame:
     """l, r, match_probability from names, e-mails, phones, provinces and websites of the pair."""
     columns = ("link_name", "link_email", "link_phone", "link_province", "link_website")
@@ -206,26 +251,21 @@ def as_status_history(c: Column) -> Column:
 def match_history(current: DataFrame, history: DataFrame) -> DataFrame:
     """pos, entity_id: each row takes the lowest history row that shares a key with it and that no earlier row took.
 
-    current: pos, keys (array); history: entity_id, keys. Rows and history that share keys form components; the choice is
-    sequential, but only inside one.
+    current: pos, keys (array); history: entity_id, keys. That choice is the one stable matching if rows prefer low ids and
+    history prefers early rows, so it is found by rounds of proposals (Gale and Shapley 1962): each row asks the lowest
+    entity that hasn't turned it down, and each entity keeps the earliest row. A round is two aggregations; edges that were turned
+    down go, and rounds are written to the shared folder.
     """
     rows = current.select("pos", F.explode(F.array_distinct("keys")).alias("k"))
     past = history.select("entity_id", F.explode(F.array_distinct("keys")).alias("k"))
     edges = written(rows.join(past, "k").select("pos", "entity_id").distinct(), "history-edges")
-    graph = edges.select((F.col("pos") * 2).alias("a"), (F.col("entity_id") * 2 + 1).alias("b"))
-    parts = connected_components(graph)
-
-    def choose(group: pd.DataFrame) -> pd.DataFrame:
-        taken: set = set()
-        out = []
-        for pos, own in group.sort_values(["pos", "entity_id"]).groupby("pos", sort=True):
-            free = [e for e in own["entity_id"] if e not in taken]
-            if free:
-                taken.add(free[0])
-                out.append((pos, free[0]))
-        return pd.DataFrame(out, columns=["pos", "entity_id"])
-
-    return edges.join(parts, F.col("pos") * 2 == F.col("node")).groupBy("component").applyInPandas(choose, "pos long, entity_id long")
+    while True:
+        asked = edges.groupBy("pos").agg(F.min("entity_id").alias("entity_id"))
+        held = asked.groupBy("entity_id").agg(F.min("pos").alias("held"))
+        lost = written(asked.join(held, "entity_id").filter("pos > held").select("pos", "entity_id"), "turned-down")
+        if lost.isEmpty():
+            return asked
+        edges = written(edges.join(lost, ["pos", "entity_id"], "left_anti"), "history-edges")
 
 
 def entity_registry(current: DataFrame, history: DataFrame, now: Column) -> DataFrame:
@@ -239,8 +279,8 @@ def entity_registry(current: DataFrame, history: DataFrame, now: Column) -> Data
     matched = match_history(current.select("pos", keys_now.alias("keys")), history.select("entity_id", keys_past.alias("keys")))
     past = history.select("entity_id", "first_seen", "name_variants", "status_history")
     joined = current.join(matched, "pos", "left").join(past, "entity_id", "left")
-    most = history.agg(F.coalesce(F.max("entity_id"), F.lit(0)).alias("_max"))
-    fresh = joined.filter("entity_id is null").withColumn("_n", F.row_number().over(Window.orderBy("pos"))).crossJoin(F.broadcast(most)).withColumn("entity_id", F.col("_max") + F.col("_n")).drop("_max", "_n")
+    most = history.agg(F.coalesce(F.max("entity_id"), F.lit(0)).alias("_max")).first()[0]
+    fresh = numbered(written(joined.filter("entity_id is null"), "fresh-entities"), "pos", "_n").withColumn("entity_id", F.lit(most) + F.col("_n")).drop("_n")
     all_ = joined.filter("entity_id is not null").unionByName(fresh.select(joined.columns))
     event = F.struct(F.col("status").alias("status"), F.date_format(now, "yyyy-MM-dd").alias("date"))
     old = F.coalesce("status_history", F.array().cast("array<struct<status:string,date:string>>"))

@@ -48,13 +48,13 @@ def header_key(c: Column) -> Column:
 def match_headers(headers: DataFrame, synonyms: DataFrame, *, sure: float = 0.7, likely: float = 0.5) -> DataFrame:
     """header, target, score, outcome (mapped, suggested or unmapped); the best target of each header.
 
-    headers: header; synonyms: target, synonym (a target is its own synonym). Synonyms are a small, counted catalogue and
-    are broadcast; equal keys score 1, and only the rest are compared letter by letter.
+    headers: header; synonyms: target, synonym (a target is its own synonym). Synonyms are a catalogue; it is
+    counted, and broadcast up to 10,000 rows; equal keys score 1, and only the rest are compared letter by letter.
     """
     keys = synonyms.select("target", header_key(F.col("synonym")).alias("s")).unionByName(synonyms.select("target", header_key(F.col("target")).alias("s"))).distinct()
     own = headers.select("header").distinct().withColumn("h", header_key(F.col("header")))
     equal = own.join(keys, F.col("h") == F.col("s")).groupBy("header").agg(F.min("target").alias("target")).withColumn("score", F.lit(1.0))
-    rest = own.join(equal.select("header"), "header", "left_anti").crossJoin(F.broadcast(keys))
+    rest = own.join(equal.select("header"), "header", "left_anti").crossJoin(F.broadcast(keys) if keys.count() <= 10_000 else keys)
     near = rest.withColumn("score", _ratio("h", "s")).groupBy("header").agg(F.max(F.struct("score", F.col("target"))).alias("m")).select("header", "m.target", "m.score")
     found = equal.unionByName(near)
     outcome = F.when(F.col("score") >= sure, "mapped").when(F.col("score") >= likely, "suggested").otherwise("unmapped")
@@ -79,7 +79,7 @@ def semantic_types(df: DataFrame, sample_rows: int = 100) -> DataFrame:
             F.lit(c).alias("column_name"), F.count(text[c]).alias("n"), share(c, r"^[^@\s]+@[^@\s]+\.[^@\s]+$").alias("email"),
             share(c, r"^(?![0-9]{4}-[0-9]{2}-[0-9]{2}$)\+?[0-9()\s-]{7,}$").alias("phone"), share(c, r"^(https?://|www\.)").alias("url"),
             F.avg(F.to_date(F.try_to_timestamp(F.substring(text[c], 1, 10), F.lit("yyyy-MM-dd"))).isNotNull().cast("double")).alias("date"),
-            F.avg(text[c].try_cast("double").isNotNull().cast("double")).alias("numeric"), (F.approx_count_distinct(text[c]) / F.count(text[c])).alias("distinct"),
+            F.avg(text[c].try_cast("double").isNotNull().cast("double")).alias("numeric"), F.try_divide(F.approx_count_distinct(text[c]), F.count(text[c])).alias("distinct"),
         ))
     one = sampled.agg(F.array(*numbers).alias("x")).select(F.explode("x").alias("x")).select("x.*")
     kind = F.when(F.col("n") == 0, "empty")

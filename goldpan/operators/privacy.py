@@ -15,12 +15,14 @@ PII = {
     "IP_ADDRESS": r"\b(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\b",
     "PHONE_NUMBER": r"\+[0-9][0-9 ()-]{7,14}[0-9]",
 }
+#: Kinds whose hits must pass the Luhn test.
+LUHN = ("CREDIT_CARD", "ID_NUMBER")
 
 
 def _found(text: Column, kind: str) -> Column:
     hits = F.regexp_extract_all(text, F.lit(PII[kind]), F.lit(0))
-    if kind in ("CREDIT_CARD", "ID_NUMBER"):
-        hits = F.filter(hits, lambda x: F.call_function("luhn_check", F.translate(x, " -", "")))
+    if kind in LUHN:
+        hits = F.filter(hits, _passes_luhn)
     return hits
 
 
@@ -44,21 +46,33 @@ def detect(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def anonymise(c: Column, operation: str = "replace") -> Column:
-    """Each hit as <TYPE> (replace), nothing (redact), its SHA-256 (hash) or stars (mask)."""
+    """Each hit as <TYPE> (replace), nothing (redact), its SHA-256 (hash) or stars (mask). Numbers that fail the Luhn test are no hits and stay."""
+    changes = {"redact": lambda x: F.lit(""), "hash": lambda x: F.sha2(x, 256), "mask": lambda x: F.repeat(F.lit("*"), F.length(x))}
     out = c
     for kind, pattern in PII.items():
-        if operation in ("replace", "redact"):
+        checked = kind in LUHN
+        if operation in ("replace", "redact") and not checked:
             new = F.regexp_replace(out, pattern, f"<{kind}>" if operation == "replace" else "")
         else:
-            change = (lambda x: F.sha2(x, 256)) if operation == "hash" else (lambda x: F.repeat(F.lit("*"), F.length(x)))
+            change = _each_hit(changes.get(operation) or _constant(f"<{kind}>"), checked)
             between, hits = F.split(out, pattern, -1), F.regexp_extract_all(out, F.lit(pattern), F.lit(0))
             new = F.array_join(F.zip_with(between, F.transform(hits, change), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
-        if kind in ("CREDIT_CARD", "ID_NUMBER"):  # only if a hit passes the Luhn test
-            new = F.when(F.size(_found(out, kind)) > 0, new).otherwise(out)
         out = F.when(c.isNotNull(), new)
     return out
 
 
+def _constant(text: str):
+    return lambda x: F.lit(text)
+
+
+def _passes_luhn(x: Column) -> Column:
+    return F.call_function("luhn_check", F.translate(x, " -", ""))
+
+
+def _each_hit(change, checked: bool):
+    return (lambda x: F.when(_passes_luhn(x), change(x)).otherwise(x)) if checked else change
+
+
 def redact(df: DataFrame, columns: list[str], key: str, operation: str = "redact") -> tuple[DataFrame, DataFrame]:
     """(redacted rows, events). Events: key, column_name, value_index (null for scalars), entities; array columns are redacted by value."""
     types, out, events = dict(df.dtypes), {}, None
@@ -82,7 +96,7 @@ GRANTED, PENDING, DENIED = ("granted", "approved", "allowed"), ("pending", "unkn
 def classify_fields(df: DataFrame, policy: DataFrame) -> DataFrame:
     """field, classification (internal unless the policy says), requires_consent, retention_days, lawful_basis of each column."""
     fields = df.sparkSession.createDataFrame([(c,) for c in df.columns], "field string")
-    return fields.join(F.broadcast(policy), "field", "left").select("field", F.coalesce("classification", F.lit("internal")).alias("classification"), F.coalesce("requires_consent", F.lit(False)).alias("requires_consent"), "retention_days", "lawful_basis")
+    return fields.join(policy, "field", "left").select("field", F.coalesce("classification", F.lit("internal")).alias("classification"), F.coalesce("requires_consent", F.lit(False)).alias("requires_consent"), "retention_days", "lawful_basis")
 
 
 def consent_checks(df: DataFrame, fields: tuple[str, ...] = CONSENT_FIELDS, status: str = "consent_status") -> DataFrame:

@@ -33,7 +33,7 @@ def _fields(spec: str) -> tuple[Field, ...]:
     return tuple(out)
 
 
-#: The contracts of source tables.
+#: The contracts of source tables and of the refined one.
 CONTRACTS = {
     c.name: c
     for c in (
@@ -43,6 +43,11 @@ CONTRACTS = {
         Contract("company_contacts", _fields("C_ID@number!|Company!|Status|FirstName|Surname|Position|Cellnumber|Email|Landline"), ("C_ID", "Email", "Cellnumber", "Landline")),
         Contract("company_addresses", _fields("C_ID@number!|Company!|Type|Airport|Unnamed: 4"), ("C_ID", "Type")),
         Contract("capture_log", _fields("School!|Unnamed: 0|Contact person (role)|Phone|Email|Addresses|Planes|Website|Description|Type"), ("School",)),
+        Contract("refined", _fields(
+            "organization_name!|organization_slug!|province|country|area|address_primary|organization_category|organization_type|status|website|planes|description|notes|source_datasets!|source_record_ids!|"
+            "contact_primary_name|contact_primary_role|contact_primary_email|contact_primary_phone|contact_secondary_emails|contact_secondary_phones|data_quality_score@number|data_quality_flags|"
+            "selection_provenance|last_interaction_date|priority|privacy_basis"
+        ), ("organization_slug",)),
         Contract("cleaned_registry", _fields("Name of Organisation!|Province|Status|Website URL|Contact Person|Contact Number|Contact Email Address"), ("Name of Organisation",)),
     )
 }
@@ -152,6 +157,21 @@ def provenance_suite() -> list[Expectation]:
     return [Expectation("not_null", "provenance_source"), Expectation("between", "provenance_confidence", 1.0, {"low": 0.0, "high": 1.0}), Expectation("in_set", "provenance_network_status", 1.0, {"values": ["enabled", "disabled", "offline", "skipped: network disabled"]})]
 
 
+#: Columns of the refined table that are numbers, and those that are never null; all others are text and may be.
+REFINED_NUMBERS = (
+    "contact_primary_email_confidence", "contact_primary_phone_confidence", "contact_primary_lead_score", "contact_email_confidence_avg", "contact_phone_confidence_avg",
+    "contact_verification_score_avg", "contact_lead_score_avg", "data_quality_score",
+)
+REFINED_REQUIRED = (
+    "organization_name", "organization_slug", "country", "source_datasets", "source_record_ids", "data_quality_score", "data_quality_flags", "selection_provenance", "privacy_basis",
+)
+
+
+def refined_typed(df: DataFrame) -> DataFrame:
+    """The refined table with its numbers as such, whatever they were stored as; what is no number is null, and a column that is absent stays so."""
+    return coerce(df, dict.fromkeys(REFINED_NUMBERS, "double"))
+
+
 def coerce(df: DataFrame, types: dict[str, str]) -> DataFrame:
     """Columns tried as their types; what doesn't fit is null."""
     return df.withColumns({c: F.col(c).try_cast(t) for c, t in types.items() if c in df.columns})

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from goldpan.functions import contact as C
 from goldpan.functions.dates import flexible_timestamp
@@ -28,18 +27,20 @@ def _priority(priorities: dict[str, int]) -> Column:
 
 
 def ranked(rows: DataFrame, priorities: dict[str, int], *, keep_null_slugs_apart: bool = False) -> DataFrame:
-    """Canonical rows with slug, pos and: entity, source_priority, row_quality, seen_at and rank in the entity.
+    """Canonical rows with slug, pos and: entity, source_priority, row_quality, seen_at and rank, by which rows of an entity are ordered.
 
-    Order: priority, row quality and last interaction, each highest first, then the earlier row. Rows without a slug are one
-    entity, or with ``keep_null_slugs_apart`` one each, which also spares that group's skew.
+    Order: priority, row quality and last interaction, each highest first, then the earlier row. A rank is a value of its own
+    row, so nothing is sorted or shuffled for it and later aggregations combine on the map side, also those of a very large
+    entity. Rows without a slug are one entity, or with ``keep_null_slugs_apart`` one each.
     """
     entity = F.coalesce(F.col("slug"), F.concat(F.lit(NO_SLUG), F.col("pos")) if keep_null_slugs_apart else F.lit(NO_SLUG))
     out = rows.withColumns({
         "entity": entity, "source_dataset": F.coalesce(tidy("source_dataset"), F.lit("Unknown")), "seen_at": flexible_timestamp("last_interaction_date"),
         "row_quality": C.row_quality(F.col("contact_emails"), F.col("contact_phones"), F.col("website"), F.col("province"), F.col("address")),
     }).withColumn("source_priority", _priority(priorities))
-    order = [F.col("source_priority").desc(), F.col("row_quality").desc(), F.col("seen_at").desc_nulls_last(), F.col("pos"), F.col("source_record_id").desc_nulls_last()]
-    return out.withColumn("rank", F.row_number().over(Window.partitionBy("entity").orderBy(*order)))
+    unseen = F.lit((1 << 63) - 1)
+    order = [-F.col("source_priority"), -F.col("row_quality"), F.coalesce(-F.unix_micros("seen_at"), unseen), F.col("pos"), F.coalesce("source_record_id", F.lit(""))]
+    return out.withColumn("rank", F.struct(*[c.alias(n) for c, n in zip(order, ("priority", "quality", "seen", "pos", "record"))]))
 
 
 def best(value: str, rank: str = "rank") -> Column:
@@ -119,7 +120,7 @@ def refine(rows: DataFrame, priorities: dict[str, int], *, intent: DataFrame | N
     out = out.withColumns({
         **{j: F.array_join(values(f"_{j}"), "; ") for j in JOINED},
         "contact_primary_email": head("_email")["value"], "contact_primary_phone": head("_phone")["value"], "contact_primary_name": from_row("_name"), "contact_primary_role": from_row("_role"),
-        "contact_secondary_emails": F.coalesce(F.array_join(F.slice(values("_email"), 2, 1 << 20), ";"), F.lit("")), "contact_secondary_phones": F.coalesce(F.array_join(F.slice(values("_phone"), 2, 1 << 20), ";"), F.lit("")),
+        "contact_secondary_emails": F.coalesce(F.array_join(F.slice(values("_email"), F.lit(2), F.greatest(F.size("_email"), F.lit(1))), ";"), F.lit("")), "contact_secondary_phones": F.coalesce(F.array_join(F.slice(values("_phone"), F.lit(2), F.greatest(F.size("_phone"), F.lit(1))), ";"), F.lit("")),
         "_priority": F.coalesce(head("_email")["source_priority"], head("_phone")["source_priority"], head("_name")["source_priority"], F.lit(0)) / max([1, *priorities.values()]),
         "_e": C.validate_email(head("_email")["value"]), "_p": C.validate_phone(head("_phone")["value"], region),
     })

@@ -46,7 +46,7 @@ def _logistic(x: str) -> str:
 
 _best = lambda c, name=None: f"arg_min({c}, rnk) FILTER (WHERE {c} IS NOT NULL) AS {name or c}"
 
-_REFINED = f"""{ORGS_SQL},
+REFINED_SQL = f"""{ORGS_SQL},
 seconds AS (
   SELECT slug, string_agg(email, ';' ORDER BY r) AS more FROM (
     SELECT slug, email, min(rnk) AS r, row_number() OVER (PARTITION BY slug ORDER BY min(rnk)) AS n FROM ranked WHERE email IS NOT NULL GROUP BY slug, email
@@ -96,13 +96,13 @@ _PLACES = "p AS (SELECT s_suppkey AS id, CASE WHEN s_suppkey % 10 <> 9 THEN (s_s
 _MAIL_STATUS = lambda c, conf: f"CASE WHEN {c} IS NULL THEN NULL WHEN split_part({c}, '@', 2) IN ('example.com', 'example.org', 'example.net') THEN {('0.92' if conf else chr(39) + 'deliverable' + chr(39))} ELSE {('0.35' if conf else chr(39) + 'risky' + chr(39))} END"
 
 SQL: dict[str, str] = {
-    "entity_survivorship": f"""WITH {_REFINED}
+    "entity_survivorship": f"""WITH {REFINED_SQL}
 SELECT r.organization_slug, organization_name, province, address_primary, status, website, contact_primary_email, contact_primary_phone, coalesce(more, '') AS contact_secondary_emails, source_datasets, last_interaction_date,
   ((contact_primary_email IS NOT NULL)::INT + (contact_primary_phone IS NOT NULL)::INT + (website IS NOT NULL)::INT + (province IS NOT NULL)::INT + (address_primary IS NOT NULL)::INT) / 5 AS data_quality_score,
   coalesce(nullif(concat_ws(';', CASE WHEN contact_primary_email IS NULL THEN 'missing_contact_email' END, CASE WHEN contact_primary_phone IS NULL THEN 'missing_contact_phone' END, CASE WHEN website IS NULL THEN 'missing_website' END,
     CASE WHEN province IS NULL THEN 'missing_province' END, CASE WHEN address_primary IS NULL THEN 'missing_address' END), ''), 'none') AS data_quality_flags
 FROM refined r LEFT JOIN seconds ON seconds.slug = r.organization_slug""",
-    "entity_contacts": f"""WITH {_REFINED}, v AS (
+    "entity_contacts": f"""WITH {REFINED_SQL}, v AS (
   SELECT *, CASE WHEN contact_primary_email IS NOT NULL THEN 0.35 ELSE 0 END AS ec, CASE WHEN contact_primary_phone IS NOT NULL THEN 0.85 ELSE 0 END AS pc FROM people
 ), w AS (
   SELECT *, CASE WHEN ec > 0 AND pc > 0 THEN (ec + pc) / 2 ELSE ec + pc END AS m FROM v
@@ -113,6 +113,8 @@ SELECT organization_slug, person AS contact_primary_name, person_role AS contact
 FROM w""",
     "entity_conflicts": f"""WITH {ORGS_SQL}, v AS (
   SELECT slug, 'province' AS field, province AS value, rnk, source_dataset FROM ranked UNION ALL SELECT slug, 'address', address, rnk, source_dataset FROM ranked UNION ALL SELECT slug, 'status', status, rnk, source_dataset FROM ranked
+  UNION ALL SELECT slug, 'website', website, rnk, source_dataset FROM ranked UNION ALL SELECT slug, 'contact_emails', email, rnk, source_dataset FROM ranked UNION ALL SELECT slug, 'contact_phones', phone, rnk, source_dataset FROM ranked
+  UNION ALL SELECT slug, 'contact_names', contact, rnk, source_dataset FROM ranked UNION ALL SELECT slug, 'contact_roles', role, rnk, source_dataset FROM ranked
 ), d AS (SELECT slug, field, value, min(rnk) AS r, arg_min(source_dataset, rnk) AS source FROM v WHERE value IS NOT NULL GROUP BY 1, 2, 3)
 SELECT slug, field, arg_min(value, r) AS value, arg_min(source, r) AS chosen_source, count(*) - 1 AS n_alternatives FROM d GROUP BY slug, field HAVING count(*) > 1""",
     "source_breakdown": "SELECT 'Customers' AS source_dataset, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey UNION ALL SELECT 'Suppliers', count(*) FROM supplier JOIN nation ON s_nationkey = n_nationkey",
@@ -175,9 +177,9 @@ SELECT user_id AS target_slug, count(*) AS sessions, max(c) AS longest FROM n GR
 SELECT CAST(days.day AS VARCHAR) AS run_date, version, 'refined/' || version || '/' || days.day AS path, coalesce(n, 0) AS n FROM days CROSS JOIN (VALUES ('v1'), ('v2')) v(version) LEFT JOIN o USING (day)""",
     "linkage_clusters": """WITH c AS (SELECT c_custkey, c_nationkey, floor(c_acctbal / 20) AS b FROM customer WHERE c_acctbal IS NOT NULL AND c_nationkey IS NOT NULL) SELECT c_custkey, min(c_custkey) OVER (PARTITION BY c_nationkey, b) AS cluster_id FROM c""",
     "near_suppliers": f"WITH {_PLACES} SELECT a.id AS l, b.id AS r, round({_HAVERSINE}, 3) AS km FROM p a JOIN p b ON a.id < b.id WHERE {_HAVERSINE} <= 900",
-    "party_parties": f"""WITH {_REFINED}, k AS (SELECT *, coalesce('email:' || lower(contact_primary_email), 'phone:' || contact_primary_phone, 'name:' || lower(person)) AS key FROM people)
+    "party_parties": f"""WITH {REFINED_SQL}, k AS (SELECT *, coalesce('email:' || lower(contact_primary_email), 'phone:' || contact_primary_phone, 'name:' || lower(person)) AS key FROM people)
 SELECT kind, display_name, count(*) AS n FROM (SELECT 'organisation' AS kind, organization_name AS display_name FROM k UNION ALL SELECT 'person', arg_min(person, organization_slug) FROM k WHERE key IS NOT NULL GROUP BY key) GROUP BY 1, 2""",
-    "party_methods": f"""WITH {_REFINED}, k AS (SELECT p.*, coalesce(more, '') AS more, coalesce('email:' || lower(contact_primary_email), 'phone:' || contact_primary_phone, 'name:' || lower(person)) AS key FROM people p LEFT JOIN seconds ON seconds.slug = p.organization_slug),
+    "party_methods": f"""WITH {REFINED_SQL}, k AS (SELECT p.*, coalesce(more, '') AS more, coalesce('email:' || lower(contact_primary_email), 'phone:' || contact_primary_phone, 'name:' || lower(person)) AS key FROM people p LEFT JOIN seconds ON seconds.slug = p.organization_slug),
 ph AS (SELECT slug, greatest(count(DISTINCT phone) - 1, 0) AS n FROM ranked GROUP BY slug)
 SELECT 'method:email' AS what, CAST(count(contact_primary_email) + sum(len(list_filter(string_split(more, ';'), lambda x: x <> ''))) AS BIGINT) AS n FROM k
 UNION ALL SELECT 'method:phone', CAST(count(contact_primary_phone) + sum(ph.n) AS BIGINT) FROM k JOIN ph ON ph.slug = k.organization_slug
@@ -194,12 +196,12 @@ SELECT c_custkey, n_mails, mail, split_part(mail, '@', 2) AS domain, {_MAIL_STAT
 SELECT c_custkey, n || ' (' || arg_min(name, c_custkey) OVER (PARTITION BY n) || ')' AS duplicate_group FROM c QUALIFY count(*) OVER (PARTITION BY n) > 1""",
     "changed_prices": "SELECT p_partkey, 'p_size' AS field, CAST(p_size AS VARCHAR) AS old, CAST(p_size + 1 AS VARCHAR) AS new FROM part WHERE p_partkey % 10 = 0 UNION ALL SELECT p_partkey, 'p_brand', p_brand, NULL FROM part WHERE p_partkey % 15 = 0 AND p_brand IS NOT NULL",
     "backfill_plan": f"WITH {ORGS_SQL} SELECT source_record_id, concat_ws(',', CASE WHEN province IS NULL THEN 'province' END, CASE WHEN address IS NULL THEN 'address' END, CASE WHEN status IS NULL THEN 'status' END, CASE WHEN website IS NULL THEN 'website' END) AS backfill FROM orgs",
-    "upserted": "SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 10 = 0 THEN 0.0 ELSE o_totalprice END AS o_totalprice FROM orders WHERE o_orderkey % 10 = 0 OR o_orderkey % 3 = 0",
+    "upserted": "SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 10 = 0 THEN 0.0 ELSE o_totalprice END AS o_totalprice FROM orders",
     "run_history": "SELECT o_orderpriority AS profile, count(*) AS runs, count(*) FILTER (WHERE o_orderstatus <> 'P') AS successes, round(avg((o_orderstatus <> 'P')::INT), 5) AS success_rate, round(avg(o_totalprice / 1000), 5) AS mean_seconds, round(min(o_totalprice / 1000), 5) AS min_seconds, round(max(o_totalprice / 1000), 5) AS max_seconds, round(avg(o_custkey), 5) AS mean_records FROM orders GROUP BY 1",
     "gate_history": "SELECT count(*) AS total, count(*) FILTER (WHERE event_type <> 'error') AS passed, count(*) FILTER (WHERE event_type = 'error') AS failed, round(avg((event_type <> 'error')::INT), 6) AS pass_rate, max(event_id) AS latest_at, arg_max(event_type <> 'error', event_id) AS latest_passed FROM events",
-    "frameworks_due": "WITH r AS (SELECT lower(o_orderpriority) AS f, max(o_orderdate) AS l FROM orders WHERE o_custkey % 50 = 7 GROUP BY 1) SELECT f0 AS framework, strftime(l, '%Y-%m-%d') AS last_run, coalesce(l < TIMESTAMP '1999-06-01' - INTERVAL 90 DAY, true) AS due FROM (SELECT DISTINCT lower(o_orderpriority) AS f0 FROM orders) LEFT JOIN r ON f = f0",
+    "frameworks_due": "WITH r AS (SELECT lower(o_orderpriority) AS f, max(o_orderdate) AS l FROM orders WHERE o_orderpriority NOT LIKE '5%' GROUP BY 1) SELECT f0 AS framework, strftime(l, '%Y-%m-%d') AS last_run, coalesce(l < TIMESTAMP '1999-06-01' - INTERVAL 90 DAY, true) AS due FROM (SELECT DISTINCT lower(o_orderpriority) AS f0 FROM orders) LEFT JOIN r ON f = f0",
     "error_counts": "SELECT event_type AS category, count(*) AS n, count(*) FILTER (WHERE value > 10 AND value <= 50) AS errors, count(*) FILTER (WHERE value <= 10) AS warnings, count(*) FILTER (WHERE value > 50) AS critical, count(*) FILTER (WHERE event_id % 2 = 0) AS recoverable FROM events GROUP BY 1",
-    "first_turns": "SELECT conv_id, string_agg(substring(text, 1, 20), '|' ORDER BY turn) AS said FROM (SELECT * FROM conversations WHERE role = 'user' QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn) <= 2) GROUP BY 1",
+    "first_turns": "SELECT conv_id, sha256(string_agg(text, '|' ORDER BY turn)) AS said FROM (SELECT * FROM conversations WHERE role = 'user' QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn) <= 2) GROUP BY 1",
     "confidence_ranges": "SELECT user_id AS row_index, min(value) AS min_confidence, max(value) AS max_confidence, arg_max(event_type, (value, -event_id)) AS primary_source FROM events GROUP BY 1",
     "recent_orders": "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 20",
     "robots_pages": """WITH p AS (SELECT page_id, regexp_extract(url, '^https?://([^/]+)', 1) AS host, '/' || regexp_extract(url, '^https?://[^/]+/?(.*)$', 1) AS path FROM pages),
@@ -208,7 +210,7 @@ SELECT p.page_id, coalesce(ok, true) AS robots_ok FROM p LEFT JOIN v USING (page
     "provider_join": """WITH t AS (SELECT c_custkey, c_custkey % 60 AS d FROM customer), j AS (
   SELECT c_custkey, s_suppkey, s_name FROM t JOIN supplier ON s_suppkey = c_custkey UNION ALL SELECT c_custkey, s_suppkey, s_name FROM t JOIN supplier ON s_suppkey = d AND s_suppkey < 60 WHERE NOT EXISTS (SELECT 1 FROM supplier x WHERE x.s_suppkey = t.c_custkey)
 ) SELECT 'registry:' || c_custkey || ':0' AS source_record_id, s_name AS organization_name, 'a' || s_suppkey || '@x.example' AS contact_email, '+27821234567' AS contact_phone FROM j""",
-    "refined_pipeline": f"""WITH {_REFINED}, q AS (SELECT *, ((contact_primary_email IS NOT NULL)::INT + (contact_primary_phone IS NOT NULL)::INT + (website IS NOT NULL)::INT + (province IS NOT NULL)::INT + (address_primary IS NOT NULL)::INT) / 5 AS s FROM refined)
+    "refined_pipeline": f"""WITH {REFINED_SQL}, q AS (SELECT *, ((contact_primary_email IS NOT NULL)::INT + (contact_primary_phone IS NOT NULL)::INT + (website IS NOT NULL)::INT + (province IS NOT NULL)::INT + (address_primary IS NOT NULL)::INT) / 5 AS s FROM refined)
 SELECT organization_slug, organization_name, contact_primary_email, s AS data_quality_score, CASE WHEN s >= 0.8 THEN 'excellent' WHEN s >= 0.6 THEN 'good' WHEN s >= 0.4 THEN 'fair' ELSE 'poor' END AS band FROM q""",
     "registry_payloads": """SELECT s_suppkey, CASE WHEN s_suppkey % 11 <> 0 THEN s_name END AS name, CASE WHEN s_suppkey % 11 <> 0 THEN 'A' || s_suppkey || '07' END AS number, CASE WHEN s_suppkey % 11 <> 0 THEN 'In Business' END AS status,
   CASE WHEN s_suppkey % 11 = 0 THEN NULL WHEN s_suppkey % 3 < 2 THEN '2015-02-01' ELSE 'early 2015' END AS registered, CASE WHEN s_suppkey % 11 <> 0 THEN s_suppkey || ' Rd, JHB' END AS address FROM supplier""",
@@ -221,7 +223,7 @@ SELECT slug, count(*) AS n, CAST(sum(w::INT + e::INT - same::INT) AS BIGINT) AS
     "new_targets": "SELECT DISTINCT 'i' || (c_custkey % 200) AS identifier, 'd' || (c_custkey % 200) AS domain FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE NOT EXISTS (SELECT 1 FROM supplier WHERE s_suppkey = c_custkey % 200)",
     "authority_hits": "SELECT 'firm-' || s_suppkey AS slug, r_name AS source, min('u' || c_custkey) AS url FROM supplier CROSS JOIN region JOIN customer ON c_custkey % 7 = r_regionkey AND c_custkey % 130 = s_suppkey GROUP BY 1, 2",
     "policy_warnings": "SELECT event_type, concat_ws(',', CASE WHEN event_id % 3 = 0 THEN 'robots_disallowed' END, CASE WHEN event_id % 5 = 1 THEN 'tos_not_accepted' END) AS reasons, count(*) AS n FROM events WHERE event_id % 3 = 0 OR event_id % 5 = 1 GROUP BY 1, 2",
-    "allowed_providers": "SELECT o_orderpriority AS provider, count(*) AS n FROM orders WHERE lower(o_orderpriority) IN (SELECT lower(o_orderpriority) FROM orders WHERE o_orderkey % 2 = 0) AND o_orderpriority NOT LIKE '5%' GROUP BY 1",
+    "allowed_providers": "SELECT o_orderpriority AS provider, count(*) AS n FROM orders WHERE lower(o_orderpriority) IN (SELECT lower(o_orderpriority) FROM orders) AND o_orderpriority NOT LIKE '5%' GROUP BY 1",
     "person_names": "SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'Dr.' END AS title, 'Ann' AS given, CASE WHEN c_custkey % 2 = 0 THEN 'Marie' END AS middle, 'Lee' || (c_custkey % 10) AS family FROM customer",
     "identifiers": f"""WITH v AS (SELECT p_partkey, '4' || lpad(CAST(p_partkey * 7919 % 1000000000 AS VARCHAR), 9, '0') AS vat FROM part)
 SELECT p_partkey, 'P' || p_partkey || 'A' AS identifier, CASE WHEN {_luhn('vat')} THEN vat END AS vat, CASE WHEN p_partkey % 2 = 0 THEN lpad(CAST(p_partkey % 10000 AS VARCHAR), 4, '0') END AS postal FROM v""",
@@ -233,5 +235,5 @@ SELECT c_custkey, round(x, 6) AS confidence, CASE WHEN x >= 0.75 THEN 'high' WHE
 SELECT n_nationkey, CASE WHEN n_nationkey % 2 = 0 OR n_nationkey % 5 <> 0 THEN g.score ELSE 0.5 END AS score, CASE WHEN n_nationkey % 2 = 0 OR n_nationkey % 5 <> 0 THEN g.signal_count ELSE 1 END AS signal_count FROM nation LEFT JOIN g ON g.k = n_nationkey""",
     "field_classes": "SELECT * FROM (VALUES ('c_custkey', 'internal', false, NULL, NULL), ('c_name', 'personal', true, 365, 'consent'), ('c_nationkey', 'internal', false, NULL, NULL), ('c_acctbal', 'internal', false, NULL, NULL), ('c_mktsegment', 'internal', false, NULL, NULL)) t(field, classification, requires_consent, retention_days, lawful_basis)",
     "order_checksum": "SELECT 'orders' AS dataset, 1 AS major, 0 AS minor, 0 AS patch, count(*) AS n_rows FROM orders",
-    "target_signals": "SELECT CASE WHEN c_custkey % 2 = 0 THEN 'USER-' || c_custkey ELSE 'user-' || c_custkey END AS target_slug, count(*) AS n FROM customer JOIN events ON user_id = c_custkey WHERE c_custkey < 150 GROUP BY 1",
+    "target_signals": "SELECT CASE WHEN c_custkey % 2 = 0 THEN 'USER-' || c_custkey ELSE 'user-' || c_custkey END AS target_slug, count(*) AS n FROM customer JOIN events ON user_id = c_custkey GROUP BY 1",
 }

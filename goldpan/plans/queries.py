@@ -12,11 +12,14 @@ from goldpan.functions import dates as D
 from goldpan.functions import text as T
 from goldpan.operators import contacts, dedup, enrich, geo, intent, lead, linkage, mapping, party, privacy, quality, stats, survivorship
 from goldpan.plans import refine as plan
+from goldpan.plans.table_queries import TABLE_QUERIES
 from goldpan.plans.tables import PRIORITIES, organisations, read
-from goldpan.scratch import written
+from goldpan.scratch import new_path, written
+from goldpan.sources import sinks
 from goldpan.streaming import intent as streams
 
 NOW = "2024-02-01 00:00:00"
+SIGNAL_KINDS = {"view": "news", "click": "traffic", "signup": "hiring", "purchase": "tech"}
 
 
 def _now():
@@ -38,7 +41,7 @@ def entity_contacts(spark, d):
 def entity_conflicts(spark, d):
     """A07 A08"""
     lists = survivorship.value_lists(survivorship.distinct_values(survivorship.ranked(organisations(spark, d), PRIORITIES)))
-    return survivorship.conflicts(lists).filter(F.col("field").isin("province", "address", "status")).select(F.col("entity").alias("slug"), "field", "value", "chosen_source", F.size("alternatives").cast("long").alias("n_alternatives"))
+    return survivorship.conflicts(lists).select(F.col("entity").alias("slug"), "field", "value", "chosen_source", F.size("alternatives").cast("long").alias("n_alternatives"))
 
 
 def source_breakdown(spark, d):
@@ -187,7 +190,7 @@ def _cascade(spark, d):
 
 
 def lookup_cascade(spark, d):
-    """E01 J04 W04"""
+    """E01 J04 W04 X02"""
     return _cascade(spark, d).select("c_custkey", "region", "provenance_source", "provenance_confidence", "provenance_strategy")
 
 
@@ -198,7 +201,7 @@ def cascade_entries(spark, d):
 
 def _signals(spark, d):
     e = read(spark, d, "events")
-    kinds = F.create_map(*[F.lit(x) for kv in {"view": "news", "click": "traffic", "signup": "hiring", "purchase": "tech"}.items() for x in kv])
+    kinds = F.create_map(*[F.lit(x) for kv in SIGNAL_KINDS.items() for x in kv])
     shaped = e.select(
         F.concat(F.lit("user-"), "user_id").alias("target"), F.coalesce(kinds[F.col("event_type")], F.col("event_type")).alias("type"), (F.col("value") / 200).alias("intent"), (F.col("value") / 100 - 0.5).alias("detail"),
         F.when(F.col("event_id") % 3 == 0, "Pilot").alias("stage"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp"), F.create_map(F.lit("headline"), F.when(F.col("event_id") % 2 == 0, F.concat(F.lit("h"), "event_id")), F.lit("role"), F.lit("")).alias("metadata"), F.col("event_id").alias("seq"),
@@ -252,10 +255,8 @@ def _stream(spark, d, name):
 
 
 def _drained(spark, df, mode="append"):
-    from goldpan.scratch import new_path
-
     out = new_path(spark, "stream")
-    streams.run_to_table(df, out, new_path(spark, "stream-state"), mode)
+    (streams.run_to_snapshot if mode == "complete" else streams.run_to_table)(df, out, new_path(spark, "stream-state"))
     return spark.read.schema(df.schema).parquet(out)
 
 
@@ -266,17 +267,30 @@ def stream_dedup(spark, d):
     return _drained(spark, streams.dedup_stream(shaped, ["user_id", "event_type", "observed_at"], watermark="40 days")).groupBy("event_type").agg(F.count("*").alias("n"))
 
 
+def _stream_scores(spark, d):
+    at = F.from_utc_timestamp(F.col("ts").cast("timestamp"), F.current_timezone())  # so that days begin when those of the table do
+    return _stream(spark, d, "events").select(F.col("user_id").alias("target_slug"), at.alias("observed_at"), T.clamp(F.col("value") / 100).alias("score"))
+
+
+def stream_scores(spark, d):
+    """Signals are scored as they come in and meet their targets, a static table"""
+    e = _stream(spark, d, "events")
+    kinds = F.create_map(*[F.lit(x) for kv in SIGNAL_KINDS.items() for x in kv])
+    shaped = e.select(F.col("user_id"), F.coalesce(kinds[F.col("event_type")], F.col("event_type")).alias("signal_type"), (F.col("value") / 200).alias("intent"), (F.col("value") / 100 - 0.5).alias("detail"), F.when(F.col("event_id") % 3 == 0, "Pilot").alias("stage"), F.col("event_id").alias("seq"))
+    targets = read(spark, d, "customer").select(F.col("c_custkey").alias("user_id"), F.concat(F.lit("user-"), "c_custkey").alias("target_slug"))
+    found = shaped.join(targets, "user_id").select("seq", "target_slug", "signal_type", intent.signal_score(F.col("signal_type"), F.col("intent"), F.col("detail"), F.col("stage")).alias("score"))
+    return _drained(spark, found).select("seq", "target_slug", "signal_type", F.round("score", 6).alias("score"))
+
+
 def stream_windows(spark, d):
-    """What a closed stream gives is what the batch gives."""
-    e = read(spark, d, "events").select(F.col("user_id").alias("target_slug"), F.col("ts").alias("observed_at"), T.clamp(F.col("value") / 100).alias("score"))
-    out = streams.windowed_digest(e, size="1 day")
-    return out.select("target_slug", F.date_format("window_start", "yyyy-MM-dd").alias("day"), F.round("mean_score", 6).alias("mean_score"), "signal_count")
+    """A stream that is drained gives what a batch gives."""
+    out = _drained(spark, streams.windowed_digest(_stream_scores(spark, d), size="1 day"), "complete")
+    return out.select("target_slug", F.date_format(F.to_utc_timestamp("window_start", F.current_timezone()), "yyyy-MM-dd").alias("day"), F.round("mean_score", 6).alias("mean_score"), "signal_count")
 
 
 def stream_sessions(spark, d):
     """T03"""
-    e = read(spark, d, "events").select(F.col("user_id").alias("target_slug"), F.col("ts").alias("observed_at"), T.clamp(F.col("value") / 100).alias("score"))
-    out = streams.windowed_digest(e, size="", session_gap="6 hours")
+    out = _drained(spark, streams.windowed_digest(_stream_scores(spark, d), size="", session_gap="6 hours"), "complete")
     return out.groupBy("target_slug").agg(F.count("*").alias("sessions"), F.max("signal_count").alias("longest"))
 
 
@@ -305,7 +319,7 @@ def rule_linkage(spark, d):
 def linkage_clusters(spark, d):
     """J08 L10 L11"""
     c = read(spark, d, "customer").filter("c_acctbal is not null")
-    pairs = linkage.pairs_by(c.withColumn("k", F.concat_ws("|", "c_nationkey", F.floor(F.col("c_acctbal") / 20))), F.col("k"), "c_custkey")
+    pairs = linkage.star_pairs(c.withColumn("k", F.concat_ws("|", "c_nationkey", F.floor(F.col("c_acctbal") / 20))), F.col("k"), "c_custkey")
     return linkage.clusters(pairs, c, "c_custkey")
 
 
@@ -328,17 +342,33 @@ def review_queue(spark, d):
     return linkage.review_tasks(scored, rows, ["organization_name", "contact_primary_email"]).select("l", "r", F.get_json_object("task", "$.left.organization_name").alias("left_name"))
 
 
+def linkage_written(spark, d):
+    """Matches, review queue and counts, read back"""
+    _, scored, review = linkage.link_by_rules(_linkable(spark, d), high=0.9, review=0.8)
+    folder = new_path(spark, "linkage")
+    sinks.write_linkage(scored, review, folder)
+    return spark.read.schema("classification string, n long").json(f"{folder}/metadata.json")
+
+
 def fuzzy_parts(spark, d):
     """J06 L02"""
     p = read(spark, d, "part").select(F.col("p_partkey").alias("id"), F.concat_ws(" ", "p_name", "p_brand", F.col("p_partkey") % 50).alias("name"))
     return linkage.fuzzy_pairs(p, "name").groupBy().agg(F.count("*").alias("n_pairs"), F.sum("l").alias("sum_l"), F.sum("r").alias("sum_r"))
 
 
+def fuzzy_phones(spark, d):
+    """J06 L03"""
+    k = F.col("c_custkey")
+    c = read(spark, d, "customer").select(k.alias("id"), F.concat(F.lit("+27"), F.lpad((k * 7919 % 1000003).cast("string"), 7, "0"), F.when(k % 3 == 0, " x").otherwise("")).alias("phone"))
+    return linkage.partial_pairs(c, "phone").groupBy().agg(F.count("*").alias("n_pairs"), F.sum("l").alias("sum_l"), F.sum("r").alias("sum_r"))
+
+
 def entity_registry(spark, d):
     """J09 L14 L15 U07"""
     s = read(spark, d, "supplier")
+    k = F.col("s_suppkey")
     past = s.filter("s_suppkey % 3 <> 0").select(F.col("s_suppkey").alias("entity_id"), F.concat(F.lit("Firm "), "s_suppkey").alias("organization_name"), F.concat(F.lit("firm-"), "s_suppkey").alias("slug"), F.lit("2020-01-01").cast("timestamp").alias("first_seen"), F.array(F.concat(F.lit("Old Firm "), "s_suppkey")).alias("name_variants"), linkage.as_status_history(F.lit("active")).alias("status_history"))
-    now = s.filter("s_suppkey % 2 = 0").select(F.col("s_suppkey").alias("pos"), F.concat(F.lit("Old Firm "), "s_suppkey").alias("organization_name"), F.when(F.col("s_suppkey") % 4 == 0, "closed").otherwise("active").alias("status"), F.lit(None).cast("string").alias("slug"))
+    now = s.select(k.alias("pos"), F.concat(F.when(k % 2 == 0, "Old Firm ").otherwise("New Firm "), k).alias("organization_name"), F.when(F.col("s_suppkey") % 4 == 0, "closed").otherwise("active").alias("status"), F.lit(None).cast("string").alias("slug"))
     out = linkage.entity_registry(now, past, _now())
     return out.select("entity_id", "organization_name", F.size("name_variants").cast("long").alias("n_variants"), F.size("status_history").cast("long").alias("n_statuses"))
 
@@ -441,7 +471,7 @@ def upserted(spark, d):
     """U04 U07"""
     o = read(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     new = o.filter("o_orderkey % 10 = 0").withColumn("o_totalprice", F.lit(0.0))
-    return dedup.upsert(o.filter("o_orderkey % 3 = 0"), new, ["o_orderkey"])
+    return dedup.upsert(o.filter("o_orderkey % 10 <> 0 or o_orderkey % 3 = 0"), new, ["o_orderkey"])
 
 
 def run_history(spark, d):
@@ -460,8 +490,7 @@ def gate_history(spark, d):
 def frameworks_due(spark, d):
     """A21"""
     o = read(spark, d, "orders").select(F.upper("o_orderpriority").alias("framework"), F.col("o_orderdate").cast("timestamp").alias("run_at"), "o_custkey")
-    runs = o.filter("o_custkey % 50 = 7")
-    out = stats.frameworks_due(runs, o, F.lit("1999-06-01").cast("timestamp"))
+    out = stats.frameworks_due(o.filter("o_orderpriority not like '5%'"), o, F.lit("1999-06-01").cast("timestamp"))
     return out.select("framework", F.date_format("last_run", "yyyy-MM-dd").alias("last_run"), "due")
 
 
@@ -473,8 +502,8 @@ def error_counts(spark, d):
 
 def first_turns(spark, d):
     """W08"""
-    c = read(spark, d, "conversations").filter("role = 'user'").withColumn("said", F.substring("text", 1, 20))
-    return stats.first_per_key(c, "conv_id", "said", "turn", 2).select("conv_id", F.array_join("first_saids", "|").alias("said"))
+    c = read(spark, d, "conversations").filter("role = 'user'").withColumnRenamed("text", "said")
+    return stats.first_per_key(c, "conv_id", "said", "turn", 2).select("conv_id", F.sha2(F.array_join("first_saids", "|"), 256).alias("said"))
 
 
 def confidence_ranges(spark, d):
@@ -497,7 +526,7 @@ def robots_pages(spark, d):
 
 
 def provider_join(spark, d):
-    """J11 J12 E09 P08"""
+    """J11 J12 E09 P08 X03"""
     targets = read(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("identifier"), F.concat(F.lit("d"), F.col("c_custkey") % 60).alias("domain"))
     s = read(spark, d, "supplier")
     provider = s.select(
@@ -507,12 +536,71 @@ def provider_join(spark, d):
     return enrich.acquire(targets, {"registry": provider}).select("source_record_id", "organization_name", "contact_email", "contact_phone")
 
 
-def refined_pipeline(spark, d):
-    """The whole refinement of two sources: S01-S03 in, Q08-Q13 along the way, X02-X04 as steps"""
+def _run(spark, d, features=None):
     o = organisations(spark, d)
-    sources = [o.filter(F.col("source_dataset") == name).drop("slug") for name in PRIORITIES]
+    return plan.run([o.filter(F.col("source_dataset") == name).drop("slug") for name in PRIORITIES], plan.Profile(priorities=PRIORITIES), features=features)
+
+
+def refined_expectations(spark, d):
+    """Q08"""
+    return _run(spark, d).expectations.select("expectation", "n", "n_bad", F.round("share", 6).alias("share"), "mostly", "success")
+
+
+def refined_report(spark, d):
+    """Q13"""
+    sources = F.col("source_breakdown")
+    return _run(spark, d).report.select("total_records", F.round("mean_quality", 6).alias("mean_quality"), "min_quality", "max_quality", "expectations_passed", F.size("failures").cast("long").alias("n_failures"), sources["Customers"].alias("customers"), sources["Suppliers"].alias("suppliers"), F.col("conflicts").cast("long").alias("conflicts"))
+
+
+def refined_advice(spark, d):
+    """Q12"""
+    out = _run(spark, d)
+    return quality.recommendations(out.table, out.expectations)
+
+
+def quality_distribution(spark, d):
+    """Q11"""
+    return stats.column_stats(_run(spark, d).table, "data_quality_score").select(F.round("mean", 6).alias("mean"), "min", "max")
+
+
+def refined_contract(spark, d):
+    """Q01: a refined table without its notes, with a column too many and sources missing where there is no province"""
+    table = _run(spark, d).table.select(*[f.name for f in quality.CONTRACTS["refined"].fields if f.name != "notes"], F.lit(1).alias("spare"))
+    return quality.check_contract(table.withColumn("source_datasets", F.when(F.col("province").isNotNull(), F.col("source_datasets"))), quality.CONTRACTS["refined"])
+
+
+def refined_schema(spark, d):
+    """Q09 Q10: scores stored as text, some of them no numbers, and rows that lack what is required"""
+    stored = F.when(F.col("province").isNull(), "unknown").otherwise(F.col("data_quality_score").cast("string"))
+    typed = quality.refined_typed(_run(spark, d).table.withColumn("data_quality_score", stored))
+    valid, invalid, _ = quality.split_valid(typed, {c: F.col(c).isNotNull() for c in quality.REFINED_REQUIRED})
+    sums = lambda df, name: df.agg(F.count("*").alias("n"), F.round(F.sum("data_quality_score"), 4).alias("score")).select(F.lit(name).alias("part"), "n", "score")
+    return sums(valid, "valid").unionByName(sums(invalid, "invalid"))
+
+
+def feature_order(spark, d):
+    """Linkage, geography, enrichment and compliance in that order, and one that is switched off"""
+    s = read(spark, d, "supplier")
+    stored = s.select(F.concat("s_suppkey", F.lit(" main Street")).alias("address"), F.lit("za").alias("country"), F.col("s_suppkey").cast("double").alias("latitude"), F.lit(1.0).alias("longitude"), F.concat(F.lit("f"), "s_suppkey").alias("formatted_address"))
+    mark = lambda df, name: df.withColumn("trail", F.concat_ws(">", "trail", F.lit(name)))
+    offer = lambda v: F.when(v.isNotNull(), F.struct(v.alias("region")))
+    fetchers = [enrich.Source("geocoder", 0.9, offer(F.col("formatted_address"))), enrich.Source("default", 0.5, offer(F.lit("none")))]
+    steps = (
+        enrich.Registry()
+        .add("linkage", lambda df: mark(linkage.link_by_rules(df)[0], "linkage"))
+        .add("geography", lambda df: mark(geo.apply_geocodes(df, stored, "address", "country"), "geography"))
+        .add("research", lambda df: mark(df, "research"), enabled=lambda: False)
+        .add("enrichment", lambda df: mark(enrich.cascade(df, fetchers, ["region"]), "enrichment"))
+        .add("compliance", lambda df: mark(privacy.with_compliance_columns(df, "customers", _now()), "compliance"))
+    )
+    rows = _linkable(spark, d).withColumns({"address": F.concat(F.col("id") % 50, F.lit("  Main St.")), "country": F.lit("ZA"), "region": F.lit(None).cast("string"), "trail": F.lit("rows")})
+    return steps(rows).select("id", "trail", "region", "provenance_source", "consent_status")
+
+
+def refined_pipeline(spark, d):
+    """The whole refinement of two sources, with a feature"""
     steps = enrich.Registry().add("band", lambda df: df.withColumn("band", T.quality_band("data_quality_score")))
-    out = plan.run(sources, plan.Profile(priorities=PRIORITIES), features=steps)
+    out = _run(spark, d, steps)
     return out.table.select("organization_slug", "organization_name", "contact_primary_email", "data_quality_score", "band")
 
 
@@ -584,7 +672,7 @@ def policy_warnings(spark, d):
 
 def allowed_providers(spark, d):
     """P09"""
-    policy = read(spark, d, "orders").filter("o_orderkey % 2 = 0").select(F.lower("o_orderpriority").alias("provider")).filter("provider not like '5%'")
+    policy = read(spark, d, "orders").select(F.lower("o_orderpriority").alias("provider")).filter("provider not like '5%'")
     return mapping.allowed(read(spark, d, "orders").withColumnRenamed("o_orderpriority", "provider"), policy, strict=False).groupBy("provider").agg(F.count("*").alias("n"))
 
 
@@ -651,9 +739,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         entity_survivorship, entity_contacts, entity_conflicts, source_breakdown, value_counts, column_stats, latest_interaction, profile_customer, completeness_documents, duplicate_documents,
         first_document, slug_dedup, daily_list, expectation_suite, contract_check, valid_orders, page_websites, page_content, pii_documents, pii_redacted, pii_events, consent_report, consent_violations,
-        lookup_cascade, cascade_entries, intent_scores, intent_digest, intent_since, signal_cache, response_cache, stream_dedup, stream_windows, stream_sessions, backfill_orders, rule_linkage, linkage_clusters,
-        fellegi_sunter, review_queue, fuzzy_parts, entity_registry, near_suppliers, supplier_clusters, party_parties, party_methods, lead_model, contact_table, email_checks, phone_numbers, addresses, company_names,
-        changed_prices, backfill_plan, upserted, run_history, gate_history, frameworks_due, error_counts, first_turns, confidence_ranges, recent_orders, robots_pages, provider_join, refined_pipeline, registry_payloads, registry_join, geocoded, reverse_geocoded, research_plan, new_targets, authority_hits,
+        lookup_cascade, cascade_entries, intent_scores, intent_digest, intent_since, signal_cache, response_cache, stream_dedup, stream_scores, stream_windows, stream_sessions, backfill_orders, rule_linkage, linkage_clusters,
+        fellegi_sunter, review_queue, linkage_written, fuzzy_parts, fuzzy_phones, entity_registry, near_suppliers, supplier_clusters, party_parties, party_methods, lead_model, contact_table, email_checks, phone_numbers, addresses, company_names,
+        changed_prices, backfill_plan, upserted, run_history, gate_history, frameworks_due, error_counts, first_turns, confidence_ranges, recent_orders, robots_pages, provider_join, refined_pipeline, refined_expectations, refined_report, refined_advice, quality_distribution, refined_contract, refined_schema, feature_order, registry_payloads, registry_join, geocoded, reverse_geocoded, research_plan, new_targets, authority_hits,
         policy_warnings, allowed_providers, person_names, identifiers, entity_priorities, party_confidence, resolved_intent, field_classes, order_checksum, target_signals,
     )
 }
+QUERIES |= TABLE_QUERIES

@@ -11,11 +11,12 @@ from goldpan.operators.mapping import canonical
 
 
 def read_any(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    """json, ndjson, csv, orc or parquet by the end of the name; blank text is null."""
+    """json, ndjson, csv, orc or parquet by the end of the name; blank text is null. A json file may hold one array or a record a line."""
     kind = path.rstrip("/").rsplit(".", 1)[-1].lower()
     reader = spark.read if schema is None else spark.read.schema(schema)
     if kind in ("json", "ndjson", "jsonl"):
-        df = reader.option("multiLine", kind == "json").json(path)
+        head = spark.read.text(path).filter("trim(value) <> ''").first() if kind == "json" else None
+        df = reader.option("multiLine", head is not None and (head[0].lstrip().startswith("[") or head[0].strip() == "{")).json(path)
     elif kind == "csv":
         df = reader.option("header", True).csv(path)
     elif kind in ("parquet", "orc"):

@@ -27,8 +27,18 @@ def run_to_table(df: DataFrame, path: str, checkpoint: str, mode: str = "append"
     return query
 
 
+def run_to_snapshot(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Drain what is there; the whole result of the aggregation replaces the files after each batch, open windows included."""
+    query = df.writeStream.outputMode("complete").foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(path)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return query
+
+
 def upsert_stream(df: DataFrame, path: str, checkpoint: str, keys: list[str], position: str) -> StreamingQuery:
-    """Last wins across batches: each batch becomes a version of the store beside the one before it."""
+    """Last wins across batches: each batch becomes a version of the store beside the one before it; older ones are deleted.
+
+    A version is the whole store, as plain files can't be updated in place; a table format with MERGE spares that.
+    """
     from goldpan.operators.dedup import keep_last, upsert
 
     def merge(batch: DataFrame, number: int) -> None:
@@ -37,6 +47,9 @@ def upsert_stream(df: DataFrame, path: str, checkpoint: str, keys: list[str], po
         if number:
             new = upsert(spark.read.schema(batch.schema).parquet(f"{path}/v={number - 1}"), new, keys)
         new.write.mode("overwrite").parquet(f"{path}/v={number}")
+        if number > 1:  # a batch that runs again needs the version before it
+            old = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/v={number - 2}")
+            old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(old, True)
 
     query = df.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
