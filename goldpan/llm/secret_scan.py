@@ -7,6 +7,8 @@ links them to identifiers and endpoints near by, and only those with complementa
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -28,7 +30,8 @@ LOGIN = re.compile(
     "(?:" + "|".join(_any_case(k) for k in ("username", "user", "login", "account", "client_id", "clientid", "key_id", "keyid"))
     + r""")["']?\x20*[:=]\x20*["']?([A-Za-z0-9._@-]{3,})"""
 )
-ENDPOINT = re.compile(r"""[a-z][a-z0-9+.-]{1,15}://[^\s"'<>]{4,}|\b[a-z0-9-]+(?:\.[a-z0-9-]+)+:[0-9]{2,5}\b""")
+#: A URL, or a host with a port. Hosts are tried at their first character only and never given back, so the time is linear in the text.
+ENDPOINT = re.compile(r"""[a-z][a-z0-9+.-]{1,15}://[^\s"'<>]{4,}|(?<![A-Za-z0-9_.-])[a-z0-9-]++(?:\.[a-z0-9-]++)++:[0-9]{2,5}\b""")
 #: The order of kinds that start at the same place.
 KINDS = ("assign", "access", "hex", "weak")
 _SPAN = "array<struct<start:int,kind:string,end:int>>"
@@ -46,9 +49,10 @@ def _scan(text: str) -> tuple[list, list]:
     ends = [(m.start(), "endpoint", m.end()) for m in ENDPOINT.finditer(text)] if logins else []
     parts = access + (logins + ends if logins and ends else [])
     if parts:
+        starts, reach = [x[0] for x in base], [0, *accumulate((x[2] for x in base), max)]
         for m in WEAK.finditer(text):
             token = m[0]
-            free = all(end <= m.start() or start >= m.end() for start, _, end in base)
+            free = reach[bisect_left(starts, m.end())] <= m.start()  # base spans that begin before its end have ended by its start
             if free and any(c.isdigit() for c in token) and any(c.isupper() for c in token) and any(c.islower() for c in token):
                 parts.append((m.start(), "weak", m.end()))
         if not any(x[1] == "weak" for x in parts):
