@@ -7,7 +7,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_text
+from .common import id_text, lookup, materialize
 
 #: White space that is stripped from both ends of a line.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -29,7 +29,7 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
 
     Plan: the keys are shuffled as two 64-bit hashes, first by (key, document), so that a line that a third of all
     documents hold is spread, then as partial counts by key. The join back to the lines has one row for each hot key,
-    so AQE can split its skew. Texts move once, to meet their dropped positions.
+    and is broadcast if these are counted to be few; else AQE can split its skew. Texts move once, to meet their dropped positions.
     """
     lines = id_text(docs, id_col, text_col).select(
         "doc_id", F.xxhash64("text").alias("text_hash"), F.split("text", "\n", -1).alias("lines")
@@ -41,13 +41,13 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
         .filter(F.length("key") >= min_chars)
         .select("doc_id", "text_hash", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(7), "key").alias("h2"))
     )
-    hot = (
+    hot = materialize(
         keys.groupBy("h1", "h2", "doc_id").agg(F.lit(1).alias("one"))
         .groupBy("h1", "h2").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("last_id"))
-        .filter(F.col("n_docs") >= min_docs).select("h1", "h2", "last_id")
+        .filter(F.col("n_docs") >= min_docs).select("h1", "h2", "last_id"), "hot-lines"
     )
     dropped = (
-        keys.join(hot, ["h1", "h2"]).filter(~F.col("doc_id").eqNullSafe(F.col("last_id")))
+        keys.join(lookup(hot), ["h1", "h2"]).filter(~F.col("doc_id").eqNullSafe(F.col("last_id")))
         .groupBy("doc_id", "text_hash").agg(F.collect_set("pos").alias("dropped"))
         .select(F.col("doc_id").alias("d_id"), F.col("text_hash").alias("d_hash"), "dropped")
     )
