@@ -15,12 +15,16 @@ PII = {
     "IP_ADDRESS": r"\b(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\b",
     "PHONE_NUMBER": r"\+[0-9][0-9 ()-]{7,14}[0-9]",
 }
+#: What a text without has no hit of the kind, so that most texts spare a pattern.
+NEEDED = {"EMAIL_ADDRESS": "@", "URL": "://", "IP_ADDRESS": ".", "PHONE_NUMBER": "+"}
 #: Kinds whose hits must pass the Luhn test.
 LUHN = ("CREDIT_CARD", "ID_NUMBER")
 
 
 def _found(text: Column, kind: str) -> Column:
     hits = F.regexp_extract_all(text, F.lit(PII[kind]), F.lit(0))
+    if kind in NEEDED:
+        hits = F.when(F.contains(text, F.lit(NEEDED[kind])), hits).otherwise(F.array().cast("array<string>"))
     if kind in LUHN:
         hits = F.filter(hits, _passes_luhn)
     return hits
@@ -53,6 +57,7 @@ def anonymise(c: Column, operation: str = "replace") -> Column:
         checked = kind in LUHN
         if operation in ("replace", "redact") and not checked:
             new = F.regexp_replace(out, pattern, f"<{kind}>" if operation == "replace" else "")
+            new = F.when(F.contains(out, F.lit(NEEDED[kind])), new).otherwise(out) if kind in NEEDED else new
         else:
             change = _each_hit(changes.get(operation) or _constant(f"<{kind}>"), checked)
             between, hits = F.split(out, pattern, -1), F.regexp_extract_all(out, F.lit(pattern), F.lit(0))

@@ -35,8 +35,13 @@ def _types(text: str) -> str:
 def _replaced(text: str) -> str:
     out = text
     for k, p in _PII.items():
-        new = f"regexp_replace({out}, '{p}', '<{k}>', 'g')"
-        out = f"(CASE WHEN {_has(k, out)} THEN {new} ELSE {out} END)" if k in ("CREDIT_CARD", "ID_NUMBER") else new
+        if k in ("CREDIT_CARD", "ID_NUMBER"):  # hit by hit: what stands between them, and each that fails the test, stays
+            hit, i = f"regexp_extract_all({out}, '{p}')", f"l_{k}"
+            new = f"CASE WHEN {_luhn(f'{hit}[{i}]')} THEN '<{k}>' ELSE {hit}[{i}] END"
+            joined = f"array_to_string(list_transform(range(1, len({hit}) + 2), lambda {i}: string_split_regex({out}, '{p}')[{i}] || CASE WHEN {i} <= len({hit}) THEN {new} ELSE '' END), '')"
+            out = f"(CASE WHEN {_has(k, out)} THEN {joined} ELSE {out} END)"
+        else:
+            out = f"regexp_replace({out}, '{p}', '<{k}>', 'g')"
     return out
 
 

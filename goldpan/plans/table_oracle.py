@@ -163,3 +163,5 @@ SELECT 'missing_column' AS "check", 'notes' AS field, 1 AS n UNION ALL SELECT 'e
     "feature_order": """WITH f AS (SELECT min(c_custkey) AS id FROM customer GROUP BY c_custkey % 97)
 SELECT id, 'rows>linkage>geography>enrichment>compliance' AS trail, coalesce('f' || s_suppkey, 'none') AS region, CASE WHEN s_suppkey IS NULL THEN 'default' ELSE 'geocoder' END AS provenance_source, 'pending' AS consent_status FROM f LEFT JOIN supplier ON s_suppkey = id % 50""",
 }
+
+ALL_SQL: dict[str, str] = SQL | TABLE_SQL | LINK_SQL | REFINED_QUERIES_SQL

@@ -1,3 +1,4 @@
+import hashlib
 import itertools
 import math
 import random
@@ -105,9 +106,9 @@ def test_history_is_one_to_one(spark):
 
 
 def test_components_and_clusters(spark):
-    edges = spark.createDataFrame([(1, 2), (3, 2), (7, 8)] + [(20 + i, 21 + i) for i in range(15)], "l long, r long")
+    edges = spark.createDataFrame([(1, 2), (3, 2), (7, 8), (5, 5), (2, 1), (2, 2)] + [(20 + i, 21 + i) for i in range(15)], "l long, r long")
     got = {r.node: r.component for r in connected_components(edges, "l", "r").collect()}
-    assert got == {1: 1, 2: 1, 3: 1, 7: 7, 8: 7} | {20 + i: 20 for i in range(16)}
+    assert got == {1: 1, 2: 1, 3: 1, 5: 5, 7: 7, 8: 7} | {20 + i: 20 for i in range(16)}
     ids = spark.createDataFrame([(i,) for i in (1, 2, 3, 4)], "id long")
     assert {r.id: r.cluster_id for r in linkage.clusters(edges, ids).collect()} == {1: 1, 2: 1, 3: 1, 4: 4}
 
@@ -161,7 +162,7 @@ def test_contract_and_suite(spark):
     got = {r.expectation: r.success for r in quality.run_suite(df, suite).collect()}
     assert got == {"Name not_null": True, "Extra matches": False, "Age exists": False}
     assert [r.value for r in quality.unexpected(df, suite, ["Extra matches"]).collect()] == ["x"]
-    assert len(quality.CONTRACTS) == 7
+    assert len(quality.CONTRACTS) == 8
 
 
 def test_all_invalid_keeps_all(spark):
@@ -179,6 +180,9 @@ def test_privacy(spark):
     assert found[0].t_pii_types == "CREDIT_CARD,EMAIL_ADDRESS,IP_ADDRESS,URL" and not found[1].t_has_pii
     rows, events = privacy.redact(df, ["t", "l"], "k", "replace")
     assert rows.filter("k = 1").first().l == ["<EMAIL_ADDRESS>", "ok"] and events.count() == 2
+    assert rows.filter("k = 1").first().t == "Mail <EMAIL_ADDRESS>, card <CREDIT_CARD>, not 4111 1111 1111 1112, ip <IP_ADDRESS>, see <URL>"
+    for operation, card in (("redact", ""), ("mask", "*" * 19), ("hash", hashlib.sha256(b"4111 1111 1111 1111").hexdigest())):
+        assert f"card {card}, not 4111 1111 1111 1112," in df.select(privacy.anonymise(F.col("t"), operation).alias("m")).first().m
     assert df.select(privacy.anonymise(F.col("t"), "mask").alias("m")).first().m.startswith("Mail **********,")
     checks = privacy.consent_checks(spark.createDataFrame([(1, "a", "granted"), (2, "b", None), (3, None, None)], "k int, contact_primary_email string, consent_status string"))
     assert {r.k: r.reason for r in checks.collect()} == {1: None, 2: "missing"}
