@@ -18,8 +18,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import shared_prints as sp
-from .common import id_text, materialize, release, text_bytes
-from .components import components
+from goldpan.operators.components import connected_components
+from goldpan.scratch import release, written
+
+from .common import id_text, text_bytes
 from .rolling import SPACED, U, Words, fixed_windows, grams, laid_out, mix, prefix, slices, spans
 
 SLACK = 1
@@ -173,11 +175,11 @@ def shingle_sets(texts: DataFrame, *, n: int, num: int, den: int, chunks: int) -
         return pa.concat_tables(out)
 
     answers = sp.answers(dealt.groupBy("chunk").applyInArrow(send, sp.BLOBS))
-    return materialize(dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(keep, _SETS), "shingle-sets")
+    return written(dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(keep, _SETS), "shingle-sets")
 
 
 def similar_sets(rows: DataFrame, *, num: int, den: int) -> DataFrame:
-    """s1, s2 and first (ord and text_hash of the first row of its component) for each distinct set with a link to another; ``rows`` as of ``shingle_sets``.
+    """s1, s2 and first (ord and text_hash of the first row of its component) for each distinct set with a link to another; ``rows`` as of ``shingle_sets``, which is deleted on the way.
 
     Sets are numbered in the order of their first rows, as one ord may stand for several texts.
 
@@ -193,51 +195,60 @@ def similar_sets(rows: DataFrame, *, num: int, den: int) -> DataFrame:
     marked = rows.filter(F.size("prints") > 0)
     ids = marked.groupBy("s1", "s2", "n").agg(F.min(F.struct("ord", "text_hash")).alias("first"))
     at = ["ord", "text_hash", "s1", "s2"]
-    chosen = materialize(ids.select("first.ord", "first.text_hash", "s1", "s2").orderBy(*at).withColumn("rep", F.monotonically_increasing_id()), "distinct-sets")
-    own = lambda column: marked.select(*at, "n", column).join(chosen, at).select("rep", "n", column)
-    keyed, sets = own("prints").select("rep", F.explode("prints").alias("key")), own("shingles")
+    chosen = written(ids.select("first.ord", "first.text_hash", "s1", "s2").orderBy(*at).withColumn("rep", F.monotonically_increasing_id()), "distinct-sets")
+    keyed = marked.select(*at, "prints").join(chosen, at).select("rep", F.explode("prints").alias("key"))
     first = keyed.groupBy("key").agg(F.min("rep").alias("hub"), F.count("*").alias("c")).filter("c > 1").select("key", "hub")
-    tried = materialize(keyed.join(first, "key").filter("rep > hub").select("hub", "rep").distinct(), "hub-pairs")
-
-    hubs = sets.select(F.col("rep").alias("hub"), F.col("n").alias("hub_n"), F.col("shingles").alias("hub_shingles"))
-    compared = tried.join(sets, "rep").join(hubs, "hub")
+    members = written(keyed.join(first, "key").filter("rep > hub").select("key", "hub", "rep"), "hub-members")
+    tried = written(members.select("hub", "rep").distinct(), "hub-pairs")
+
+    # Numbers are turned back into rows first, so that shingles are shuffled once to be found and once more by hub.
+    shingles = marked.select(*at, "n", "shingles")
+    reps = tried.join(chosen, "rep").join(shingles, at).select("hub", "rep", "n", "shingles")
+    hubs = tried.select(F.col("hub").alias("rep")).distinct().join(chosen, "rep").join(shingles, at).select(F.col("rep").alias("hub"), F.col("n").alias("hub_n"), F.col("shingles").alias("hub_shingles"))
+    compared = reps.join(hubs, "hub")
     compared = compared.select("hub", "rep", "n", "hub_n", F.array_except("shingles", "hub_shingles").alias("adds"), F.array_except("hub_shingles", "shingles").alias("lacks"))
     linked = den * (F.col("n") - F.size("adds")) >= num * (F.col("hub_n") + F.size("adds"))
-    compared = materialize(compared.withColumn("linked", linked), "hub-differences")
+    compared = written(compared.withColumn("linked", linked), "hub-differences")
     release(tried)
+    release(rows)
     links = compared.filter("linked").select(F.col("hub").alias("a"), F.col("rep").alias("b"))
-    found = materialize(components(links), "set-components")
+    found = written(connected_components(links), "set-components")
 
     labels = found.select(F.col("node").alias("rep"), "component")
     share = (den - num) / (den + num)  # sets of sizes n and m link if they differ in share * (n + m) shingles at most
-    lone = compared.groupBy("hub").agg(F.count("*").alias("sets"), F.bool_and("linked").alias("all")).filter("sets > 1 and not all").select("hub")
     size = F.size("adds") + F.size("lacks")
     # A set that links to one of size n has num * n / den to den * n / num shingles, and a difference as large as its own but for reach.
     reach = share * F.col("n") * (1 + den / num) + 1e-9
     room = size - (size - share * F.greatest(F.lit(0), F.col("n") - F.col("hub_n"))) / 2 + 1e-9  # as an unlinked partner's difference isn't small
-    compared_ = compared.join(lone, "hub").withColumn("s", size).withColumn("first", F.floor(reach).cast("int") + 1)
-    compared_ = compared_.withColumn("first_b", F.when(F.col("linked"), F.least("first", F.floor(room).cast("int") + 1)).otherwise(F.col("first")))
-    each = compared_.select("hub", "rep", F.explode(F.concat("adds", "lacks")).alias("x"))
-    common = each.groupBy("hub", "x").agg(F.count("*").alias("c")).filter("c > 1")
-    placed = each.join(common, ["hub", "x"]).groupBy("hub", "rep").agg(F.sort_array(F.collect_list(F.struct("c", "x"))).alias("order"))
-    placed = placed.join(compared_.select("hub", "rep", "n", "s", "linked", "first", "first_b"), ["hub", "rep"]).withColumn("lone", F.col("s") - F.size("order"))
-    placed = placed.filter(F.col("lone") < F.col("first_b")).withColumn("order", F.expr("slice(order, 1, first_b - lone).x"))
-    placed = placed.join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    placed = materialize(placed.select("hub", "rep", "component", "n", "s", "linked", "lone", "order"), "hub-orders")
+    first = F.floor(reach).cast("int") + 1
+    first = F.when(F.col("linked"), F.least(first, F.floor(room).cast("int") + 1)).otherwise(first)
+    sets_of = compared.select("hub", "rep", "n", "linked", size.alias("s"), first.alias("first")).join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    sets_of = written(sets_of, "hub-sets")
+    # Two sets have to meet only if they share a signature; most signatures have one set beside the hub, or sets of one component, and need nothing.
+    open_ = members.join(sets_of, ["hub", "rep"]).groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.bool_and("linked").alias("all"))
+    open_ = written(members.join(open_.filter("least < most and not all").select("key"), "key").select("hub", "rep").distinct().join(sets_of, ["hub", "rep"]), "open-sets")
+    release(members)
+    # A shingle of a hub goes by one hash of both; a clash only makes a candidate more.
+    each = compared.join(open_.select("hub", "rep"), ["hub", "rep"], "left_semi").select(F.xxhash64("hub", "rep").alias("pair"), "hub", F.explode(F.concat("adds", "lacks")).alias("x")).select("pair", F.xxhash64("hub", "x").alias("x"))
+    common = each.groupBy("x").agg(F.count("*").alias("c")).filter("c > 1")
+    placed = each.join(common, "x").groupBy("pair").agg(F.sort_array(F.collect_list(F.struct("c", "x"))).alias("order"))
+    placed = placed.join(open_.withColumn("pair", F.xxhash64("hub", "rep")), "pair").withColumn("lone", F.col("s") - F.size("order"))
+    placed = placed.filter(F.col("lone") < F.col("first")).withColumn("order", F.expr("slice(order, 1, first - lone).x"))
+    placed = written(placed.select("hub", "rep", "component", "n", "s", "linked", "lone", "order"), "hub-orders")
     side = lambda k: placed.select("hub", "linked", *[F.col(c).alias(f"{c}{k}") for c in ("rep", "component", "n", "s", "lone")], F.posexplode("order").alias(f"i{k}", "x"))
     b, c = side("b"), side("c").filter("not linked").drop("linked")
     may = share * (F.col("nb") + F.col("nc")) + 1e-9
     left = F.least(F.col("sb") - F.col("loneb") - F.col("ib"), F.col("sc") - F.col("lonec") - F.col("ic"))  # behind the first shingle that both have
     enough = (2 * left >= F.col("sb") + F.col("sc") - may) & (F.abs(F.col("sb") - F.col("sc")) <= may)
     met = b.join(c, ["hub", "x"]).filter(F.expr("repb <> repc and componentb <> componentc") & enough)
-    met = materialize(met.select("hub", F.least("repb", "repc").alias("b"), F.greatest("repb", "repc").alias("c")).distinct(), "met-pairs")
+    met = written(met.select("hub", F.least("repb", "repc").alias("b"), F.greatest("repb", "repc").alias("c")).distinct(), "met-pairs")
     release(placed)
     side = lambda k: compared.select("hub", F.col("rep").alias(k), F.col("n").alias(f"n{k}"), F.col("adds").alias(f"a{k}"), F.col("lacks").alias(f"l{k}"))
     both = F.size(F.array_intersect("ab", "ac")) + F.size(F.array_intersect("lb", "lc"))
     apart = F.size("ab") + F.size("lb") + F.size("ac") + F.size("lc") - 2 * both
-    new = materialize(met.join(side("b"), ["hub", "b"]).join(side("c"), ["hub", "c"]).filter((den + num) * apart <= (den - num) * (F.col("nb") + F.col("nc"))).select(F.col("b").alias("a"), F.col("c").alias("b")).distinct(), "more-links")
+    new = written(met.join(side("b"), ["hub", "b"]).join(side("c"), ["hub", "c"]).filter((den + num) * apart <= (den - num) * (F.col("nb") + F.col("nc"))).select(F.col("b").alias("a"), F.col("c").alias("b")).distinct(), "more-links")
     if not new.isEmpty():
-        found = materialize(components(links.unionByName(new)), "set-components")
+        found = written(connected_components(links.unionByName(new)), "set-components")
     release(compared)
     of = found.join(chosen, F.col("node") == F.col("rep")).select("component", "s1", "s2", F.struct("ord", "text_hash").alias("row"))
     return of.join(of.groupBy("component").agg(F.min("row").alias("first")), "component").select("s1", "s2", "first")
@@ -247,10 +258,11 @@ def _linked_rows(docs: DataFrame, id_col: str, text_col: str, n: int, num: int,
     """ord, text_hash, n and first: ord and text_hash of the first row that links reach, itself included."""
     texts = id_text(docs, id_col, text_col)
     rows = shingle_sets(texts, n=n, num=num, den=den, chunks=chunks or sp.chunk_count(text_bytes(texts)))
-    linked = materialize(similar_sets(rows, num=num, den=den), "linked-sets")
+    base = written(rows.select("ord", "text_hash", "n", "s1", "s2"), "set-rows")
+    linked = written(similar_sets(rows, num=num, den=den), "linked-sets")
     row = F.struct("ord", "text_hash")
-    classes = rows.filter("n > 0").groupBy("s1", "s2").agg(F.min(row).alias("own")).join(linked, ["s1", "s2"], "left").select("s1", "s2", F.coalesce("first", "own").alias("first"))
-    base = rows.select("ord", "text_hash", "n", F.when(F.col("n") > 0, F.col("s1")).alias("s1"), F.col("s2"))
+    classes = base.filter("n > 0").groupBy("s1", "s2").agg(F.min(row).alias("own")).join(linked, ["s1", "s2"], "left").select("s1", "s2", F.coalesce("first", "own").alias("first"))
+    base = base.select("ord", "text_hash", "n", F.when(F.col("n") > 0, F.col("s1")).alias("s1"), F.col("s2"))
     return base.join(classes, ["s1", "s2"], "left").select("ord", "text_hash", "n", F.coalesce("first", row).alias("first"))
 
 
