@@ -1,77 +1,10 @@
-"""Helpers shared by the operators: scratch tables in the shared folder and inputs with fixed names."""
+"""Helpers shared by the operators: inputs with fixed names."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-from contextlib import contextmanager
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors see; an own one only where the session names none (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not found:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir names no folder that the executors share")
-        found = "file://" + tempfile.mkdtemp(prefix="goldpan-")
-        spark.sparkContext.setCheckpointDir(found)
-    return found.rstrip("/")
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/goldpan-{name}-{uuid.uuid4().hex}"
-
-
-@contextmanager
-def _shuffles_end_with_the_job(spark: SparkSession):
-    """A written table needs no shuffle files any more, so they go when its job ends."""
-    before = spark.conf.get(_CLEANUP, None)
-    spark.conf.set(_CLEANUP, "true")
-    try:
-        yield
-    finally:
-        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
-
-
-#: Lists that tables written from now on are added to.
-_watching: list[list[DataFrame]] = []
-
-
-@contextmanager
-def scratch_tables():
-    """A list of the scratch tables that are written inside, so that they can be released when nothing reads them any more."""
-    found: list[DataFrame] = []
-    _watching.append(found)
-    try:
-        yield found
-    finally:
-        _watching.remove(found)
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it again: cuts lineage, survives lost executors."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    with _shuffles_end_with_the_job(spark):
-        df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out.goldpan_path = path
-    for found in _watching:
-        found.append(out)
-    return out
-
-
-def release(df: DataFrame, spark: SparkSession | None = None) -> None:
-    """Delete a table that ``materialize`` wrote and that no later plan reads; one that is gone already is no error."""
-    spark = spark or df.sparkSession
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df.goldpan_path)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -88,12 +21,3 @@ def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 def text_bytes(docs: DataFrame) -> int:
     """Bytes of all texts: one scan and one row."""
     return docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-
-
-#: Rows up to which a table that was written and counted may be broadcast.
-BROADCAST_ROWS = 50_000
-
-
-def lookup(small: DataFrame) -> DataFrame:
-    """``small`` is a written table. Broadcast it if its counted rows are few; beyond that it joins by shuffle."""
-    return F.broadcast(small) if small.count() <= BROADCAST_ROWS else small

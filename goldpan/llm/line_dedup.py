@@ -7,7 +7,9 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_text, lookup, materialize
+from goldpan.scratch import lookup, written
+
+from .common import id_text
 
 #: White space that is stripped from both ends of a line.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -41,7 +43,7 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
         .filter(F.length("key") >= min_chars)
         .select("doc_id", "text_hash", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(7), "key").alias("h2"))
     )
-    hot = materialize(
+    hot = written(
         keys.groupBy("h1", "h2", "doc_id").agg(F.lit(1).alias("one"))
         .groupBy("h1", "h2").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("last_id"))
         .filter(F.col("n_docs") >= min_docs).select("h1", "h2", "last_id"), "hot-lines"

@@ -17,7 +17,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import shared_prints as sp
-from .common import id_text, materialize, text_bytes
+from goldpan.scratch import written
+
+from .common import id_text, text_bytes
 from .rolling import SPACED, U, Words, laid_out, mix, slices
 from .shared_prints import contains
 
@@ -166,8 +168,8 @@ def score(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     chunks = chunks or sp.chunk_count(text_bytes(texts))
     kept = None
     if vocabulary is not None:
-        kept = np.sort(materialize(word_counts(texts), "word-counts").orderBy(F.desc("n"), "word").limit(vocabulary).toArrow().column("word").to_numpy().view(U))
-    good = materialize(
+        kept = np.sort(written(word_counts(texts), "word-counts").orderBy(F.desc("n"), "word").limit(vocabulary).toArrow().column("word").to_numpy().view(U))
+    good = written(
         labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("q")).filter("q = 1").select(F.col("doc_id").cast("long").alias("t_id")), "target-ids"
     )
     marked = texts.join(F.broadcast(good) if good.count() <= BROADCAST_IDS else good, F.col("doc_id") == F.col("t_id"), "left")
@@ -185,8 +187,8 @@ def score(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
         _, owned = _answered(own.keys, own.seen, chunks, answers)
         return _messages(cols["chunk"][0].as_py(), own.words, own.word_columns(owned), chunks)
 
-    pairs = materialize(dealt.groupBy("chunk").applyInArrow(send, _COUNTS).groupBy("bucket").applyInArrow(_sum, _SUMS), "bigram-sums").select("chunk", "bucket", "data")
-    words = materialize(dealt.groupBy("chunk").cogroup(pairs.groupBy("chunk")).applyInArrow(send_words, _COUNTS).groupBy("bucket").applyInArrow(_sum, _SUMS), "word-sums")
+    pairs = written(dealt.groupBy("chunk").applyInArrow(send, _COUNTS).groupBy("bucket").applyInArrow(_sum, _SUMS), "bigram-sums").select("chunk", "bucket", "data")
+    words = written(dealt.groupBy("chunk").cogroup(pairs.groupBy("chunk")).applyInArrow(send_words, _COUNTS).groupBy("bucket").applyInArrow(_sum, _SUMS), "word-sums")
     kinds, *totals = (x or 0 for x in words.agg(F.sum("words"), F.sum("n_all"), F.sum("n_target")).first())
     width = (kinds if kept is None else len(kept)) + 2
 

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import lookup, materialize
+from goldpan.scratch import lookup, written
 
 WEIGHTS = (3.0, 1.0, 2.0)
 _SCHEMA = "r long, doc_id long, text_hash long, row_hash long, source string, size long, source_size long, target double, whole int, p double, bucket long, done boolean"
@@ -98,12 +98,12 @@ def _sizes(docs: DataFrame, id_col: str, text_col: str, source_col: str, carry:
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     named = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{source_col}`").cast("string").alias("source"), text.alias("t"), F.xxhash64(row).alias("row_hash"), *[row.alias("row")] * carry)
     size = F.regexp_count("t", F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("size")
-    return materialize(named.select(F.monotonically_increasing_id().alias("r"), "doc_id", F.xxhash64("t").alias("text_hash"), "row_hash", "source", size, *["row"] * carry), "mix-sizes")
+    return written(named.select(F.monotonically_increasing_id().alias("r"), "doc_id", F.xxhash64("t").alias("text_hash"), "row_hash", "source", size, *["row"] * carry), "mix-sizes")
 
 
 def _plan(sizes: DataFrame, weights: tuple[float, ...], share: float, most: float, seed: int, bucket_rows: int, fan_in: int) -> DataFrame:
     """The columns of ``mix``, and r, for each row of ``sizes``."""
-    aims = materialize(targets(sizes, weights=weights, share=share, most=most), "mix-targets")
+    aims = written(targets(sizes, weights=weights, share=share, most=most), "mix-targets")
     t = aims.select(F.col("source").alias("t_source"), "source_size", "n_docs", "target")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     rows = sizes.join(lookup(t), F.col("source").eqNullSafe(F.col("t_source"))).withColumn("rate", rate)
@@ -117,7 +117,7 @@ def _plan(sizes: DataFrame, weights: tuple[float, ...], share: float, most: floa
     round_ = lambda df: df.groupBy("source", "bucket").applyInPandas(_rounder(seed, level, fan_in), _SCHEMA)
     done = []
     while True:
-        rows = materialize(round_(rows), f"mix-level{level}")
+        rows = written(round_(rows), f"mix-level{level}")
         if buckets <= 1:
             break
         done.append(rows.filter("done"))

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialize
+from goldpan.scratch import written
 
 _any_case = lambda word: "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in word)
 _KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
@@ -80,7 +80,7 @@ def find_secrets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     scanned = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text")).select(
         "doc_id", F.xxhash64("text").alias("text_hash"), scan("text").alias("s")
     )
-    rows = materialize(scanned.select("doc_id", "text_hash", "s.base", "s.parts"), "secret-parts")
+    rows = written(scanned.select("doc_id", "text_hash", "s.base", "s.parts"), "secret-parts")
     parts = rows.filter(F.size("parts") > 0).dropDuplicates(["doc_id", "text_hash"]).select("doc_id", "text_hash", F.explode("parts").alias("p")).select("doc_id", "text_hash", "p.*")
     weak = parts.filter("kind = 'weak'").select(
         "doc_id", "text_hash", "start", "end",

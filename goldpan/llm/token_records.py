@@ -20,7 +20,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import lookup, materialize, scratch_path, text_bytes
+from goldpan.scratch import lookup, new_path, written
+
+from .common import text_bytes
 from .rolling import U, laid_out, slices, strings, tidy
 from .shared_prints import contains
 
@@ -237,7 +239,7 @@ def write_records(docs: DataFrame, path: str, *, tokenizer_path: str, end_id: in
 
     order = [F.col("doc_id").asc_nulls_first(), F.col("hash").asc()]  # not by id alone: many rows may have none, or the same
     ordered = texts.withColumn("hash", F.xxhash64("text")).repartitionByRange(shards, *order).sortWithinPartitions(*order).drop("hash")
-    return materialize(ordered.mapInArrow(write, "shard int, n_docs long, n_tokens long, width int"), "token-manifest")
+    return written(ordered.mapInArrow(write, "shard int, n_docs long, n_tokens long, width int"), "token-manifest")
 
 
 def _vocabulary(path: str, end_id: int) -> int:
@@ -297,10 +299,10 @@ def read_records(manifest: DataFrame, path: str) -> DataFrame:
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*.bin").load(path).select("path", "content")
     bases = manifest.select(F.col("shard").alias("b_shard"), (F.sum("n_tokens").over(Window.partitionBy(F.lit(1)).orderBy("shard")) - F.col("n_tokens")).alias("base"))
     rows = files.mapInArrow(read, schema)
-    return rows.join(lookup(materialize(bases, "token-bases")), F.col("shard") == F.col("b_shard")).select("doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
+    return rows.join(lookup(written(bases, "token-bases")), F.col("shard") == F.col("b_shard")).select("doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
 
 
 def encode_and_read(docs: DataFrame, *, tokenizer_path: str, end_id: int = 0, path: str | None = None, **options) -> DataFrame:
     """Write the records to ``path`` (a new folder in the shared one if none is given) and read them back."""
-    path = path or scratch_path(docs.sparkSession, "tokens")
+    path = path or new_path(docs.sparkSession, "tokens")
     return read_records(write_records(docs, path, tokenizer_path=tokenizer_path, end_id=end_id, **options), path)
