@@ -22,7 +22,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import shared_prints as sp
-from .common import materialize, release, text_bytes
+from goldpan.scratch import release, written
+
+from .common import text_bytes
 from .rolling import U, fixed_windows, grams, mix, prefix, sliding_min, spans
 
 _PARTS = "chunk int, ord long, text_hash long, start int, data binary"
@@ -94,7 +96,7 @@ def _wide(symbols: np.ndarray) -> np.ndarray:
     return BYTE_SYMBOL[symbols] if symbols.dtype == np.uint8 else symbols
 
 
-def _shared_parts(docs: DataFrame, read: Callable, length: int, k: int, chunks: int) -> DataFrame:
+def shared_parts(docs: DataFrame, read: Callable, length: int, k: int, chunks: int) -> DataFrame:
     """Steps 1: (chunk, ord, text_hash, start, data) of each stretch under anchors that two documents share."""
     texts = sp.chunked(docs, chunks)
 
@@ -130,7 +132,7 @@ def _shared_parts(docs: DataFrame, read: Callable, length: int, k: int, chunks:
         return pa.table({"chunk": pa.array(out["chunk"], pa.int32()), "ord": join(out["ord"], np.int64), "text_hash": join(out["text_hash"], np.int64), "start": join(out["start"], np.int32), "data": pa.array(out["data"], pa.binary())})
 
     answers = sp.answers(texts.groupBy("chunk").applyInArrow(send, sp.BLOBS))
-    return materialize(texts.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(keep, _PARTS), "shared-parts")
+    return written(texts.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(keep, _PARTS), "shared-parts")
 
 
 def _joined_windows(runs: Runs, on: np.ndarray, length: int):
@@ -202,7 +204,7 @@ def covered(docs: DataFrame, *, length: int, k: int, read: Callable, dtype, loca
     up to which they meet in one group. ``read``: (texts, begin, end) -> symbols and their number in each text. ``local``: see step 3.
     """
     chunks = chunks or sp.chunk_count(text_bytes(docs))
-    parts = _shared_parts(docs, read, length, k, chunks)
+    parts = shared_parts(docs, read, length, k, chunks)
 
     def send(table: pa.Table) -> pa.Table:
         cols = sp.columns(table)
@@ -292,13 +294,13 @@ def covered(docs: DataFrame, *, length: int, k: int, read: Callable, dtype, loca
         return pa.concat_tables(out)
 
     met = parts.groupBy("chunk").applyInArrow(send, "bucket int, chunk int, prints binary, counts binary, contents binary, ords binary").groupBy("bucket").applyInArrow(_meet, "chunk int, bucket int, flags binary")
-    settled = materialize(parts.groupBy("chunk").cogroup(met.groupBy("chunk")).applyInArrow(settle, _FOUND), "settled-runs")
+    settled = written(parts.groupBy("chunk").cogroup(met.groupBy("chunk")).applyInArrow(settle, _FOUND), "settled-runs")
     release(parts)
     left = settled.filter(F.col("kind") == LEFT)
-    sent = materialize(left.filter("spread").groupBy("part").applyInArrow(classes, "part long, print long, window long, least long"), "window-classes")
+    sent = written(left.filter("spread").groupBy("part").applyInArrow(classes, "part long, print long, window long, least long"), "window-classes")
     firsts = sent.groupBy("print", "window").agg(F.min("least").alias("first"), F.count("*").alias("c")).filter("c > 1").select("print", "window", "first")
     told = sent.join(firsts, ["print", "window"]).filter("first < least").select("part", "print", "window", "first")
-    compared = materialize(left.groupBy("part").cogroup(told.groupBy("part")).applyInArrow(compare, _FOUND), "compared-runs")
+    compared = written(left.groupBy("part").cogroup(told.groupBy("part")).applyInArrow(compare, _FOUND), "compared-runs")
     pairs = [df.filter(F.col("kind") == COVERED).select("ord", "text_hash", "start", "stop") for df in (settled, compared)]
     return pairs[0].unionByName(pairs[1]).groupBy("ord", "text_hash").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
 

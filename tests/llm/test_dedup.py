@@ -4,7 +4,6 @@ from collections import defaultdict
 import pytest
 
 from goldpan.llm import jaccard_join, line_dedup, substring_dedup, suffix_dedup
-from goldpan.llm.components import components
 from tests.llm.cases import collected, corpus, empty, rows
 
 LAST = 1 << 63
@@ -42,7 +41,7 @@ def test_suffixes_are_brute_force(spark, spread):
     assert collected(got.withColumn("runs", F.size("spans")), "doc_id", "n_bytes", "n_removed", "runs", "kept") == sorted(want, key=repr)
 
 
-@pytest.mark.parametrize("spread", [{}, {"chunks": 6}, {"chunks": 5, "together": 0}])
+@pytest.mark.parametrize("spread", [{}, {"chunks": 6}, {"chunks": 23}])
 def test_windows_are_brute_force(spark, spread):
     data = [(i, t.encode().split()) for i, t in table(spark)]
     want = [(i, len(seq), sum(gone), b" ".join(w for w, g in zip(seq, gone) if not g).decode()) for (i, gone), (_, seq) in zip(covered(data, 50), data)]
@@ -182,12 +181,6 @@ def test_rows_with_one_id_are_documents_of_their_own(spark):
         assert sum(t[:1] == "c" for _, t in kept) == 1
 
 
-def test_components(spark):
-    edges = spark.createDataFrame([(1, 2), (2, 3), (3, 4), (9, 8), (5, 5), (10, 9), (2, 1)] + [(100 + i, 101 + i) for i in range(20)], "a long, b long")
-    got = {r.node: r.component for r in components(edges).collect()}
-    assert got == {1: 1, 2: 1, 3: 1, 4: 1, 8: 8, 9: 8, 10: 8} | {100 + i: 100 for i in range(21)}
-
-
 def test_empty_tables(spark):
     none = empty(spark)
     assert suffix_dedup.dedup_strings(none).count() == 0
