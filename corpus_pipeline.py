@@ -17,8 +17,9 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 
 from goldpan.llm import decontaminate, jaccard_join, mixing, quality_rules, token_records
-from goldpan.llm.common import materialize, read_table, release, scratch_tables
+from goldpan.llm.common import read_table
 from goldpan.llm.queries import tokenizer_path
+from goldpan.scratch import release, scratch_tables, written
 
 _scratch: list[DataFrame] = []
 
@@ -83,5 +84,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
     return docs
