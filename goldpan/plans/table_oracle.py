@@ -67,7 +67,7 @@ SELECT header, CASE WHEN k = 2 THEN (SELECT max(target) FROM h) ELSE target END
     "mapped_columns": "SELECT c_custkey, c_name AS organization_name FROM customer",
     "semantic_types": """WITH c AS (SELECT 'u' || c_custkey || '@x.example' AS mail, '+27 82 ' || lpad(CAST(c_custkey AS VARCHAR), 7, '0') AS cell, 'https://x.example/' || c_custkey AS site, strftime(DATE '2020-01-01' + CAST(c_custkey AS INT), '%Y-%m-%d') AS day,
   CAST(c_acctbal AS VARCHAR) AS c_acctbal, CASE WHEN c_custkey % 2 = 0 THEN 'even' ELSE 'odd' END AS kind, c_name, CAST(NULL AS VARCHAR) AS nothing FROM customer),
-l AS (UNPIVOT INCLUDE NULLS c ON mail, cell, site, day, c_acctbal, kind, c_name, nothing INTO NAME column_name VALUE v)
+l AS (SELECT unnest(['mail', 'cell', 'site', 'day', 'c_acctbal', 'kind', 'c_name', 'nothing']) AS column_name, unnest([mail, cell, site, day, c_acctbal, kind, c_name, nothing]) AS v FROM c)
 SELECT column_name, CASE WHEN count(v) = 0 THEN 'empty' WHEN avg((v LIKE '%_@_%._%')::INT) > 0.7 THEN 'email' WHEN avg(regexp_matches(v, '^\\+[0-9 ]{7,}$')::INT) > 0.7 THEN 'phone' WHEN avg((v LIKE 'http%')::INT) > 0.7 THEN 'url'
   WHEN avg((try_strptime(v, '%Y-%m-%d') IS NOT NULL)::INT) > 0.7 THEN 'date' WHEN avg((TRY_CAST(v AS DOUBLE) IS NOT NULL)::INT) > 0.7 THEN 'numeric' WHEN count(DISTINCT v) < 10 THEN 'categorical' ELSE 'text' END AS semantic_type FROM l GROUP BY 1""",
     "row_provenance": "SELECT c_custkey, 'src' || c_nationkey AS provenance_source, 0.9 AS provenance_confidence, c_mktsegment AS source_datasets FROM customer WHERE c_custkey = 5",
@@ -127,7 +127,7 @@ pairs AS (SELECT least(a.id, b.id) AS l, greatest(a.id, b.id) AS r FROM ok JOIN
 SELECT count(*) AS n_pairs, CAST(sum(l) AS BIGINT) AS sum_l, CAST(sum(r) AS BIGINT) AS sum_r FROM pairs""",
     "fuzzy_phones": f"""WITH s AS (SELECT c_custkey AS id, '+27' || lpad(CAST(c_custkey * 7919 % 1000003 AS VARCHAR), 7, '0') || CASE WHEN c_custkey % 3 = 0 THEN ' x' ELSE '' END AS s FROM customer), d AS (SELECT DISTINCT s FROM s),
 near AS (SELECT x.s AS x, y.s AS y FROM d x JOIN d y ON length(x.s) < length(y.s) OR length(x.s) = length(y.s) AND x.s < y.s
-  WHERE (contains(y.s, x.s[1:5]) OR contains(y.s, x.s[6:10]) OR contains(y.s, x.s[7:12]) OR contains(y.s, x.s[1:6])) AND levenshtein(x.s, y.s[1:10]) <= 4),
+  WHERE levenshtein(x.s, y.s[1:length(x.s)]) <= 2 OR levenshtein(x.s, y.s[-length(x.s):]) <= 2),
 ok AS (SELECT x, y FROM near WHERE {partial('x', 'y')} >= 0.92),
 pairs AS (SELECT least(a.id, b.id) AS l, greatest(a.id, b.id) AS r FROM ok JOIN s a ON a.s = x JOIN s b ON b.s = y UNION ALL SELECT a.id, b.id FROM s a JOIN s b ON a.s = b.s AND a.id < b.id)
 SELECT count(*) AS n_pairs, CAST(sum(l) AS BIGINT) AS sum_l, CAST(sum(r) AS BIGINT) AS sum_r FROM pairs""",
