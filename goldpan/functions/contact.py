@@ -56,6 +56,13 @@ def _zero(c: Column) -> Column:
     return F.coalesce(c, F.lit(0.0))
 
 
+#: What a status takes from a score (undeliverable, risky), for e-mails and phones.
+DELIVERABILITY_EMAIL, DELIVERABILITY_PHONE = (0.2, 0.6), (0.35, 0.7)
+VERIFICATION_EMAIL, VERIFICATION_PHONE = (0.3, 0.65), (0.4, 0.7)
+#: What a checked e-mail or phone adds to or takes from completeness (deliverable, risky, undeliverable), and a verified contact adds.
+COMPLETENESS_EMAIL, COMPLETENESS_PHONE, COMPLETENESS_VERIFIED = (0.12, 0.05, 0.2), (0.08, 0.04, 0.15), 0.05
+
+
 def _times(status: Column, undeliverable: float, risky: float) -> Column:
     return F.when(status == "undeliverable", undeliverable).when(status == "risky", risky).otherwise(1.0)
 
@@ -70,12 +77,12 @@ def mean_confidence(email: Column, phone: Column) -> Column:
 def deliverability(email: Column, phone: Column) -> Column:
     """``email`` and ``phone``: structs of status and confidence."""
     base = logistic_scale(mean_confidence(email["confidence"], phone["confidence"]))
-    return clamp(base * _times(email["status"], 0.2, 0.6) * _times(phone["status"], 0.35, 0.7))
+    return clamp(base * _times(email["status"], *DELIVERABILITY_EMAIL) * _times(phone["status"], *DELIVERABILITY_PHONE))
 
 
 def verification(email: Column, phone: Column) -> Column:
     base = logistic_scale(mean_confidence(email["confidence"], phone["confidence"]))
-    return F.when((_zero(email["confidence"]) > 0) | (_zero(phone["confidence"]) > 0), base * _times(email["status"], 0.3, 0.65) * _times(phone["status"], 0.4, 0.7)).otherwise(0.0)
+    return F.when((_zero(email["confidence"]) > 0) | (_zero(phone["confidence"]) > 0), base * _times(email["status"], *VERIFICATION_EMAIL) * _times(phone["status"], *VERIFICATION_PHONE)).otherwise(0.0)
 
 
 def lead_score(inputs: dict[str, Column], weights: dict[str, float] = LEAD_WEIGHTS) -> Column:
@@ -97,8 +104,8 @@ def contact_completeness(fields: list[Column], email: Column, phone: Column, ver
             .when(result["status"] == "undeliverable", -down * F.greatest(F.lit(0.2), scaled)).otherwise(0.0)
         )
 
-    extra = F.when(verified > 0, 0.05 * logistic_scale(verified)).otherwise(0.0)
-    return clamp(filled + adjust(email, 0.12, 0.05, 0.2) + adjust(phone, 0.08, 0.04, 0.15) + extra)
+    extra = F.when(verified > 0, COMPLETENESS_VERIFIED * logistic_scale(verified)).otherwise(0.0)
+    return clamp(filled + adjust(email, *COMPLETENESS_EMAIL) + adjust(phone, *COMPLETENESS_PHONE) + extra)
 
 
 def role_weight(role: Column | str) -> Column:
