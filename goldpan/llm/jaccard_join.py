@@ -25,6 +25,8 @@ from .common import id_text, text_bytes
 from .rolling import SPACED, U, Words, fixed_windows, grams, laid_out, mix, prefix, slices, spans
 
 SLACK = 1
+#: Sets of a hub that may meet at one shingle at once; more meet by rarity.
+FEW = 20
 _SETS = "ord long, text_hash long, n long, s1 long, s2 long, prints array<long>, shingles array<long>"
 
 
@@ -178,6 +180,72 @@ def shingle_sets(texts: DataFrame, *, n: int, num: int, den: int, chunks: int) -
     return written(dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(keep, _SETS), "shingle-sets")
 
 
+def _by_rarity(each: DataFrame, sets: DataFrame, total: str, prefix: str) -> DataFrame:
+    """hub, rep, i, x: the first ``prefix`` of the ``total`` shingles of each set, those that few sets of the hub have first; i counts those that no other has, which aren't given."""
+    common = each.groupBy("hub", "x").agg(F.count("*").alias("c")).filter("c > 1")
+    placed = each.join(common, ["hub", "x"]).groupBy("hub", "rep").agg(F.sort_array(F.collect_list(F.struct("c", "x"))).alias("order"))
+    placed = placed.join(sets, ["hub", "rep"]).withColumn("lone", F.col(total) - F.size("order")).filter(f"lone < {prefix}")
+    return placed.select("hub", "rep", "lone", F.posexplode(F.expr(f"slice(order, 1, {prefix} - lone).x")).alias("at", "x")).select("hub", "rep", (F.col("lone") + F.col("at")).alias("i"), "x")
+
+
+def _meetings(compared: DataFrame, members: DataFrame, found: DataFrame, *, num: int, den: int) -> DataFrame:
+    """hub, b, c: sets of a hub that may link and aren't in one component. ``compared``: hub-differences; ``members``: key, hub, rep; ``found``: node, component.
+
+    A set that links to one of n shingles lacks fewer than q of these. A set is far from its hub if it adds q or more to it; of
+    its first 2q - 1 additions a partner then has q, or all but q - 1 if there are fewer, and these are among the
+    partner's first ones too. Shared additions that few sets of the hub have are counted for each pair; if many have one, all
+    of these sets meet by their additions in order of rarity. Sets that aren't far meet by additions and lacks in
+    order of rarity, of which both need one among the first few, as the differences of two that link differ in few
+    shingles themselves, and one of them isn't small.
+    """
+    share = (den - num) / (den + num)  # sets of sizes n and m link if they differ in share * (n + m) shingles at most
+    a, size = F.size("adds"), F.size("adds") + F.size("lacks")
+    # A set that links to one of size n has num * n / den to den * n / num shingles, and a difference as large as its own but for reach.
+    reach = share * F.col("n") * (1 + den / num) + 1e-9
+    room = size - (size - share * F.greatest(F.lit(0), F.col("n") - F.col("hub_n"))) / 2 + 1e-9  # as an unlinked partner's difference isn't small
+    first = F.floor(reach).cast("int") + 1
+    first = F.when(F.col("linked"), F.least(first, F.floor(room).cast("int") + 1)).otherwise(first)
+    q = F.col("n") - F.ceil(num * F.col("n") / F.lit(den)) + 1
+    named = compared.select("hub", "rep", "n", "linked", a.alias("a"), size.alias("s"), first.alias("first"), q.cast("int").alias("q"))
+    labels = found.select(F.col("node").alias("rep"), "component")
+    every = written(named.join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep")).withColumn("far", F.col("a") >= F.col("q")), "hub-sets")
+    # Two sets have to meet only if they share a signature; most signatures have one set beside the hub, or sets of one component, and need nothing.
+    keys = members.join(every, ["hub", "rep"]).groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.bool_and("linked").alias("all"))
+    sets = written(members.join(keys.filter("least < most and not all").select("key"), "key").select("hub", "rep").distinct().join(every, ["hub", "rep"]), "open-sets")
+    full = compared.select("hub", "rep", "adds", "lacks").join(sets.select("hub", "rep", "q", "far"), ["hub", "rep"])
+
+    def side(rows: DataFrame, k: str) -> DataFrame:
+        return rows.join(sets, ["hub", "rep"]).select("hub", "x", *[F.col(c).alias(f"{c}{k}") for c in ("rep", "i", "component", "n", "a", "s", "q", "linked", "far")])
+
+    # The first shingle that both have, and those after it.
+    behind = lambda total: F.least(F.col(f"{total}b") - F.col("ib"), F.col(f"{total}c") - F.col("ic"))
+    may = share * (F.col("nb") + F.col("nc")) + 1e-9
+    apart = F.expr("repb < repc and componentb <> componentc")
+    overlap = (behind("a") + F.least(F.col("nb") - F.col("ab"), F.col("nc") - F.col("ac"))) * (num + den) >= num * (F.col("nb") + F.col("nc"))
+    pair = ["hub", F.col("repb").alias("b"), F.col("repc").alias("c")]
+
+    def counted(rows: DataFrame) -> DataFrame:
+        met = side(rows, "b").join(side(rows, "c"), ["hub", "x"]).filter(apart & (F.col("farb") | F.col("farc")))
+        met = met.groupBy("hub", "repb", "repc", "nb", "nc", "ab", "ac", "qb", "qc").agg(F.min("ib").alias("ib"), F.min("ic").alias("ic"), F.count("*").alias("both"))
+        least = F.least("qb", "qc", F.greatest(F.lit(1), F.col("ab") - F.col("qb") + 1, F.col("ac") - F.col("qc") + 1))
+        return met.filter(overlap & (F.col("both") >= least)).select(*pair)
+
+    def by_first(rows: DataFrame, enough) -> DataFrame:
+        return side(rows, "b").join(side(rows, "c"), ["hub", "x"]).filter(apart & enough).select(*pair)
+
+    some_far = sets.filter("far").select("hub").distinct()
+    prefix = full.join(some_far, "hub", "left_semi").select("hub", "rep", F.posexplode(F.slice("adds", F.lit(1), 2 * F.col("q") - 1)).alias("i", "x"))
+    times = prefix.groupBy("hub", "x").agg(F.count("*").alias("c")).filter("c > 1")
+    shared = written(prefix.join(times, ["hub", "x"]), "shared-adds")
+    met = counted(shared.filter(F.col("c") <= FEW).select("hub", "rep", "i", "x"))
+    crowded = written(shared.filter(F.col("c") > FEW).select("hub", "rep").distinct(), "crowded-sets")
+    each = full.join(crowded, ["hub", "rep"], "left_semi").select("hub", "rep", F.explode("adds").alias("x"))
+    met = met.unionByName(by_first(written(_by_rarity(each, sets, "a", "q"), "rare-adds"), (F.col("farb") | F.col("farc")) & overlap))
+    near = full.filter("not far").select("hub", "rep", F.explode(F.concat("adds", "lacks")).alias("x"))
+    close = ~(F.col("linkedb") & F.col("linkedc")) & (2 * behind("s") >= F.col("sb") + F.col("sc") - may) & (F.abs(F.col("sb") - F.col("sc")) <= may)
+    return met.unionByName(by_first(written(_by_rarity(near, sets, "s", "first"), "rare-differences"), close)).distinct()
+
+
 def similar_sets(rows: DataFrame, *, num: int, den: int) -> DataFrame:
     """s1, s2 and first (ord and text_hash of the first row of its component) for each distinct set with a link to another; ``rows`` as of ``shingle_sets``, which is deleted on the way.
 
@@ -185,11 +253,7 @@ def similar_sets(rows: DataFrame, *, num: int, den: int) -> DataFrame:
 
     Each set is compared with the first set (the hub) of each of its signatures, and what it adds to the hub and lacks of it
     is kept. Two sets that share a signature share its hub, so all other links are between sets of one hub. Sets that both
-    link to the hub are in one component already; a pair still to be found has a set c that doesn't. Their differences
-    from the hub differ in few shingles themselves, so this is a similarity join again, of small sets: the differences of a
-    hub are put in one order, rare ones first, and a pair must share one of the first few of both, at places that leave
-    enough to be shared. What only one set of the hub has comes first and meets nothing: copies that were edited on
-    their own have so much of it that they aren't compared at all. No pairs of a group are listed.
+    link to the hub are in one component already; the others meet as ``_meetings`` says. No pairs of a group are listed.
     """
     # The table of sets is narrow: signatures and shingles stay where they are and are read when they are needed.
     marked = rows.filter(F.size("prints") > 0)
@@ -214,35 +278,8 @@ def similar_sets(rows: DataFrame, *, num: int, den: int) -> DataFrame:
     links = compared.filter("linked").select(F.col("hub").alias("a"), F.col("rep").alias("b"))
     found = written(connected_components(links), "set-components")
 
-    labels = found.select(F.col("node").alias("rep"), "component")
-    share = (den - num) / (den + num)  # sets of sizes n and m link if they differ in share * (n + m) shingles at most
-    size = F.size("adds") + F.size("lacks")
-    # A set that links to one of size n has num * n / den to den * n / num shingles, and a difference as large as its own but for reach.
-    reach = share * F.col("n") * (1 + den / num) + 1e-9
-    room = size - (size - share * F.greatest(F.lit(0), F.col("n") - F.col("hub_n"))) / 2 + 1e-9  # as an unlinked partner's difference isn't small
-    first = F.floor(reach).cast("int") + 1
-    first = F.when(F.col("linked"), F.least(first, F.floor(room).cast("int") + 1)).otherwise(first)
-    sets_of = compared.select("hub", "rep", "n", "linked", size.alias("s"), first.alias("first")).join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    sets_of = written(sets_of, "hub-sets")
-    # Two sets have to meet only if they share a signature; most signatures have one set beside the hub, or sets of one component, and need nothing.
-    open_ = members.join(sets_of, ["hub", "rep"]).groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.bool_and("linked").alias("all"))
-    open_ = written(members.join(open_.filter("least < most and not all").select("key"), "key").select("hub", "rep").distinct().join(sets_of, ["hub", "rep"]), "open-sets")
+    met = written(_meetings(compared, members, found, num=num, den=den), "met-pairs")
     release(members)
-    # A shingle of a hub goes by one hash of both; a clash only makes a candidate more.
-    each = compared.join(open_.select("hub", "rep"), ["hub", "rep"], "left_semi").select(F.xxhash64("hub", "rep").alias("pair"), "hub", F.explode(F.concat("adds", "lacks")).alias("x")).select("pair", F.xxhash64("hub", "x").alias("x"))
-    common = each.groupBy("x").agg(F.count("*").alias("c")).filter("c > 1")
-    placed = each.join(common, "x").groupBy("pair").agg(F.sort_array(F.collect_list(F.struct("c", "x"))).alias("order"))
-    placed = placed.join(open_.withColumn("pair", F.xxhash64("hub", "rep")), "pair").withColumn("lone", F.col("s") - F.size("order"))
-    placed = placed.filter(F.col("lone") < F.col("first")).withColumn("order", F.expr("slice(order, 1, first - lone).x"))
-    placed = written(placed.select("hub", "rep", "component", "n", "s", "linked", "lone", "order"), "hub-orders")
-    side = lambda k: placed.select("hub", "linked", *[F.col(c).alias(f"{c}{k}") for c in ("rep", "component", "n", "s", "lone")], F.posexplode("order").alias(f"i{k}", "x"))
-    b, c = side("b"), side("c").filter("not linked").drop("linked")
-    may = share * (F.col("nb") + F.col("nc")) + 1e-9
-    left = F.least(F.col("sb") - F.col("loneb") - F.col("ib"), F.col("sc") - F.col("lonec") - F.col("ic"))  # behind the first shingle that both have
-    enough = (2 * left >= F.col("sb") + F.col("sc") - may) & (F.abs(F.col("sb") - F.col("sc")) <= may)
-    met = b.join(c, ["hub", "x"]).filter(F.expr("repb <> repc and componentb <> componentc") & enough)
-    met = written(met.select("hub", F.least("repb", "repc").alias("b"), F.greatest("repb", "repc").alias("c")).distinct(), "met-pairs")
-    release(placed)
     side = lambda k: compared.select("hub", F.col("rep").alias(k), F.col("n").alias(f"n{k}"), F.col("adds").alias(f"a{k}"), F.col("lacks").alias(f"l{k}"))
     both = F.size(F.array_intersect("ab", "ac")) + F.size(F.array_intersect("lb", "lc"))
     apart = F.size("ab") + F.size("lb") + F.size("ac") + F.size("lc") - 2 * both

@@ -1,3 +1,4 @@
+import random
 import re
 from collections import defaultdict
 
@@ -139,6 +140,33 @@ def test_near_copies_of_one_hub_are_brute_force(spark):
         assert {x.doc_id: x.component_id for x in got.collect()} == dict(enumerate(label))
 
 
+@pytest.mark.parametrize("few", [1, 3, 20])
+def test_families_that_share_a_passage_are_linked_within_only(spark, monkeypatch, few):
+    """Sets far from the first set of their signature, alone and in crowds."""
+    monkeypatch.setattr(jaccard_join, "FEW", few)
+    r = random.Random(few)
+    passage = " ".join(f"p{i}" for i in range(40))
+    texts = [passage + " " + " ".join(f"first{i}" for i in range(30))]
+    for f in range(7):
+        base = [f"f{f}w{i}" for i in range(r.choice((30, 60, 90)))]
+        for i in range(r.choice((2, 9, 16))):
+            words = list(base)
+            for _ in range(r.randint(0, 5)):
+                words[r.randrange(len(words))] = f"x{r.randint(0, 25)}"
+            texts.append(passage + " " + " ".join(words))
+    texts = list(dict.fromkeys(texts))
+    own = [sets(t, 3) for t in texts]
+    label = list(range(len(texts)))
+    for _ in range(8):
+        for i in range(len(texts)):
+            for j in range(i):
+                if 100 * len(own[i] & own[j]) >= 80 * len(own[i] | own[j]):
+                    label[i] = label[j] = min(label[i], label[j])
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {x.doc_id: x.component_id for x in jaccard_join.link_documents(docs, n=3, num=80, den=100, chunks=2).collect()}
+    assert got == dict(enumerate(label)) and 8 <= len(set(label)) < len(texts)
+
+
 def test_bands_never_lose_a_link():
     import numpy as np
 
