@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from goldpan.scratch import lookup, written
-from .rolling import ALNUM, U, Words, fixed_windows, grams, laid_out, mix, prefix, sliding_min, slices
+from .rolling import ALNUM, U, Words, fixed_windows, grams, keyed, laid_out, mix, prefix, sliding_min, slices
 
 #: Bits of the filter that tells which document fingerprints can match at all: 4 MB, whatever the number of items.
 FILTER_BITS = 1 << 25
@@ -95,7 +95,7 @@ def find_overlaps(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id",
     named = text(items, item_id_col, item_text_col, "item").withColumn("item", F.coalesce(F.col("item").cast("string"), F.lit("")))
     # Items go through the same scan under the hash of their text; ids are joined back, so that any type of id will do.
     seen = named.select("text", "text_hash", F.col("text_hash").alias("key")).distinct()
-    found = written(seen.mapInArrow(_scan("key", size, k, (), None, True, 1), _SCHEMA.format(key="key")).filter("pos is not null"), "item-prints")
+    found = written(seen.mapInArrow(keyed(_scan("key", size, k, (), None, True, 1)), _SCHEMA.format(key="key")).filter("pos is not null"), "item-prints")
     set_bits = found.select(F.pmod("fh", F.lit(FILTER_BITS)).alias("b")).groupBy(F.shiftright("b", 3).alias("byte")).agg(F.bit_or(F.expr("shiftleft(1, cast(b & 7 as int))")).alias("bits"))
     table = set_bits.toArrow()  # a row for each byte of the filter at most
     filter_ = np.zeros(FILTER_BITS // 8, np.uint8)
@@ -103,7 +103,7 @@ def find_overlaps(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id",
     short = tuple(r["m"] for r in found.filter(F.col("m") < size).select("m").distinct().collect())  # sizes below ``size``
     sent = spark.sparkContext.broadcast(filter_)
     scanned = text(docs, id_col, text_col, "doc_id").withColumn("doc_id", F.col("doc_id").cast("long"))
-    rows = written(scanned.mapInArrow(_scan("doc_id", size, k, short, sent, False, 0), _SCHEMA.format(key="doc_id")), "doc-prints")
+    rows = written(scanned.mapInArrow(keyed(_scan("doc_id", size, k, short, sent, False, 0)), _SCHEMA.format(key="doc_id")), "doc-prints")
 
     ids = named.select(F.col("text_hash").alias("i_hash"), "item").distinct()
     sites = (

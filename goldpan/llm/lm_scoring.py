@@ -20,7 +20,7 @@ from . import shared_prints as sp
 from goldpan.scratch import written
 
 from .common import id_text, text_bytes
-from .rolling import SPACED, U, Words, laid_out, mix, slices
+from .rolling import SPACED, U, Words, keyed, laid_out, mix, slices
 from .shared_prints import contains
 
 #: Target ids up to which they are sent to all tasks (8 MB); more are joined by shuffle.
@@ -40,7 +40,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
             words, n = np.unique(np.concatenate(found or [np.zeros(0, U)]), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(n.astype(np.int64))], names=["word", "n"])
 
-    return texts.select("text").mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return texts.select("text").mapInArrow(keyed(count), "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def _packed(*arrays: np.ndarray) -> bytes:
@@ -187,8 +187,8 @@ def score(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
         _, owned = _answered(own.keys, own.seen, chunks, answers)
         return _messages(cols["chunk"][0].as_py(), own.words, own.word_columns(owned), chunks)
 
-    pairs = written(dealt.groupBy("chunk").applyInArrow(send, _COUNTS).groupBy("bucket").applyInArrow(_sum, _SUMS), "bigram-sums").select("chunk", "bucket", "data")
-    words = written(dealt.groupBy("chunk").cogroup(pairs.groupBy("chunk")).applyInArrow(send_words, _COUNTS).groupBy("bucket").applyInArrow(_sum, _SUMS), "word-sums")
+    pairs = written(dealt.groupBy("chunk").applyInArrow(keyed(send), _COUNTS).groupBy("bucket").applyInArrow(_sum, _SUMS), "bigram-sums").select("chunk", "bucket", "data")
+    words = written(dealt.groupBy("chunk").cogroup(pairs.groupBy("chunk")).applyInArrow(keyed(send_words), _COUNTS).groupBy("bucket").applyInArrow(_sum, _SUMS), "word-sums")
     kinds, *totals = (x or 0 for x in words.agg(F.sum("words"), F.sum("n_all"), F.sum("n_target")).first())
     width = (kinds if kept is None else len(kept)) + 2
 
@@ -208,5 +208,5 @@ def score(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
         return pa.table({"doc_id": cols["doc_id"], "n_tokens": pa.array(n.astype(np.int64)), "target_bits": bits[0], "background_bits": bits[1]})
 
     answers = pairs.withColumn("of_words", F.lit(False)).unionByName(words.select("chunk", "bucket", "data").withColumn("of_words", F.lit(True)))
-    rated = dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(rate, "doc_id long, n_tokens long, target_bits double, background_bits double")
+    rated = dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(keyed(rate), "doc_id long, n_tokens long, target_bits double, background_bits double")
     return rated.withColumn("score", F.col("target_bits") - F.col("background_bits"))

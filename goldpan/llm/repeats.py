@@ -14,7 +14,6 @@ Symbols are bytes or words. Steps, each a Spark job over groups of bounded size:
 from __future__ import annotations
 
 from collections.abc import Callable
-from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +24,7 @@ from . import shared_prints as sp
 from goldpan.scratch import release, written
 
 from .common import text_bytes
-from .rolling import U, fixed_windows, grams, mix, prefix, sliding_min, spans
+from .rolling import U, byte_symbols, fixed_windows, grams, keyed, mix, prefix, sliding_min, strings, windows
 
 _PARTS = "chunk int, ord long, text_hash long, start int, data binary"
 _FOUND = "kind int, ord long, text_hash long, start int, stop int, part long, spread boolean, print long, data binary"
@@ -40,8 +39,9 @@ class Runs:
     """Maximal runs of windows with one anchor, of sequences laid end to end."""
 
     def __init__(self, symbols: np.ndarray, lengths: np.ndarray, length: int, k: int):
-        self.symbols, self.sums, self.length = symbols, prefix(symbols), length
-        least = sliding_min(grams(self.sums, k), length - k + 1)
+        #: Bytes or words as they came.
+        self.plain, self.length = symbols, length
+        least = sliding_min(grams(prefix(_wide(symbols)), k), length - k + 1)
         at = np.flatnonzero(fixed_windows(lengths, length)[: len(least)])
         anchor = least[at]
         new = np.ones(len(at), bool)
@@ -54,12 +54,9 @@ class Runs:
         self.owner = np.repeat(np.arange(len(lengths)), lengths)[self.start] if len(at) else at
 
     def contents(self) -> np.ndarray:
-        """64-bit hash of each run. Long runs, which only repetitive texts have, are no matter for polynomials (see ``rolling``)."""
-        size = self.stop - self.start
-        out = mix(spans(self.sums, self.start, self.stop) + size.astype(U))
-        for i in np.flatnonzero(size > 4 * self.length).tolist():
-            out[i] = int.from_bytes(blake2b(self.symbols[self.start[i] : self.stop[i]], digest_size=8).digest(), "little")
-        return out
+        """64-bit hash of each run."""
+        width = self.plain.dtype.itemsize
+        return strings(self.plain.view(np.uint8), self.start * width, self.stop * width)
 
 
 def _table(kind: int, **cols) -> pa.Table:
@@ -87,13 +84,11 @@ def _runs_of_texts(cols: dict, read: Callable, length: int, k: int):
 
     for begin, end in slices(cols["text"], _SLICE):
         symbols, lengths = read(cols["text"], begin, end)
-        yield symbols, np.cumsum(lengths) - lengths, begin, Runs(_wide(symbols), lengths, length, k)
+        yield symbols, np.cumsum(lengths) - lengths, begin, Runs(symbols, lengths, length, k)
 
 
 def _wide(symbols: np.ndarray) -> np.ndarray:
-    from .rolling import BYTE_SYMBOL
-
-    return BYTE_SYMBOL[symbols] if symbols.dtype == np.uint8 else symbols
+    return byte_symbols(symbols) if symbols.dtype == np.uint8 else symbols
 
 
 def shared_parts(docs: DataFrame, read: Callable, length: int, k: int, chunks: int) -> DataFrame:
@@ -131,8 +126,8 @@ def shared_parts(docs: DataFrame, read: Callable, length: int, k: int, chunks: i
         join = lambda x, t: np.concatenate(x).astype(t) if x else np.zeros(0, t)
         return pa.table({"chunk": pa.array(out["chunk"], pa.int32()), "ord": join(out["ord"], np.int64), "text_hash": join(out["text_hash"], np.int64), "start": join(out["start"], np.int32), "data": pa.array(out["data"], pa.binary())})
 
-    answers = sp.answers(texts.groupBy("chunk").applyInArrow(send, sp.BLOBS))
-    return written(texts.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(keep, _PARTS), "shared-parts")
+    answers = sp.answers(texts.groupBy("chunk").applyInArrow(keyed(send), sp.BLOBS))
+    return written(texts.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(keyed(keep), _PARTS), "shared-parts")
 
 
 def _joined_windows(runs: Runs, on: np.ndarray, length: int):
@@ -156,7 +151,7 @@ def _part_runs(cols: dict, dtype, length: int, k: int):
     for begin, end in slices(cols["data"], _SLICE * width):
         symbols = raw[offsets[begin] : offsets[end]].view(dtype) if width == 1 else np.frombuffer(raw[offsets[begin] : offsets[end]].tobytes(), dtype)
         lengths = np.diff(offsets[begin : end + 1]) // width
-        yield begin, np.cumsum(lengths) - lengths, symbols, Runs(_wide(symbols), lengths, length, k)
+        yield begin, np.cumsum(lengths) - lengths, symbols, Runs(symbols, lengths, length, k)
 
 
 def _entries(each: list, ord_: np.ndarray):
@@ -258,7 +253,7 @@ def covered(docs: DataFrame, *, length: int, k: int, read: Callable, dtype, loca
         at = np.flatnonzero(fixed_windows(lengths, length))
         owner = np.repeat(np.arange(len(lengths)), lengths)[at]
         at, owner = at[spread[owner]], owner[spread[owner]]
-        return symbols, lengths, (at, owner, mix(spans(prefix(_wide(symbols)), at, at + length)))
+        return symbols, lengths, (at, owner, windows(_wide(symbols), length)[at])
 
     def classes(table: pa.Table) -> pa.Table:
         cols = sp.columns(table)
@@ -293,14 +288,14 @@ def covered(docs: DataFrame, *, length: int, k: int, read: Callable, dtype, loca
             out.append(_table(COVERED, ord=ord_[owner], text_hash=hash_[owner], start=(low + shift).astype(np.int32), stop=(high + shift).astype(np.int32)))
         return pa.concat_tables(out)
 
-    met = parts.groupBy("chunk").applyInArrow(send, "bucket int, chunk int, prints binary, counts binary, contents binary, ords binary").groupBy("bucket").applyInArrow(_meet, "chunk int, bucket int, flags binary")
-    settled = written(parts.groupBy("chunk").cogroup(met.groupBy("chunk")).applyInArrow(settle, _FOUND), "settled-runs")
+    met = parts.groupBy("chunk").applyInArrow(keyed(send), "bucket int, chunk int, prints binary, counts binary, contents binary, ords binary").groupBy("bucket").applyInArrow(_meet, "chunk int, bucket int, flags binary")
+    settled = written(parts.groupBy("chunk").cogroup(met.groupBy("chunk")).applyInArrow(keyed(settle), _FOUND), "settled-runs")
     release(parts)
     left = settled.filter(F.col("kind") == LEFT)
-    sent = written(left.filter("spread").groupBy("part").applyInArrow(classes, "part long, print long, window long, least long"), "window-classes")
+    sent = written(left.filter("spread").groupBy("part").applyInArrow(keyed(classes), "part long, print long, window long, least long"), "window-classes")
     firsts = sent.groupBy("print", "window").agg(F.min("least").alias("first"), F.count("*").alias("c")).filter("c > 1").select("print", "window", "first")
     told = sent.join(firsts, ["print", "window"]).filter("first < least").select("part", "print", "window", "first")
-    compared = written(left.groupBy("part").cogroup(told.groupBy("part")).applyInArrow(compare, _FOUND), "compared-runs")
+    compared = written(left.groupBy("part").cogroup(told.groupBy("part")).applyInArrow(keyed(compare), _FOUND), "compared-runs")
     pairs = [df.filter(F.col("kind") == COVERED).select("ord", "text_hash", "start", "stop") for df in (settled, compared)]
     return pairs[0].unionByName(pairs[1]).groupBy("ord", "text_hash").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
 

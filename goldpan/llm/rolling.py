@@ -1,42 +1,86 @@
-"""Rabin-Karp hashing and winnowing on numpy arrays, for use inside Spark tasks.
+"""Keyed hashes, Rabin-Karp windows and winnowing on numpy arrays, for use inside Spark tasks.
 
-A sequence is an array of 64-bit symbols. Hashes of windows are polynomials modulo 2**64 with an odd base, so a prefix sum
-and the inverse powers of the base give the hash of every window at once. Modulo 2**64 such polynomials only serve for
-windows of up to some hundred symbols: two strings of 1,024 symbols (Thue and Morse's) clash whatever the base is. Words and
-long sequences, whose length the input decides, are therefore hashed by ``strings``, which is no polynomial.
+A sequence is an array of 64-bit symbols. Everything depends on a secret key that the driver draws (``keyed`` sends it along
+with a task's function), so that nobody can choose texts that clash. Words are hashed by SipHash-1-3. Two kinds of
+polynomials are built over symbols: those modulo 2**64 with a prefix sum, for k-grams and for anchors, which only choose
+what is compared; and those modulo the prime 2**61 - 1 (``windows``), for windows of any length that decide. Modulo 2**64
+alone strings of 1,024 symbols (Thue and Morse's) clash whatever base and symbols are.
 """
 
 from __future__ import annotations
 
 import ctypes
+import secrets
+from collections.abc import Callable
 from hashlib import blake2b
+from inspect import signature
 
 import numpy as np
 import pyarrow as pa
 
 U = np.uint64
-_BASE = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
-_powers: dict[str, np.ndarray] = {}
 #: Powers that a worker keeps (32 MB); those of longer sequences are computed for the one call.
 _KEPT_POWERS = 1 << 21
-_rng = np.random.Generator(np.random.PCG64(20240607))
-#: A random 64-bit symbol for each byte.
-BYTE_SYMBOL = _rng.integers(0, 2**64, size=256, dtype=U)
+PRIME = (1 << 61) - 1
+
+
+class _Key:
+    """What follows from a secret of 32 bytes: SipHash keys, the bases of polynomials, and a symbol for each byte."""
+
+    def __init__(self, secret: bytes):
+        self.secret = secret
+        numbers = [int.from_bytes(blake2b(bytes([i]), key=secret, digest_size=8).digest(), "little") for i in range(4)]
+        self.sip = numbers[:2]
+        self.base = numbers[2] | 1
+        self.prime_base = numbers[3] % (PRIME - 1) + 1
+        draw = np.random.Generator(np.random.PCG64(int.from_bytes(blake2b(b"symbols", key=secret, digest_size=16).digest(), "little")))
+        self.byte_symbol = draw.integers(0, 2**64, size=256, dtype=U)
+        self.powers: dict[str, np.ndarray] = {}
+
+
+_key = _Key(secrets.token_bytes(32))
+
+
+def use(secret: bytes) -> None:
+    """Hash with this secret from now on."""
+    global _key
+    if _key.secret != secret:
+        _key = _Key(secret)
+
+
+def keyed(task: Callable) -> Callable:
+    """``task`` as a function that hashes with the key of the process that calls ``keyed``: the driver."""
+    secret = _key.secret
+
+    def one(data):
+        use(secret)
+        return task(data)
+
+    def two(left, right):
+        use(secret)
+        return task(left, right)
+
+    return two if len(signature(task).parameters) == 2 else one  # Spark looks at the number of arguments
+
+
+def byte_symbols(data: np.ndarray) -> np.ndarray:
+    """A random 64-bit symbol for each byte."""
+    return _key.byte_symbol[data]
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """BASE**i and BASE**-i for i < n."""
-    found = _powers
-    if len(_powers.get("up", ())) < n:
+    found = _key.powers
+    if len(found.get("up", ())) < n:
         size = max(n, 1 << 16)
         found = {}
-        for key, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
+        for name, base in (("up", _key.base), ("down", pow(_key.base, -1, 1 << 64))):
             steps = np.full(size, base, U)
             steps[0] = 1
-            found[key] = np.cumprod(steps, dtype=U)
+            found[name] = np.cumprod(steps, dtype=U)
         if size <= _KEPT_POWERS:
-            _powers.update(found)
+            _key.powers = found
     return found["up"][:n], found["down"][:n]
 
 
@@ -62,31 +106,113 @@ def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
 
 #: Masks that keep the first n of eight bytes.
 _FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], U)
-#: Bytes beyond which a string is hashed by blake2b.
-_LONG = 64
+#: Bytes beyond which a string is hashed by keyed blake2b.
+_LONG = 256
+#: Strings that go through the rounds at once, so that their state stays in the processor's cache.
+_AT_ONCE = 1 << 13
+
+
+def _turn(x: np.ndarray, n: int) -> None:
+    low = x >> U(64 - n)
+    x <<= U(n)
+    x |= low
+
+
+def _round(a: np.ndarray, b: np.ndarray, c: np.ndarray, d: np.ndarray) -> None:
+    """One round, in place."""
+    a += b
+    _turn(b, 13)
+    b ^= a
+    _turn(a, 32)
+    c += d
+    _turn(d, 16)
+    d ^= c
+    a += d
+    _turn(d, 21)
+    d ^= a
+    c += b
+    _turn(b, 17)
+    b ^= c
+    _turn(c, 32)
+
+
+def _sip(eight: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """SipHash-1-3 (Aumasson and Bernstein 2012) of strings of up to ``_LONG`` bytes."""
+    n, (k0, k1) = len(start), _key.sip
+    v = [np.full(n, k ^ c, U) for k, c in ((k0, 0x736F6D6570736575), (k1, 0x646F72616E646F6D), (k0, 0x6C7967656E657261), (k1, 0x7465646279746573))]
+    at, done = np.flatnonzero(size >= 8), 0
+    while len(at):
+        block, part = eight[start[at] + done], [x[at] for x in v]
+        part[3] ^= block
+        _round(*part)
+        part[0] ^= block
+        for x, y in zip(v, part):
+            x[at] = y
+        done += 8
+        at = at[size[at] >= done + 8]
+    rest = size & 7
+    block = (eight[start + size - rest] & _FIRST[rest]) | ((size & 255).astype(U) << U(56))
+    v[3] ^= block
+    _round(*v)
+    v[0] ^= block
+    v[2] ^= U(255)
+    for _ in range(3):
+        _round(*v)
+    return v[0] ^ v[1] ^ v[2] ^ v[3]
 
 
 def strings(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hash of the bytes data[start:end] for each pair.
-
-    Up to seven bytes it is one-to-one. Up to 64 bytes eight at a time go through a mixing step each; beyond that the hash
-    is blake2b's.
-    """
+    """64-bit hash of the bytes data[start:end] for each pair: keyed, so that clashes can't be aimed at."""
     size = end - start
     padded = np.concatenate((data, np.zeros(8, np.uint8)))
     eight = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))  # the eight bytes from each place on
-    out = mix((eight[start] & _FIRST[np.minimum(size, 8)]) ^ (np.minimum(size, 255).astype(U) << U(56)))
-    at = np.flatnonzero(size > 8)
-    for done in range(8, _LONG, 8):
-        at = at[size[at] > done]
-        if not len(at):
-            break
-        out[at] = mix(out[at] ^ (eight[start[at] + done] & _FIRST[np.minimum(size[at] - done, 8)]), done)
+    out = np.empty(len(start), U)
+    for i in range(0, len(start), _AT_ONCE):
+        part = slice(i, i + _AT_ONCE)
+        out[part] = _sip(eight, start[part], np.minimum(size[part], _LONG))
     for i in np.flatnonzero(size > _LONG).tolist():
-        out[i] = int.from_bytes(blake2b(data[start[i] : end[i]], digest_size=8).digest(), "little")
+        out[i] = int.from_bytes(blake2b(data[start[i] : end[i]], key=_key.secret, digest_size=8).digest(), "little")
     return out
 
 
+def _times(x: np.ndarray, factor: int) -> np.ndarray:
+    """x * factor modulo the prime, for values below it."""
+    high, low = x >> U(32), x & U(0xFFFFFFFF)
+    f_high, f_low = U(factor >> 32), U(factor & 0xFFFFFFFF)
+    middle = high * f_low + low * f_high
+    bottom = low * f_low
+    out = ((high * f_high) << U(3)) + (middle >> U(29)) + ((middle & U((1 << 29) - 1)) << U(32)) + (bottom >> U(61)) + (bottom & U(PRIME))
+    return _below(out)
+
+
+def _below(x: np.ndarray) -> np.ndarray:
+    x = (x & U(PRIME)) + (x >> U(61))
+    return np.where(x >= U(PRIME), x - U(PRIME), x)
+
+
+def windows(symbols: np.ndarray, length: int) -> np.ndarray:
+    """Rabin-Karp hash, modulo a prime, of each window of ``length`` symbols; one for each start that has so many."""
+    n = len(symbols) - length + 1
+    parts = [_windows(symbols[i : i + _AT_ONCE + length - 1], length) for i in range(0, n, _AT_ONCE)]
+    return np.concatenate(parts) if parts else np.zeros(0, U)
+
+
+def _windows(symbols: np.ndarray, length: int) -> np.ndarray:
+    """Windows of a and b symbols give those of a + b, so a few steps over the whole sequence suffice."""
+    have, size, taken, left = _below(_below(symbols)), 1, 0, length
+    while True:
+        if left & 1:  # windows that are done so far, then ``size`` symbols more
+            n = len(symbols) - taken - size + 1
+            of = _below(_times(of[:n], pow(_key.prime_base, size, PRIME)) + have[taken : taken + n]) if taken else have
+            taken += size
+        left >>= 1
+        if not left:
+            return of
+        n = len(have) - size
+        have = _below(_times(have[:n], pow(_key.prime_base, size, PRIME)) + have[size : size + n])
+        size *= 2
+
+
 def prefix(symbols: np.ndarray) -> np.ndarray:
     """out[i]: sum of the first i symbols, each times its power."""
     out = np.zeros(len(symbols) + 1, U)

@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 from . import shared_prints as sp
 from .common import id_text, text_bytes
 from .repeats import _joined, shared_parts, united
-from .rolling import SPACED, U, Words, fixed_windows, laid_out, mix, prefix, slices, spans
+from .rolling import SPACED, U, Words, fixed_windows, keyed, laid_out, slices, windows
 from .suffix_dedup import with_spans
 
 _OUT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string())])
@@ -31,7 +31,7 @@ def _windows(cols: dict, length: int):
         lengths = np.diff(offsets[begin : end + 1]) // 8
         at = np.flatnonzero(fixed_windows(lengths, length))
         owner = np.repeat(np.arange(end - begin), lengths)[at]
-        yield at, begin + owner, mix(spans(prefix(words), at, at + length)), begin, np.cumsum(lengths) - lengths
+        yield at, begin + owner, windows(words, length)[at], begin, np.cumsum(lengths) - lengths
 
 
 def _least(hashes: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -75,10 +75,10 @@ def repeated_windows(docs: DataFrame, *, length: int, k: int, chunks: int | None
         names = ("ord", "text_hash", "start", "stop")
         return pa.table({c: pa.array(np.concatenate(x), pa.int64() if c in names[:2] else pa.int32()) for c, x in zip(names, out)})
 
-    counted = parts.groupBy("chunk").applyInArrow(count, "chunk int, window long, least long, n long")
+    counted = parts.groupBy("chunk").applyInArrow(keyed(count), "chunk int, window long, least long, n long")
     same = Window.partitionBy("window")  # a row a chunk at most
     repeated = counted.withColumn("first", F.min("least").over(same)).withColumn("times", F.sum("n").over(same)).filter("times > 1 and first < least")
-    found = parts.groupBy("chunk").cogroup(repeated.select("chunk", "window").groupBy("chunk")).applyInArrow(mark, "ord long, text_hash long, start int, stop int")
+    found = parts.groupBy("chunk").cogroup(repeated.select("chunk", "window").groupBy("chunk")).applyInArrow(keyed(mark), "ord long, text_hash long, start int, stop int")
     return found.groupBy("ord", "text_hash").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
 
 

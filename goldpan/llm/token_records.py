@@ -23,7 +23,7 @@ from pyspark.sql.window import Window
 from goldpan.scratch import lookup, new_path, written
 
 from .common import text_bytes
-from .rolling import U, laid_out, slices, strings, tidy
+from .rolling import U, keyed, laid_out, slices, strings, tidy
 from .shared_prints import contains
 
 #: Distinct pieces that a worker remembers, at about 30 bytes each; beyond that it starts afresh.
@@ -239,7 +239,7 @@ def write_records(docs: DataFrame, path: str, *, tokenizer_path: str, end_id: in
 
     order = [F.col("doc_id").asc_nulls_first(), F.col("hash").asc()]  # not by id alone: many rows may have none, or the same
     ordered = texts.withColumn("hash", F.xxhash64("text")).repartitionByRange(shards, *order).sortWithinPartitions(*order).drop("hash")
-    return written(ordered.mapInArrow(write, "shard int, n_docs long, n_tokens long, width int"), "token-manifest")
+    return written(ordered.mapInArrow(keyed(write), "shard int, n_docs long, n_tokens long, width int"), "token-manifest")
 
 
 def _vocabulary(path: str, end_id: int) -> int:
