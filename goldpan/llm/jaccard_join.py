@@ -22,7 +22,7 @@ from goldpan.operators.components import connected_components
 from goldpan.scratch import release, written
 
 from .common import id_text, text_bytes
-from .rolling import SPACED, U, Words, fixed_windows, grams, laid_out, mix, prefix, slices, spans
+from .rolling import SPACED, U, Words, fixed_windows, grams, keyed, laid_out, mix, prefix, slices, spans
 
 SLACK = 1
 #: Sets of a hub that may meet at one shingle at once; more meet by rarity.
@@ -126,15 +126,28 @@ def _largest(texts: pa.Array) -> int:
     return max(2, int(np.diff(np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]).max(initial=0)))
 
 
-def shingle_sets(texts: DataFrame, *, n: int, num: int, den: int, chunks: int) -> DataFrame:
+class Signer:
+    """How sets get their keys: ``prints`` that go to the filter of shared ones, and the ``keys`` that shared prints make."""
+
+    def __init__(self, num: int, den: int):
+        self.num, self.den = num, den
+
+    def prints(self, shingles: np.ndarray, sizes: np.ndarray, largest: int) -> tuple[np.ndarray, np.ndarray]:
+        return signatures(shingles, sizes, Bands(self.num, self.den, largest), 0)
+
+    def keys(self, prints: np.ndarray, owners: np.ndarray, on: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return prints[on], owners[on]
+
+
+def shingle_sets(texts: DataFrame, *, n: int, chunks: int, signer) -> DataFrame:
     """One row for each row of ``texts`` (doc_id, text): ord, text_hash, n, s1, s2 and, for the first of a set in its chunk and if other sets share any of its signatures, those and the shingles."""
     dealt = sp.chunked(texts, chunks)
 
     def each(cols: dict):
-        bands = Bands(num, den, _largest(cols["text"]))
+        largest = _largest(cols["text"])
         for begin, end in slices(cols["text"]):
             shingles, sizes = _sets(cols["text"], begin, end, n)
-            yield begin, shingles, sizes, *signatures(shingles, sizes, bands, 0)
+            yield begin, shingles, sizes, *signer.prints(shingles, sizes, largest)
 
     def send(table: pa.Table) -> pa.Table:
         cols = sp.columns(table)
@@ -164,8 +177,7 @@ def shingle_sets(texts: DataFrame, *, n: int, num: int, den: int, chunks: int) -
             shared |= np.minimum.reduceat(ids[order], first) != np.maximum.reduceat(ids[order], first)
         known, out = known[shared], []
         for begin, shingles, sizes, signed, owner, s1, s2 in parts:
-            on = sp.contains(known, signed) & speaks[begin + owner]
-            owner, signed = owner[on], signed[on]
+            signed, owner = signer.keys(signed, owner, sp.contains(known, signed) & speaks[begin + owner])
             order = np.argsort(owner, kind="stable")
             counts = np.bincount(owner, minlength=len(sizes))
             wanted = np.repeat(counts > 0, sizes)
@@ -176,8 +188,8 @@ def shingle_sets(texts: DataFrame, *, n: int, num: int, den: int, chunks: int) -
             }, schema=schema))
         return pa.concat_tables(out)
 
-    answers = sp.answers(dealt.groupBy("chunk").applyInArrow(send, sp.BLOBS))
-    return written(dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(keep, _SETS), "shingle-sets")
+    answers = sp.answers(dealt.groupBy("chunk").applyInArrow(keyed(send), sp.BLOBS))
+    return written(dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(keyed(keep), _SETS), "shingle-sets")
 
 
 def _by_rarity(each: DataFrame, sets: DataFrame, total: str, prefix: str) -> DataFrame:
@@ -291,10 +303,10 @@ def similar_sets(rows: DataFrame, *, num: int, den: int) -> DataFrame:
     return of.join(of.groupBy("component").agg(F.min("row").alias("first")), "component").select("s1", "s2", "first")
 
 
-def _linked_rows(docs: DataFrame, id_col: str, text_col: str, n: int, num: int, den: int, chunks: int | None) -> DataFrame:
+def linked_rows(docs: DataFrame, id_col: str, text_col: str, n: int, num: int, den: int, chunks: int | None, signer=None) -> DataFrame:
     """ord, text_hash, n and first: ord and text_hash of the first row that links reach, itself included."""
     texts = id_text(docs, id_col, text_col)
-    rows = shingle_sets(texts, n=n, num=num, den=den, chunks=chunks or sp.chunk_count(text_bytes(texts)))
+    rows = shingle_sets(texts, n=n, chunks=chunks or sp.chunk_count(text_bytes(texts)), signer=signer or Signer(num, den))
     base = written(rows.select("ord", "text_hash", "n", "s1", "s2"), "set-rows")
     linked = written(similar_sets(rows, num=num, den=den), "linked-sets")
     row = F.struct("ord", "text_hash")
@@ -314,13 +326,13 @@ def link_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     Equal sets are one set from the start. ``chunks``: tasks that the corpus is dealt to, by its size if not given.
     """
     real = lambda c: F.when(F.col(c) != (1 << 63) - 1, F.col(c))
-    rows = _linked_rows(docs, id_col, text_col, n, num, den, chunks)
+    rows = linked_rows(docs, id_col, text_col, n, num, den, chunks)
     return rows.select(real("ord").alias("doc_id"), "text_hash", F.col("n").alias("n_shingles"), real("first.ord").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n: int = 5, num: int = 80, den: int = 100, chunks: int | None = None) -> DataFrame:
     """The row of ``docs`` with the smallest id of each component, with its columns; of rows equal in id and text one stays, of other texts of that id the one whose hash is smallest."""
-    kept = _linked_rows(docs, id_col, text_col, n, num, den, chunks).filter((F.col("first.ord") == F.col("ord")) & (F.col("first.text_hash") == F.col("text_hash"))).select(F.col("ord").alias("k_ord"), F.col("text_hash").alias("k_hash")).distinct()
+    kept = linked_rows(docs, id_col, text_col, n, num, den, chunks).filter((F.col("first.ord") == F.col("ord")) & (F.col("first.text_hash") == F.col("text_hash"))).select(F.col("ord").alias("k_ord"), F.col("text_hash").alias("k_hash")).distinct()
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     keyed = docs.select(row.alias("row"), F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit((1 << 63) - 1)).alias("id"), F.xxhash64(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))).alias("hash"))
     return keyed.join(kept, (F.col("id") == F.col("k_ord")) & (F.col("hash") == F.col("k_hash")), "left_semi").dropDuplicates(["id", "hash"]).select("row.*")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard_join, line_dedup, lm_scoring, mixing, quality_rules, secret_scan, substring_dedup, suffix_dedup, token_records
+from . import decontaminate, jaccard_join, lexical_search, line_dedup, lm_scoring, merkle, minhash, mixing, quality_rules, secret_scan, substring_dedup, suffix_dedup, token_records
 from .common import read_table
 
 #: Name of the tokenizer file of op9, looked up where the public tokenizers are installed.
@@ -75,6 +75,27 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_shingles", "component_id")
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    damaged = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    n_chars = F.when(damaged, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+    columns = ("doc_id", "source", "lang", "n_chars", "text")
+    tampered = merkle.leaf_digest(*[n_chars if c == "n_chars" else F.col(c) for c in columns])
+    out = merkle.manifest(docs, columns=columns, carry={"tampered": tampered})
+    out = out.select("doc_id", "leaf", "subroot", "root", F.sha2(merkle.siblings(F.col("proof")), 256).alias("proof_sha256"), merkle.folded(F.col("tampered"), F.col("proof")).alias("folded_root"))
+    return out.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = lexical_search.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), k=10)
+    return out.select("item_id", F.col("rank").cast("int").alias("rank"), "doc_id", "score")
+
+
+def op13_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = minhash.link_documents(read_table(spark, sf_dir, "documents"), n=4, num=80, den=100)
+    return out.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+
+
 OP1_SQL = r"""
 WITH h AS (
   SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents
@@ -181,6 +202,72 @@ SELECT d.doc_id, coalesce(c.n, 0) AS n_shingles, q.m AS component_id
 FROM d LEFT JOIN c USING (doc_id) JOIN (SELECT node, min(reached) AS m FROM r GROUP BY node) q ON q.node = d.doc_id
 """
 
+OP11_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, lang, n_chars, text,
+         list_reduce([CAST(4294967295 AS BIGINT)] || list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+           lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda a, z: xor(a >> 1, (a & 1) * 3988292384))) AS r
+  FROM documents
+), v AS (
+  SELECT doc_id, lang, n_chars, xor(r, 4294967295) % 7 = 0 AS bad,
+         coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') AS before,
+         coalesce(strlen(text) || ':' || text, '-') AS after
+  FROM d
+), l AS (
+  SELECT doc_id, coalesce('+' || lang, '') AS part, sha256(before || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') || after) AS leaf,
+         sha256(before || coalesce(strlen(CAST(CASE WHEN bad THEN n_chars + 1 ELSE n_chars END AS VARCHAR)) || ':' || CASE WHEN bad THEN n_chars + 1 ELSE n_chars END, '-') || after) AS tampered
+  FROM v
+), p AS (
+  SELECT *, row_number() OVER (PARTITION BY part ORDER BY doc_id, leaf) - 1 AS i FROM l
+), t AS (
+  SELECT part, 0 AS lv, i, leaf AS h, count(*) OVER (PARTITION BY part) AS n FROM p
+  UNION ALL
+  SELECT part, lv + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)), (any_value(n) + 1) // 2 FROM t WHERE n > 1 GROUP BY part, lv, i // 2
+), s AS (
+  SELECT part, h AS subroot, row_number() OVER (ORDER BY part) - 1 AS i FROM t WHERE n = 1
+), u AS (
+  SELECT 0 AS lv, i, subroot AS h, count(*) OVER () AS n FROM s
+  UNION ALL
+  SELECT lv + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)), (any_value(n) + 1) // 2 FROM u WHERE n > 1 GROUP BY lv, i // 2
+), top AS (
+  SELECT h AS root FROM u WHERE n = 1
+), f AS (
+  SELECT doc_id, part, i AS at, 0 AS lv, i, leaf, tampered AS fold, '' AS proof, false AS done FROM p
+  UNION ALL
+  SELECT f.doc_id, f.part, f.at, f.lv + 1, f.i // 2, f.leaf, sha256(CASE WHEN o.h IS NULL THEN f.fold WHEN f.i % 2 = 1 THEN o.h || f.fold ELSE f.fold || o.h END), f.proof || coalesce(o.h, ''), false
+  FROM f JOIN t m ON m.part = f.part AND m.lv = f.lv AND m.i = f.i AND m.n > 1 LEFT JOIN t o ON o.part = f.part AND o.lv = f.lv AND o.i = xor(f.i, 1)
+), g AS (
+  SELECT f.doc_id, f.part, f.at, f.leaf, f.fold, f.proof, s.subroot, 0 AS lv, s.i FROM f JOIN t ON t.part = f.part AND t.lv = f.lv AND t.n = 1 JOIN s ON s.part = f.part
+  UNION ALL
+  SELECT g.doc_id, g.part, g.at, g.leaf, sha256(CASE WHEN o.h IS NULL THEN g.fold WHEN g.i % 2 = 1 THEN o.h || g.fold ELSE g.fold || o.h END), g.proof || coalesce(o.h, ''), g.subroot, g.lv + 1, g.i // 2
+  FROM g JOIN u m ON m.lv = g.lv AND m.i = g.i AND m.n > 1 LEFT JOIN u o ON o.lv = g.lv AND o.i = xor(g.i, 1)
+)
+SELECT g.doc_id, g.leaf, g.subroot, top.root, sha256(g.proof) AS proof_sha256, g.fold AS folded_root, g.fold = top.root AS verified
+FROM g JOIN u ON u.lv = g.lv AND u.n = 1, top
+"""
+
+OP12_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents
+), c AS (
+  SELECT CAST(count(*) AS BIGINT) AS n_all, CAST(sum(len(w)) AS BIGINT) AS l_all FROM d WHERE len(w) > 0
+), p AS (
+  SELECT doc_id, any_value(n) AS n, term, count(*) AS tf FROM (SELECT doc_id, len(w) AS n, unnest(w) AS term FROM d) GROUP BY doc_id, term
+), w AS (
+  SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * n_all + 2) / (2 * df + 1))) AS BIGINT) AS weight, n_all, l_all FROM (SELECT term, count(*) AS df FROM p GROUP BY term), c
+), q AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+), s AS (
+  SELECT q.item_id, p.doc_id, CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_all) // l_all)))) AS BIGINT) AS score
+  FROM q JOIN w USING (term) JOIN p USING (term) GROUP BY q.item_id, p.doc_id
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 10
+"""
+
+#: The same steps as of op10, on other shingles.
+OP13_SQL = OP10_SQL.replace("len(w) < 3", "len(w) < 4").replace("w[i:i + 2]", "w[i:i + 3]").replace("len(w) - 2", "len(w) - 3").replace(">= 90 *", ">= 80 *").replace("q.m AS component_id", "q.m AS component_id, d.doc_id = q.m AS kept")
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
@@ -194,8 +281,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_lm_scoring": op8_lm_scoring,
         "op9_token_records": op9_token_records,
         "op10_jaccard_join": op10_jaccard_join,
+        "op11_merkle": op11_merkle,
+        "op12_lexical_search": op12_lexical_search,
+        "op13_minhash": op13_minhash,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_suffix_dedup": OP1_SQL, "op2_decontamination": OP2_SQL, "op3_substring_dedup": OP3_SQL, "op7_line_dedup": OP7_SQL, "op10_jaccard_join": OP10_SQL}
+    return {"op1_suffix_dedup": OP1_SQL, "op2_decontamination": OP2_SQL, "op3_substring_dedup": OP3_SQL, "op7_line_dedup": OP7_SQL, "op10_jaccard_join": OP10_SQL, "op11_merkle": OP11_SQL, "op12_lexical_search": OP12_SQL, "op13_minhash": OP13_SQL}
