@@ -9,14 +9,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from goldpan.functions.text import slugify_ascii
+from goldpan.scratch import lookup, written
 
 
 def with_position(df: DataFrame, column: str = "pos") -> DataFrame:
     """A stable position for rules on source order: the input partition, then the row in it.
 
-    The offsets have one row a partition; the rows themselves are neither shuffled nor sorted.
+    Rows are written with their partition first, as a plan that is run twice may be cut in two ways. The offsets have one row a
+    partition; the rows themselves are neither shuffled nor sorted.
     """
-    marked = df.withColumn("_m", F.monotonically_increasing_id()).withColumn("_p", F.shiftright("_m", 33))
+    marked = written(df.withColumn("_m", F.monotonically_increasing_id()), "positions").withColumn("_p", F.shiftright("_m", 33))
     before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
     offsets = marked.groupBy("_p").agg(F.count("*").alias("_c")).select("_p", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_o"))
     return marked.join(F.broadcast(offsets), "_p").withColumn(column, F.col("_o") + F.col("_m").bitwiseAND((1 << 33) - 1)).drop("_m", "_p", "_o")
@@ -37,6 +39,22 @@ def numbered(df: DataFrame, order: str, column: str, rows: int = 1_000_000) -> D
     return marked.withColumn("_i", inside).join(F.broadcast(offsets), "_part").withColumn(column, F.col("_o") + F.col("_i")).drop("_part", "_i", "_o")
 
 
+def ranked_within(rows: DataFrame, part: str, *order: Column, name: str = "pos") -> DataFrame:
+    """``rows`` with their place, from 0, in their ``part`` by ``order``, and n, the number of rows of the part. ``part`` is never null.
+
+    Rows are sorted in ranges, so that a hot part is spread; a range's first place comes from the counts of those before
+    it, one row for each part and range.
+    """
+    by = [F.col(part).asc(), *order]
+    ranges = written(rows.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_at", F.monotonically_increasing_id()), "ranges")
+    counts = ranges.groupBy(F.col(part).alias("_part"), F.shiftright("_at", 33).alias("_range")).agg(F.min("_at").alias("first"), F.count("*").alias("c"))
+    of = Window.partitionBy("_part")
+    before = F.sum("c").over(of.orderBy("_range")) - F.col("c")
+    firsts = written(counts.select("_part", "_range", (before - F.col("first")).alias("_shift"), F.sum("c").over(of).alias("n")), "range-offsets")
+    joined = ranges.join(lookup(firsts), (F.col(part) == F.col("_part")) & (F.shiftright("_at", 33) == F.col("_range")))
+    return joined.withColumn(name, F.col("_at") + F.col("_shift")).drop("_at", "_part", "_range", "_shift")
+
+
 def union_sources(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
@@ -58,8 +76,3 @@ def upsert(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
 def slug_key(name: Column, slug: Column, province: Column, address: Column, position: Column) -> Column:
     """The slug, or that of the name, of name, province and address, or one of the row alone."""
     return F.coalesce(F.nullif(slug, F.lit("")), slugify_ascii(name), slugify_ascii(F.concat_ws(" ", name, province, address)), F.concat(F.lit("entity-"), position))
-
-
-def carry_over(current: DataFrame, history: DataFrame, key: str) -> DataFrame:
-    """Current rows, and the history that none of them matches."""
-    return current.unionByName(history.join(current.select(key), key, "left_anti"), allowMissingColumns=True)

@@ -7,7 +7,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from goldpan.functions import text as T
 from goldpan.functions.dates import registry_date
@@ -207,12 +206,3 @@ class Registry:
 
 def recent(df: DataFrame, by: str, n: int = 20) -> DataFrame:
     return df.orderBy(F.col(by).desc()).limit(n)
-
-
-def newest_version(versions: DataFrame) -> DataFrame:
-    """dataset and its latest version."""
-    return keep_first(versions, ["dataset"], [F.col("major").desc(), F.col("minor").desc(), F.col("patch").desc()])
-
-
-def ordered_within(key: str, order: str) -> Column:
-    return F.row_number().over(Window.partitionBy(key).orderBy(order))

@@ -39,6 +39,33 @@ def province_of_coordinates(df: DataFrame, stored: DataFrame, digits: int = 3) -
     return df.join(one, (F.round("latitude", digits) == F.col("_y")) & (F.round("longitude", digits) == F.col("_x")), "left").drop("_x", "_y")
 
 
+def province_by_box(df: DataFrame, boxes: DataFrame, *, id_: str = "id", degrees: float = 1.0, lat: str = "latitude", lon: str = "longitude") -> DataFrame:
+    """Adds ``box``: the name of the smallest box that holds the point, edges included, the first by name of equal ones; null where there is none.
+
+    boxes: name, south, north, west, east; a box whose west is greater than its east crosses 180 degrees. A range join by cells: a
+    box is stored in each cell of ``degrees`` that it touches, a point asks its own cell. A box that touches over a hundred
+    cells is stored in cells ten times as wide, and so on, so the number of entries stays that of the boxes times a
+    hundred, and a point asks one cell of each size that is in use.
+    """
+    split = boxes.withColumn("x", F.explode(F.when(F.col("west") <= F.col("east"), F.array(F.struct(F.col("west").alias("w"), F.col("east").alias("e")))).otherwise(
+        F.array(F.struct(F.col("west").alias("w"), F.lit(180.0).alias("e")), F.struct(F.lit(-180.0).alias("w"), F.col("east").alias("e"))))))
+    wide = F.when(F.col("west") <= F.col("east"), F.col("east") - F.col("west")).otherwise(F.col("east") - F.col("west") + 360)
+    split = split.select("name", "south", "north", F.col("x.w").alias("w"), F.col("x.e").alias("e"), (wide * (F.col("north") - F.col("south"))).alias("area"))
+    sizes = [degrees * 10**i for i in range(4)]
+    cells = lambda size: (F.floor(F.col("north") / size) - F.floor(F.col("south") / size) + 1) * (F.floor(F.col("e") / size) - F.floor(F.col("w") / size) + 1)
+    size = F.lit(sizes[-1])
+    for s in reversed(sizes[:-1]):
+        size = F.when(cells(s) <= 100, F.lit(s)).otherwise(size)
+    whole = lambda c: F.floor(c).cast("int")
+    stored = split.withColumn("size", size).withColumn("row", F.explode(F.sequence(whole(F.col("south") / F.col("size")), whole(F.col("north") / F.col("size")))))
+    stored = stored.withColumn("cell", F.explode(F.sequence(whole(F.col("w") / F.col("size")), whole(F.col("e") / F.col("size")))))
+    points = valid_points(df, lat, lon).select(F.col(id_).alias("_id"), F.col(lat).alias("y"), F.col(lon).alias("x")).withColumn("size", F.explode(F.array(*map(F.lit, sizes))))
+    asked = points.withColumns({"row": whole(F.col("y") / F.col("size")), "cell": whole(F.col("x") / F.col("size"))})
+    inside = asked.join(stored, ["size", "row", "cell"]).filter(F.col("y").between(F.col("south"), F.col("north")) & F.col("x").between(F.col("w"), F.col("e")))
+    best = inside.groupBy("_id").agg(F.min(F.struct("area", "name"))["name"].alias("box"))
+    return df.join(best, F.col(id_) == F.col("_id"), "left").drop("_id")
+
+
 def pairs_within(df: DataFrame, km: float, *, id_: str = "id", lat: str = "latitude", lon: str = "longitude") -> DataFrame:
     """l < r and km of all points within ``km`` of each other, by cells of a grid and their neighbours: no cross product.
 
@@ -64,11 +91,6 @@ def pairs_within(df: DataFrame, km: float, *, id_: str = "id", lat: str = "latit
     return both.filter(F.col("km") <= km).select("l", "r", "km")
 
 
-def distance_matrix(df: DataFrame, *, id_: str = "id", lat: str = "latitude", lon: str = "longitude") -> DataFrame:
-    """All pairs, which is what a matrix is: only for tables that are meant to be small; ``pairs_within`` serves all others."""
-    side = lambda s: valid_points(df, lat, lon).select(F.col(id_).alias(s), F.col(lat).alias(f"y{s}"), F.col(lon).alias(f"x{s}"))
-    return side("l").crossJoin(side("r")).select("l", "r", haversine_km(F.col("yl"), F.col("xl"), F.col("yr"), F.col("xr")).alias("km"))
-
 
 def proximity_clusters(df: DataFrame, km: float = 50.0, *, id_: str = "id", lat: str = "latitude", lon: str = "longitude") -> DataFrame:
     """id, leader: the lowest id not taken yet takes all that are free within ``km``; -1 without coordinates.

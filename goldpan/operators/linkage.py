@@ -12,8 +12,8 @@ from pyspark.sql.window import Window
 from goldpan.functions import text as T
 from goldpan.functions.similarity import partial_ratio, token_set_ratio, token_sort_ratio
 from goldpan.operators.components import connected_components
-from goldpan.operators.dedup import numbered
-from goldpan.scratch import written
+from goldpan.operators.dedup import numbered, ranked_within
+from goldpan.scratch import release, written
 
 
 def with_link_columns(df: DataFrame) -> DataFrame:
@@ -58,48 +58,71 @@ def _segments(text: str, d: int) -> list[tuple[int, str]]:
     return [(a, text[a:b]) for a, b in zip(cuts, cuts[1:])]
 
 
-def fuzzy_pairs(df: DataFrame, column: str, id_: str = "id", threshold: float = 0.96) -> DataFrame:
-    """Pairs l < r whose sorted tokens have a ratio of ``threshold`` or more.
+def sorted_tokens(c: Column) -> Column:
+    return F.array_join(F.sort_array(F.split(F.trim(c), r"\s+")), " ")
 
-    At ratio t, strings of lengths a and b differ by at most d = (1 - t) * (a + b) insertions and deletions, so of d + 1
-    parts of one string one survives unchanged in the other, moved by d at most (the Pass-Join idea, Li et al. 2011).
-    Parts and probes meet in an equi-join; only then are strings compared. Equal strings are joined on their own.
-    """
-    sorted_ = df.select(F.col(id_).alias("id"), F.array_join(F.sort_array(F.split(F.trim(F.col(column)), r"\s+")), " ").alias("s")).filter(F.coalesce(F.length("s"), F.lit(0)) > 0)
-    texts = sorted_.select("s").distinct()
 
-    @F.pandas_udf("array<string>")
-    def parts(values: pd.Series) -> pd.Series:
-        out = []
-        for s in values:
-            keys = set()
-            for other in range(len(s), int(len(s) * (2 - threshold) / threshold) + 1):  # the other string is as long or longer
-                d = int((1 - threshold) * (len(s) + other) + 1e-9)
-                if d:
-                    keys |= {f"{other}:{i}:{len(s)}:{p}" for i, (_, p) in enumerate(_segments(s, d))}
-            out.append(list(keys))
-        return pd.Series(out)
+#: Characters that are counted together; two strings need at least as many edits as their counts differ.
+_GROUPS = ("aeio", "ulmn", "rst", "bcdf", "ghjkpq", "vwxyz", "01234", "56789")
 
-    @F.pandas_udf("array<string>")
-    def probes(values: pd.Series) -> pd.Series:
-        out = []
-        for s in values:
-            keys = set()
-            for other in range(math.ceil(len(s) * threshold / (2 - threshold) - 1e-9), len(s) + 1):
-                d = int((1 - threshold) * (len(s) + other) + 1e-9)
-                for i, (at, p) in enumerate(_segments("x" * other, d) if d else []):
-                    keys |= {f"{len(s)}:{i}:{other}:{s[j : j + len(p)]}" for j in range(max(0, at - d), min(len(s) - len(p), at + d) + 1)}
-            out.append(list(keys))
-        return pd.Series(out)
 
-    a = texts.select(F.col("s").alias("x"), F.explode(parts("s")).alias("k"))
-    b = texts.select(F.col("s").alias("y"), F.explode(probes("s")).alias("k"))
-    near = a.join(b, "k").filter("x <> y").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+def _counts(c: Column) -> Column:
+    """How many characters of each group a string has."""
+    lower = F.lower(c)
+    return F.struct(*[(F.length(lower) - F.length(F.translate(lower, g, ""))).alias(f"g{i}") for i, g in enumerate(_GROUPS)])
+
+
+def _apart(x: Column, y: Column) -> Column:
+    return sum((F.abs(x[f"g{i}"] - y[f"g{i}"]) for i in range(1, len(_GROUPS))), F.abs(x["g0"] - y["g0"]))
+
+
+def fuzzy_classes(df: DataFrame, column: str, id_: str = "id", threshold: float = 0.96) -> tuple[DataFrame, DataFrame]:
+    """(id and text class of each row with text, pairs x < y of classes): classes are rows whose sorted tokens are equal; those of a pair have a ratio of ``threshold`` or more.
+
+    At ratio t, strings of lengths m <= n differ by at most d = (1 - t) * (m + n) insertions and deletions. The shorter one is
+    cut into D + 1 parts, D being the largest d that its length allows; one of them stands in the longer one unchanged,
+    moved by (d - n + m) / 2 at most to the left and (d + n - m) / 2 to the right (the Pass-Join idea, Li et al. 2011). Parts
+    and what stands at these places of strings of each length are hashed to 64 bits and meet in an equi-join; what
+    can't be similar by its character counts is dropped there, and only the rest is compared. All but the last comparison
+    are built-in functions.
+    """
+    rows = df.select(F.col(id_).alias("id"), sorted_tokens(F.col(column)).alias("s")).filter(F.coalesce(F.length("s"), F.lit(0)) > 0)
+    named = rows.groupBy("s").agg(F.min("id").alias("class"))
+    texts = written(named.withColumns({"n": F.length("s"), "counts": _counts(F.col("s"))}), "fuzzy-texts")
+    members = rows.join(texts.select("s", "class"), "s").select("id", "class")
+    most = lambda m: F.floor((1 - threshold) * (m + F.floor(m * (2 - threshold) / threshold + 1e-9)) + 1e-9).cast("int")
+    cut = lambda m, i, parts: F.floor(m * i / parts).cast("int")
+    key = lambda m, i, piece: F.xxhash64(m, i, piece)
+
+    short = texts.withColumn("parts", most(F.col("n")) + 1).filter("parts > 1").withColumn("i", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    low, high = cut(F.col("n"), F.col("i"), F.col("parts")), cut(F.col("n"), F.col("i") + 1, F.col("parts"))
+    short = short.select(key("n", "i", F.substring("s", low + 1, high - low)).alias("k"), F.col("class").alias("x"), F.col("n").alias("m"), F.col("counts").alias("a"))
+
+    least = F.ceil(F.col("n") * threshold / (2 - threshold) - 1e-9).cast("int")
+    long = texts.withColumn("m", F.explode(F.sequence(least, F.col("n")))).withColumn("parts", most(F.col("m")) + 1).filter("parts > 1")
+    long = long.withColumn("d", F.floor((1 - threshold) * (F.col("n") + F.col("m")) + 1e-9).cast("int")).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    low, high = cut(F.col("m"), F.col("i"), F.col("parts")), cut(F.col("m"), F.col("i") + 1, F.col("parts"))
+    more = F.col("n") - F.col("m")
+    first, last = F.greatest(F.lit(0), F.col("low") - F.floor((F.col("d") - more) / 2)), F.least(F.col("n") - F.col("size"), F.col("low") + F.floor((F.col("d") + more) / 2))
+    long = long.withColumns({"low": low, "size": high - low}).withColumns({"first": first.cast("int"), "last": last.cast("int")}).filter("d >= n - m and first <= last")
+    long = long.withColumn("at", F.explode(F.sequence("first", "last")))
+    long = long.select(key("m", "i", F.substring("s", F.col("at") + 1, F.col("size"))).alias("k"), F.col("class").alias("y"), F.col("n").alias("o"), F.col("counts").alias("b"))
+
+    met = short.join(long, "k").filter("x <> y").filter(_apart(F.col("a"), F.col("b")) <= (1 - threshold) * (F.col("m") + F.col("o")) + 1e-9)
+    near = met.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+    side = lambda c: texts.select(F.col("class").alias(c), F.col("s").alias(f"s{c}"))
+    both = near.join(side("x"), "x").join(side("y"), "y")
     # Substitutions count twice as insertions and deletions, so the edit distance is a bound that needs no Python.
-    near = near.filter(F.levenshtein("x", "y") <= (1 - threshold) * (F.length("x") + F.length("y")) + 1e-9).filter(token_sort_ratio("x", "y") >= threshold)
-    similar = near.join(sorted_.select(F.col("id").alias("i"), F.col("s").alias("x")), "x").join(sorted_.select(F.col("id").alias("j"), F.col("s").alias("y")), "y")
-    found = similar.select(F.least("i", "j").alias("l"), F.greatest("i", "j").alias("r"))
-    return found.unionByName(pairs_by(sorted_, F.col("s"))).distinct()
+    both = both.filter(F.levenshtein("sx", "sy") <= (1 - threshold) * (F.length("sx") + F.length("sy")) + 1e-9)
+    return members, both.filter(token_sort_ratio("sx", "sy") >= threshold).select("x", "y")
+
+
+def fuzzy_pairs(df: DataFrame, column: str, id_: str = "id", threshold: float = 0.96) -> DataFrame:
+    """Pairs l < r of rows that ``fuzzy_classes`` brings together, equal strings included: as many rows as there are such pairs. Clusters and counts need the classes only."""
+    members, pairs = fuzzy_classes(df, column, id_, threshold)
+    side = lambda c, i: members.select(F.col("class").alias(c), F.col("id").alias(i))
+    similar = pairs.join(side("x", "i"), "x").join(side("y", "j"), "y").select(F.least("i", "j").alias("l"), F.greatest("i", "j").alias("r"))
+    return similar.unionByName(pairs_by(members, F.col("class")))
 
 
 def partial_pairs(df: DataFrame, column: str, id_: str = "id", threshold: float = 0.92) -> DataFrame:
@@ -191,20 +214,70 @@ def comparison_vectors(df: DataFrame, pairs: DataFrame, id_: str = "id") -> Data
     return both.select("l", "r", *out)
 
 
+def random_pairs(df: DataFrame, id_: str = "id", seeds: int = 1) -> DataFrame:
+    """l, r: random pairs of ids, one for each row and seed, each pair once: two hash orders of the rows, put side by side by position."""
+    out = None
+    for seed in range(seeds):
+        order = lambda k: F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(2 * seed + k), F.col(id_))), 1, 15), 16, 10).cast("long")  # noqa: B023, E731
+        rows = written(df.select(id_, order(0).alias("a"), order(1).alias("b")), "pair-orders")
+        place = lambda c, name: numbered(rows, c, "place").select("place", F.col(id_).alias(name))  # noqa: B023, E731
+        pairs = place("a", "i").join(place("b", "j"), "place").filter("i <> j").select(F.least("i", "j").alias("l"), F.greatest("i", "j").alias("r"))
+        out = pairs if out is None else out.unionByName(pairs)
+    return out.distinct()
+
+
+def gamma_counts(vectors: DataFrame) -> DataFrame:
+    """gamma_<field> of all fields and n: at most as many rows as there are combinations of levels, however many pairs."""
+    names = [f"gamma_{f}" for f in LEVELS]
+    return vectors.groupBy(*names).agg(F.count("*").alias("n"))
+
+
 def estimate_u(df: DataFrame, sample_pairs: DataFrame, id_: str = "id") -> DataFrame:
-    """field, level, u: how often pairs of different entities are on a level, from given random pairs."""
-    vectors = comparison_vectors(df, sample_pairs, id_)
-    long = vectors.select(F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"gamma_{f}").alias("level")) for f in LEVELS])).alias("x")).select("x.*").filter("level >= 0")
-    return long.groupBy("field", "level").agg(F.count("*").alias("n")).withColumn("u", F.col("n") / F.sum("n").over(Window.partitionBy("field"))).drop("n")
+    """field, level, u: how often pairs of different entities are on a level, from random pairs."""
+    counts = gamma_counts(comparison_vectors(df, sample_pairs, id_))
+    long = counts.select("n", F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"gamma_{f}").alias("level")) for f in LEVELS])).alias("x")).select("n", "x.*").filter("level >= 0")
+    return long.groupBy("field", "level").agg(F.sum("n").alias("n")).withColumn("u", F.col("n") / F.sum("n").over(Window.partitionBy("field"))).drop("n")
 
 
-def match_probabilities(vectors: DataFrame, u: dict[str, list[float]], prior: float = 1e-4) -> DataFrame:
-    """Adds match_weight (log2 of the Bayes factors and the prior) and match_probability (Fellegi and Sunter 1969)."""
+def estimate_m(counts: DataFrame, u: dict[str, list[float]], *, prior: float = 0.5, rounds: int = 10, least: float = 1e-6) -> tuple[dict[str, list[float]], float]:
+    """({field: m of each level}, share of matches) of counted vectors, by expectation maximisation with u held fixed (Winkler 1988).
+
+    m starts as ``LEVELS`` has it. ``counts`` (see ``gamma_counts``) is as small as the number of level combinations, so the
+    rounds run on the driver. A level that is not met keeps ``least``.
+    """
+    m = {f: [level[-1] for level in levels] for f, levels in LEVELS.items()}
+    seen = [(tuple(r[f"gamma_{f}"] for f in LEVELS), r["n"]) for r in counts.collect()]
+    for _ in range(rounds if seen else 0):
+        sums = {f: [0.0] * len(levels) for f, levels in LEVELS.items()}
+        matches = 0.0
+        for gammas, n in seen:
+            yes, no = prior, 1 - prior
+            for f, g in zip(LEVELS, gammas):
+                if g >= 0:
+                    yes, no = yes * m[f][g], no * max(u[f][g], least)
+            share = n * yes / (yes + no) if yes + no else 0.0
+            matches += share
+            for f, g in zip(LEVELS, gammas):
+                if g >= 0:
+                    sums[f][g] += share
+        m = {f: [max(x / sum(s), least) if sum(s) else y for x, y in zip(s, m[f])] for f, s in sums.items()}
+        prior = min(max(matches / sum(n for _, n in seen), 1e-9), 1 - 1e-9)
+    return m, prior
+
+
+def levels_of(table: DataFrame, value: str) -> dict[str, list[float]]:
+    """{field: value of each level} of a table of field, level and ``value``; 0 where there is none. It has a row for each level."""
+    found = {(r["field"], r["level"]): r[value] for r in table.collect()}
+    return {f: [found.get((f, i), 0.0) for i in range(len(levels))] for f, levels in LEVELS.items()}
+
+
+def match_probabilities(vectors: DataFrame, u: dict[str, list[float]], prior: float = 1e-4, m: dict[str, list[float]] | None = None) -> DataFrame:
+    """Adds match_weight (log2 of the Bayes factors and the prior) and match_probability (Fellegi and Sunter 1969); m is that of ``LEVELS`` unless given."""
     weight = F.lit(math.log2(prior / (1 - prior)))
     for field, levels in LEVELS.items():
         factor = F.lit(0.0)
         for i, level in enumerate(levels):
-            factor = F.when(F.col(f"gamma_{field}") == i, math.log2(level[-1] / max(u[field][i], 1e-9))).otherwise(factor)
+            factor = F.when(F.col(f"gamma_{field}") == i, math.log2((m[field][i] if m else level[-1]) / max(u[field][i], 1e-9))).otherwise(factor)
         weight = weight + factor
     return vectors.withColumn("match_weight", weight).withColumn("match_probability", 1 / (1 + F.pow(F.lit(2.0), -F.col("match_weight"))))
 
@@ -248,24 +321,54 @@ def as_status_history(c: Column) -> Column:
     return F.coalesce(F.from_json(c, "array<struct<status:string,date:string>>"), F.when(c.isNotNull(), F.array(F.struct(c.alias("status"), F.lit(None).cast("string").alias("date")))), F.array().cast("array<struct<status:string,date:string>>"))
 
 
+def _classes(rows: DataFrame, id_: str) -> DataFrame:
+    """id_, class, keys: rows with the same set of keys are one class, named by its hash."""
+    keyed = rows.select(id_, F.array_sort(F.array_distinct("keys")).alias("keys")).filter(F.size("keys") > 0)
+    return keyed.withColumn("class", F.sha2(F.array_join("keys", "\x1f"), 256))
+
+
 def match_history(current: DataFrame, history: DataFrame) -> DataFrame:
     """pos, entity_id: each row takes the lowest history row that shares a key with it and that no earlier row took.
 
     current: pos, keys (array); history: entity_id, keys. That choice is the one stable matching if rows prefer low ids and
-    history prefers early rows, so it is found by rounds of proposals (Gale and Shapley 1962): each row asks the lowest
-    entity that hasn't turned it down, and each entity keeps the earliest row. A round is two aggregations; edges that were turned
-    down go, and rounds are written to the shared folder.
+    history prefers early rows (Gale and Shapley 1962). Rows of one set of keys are a class, and so are entities: classes are
+    linked, never rows. The i-th row of a class can't get a lower entity than the i-th of those its class is linked to, so
+    it asks that one at once: a key with any number of namesakes is settled in one round. Where rows of several classes
+    ask one entity, the earliest has it; what comes before the first row turned down, among classes that hang
+    together, is settled, and the rest asks again among what is left. So rounds grow with the conflicts between
+    classes, not with the rows of one.
+
+    A round has as many proposals as rows and as many candidates as rows times links of their class; each is written.
     """
-    rows = current.select("pos", F.explode(F.array_distinct("keys")).alias("k"))
-    past = history.select("entity_id", F.explode(F.array_distinct("keys")).alias("k"))
-    edges = written(rows.join(past, "k").select("pos", "entity_id").distinct(), "history-edges")
+    rows, past = _classes(current, "pos"), _classes(history, "entity_id")
+    named = lambda df, c: df.select(F.col("class").alias(c), "keys").distinct().select(c, F.explode("keys").alias("k"))
+    links = written(named(rows, "asking").join(named(past, "asked"), "k").select("asking", "asked").distinct(), "history-links")
+    waiting = written(rows.select("pos", F.col("class").alias("asking")).join(links.select("asking").distinct(), "asking", "left_semi"), "history-rows")
+    free = written(past.select("entity_id", F.col("class").alias("asked")).join(links.select("asked").distinct(), "asked", "left_semi"), "history-free")
+    parts, taken = None, None
     while True:
-        asked = edges.groupBy("pos").agg(F.min("entity_id").alias("entity_id"))
-        held = asked.groupBy("entity_id").agg(F.min("pos").alias("held"))
-        lost = written(asked.join(held, "entity_id").filter("pos > held").select("pos", "entity_id"), "turned-down")
+        asking = ranked_within(waiting, "asking", F.col("pos").asc(), name="i")
+        offered = ranked_within(free, "asked", F.col("entity_id").asc(), name="i").select("asked", "i", "entity_id")
+        # Of each linked class a class of n rows needs the n lowest entities at most.
+        first = asking.groupBy("asking").agg(F.count("*").alias("rows")).join(links, "asking").withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("rows") - 1)))
+        choice = ranked_within(first.join(offered, ["asked", "i"]).select("asking", "entity_id"), "asking", F.col("entity_id").asc(), name="i").select("asking", "i", "entity_id")
+        asked = written(asking.select("pos", "asking", "i").join(choice, ["asking", "i"]).select("pos", "asking", "entity_id"), "history-proposals")
+        lost = written(asked.join(asked.groupBy("entity_id").agg(F.min("pos").alias("held")), "entity_id").filter("pos > held").select("pos", "asking"), "turned-down")
         if lost.isEmpty():
-            return asked
-        edges = written(edges.join(lost, ["pos", "entity_id"], "left_anti"), "history-edges")
+            new = asked.select("pos", "entity_id")
+            return new if taken is None else taken.unionByName(new)
+        if parts is None:
+            found = connected_components(links.select(F.concat(F.lit("r"), "asking").alias("a"), F.concat(F.lit("h"), "asked").alias("b")))
+            parts = written(found.filter("node like 'r%'").select(F.substring("node", 2, 64).alias("asking"), "component"), "history-parts")
+        stop = lost.join(parts, "asking").groupBy("component").agg(F.min("pos").alias("stop"))
+        done = written(asked.join(parts, "asking").join(stop, "component", "left").filter("stop is null or pos < stop").select("pos", "entity_id", "asking"), "history-settled")
+        taken = done.select("pos", "entity_id") if taken is None else taken.unionByName(done.select("pos", "entity_id"))
+        # Rows that no entity is left for ask no more.
+        old = waiting, free
+        waiting = written(asked.join(done.select("pos"), "pos", "left_anti").select("pos", "asking"), "history-rows")
+        free = written(free.join(done.select("entity_id"), "entity_id", "left_anti"), "history-free")
+        for table in (*old, asked, lost):
+            release(table)
 
 
 def entity_registry(current: DataFrame, history: DataFrame, now: Column) -> DataFrame:

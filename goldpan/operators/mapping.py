@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
+from pyspark.sql.window import Window
 
 #: The canonical columns of a source, and which of them are lists.
 SOURCE_COLUMNS = (
@@ -65,27 +66,48 @@ def rename_mapped(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
     return df.withColumnsRenamed({k: v for k, v in mapping.items() if k in df.columns})
 
 
-def semantic_types(df: DataFrame, sample_rows: int = 100) -> DataFrame:
-    """column_name, semantic_type from the first filled values of each column: a bounded sample, as the feature has it.
+def filled_samples(df: DataFrame, position: str | None = None, n: int = 100) -> DataFrame:
+    """column_name, at (from 1), value: the first ``n`` non-null values of each column, as text, by ``position`` or in the order of the files.
 
-    Tests, in order, each above 70 % of the values: email, phone, url, date, numeric; then categorical (few distinct values), text.
+    One pass unpivots the filled values; every task keeps ``n`` of each column before anything is shuffled, so a table of any
+    size leaves columns times tasks times ``n`` rows.
     """
-    text = {c: F.col(f"`{c}`").cast("string") for c in df.columns}
-    share = lambda c, p: F.avg(F.coalesce(text[c].rlike(p), F.lit(False)).cast("double"))
-    sampled = df.limit(sample_rows)
-    numbers = []
-    for c in df.columns:
-        numbers.append(F.struct(
-            F.lit(c).alias("column_name"), F.count(text[c]).alias("n"), share(c, r"^[^@\s]+@[^@\s]+\.[^@\s]+$").alias("email"),
-            share(c, r"^(?![0-9]{4}-[0-9]{2}-[0-9]{2}$)\+?[0-9()\s-]{7,}$").alias("phone"), share(c, r"^(https?://|www\.)").alias("url"),
-            F.avg(F.to_date(F.try_to_timestamp(F.substring(text[c], 1, 10), F.lit("yyyy-MM-dd"))).isNotNull().cast("double")).alias("date"),
-            F.avg(text[c].try_cast("double").isNotNull().cast("double")).alias("numeric"), F.try_divide(F.approx_count_distinct(text[c]), F.count(text[c])).alias("distinct"),
-        ))
-    one = sampled.agg(F.array(*numbers).alias("x")).select(F.explode("x").alias("x")).select("x.*")
-    kind = F.when(F.col("n") == 0, "empty")
+    names = [c for c in df.columns if c != position]
+    placed = df.withColumn("_at", F.col(f"`{position}`") if position else F.monotonically_increasing_id())
+    cells = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("string").alias("value")) for c in names])
+    filled = placed.select("_at", F.explode(F.filter(cells, lambda x: x["value"].isNotNull())).alias("x")).select("_at", "x.*")
+    first = filled.withColumn("at", F.row_number().over(Window.partitionBy("column_name").orderBy("_at", "value")))
+    return first.filter(F.col("at") <= n).select("column_name", "at", "value")
+
+
+def semantic_types(df: DataFrame, sample_rows: int = 100, position: str | None = None) -> DataFrame:
+    """column_name, semantic_type from the first ``sample_rows`` filled values of each column, wherever in the table they stand.
+
+    Tests, in order, each above 70 % of the values: email, phone, url, date, numeric; then categorical (few distinct values), text;
+    a column without values is empty.
+    """
+    names = [c for c in df.columns if c != position]
+    value = F.col("value")
+    share = lambda p: F.avg(value.rlike(p).cast("double"))
+    found = filled_samples(df, position, sample_rows).groupBy("column_name").agg(
+        F.count("*").alias("n"), share(r"^[^@\s]+@[^@\s]+\.[^@\s]+$").alias("email"),
+        share(r"^(?![0-9]{4}-[0-9]{2}-[0-9]{2}$)\+?[0-9()\s-]{7,}$").alias("phone"), share(r"^(https?://|www\.)").alias("url"),
+        F.avg(F.to_date(F.try_to_timestamp(F.substring(value, 1, 10), F.lit("yyyy-MM-dd"))).isNotNull().cast("double")).alias("date"),
+        F.avg(value.try_cast("double").isNotNull().cast("double")).alias("numeric"), (F.count_distinct("value") / F.count("*")).alias("distinct"),
+    )
+    all_ = df.sparkSession.createDataFrame([(c,) for c in names], "column_name string").join(found, "column_name", "left")
+    kind = F.when(F.col("n").isNull(), "empty")
     for name in ("email", "phone", "url", "date", "numeric"):
         kind = kind.when(F.col(name) > 0.7, name)
-    return one.select("column_name", kind.when(F.col("distinct") < 0.1, "categorical").otherwise("text").alias("semantic_type"))
+    return all_.select("column_name", kind.when(F.col("distinct") < 0.1, "categorical").otherwise("text").alias("semantic_type"))
+
+
+def full_profile(df: DataFrame, position: str | None = None, samples: int = 3) -> DataFrame:
+    """``profile`` of each column with its semantic_type and the first ``samples`` filled values."""
+    kept = filled_samples(df, position, samples).groupBy("column_name").agg(F.transform(F.sort_array(F.collect_list(F.struct("at", "value"))), lambda x: x["value"]).alias("samples"))
+    own = df.drop(position) if position else df
+    out = profile(own).join(semantic_types(df, position=position), "column_name").join(kept, "column_name", "left")
+    return out.withColumn("samples", F.coalesce("samples", F.array().cast("array<string>")))
 
 
 def profile(df: DataFrame) -> DataFrame:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 SPARK_TYPES = {"string": "string", "number": "double", "integer": "bigint", "boolean": "boolean"}
 
@@ -129,15 +131,35 @@ def run_suite(df: DataFrame, suite: list[Expectation]) -> DataFrame:
     return out
 
 
-def unexpected(df: DataFrame, suite: list[Expectation], failed: list[str], n: int = 3) -> DataFrame:
-    """expectation, value: the first ``n`` unexpected values of each failed rule; a second pass, only for these."""
-    out = df.sparkSession.createDataFrame([], "expectation string, value string")
+def suite_from_file(spark: SparkSession, path: str) -> list[Expectation]:
+    """A suite from a JSON file in any file system that Spark reads. The file is one document, as suites are written by hand."""
+    text = spark.read.text(path, wholetext=True).first()
+    if text is None:
+        raise ValueError(f"{path} is empty")
+    return suite_from_json(json.loads(text[0]))
+
+
+def checkpoint(df: DataFrame, suite: list[Expectation], position: str | None = None, n: int = 3) -> DataFrame:
+    """``run_suite`` with ``unexpected``: the first ``n`` values that break each failed rule, by ``position`` or in the order of the files.
+
+    Values that break a rule are unpivoted in one pass for all rules; a task keeps ``n`` of each rule before the shuffle, so
+    neither it nor the list of a rule grows with the number of bad rows.
+    """
+    result = run_suite(df, suite)
+    rules, have = [], set(df.columns)
     for e in suite:
-        if e.label in failed and e.kind != "exists":
+        if e.kind != "exists" and e.column in have:
             c = F.col(f"`{e.column}`")
-            bad = ~F.coalesce(e.holds(), F.lit(False)) if e.kind == "not_null" else c.isNotNull() & ~e.holds()
-            out = out.unionByName(df.filter(bad).select(F.lit(e.label).alias("expectation"), c.cast("string").alias("value")).limit(n))
-    return out
+            bad = ~F.coalesce(e.holds(), F.lit(False)) if e.kind == "not_null" else c.isNotNull() & ~F.coalesce(e.holds(), F.lit(True))
+            rules.append(F.when(bad, F.struct(F.lit(e.label).alias("expectation"), c.cast("string").alias("value"))))
+    if not rules:
+        return result.withColumn("unexpected", F.array().cast("array<string>"))
+    placed = df.withColumn("_at", F.col(f"`{position}`") if position else F.monotonically_increasing_id())
+    broken = placed.select("_at", F.explode(F.filter(F.array(*rules), lambda x: x.isNotNull())).alias("x")).select("_at", "x.*")
+    first = broken.withColumn("at", F.row_number().over(Window.partitionBy("expectation").orderBy("_at"))).filter(F.col("at") <= n)
+    lists = first.groupBy("expectation").agg(F.transform(F.sort_array(F.collect_list(F.struct("at", "value"))), lambda x: x["value"]).alias("unexpected"))
+    out = result.join(lists, "expectation", "left")
+    return out.withColumn("unexpected", F.when(~F.col("success"), F.col("unexpected")).otherwise(F.array().cast("array<string>"))).withColumn("unexpected", F.coalesce("unexpected", F.array().cast("array<string>")))
 
 
 def refined_suite(email: float = 0.85, phone: float = 0.85, website: float = 0.75, country: str = "South Africa") -> list[Expectation]:

@@ -31,6 +31,20 @@ def provenance_summary(entries: DataFrame) -> DataFrame:
     return entries.select(F.explode(pairs).alias("p")).groupBy("p.dimension", "p.value").agg(F.count("*").alias("n"))
 
 
+def provenance_totals(entries: DataFrame) -> DataFrame:
+    """source, strategy, network_status, level, n, mean_confidence: each combination, each dimension alone, and the total, in one aggregation over grouping sets.
+
+    level: detail, source, strategy, network_status or total; a dimension that a level sums over is null there, as is one
+    without value, so it is ``level`` that tells them apart.
+    """
+    dims = ["source", "strategy", "network_status"]
+    named = entries.select(*dims, "confidence")
+    sets = [[F.col(d) for d in dims], *[[F.col(d)] for d in dims], []]
+    which = F.grouping_id(*dims)
+    level = F.when(which == 0, "detail").when(which == 0b011, "source").when(which == 0b101, "strategy").when(which == 0b110, "network_status").otherwise("total")
+    return named.groupingSets(sets, *dims).agg(level.alias("level"), F.count("*").alias("n"), F.avg("confidence").alias("mean_confidence"))
+
+
 def run_kpis(runs: DataFrame, by: list[str] | None = None) -> DataFrame:
     """runs, successes, success_rate, and mean, min and max of seconds and records; runs: success, seconds, records."""
     ok = F.count_if("success")
@@ -39,8 +53,17 @@ def run_kpis(runs: DataFrame, by: list[str] | None = None) -> DataFrame:
     return runs.groupBy(*(by or [])).agg(*figures)
 
 
-def gate_history(entries: DataFrame) -> DataFrame:
-    """total, passed, failed, pass_rate and the latest entry's time and verdict; entries: at, passed."""
+def run_totals(runs: DataFrame, by: str) -> DataFrame:
+    """``run_kpis`` of each value of ``by`` and, with ``is_total``, of all runs, in one aggregation."""
+    ok = F.count_if("success")
+    figures = [F.count("*").alias("runs"), ok.alias("successes"), (ok / F.count("*")).alias("success_rate"), F.sum("records").alias("records"), F.sum("seconds").alias("seconds")]
+    return runs.rollup(by).agg((F.grouping_id() == 1).alias("is_total"), *figures)
+
+
+def gate_history(entries: DataFrame, last: int | None = None) -> DataFrame:
+    """total, passed, failed, pass_rate and the latest entry's time and verdict, of all entries or the ``last`` ones by time; entries: at, passed."""
+    if last is not None:
+        entries = entries.orderBy(F.col("at").desc(), F.col("passed")).limit(last)
     return entries.agg(
         F.count("*").alias("total"), F.count_if("passed").alias("passed"), F.count_if(~F.col("passed")).alias("failed"),
         F.coalesce(F.avg(F.col("passed").cast("double")), F.lit(0.0)).alias("pass_rate"), F.max("at").alias("latest_at"), F.max_by("passed", "at").alias("latest_passed"),

@@ -237,7 +237,8 @@ SELECT c_custkey, round(d, 6) AS completeness, round((d + c_acctbal / 10000) / 2
     "party_confidence": """WITH c AS (SELECT c_custkey, least(1, greatest(0.05, greatest(0.5, CASE WHEN c_custkey % 4 <> 0 THEN least(1, 0.25 + 0.2 * (c_custkey % 4)) ELSE 0 END, CASE WHEN c_acctbal / 2000 > 1 THEN least(1, c_acctbal / 2000 / 5) ELSE c_acctbal / 2000 END))) AS x FROM customer)
 SELECT c_custkey, round(x, 6) AS confidence, CASE WHEN x >= 0.75 THEN 'high' WHEN x >= 0.5 THEN 'medium' ELSE 'low' END AS band FROM c""",
     "resolved_intent": """WITH g AS (SELECT user_id % 30 AS k, round(avg(value), 4) AS score, count(*) AS signal_count FROM events GROUP BY 1)
-SELECT n_nationkey, CASE WHEN n_nationkey % 2 = 0 OR n_nationkey % 5 <> 0 THEN g.score ELSE 0.5 END AS score, CASE WHEN n_nationkey % 2 = 0 OR n_nationkey % 5 <> 0 THEN g.signal_count ELSE 1 END AS signal_count FROM nation LEFT JOIN g ON g.k = n_nationkey""",
+SELECT n_nationkey, CASE WHEN (n_nationkey % 2 = 0 OR n_nationkey % 5 <> 0) AND k IS NOT NULL THEN g.score WHEN n_nationkey % 5 = 0 THEN 0.5 END AS score,
+  CASE WHEN (n_nationkey % 2 = 0 OR n_nationkey % 5 <> 0) AND k IS NOT NULL THEN g.signal_count WHEN n_nationkey % 5 = 0 THEN 1 END AS signal_count FROM nation LEFT JOIN g ON g.k = n_nationkey""",
     "field_classes": "SELECT * FROM (VALUES ('c_custkey', 'internal', false, NULL, NULL), ('c_name', 'personal', true, 365, 'consent'), ('c_nationkey', 'internal', false, NULL, NULL), ('c_acctbal', 'internal', false, NULL, NULL), ('c_mktsegment', 'internal', false, NULL, NULL)) t(field, classification, requires_consent, retention_days, lawful_basis)",
     "order_checksum": "SELECT 'orders' AS dataset, 1 AS major, 0 AS minor, 0 AS patch, count(*) AS n_rows FROM orders",
     "target_signals": "SELECT CASE WHEN c_custkey % 2 = 0 THEN 'USER-' || c_custkey ELSE 'user-' || c_custkey END AS target_slug, count(*) AS n FROM customer JOIN events ON user_id = c_custkey GROUP BY 1",

@@ -12,6 +12,7 @@ from goldpan.functions import dates as D
 from goldpan.functions import text as T
 from goldpan.operators import contacts, dedup, enrich, geo, intent, lead, linkage, mapping, party, privacy, quality, stats, survivorship
 from goldpan.plans import refine as plan
+from goldpan.plans.feature_queries import FEATURE_QUERIES
 from goldpan.plans.table_queries import TABLE_QUERIES
 from goldpan.plans.tables import PRIORITIES, organisations, read
 from goldpan.scratch import new_path, written
@@ -158,7 +159,7 @@ def pii_events(spark, d):
     """C03"""
     c = read(spark, d, "conversations").withColumn("key", F.concat_ws(":", "conv_id", "turn"))
     _, events = privacy.redact(c.select("key", "text"), ["text"], "key")
-    return events.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("n"))
+    return events.select("key", F.col("type").alias("entity")).distinct().groupBy("entity").agg(F.count("*").alias("n"))
 
 
 def _consented(spark, d):
@@ -745,4 +746,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         policy_warnings, allowed_providers, person_names, identifiers, entity_priorities, party_confidence, resolved_intent, field_classes, order_checksum, target_signals,
     )
 }
-QUERIES |= TABLE_QUERIES
+QUERIES |= TABLE_QUERIES | FEATURE_QUERIES

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from goldpan.plans.feature_oracle import FEATURE_SQL
 from goldpan.plans.oracle import ORGS_SQL, REFINED_SQL, SQL
 
 
@@ -164,4 +165,4 @@ SELECT 'missing_column' AS "check", 'notes' AS field, 1 AS n UNION ALL SELECT 'e
 SELECT id, 'rows>linkage>geography>enrichment>compliance' AS trail, coalesce('f' || s_suppkey, 'none') AS region, CASE WHEN s_suppkey IS NULL THEN 'default' ELSE 'geocoder' END AS provenance_source, 'pending' AS consent_status FROM f LEFT JOIN supplier ON s_suppkey = id % 50""",
 }
 
-ALL_SQL: dict[str, str] = SQL | TABLE_SQL | LINK_SQL | REFINED_QUERIES_SQL
+ALL_SQL: dict[str, str] = SQL | TABLE_SQL | LINK_SQL | REFINED_QUERIES_SQL | FEATURE_SQL
