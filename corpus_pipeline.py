@@ -12,6 +12,7 @@ cutoff is certified, without benchmark items nothing is contaminated.
 
 from __future__ import annotations
 
+from contextvars import ContextVar
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +22,17 @@ from goldpan.llm.common import read_table
 from goldpan.llm.queries import tokenizer_path
 from goldpan.scratch import release, scratch_tables, written
 
-_scratch: list[DataFrame] = []
+#: Scratch tables of the last stage that ran: of a ``run``, or of the thread where stages are called one by one.
+_scratch: ContextVar[list[DataFrame]] = ContextVar("scratch")
+
+
+def _clear(spark: SparkSession) -> list[DataFrame]:
+    tables = _scratch.get(None)
+    if tables is None:
+        _scratch.set(tables := [])
+    while tables:
+        release(tables.pop(), spark)
+    return tables
 
 
 def _stage(function):
@@ -29,11 +40,10 @@ def _stage(function):
 
     @wraps(function)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        while _scratch:
-            release(_scratch.pop(), spark)
+        tables = _clear(spark)
         with scratch_tables() as found:
             out = function(spark, docs, sf_dir)
-        _scratch.extend(found)
+        tables.extend(found)
         return out
 
     return run_stage
@@ -82,7 +92,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
-    return docs
+    """The last stage's rows. Tables of a run are its own; all but the result are deleted when nothing reads them any more."""
+    token = _scratch.set([])
+    try:
+        docs, before = read_table(spark, sf_dir, "documents"), None
+        for name, stage in STAGES:
+            docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+            if before is not None:
+                release(before, spark)
+            before = docs
+        _clear(spark)
+        return docs
+    finally:
+        _scratch.reset(token)

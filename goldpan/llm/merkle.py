@@ -17,9 +17,9 @@ from heapq import heappop, heappush
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from goldpan.scratch import lookup, written
+from goldpan.operators.dedup import ranked_within
+from goldpan.scratch import written
 
 #: Levels of a block: it has 1,024 leaves at most.
 LEVELS = 10
@@ -124,22 +124,6 @@ def _blocks(df: DataFrame):
     return df.withColumn("block", F.shiftright("pos", LEVELS)).groupBy("part", "block")
 
 
-def placed(rows: DataFrame, *order: Column) -> DataFrame:
-    """``rows`` with pos, from 0, in their ``part`` by ``order``, and n, the number of rows of the part.
-
-    Rows are sorted in ranges, so that a hot part is spread; a range's first position comes from the counts of those before
-    it, one row for each part and range.
-    """
-    by = [F.col("part").asc(), *order]
-    ranges = written(rows.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("at", F.monotonically_increasing_id()), "manifest-ranges")
-    counts = ranges.groupBy("part", F.shiftright("at", 33).alias("range")).agg(F.min("at").alias("first"), F.count("*").alias("c"))
-    part = Window.partitionBy("part")
-    before = F.sum("c").over(part.orderBy("range")) - F.col("c")
-    firsts = written(counts.select(F.col("part").alias("o_part"), "range", (before - F.col("first")).alias("shift"), F.sum("c").over(part).alias("n")), "manifest-offsets")
-    joined = ranges.join(lookup(firsts), (F.col("part") == F.col("o_part")) & (F.shiftright("at", 33) == F.col("range")))
-    return joined.withColumn("pos", F.col("at") + F.col("shift")).drop("at", "o_part", "range", "shift")
-
-
 def _rounds(nodes: DataFrame) -> list[DataFrame]:
     """Tables of nodes (part, pos, n, digest): the leaves, then one row a block and round, until each part has one."""
     out, most = [nodes], nodes.agg(F.max("n")).first()[0] or 0
@@ -174,10 +158,10 @@ def manifest(docs: DataFrame, *, id_col: str = "doc_id", part_col: str = "lang",
     part = F.coalesce(F.concat(F.lit("+"), F.col(f"`{part_col}`").cast("string")), F.lit(""))
     rows = docs.select(part.alias("part"), F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(_NULL_ID)).alias("id"), F.col(f"`{id_col}`").cast("long").alias("doc_id"), leaf_digest(*real).alias("digest"), extra.alias("extra"))
     # The last key only spreads rows that are alike, whose order doesn't matter.
-    leaves = written(placed(rows, F.col("id").asc(), F.col("digest").asc(), F.monotonically_increasing_id().asc()).drop("id"), "manifest-leaves")
+    leaves = written(ranked_within(rows, "part", F.col("id").asc(), F.col("digest").asc(), F.monotonically_increasing_id().asc()).drop("id"), "manifest-leaves")
     trees = _rounds(leaves)
     subroots = trees[-1].select(F.col("part").alias("of"), F.col("digest"), F.lit("").alias("part"))
-    upper = _rounds(written(placed(subroots, F.col("of").asc()), "manifest-subroots"))
+    upper = _rounds(written(ranked_within(subroots, "part", F.col("of").asc()), "manifest-subroots"))
     root = upper[-1].select("part", "pos", F.lit("").alias("subroot"), F.col("digest").alias("root"), F.array().cast(PROOF).alias("proof"))
     tops = written(_proven(upper, root).select(F.col("of").alias("part"), F.lit(0).cast("long").alias("pos"), F.col("digest").alias("subroot"), "root", "proof"), "manifest-tops")
     out = _proven(trees, tops)

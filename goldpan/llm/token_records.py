@@ -16,7 +16,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -193,12 +193,26 @@ def _frames(ids: list[bytes], doc_ids: list[int | None], width: int) -> tuple[by
     return b"".join(out), size + 16
 
 
+#: Names that Arrow has for the schemes of Hadoop's file systems.
+_ARROW_SCHEMES = {"s3a": "s3", "s3n": "s3"}
+
+
+def arrow_uri(spark: SparkSession, path: str) -> str:
+    """The URI under which Arrow finds what Hadoop calls ``path``: a path without scheme lies in Spark's default file system, not on an executor's disk."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    full = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(hadoop).toUri()
+    scheme, host = full.getScheme(), full.getAuthority()
+    return f"{_ARROW_SCHEMES.get(scheme, scheme)}://{host or ''}{full.getRawPath()}"
+
+
 def write_records(docs: DataFrame, path: str, *, tokenizer_path: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", shard_bytes: int = 16 << 20) -> DataFrame:
     """Write the ids of all texts in ascending doc_id order (null first; repeated ids by the hash of their texts) and return the manifest.
 
     Manifest: shard, n_docs, n_tokens, width (bytes an id), one row for each shard that has documents. Null and empty texts
     give a record with the end id only. No rows: no files and an empty manifest.
 
+    Rows alike in id and text are dealt to several shards too, and any file system that both Hadoop and Arrow know will do.
+
     Texts are dealt into ranges of doc_id before they are encoded, so that no id sequence is shuffled. A task writes its
     shard under a name of its own and renames it when it is whole; a task that runs again writes the same bytes.
     """
@@ -206,6 +220,7 @@ def write_records(docs: DataFrame, path: str, *, tokenizer_path: str, end_id: in
     shards = max(1, -(-text_bytes(texts) // shard_bytes))
     cut = _is_byte_level(tokenizer_path)
     width = 2 if _vocabulary(tokenizer_path, end_id) <= 1 << 16 else 4
+    where = arrow_uri(docs.sparkSession, path)
 
     def write(batches):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -219,7 +234,7 @@ def write_records(docs: DataFrame, path: str, *, tokenizer_path: str, end_id: in
             for begin, end in slices(batch.column("text"), 1 << 19):
                 part = batch.slice(begin, end - begin)
                 if out is None:
-                    system, root = fs.FileSystem.from_uri(path)
+                    system, root = fs.FileSystem.from_uri(where)
                     system.create_dir(root, recursive=True)
                     own = f"{root}/_{name}.{TaskContext.get().taskAttemptId()}"
                     out, index = system.open_output_stream(own + ".bin"), system.open_output_stream(own + ".idx")
@@ -237,8 +252,10 @@ def write_records(docs: DataFrame, path: str, *, tokenizer_path: str, end_id: in
             tidy()
             yield pa.RecordBatch.from_pydict({"shard": [shard], "n_docs": [docs_], "n_tokens": [tokens], "width": [width]}, pa.schema([("shard", pa.int32()), ("n_docs", pa.int64()), ("n_tokens", pa.int64()), ("width", pa.int32())]))
 
-    order = [F.col("doc_id").asc_nulls_first(), F.col("hash").asc()]  # not by id alone: many rows may have none, or the same
-    ordered = texts.withColumn("hash", F.xxhash64("text")).repartitionByRange(shards, *order).sortWithinPartitions(*order).drop("hash")
+    # Not by id alone: many rows may have none, or the same. The last key only deals rows that are alike in both to several shards.
+    order = [F.col("doc_id").asc_nulls_first(), F.col("hash").asc(), F.col("row").asc()]
+    marked = texts.withColumns({"hash": F.xxhash64("text"), "row": F.monotonically_increasing_id()})
+    ordered = marked.repartitionByRange(shards, *order).sortWithinPartitions(*order).drop("hash", "row")
     return written(ordered.mapInArrow(keyed(write), "shard int, n_docs long, n_tokens long, width int"), "token-manifest")
 
 
