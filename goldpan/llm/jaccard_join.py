@@ -209,6 +209,9 @@ def _meetings(compared: DataFrame, members: DataFrame, found: DataFrame, *, num:
     of these sets meet by their additions in order of rarity. Sets that aren't far meet by additions and lacks in
     order of rarity, of which both need one among the first few, as the differences of two that link differ in few
     shingles themselves, and one of them isn't small.
+
+    Before all that, differences from the hub that a set shares with no other one are counted: a pair differs in all of them, so
+    copies that were each edited in places of their own drop out without meeting.
     """
     share = (den - num) / (den + num)  # sets of sizes n and m link if they differ in share * (n + m) shingles at most
     a, size = F.size("adds"), F.size("adds") + F.size("lacks")
@@ -223,16 +226,21 @@ def _meetings(compared: DataFrame, members: DataFrame, found: DataFrame, *, num:
     every = written(named.join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep")).withColumn("far", F.col("a") >= F.col("q")), "hub-sets")
     # Two sets have to meet only if they share a signature; most signatures have one set beside the hub, or sets of one component, and need nothing.
     keys = members.join(every, ["hub", "rep"]).groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.bool_and("linked").alias("all"))
-    sets = written(members.join(keys.filter("least < most and not all").select("key"), "key").select("hub", "rep").distinct().join(every, ["hub", "rep"]), "open-sets")
+    open_ = written(members.join(keys.filter("least < most and not all").select("key"), "key").select("hub", "rep").distinct().join(every, ["hub", "rep"]), "open-sets")
+    # What no other open set of the hub adds or lacks sets a pair apart, whoever the partner is.
+    each = compared.select("hub", "rep", "adds", "lacks").join(open_.select("hub", "rep"), ["hub", "rep"]).select("hub", "rep", F.explode(F.concat("adds", "lacks")).alias("x"))
+    common = each.join(each.groupBy("hub", "x").agg(F.count("*").alias("c")).filter("c > 1"), ["hub", "x"]).groupBy("hub", "rep").agg(F.count("*").alias("common"))
+    sets = open_.join(common, ["hub", "rep"], "left").withColumn("alone", F.col("s") - F.coalesce("common", F.lit(0))).drop("common")
+    sets = written(sets.filter(F.col("alone") <= reach), "hopeful-sets")
     full = compared.select("hub", "rep", "adds", "lacks").join(sets.select("hub", "rep", "q", "far"), ["hub", "rep"])
 
     def side(rows: DataFrame, k: str) -> DataFrame:
-        return rows.join(sets, ["hub", "rep"]).select("hub", "x", *[F.col(c).alias(f"{c}{k}") for c in ("rep", "i", "component", "n", "a", "s", "q", "linked", "far")])
+        return rows.join(sets, ["hub", "rep"]).select("hub", "x", *[F.col(c).alias(f"{c}{k}") for c in ("rep", "i", "component", "n", "a", "s", "q", "linked", "far", "alone")])
 
     # The first shingle that both have, and those after it.
     behind = lambda total: F.least(F.col(f"{total}b") - F.col("ib"), F.col(f"{total}c") - F.col("ic"))
     may = share * (F.col("nb") + F.col("nc")) + 1e-9
-    apart = F.expr("repb < repc and componentb <> componentc")
+    apart = F.expr("repb < repc and componentb <> componentc") & (F.col("aloneb") + F.col("alonec") <= may)
     overlap = (behind("a") + F.least(F.col("nb") - F.col("ab"), F.col("nc") - F.col("ac"))) * (num + den) >= num * (F.col("nb") + F.col("nc"))
     pair = ["hub", F.col("repb").alias("b"), F.col("repc").alias("c")]
 
