@@ -106,10 +106,10 @@ def certified(rejected: np.ndarray, n: int, limit: float, error: float) -> int:
     return len(rejected) - 1
 
 
-def path(bad: np.ndarray, other: np.ndarray) -> list[tuple[int, int]]:
+def path(bad: np.ndarray, other: np.ndarray, times: tuple[np.ndarray, np.ndarray] | None = None) -> list[tuple[int, int]]:
     """Steps (rule, t) that lower one rule's cutoff each: from then on it rejects bins from t on.
 
-    ``bad`` and ``other``: bins of bad documents and of documents without a label, a row each. The next cutoff is the one that
+    ``bad`` and ``other``: distinct bins of bad documents and of documents without a label, and ``times``, how many of each have them (once if not given). The next cutoff is the one that
     rejects most bad documents more for each other one that looks good, and it is gone to notch by notch. Documents without
     label are a mixture, in which the tail that bad ones dominate most tells how many bad ones to expect beside
     each labelled one. Without bad documents all rules go from lenient to strict side by side.
@@ -117,12 +117,13 @@ def path(bad: np.ndarray, other: np.ndarray) -> list[tuple[int, int]]:
     sizes = [len(r.grid) for r in RULES]
     if not len(bad):
         return [(r, t) for t in range(max(sizes), 0, -1) for r, n in enumerate(sizes) if t <= n]
-    tail = lambda bins, r: np.bincount(bins[:, r], minlength=sizes[r] + 1)[::-1].cumsum()[::-1]
-    tails = [(tail(bad, r), tail(other, r)) for r in range(len(RULES))]
-    rate = min((float(y / x) for xs, ys in tails for x, y in zip(xs, ys) if x >= max(5, len(bad) // 10)), default=0.0)
+    n_bad, n_other = times or (np.ones(len(bad), np.int64), np.ones(len(other), np.int64))
+    tail = lambda bins, n, r: np.bincount(bins[:, r], n, sizes[r] + 1)[::-1].cumsum()[::-1]
+    tails = [(tail(bad, n_bad, r), tail(other, n_other, r)) for r in range(len(RULES))]
+    rate = min((float(y / x) for xs, ys in tails for x, y in zip(xs, ys) if x >= max(5, int(n_bad.sum()) // 10)), default=0.0)
     steps, floor = [], [n + 1 for n in sizes]
     while len(bad):
-        best, tails = (0.0, 0, 0), [(tail(bad, r), tail(other, r)) for r in range(len(RULES))]
+        best, tails = (0.0, 0, 0), [(tail(bad, n_bad, r), tail(other, n_other, r)) for r in range(len(RULES))]
         for r, (of_bad, of_other) in enumerate(tails):
             expected = rate * of_bad
             gain = of_bad / (1.0 + np.maximum(0.0, of_other - expected - 2 * np.sqrt(expected)))
@@ -135,7 +136,8 @@ def path(bad: np.ndarray, other: np.ndarray) -> list[tuple[int, int]]:
         of_bad = tails[r][0]
         steps += [(r, notch) for notch in range(floor[r] - 1, t - 1, -1) if notch == len(of_bad) - 1 and of_bad[notch] or notch < len(of_bad) - 1 and of_bad[notch] > of_bad[notch + 1]]
         floor[r] = t
-        bad, other = bad[bad[:, r] < t], other[other[:, r] < t]
+        left, rest = bad[:, r] < t, other[:, r] < t
+        bad, n_bad, other, n_other = bad[left], n_bad[left], other[rest], n_other[rest]
     return steps
 
 
@@ -158,7 +160,7 @@ def scored(docs: DataFrame, *, carry: list[str] | None = None, text_col: str = "
     return written(docs.select(row.alias("row"), F.col(f"`{id_col}`").alias("id"), stratum.alias("stratum"), features(text).alias("counts")), "quality-counts")
 
 
-def cutoffs(rows: DataFrame, labels: DataFrame, *, limit: float = 0.02, error: float = 0.05, fit_rows: int = 10_000) -> DataFrame:
+def cutoffs(rows: DataFrame, labels: DataFrame, *, limit: float = 0.02, error: float = 0.05) -> DataFrame:
     """One row for each stratum that has good labelled documents: stratum, pooled, n_good (documents of the holdout), n_rejected (those that the cutoffs reject) and cut_<rule>, null where none is certified.
 
     ``rows``: of ``scored``. The holdout is every labelled document of quality 1 that passes the base rules. ``limit``: share of
@@ -167,15 +169,16 @@ def cutoffs(rows: DataFrame, labels: DataFrame, *, limit: float = 0.02, error: f
     each gets an equal part (Bonferroni). A stratum too small to show anything at its part is pooled with the others
     that are; a pool that is too small as well has no cutoffs and takes no part of the error.
 
-    The path never sees a label of the holdout: it is fitted per stratum on up to about ``fit_rows`` documents of quality 0 and as many without
-    label, drawn by hash. All counts and the tests are over all rows. Labels with nulls are ignored; for
+    The path never sees a label of the holdout: it is fitted per stratum on all documents of quality 0 and all without label.
+    Spark counts the documents of each vector of bins, and the vectors, of which a stratum has as many as its documents differ in
+    notches, come to one task a stratum. All counts and the tests are over all rows. Labels with nulls are ignored; for
     ids labelled twice the lower quality counts; rows that repeat an id are tested each.
     """
     labelled = written(labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg((F.min("quality") >= 1).alias("good")).select(F.col("doc_id").alias("l_id"), "good"), "quality-labels")
     marked = rows.filter(~base_failed("counts")).select("id", "stratum", _bins("counts").alias("bins")).join(lookup(labelled), F.col("id") == F.col("l_id"), "left")
-    draw = F.pmod(F.xxhash64("id", "bins"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    marked = written(marked.select("stratum", "bins", F.coalesce(F.when(F.col("good"), "good").when(~F.col("good"), "bad"), F.lit("other")).alias("kind"), draw.alias("draw")), "quality-bins")
-    sizes = marked.groupBy("stratum").agg(*[F.count(F.when(F.col("kind") == k, 1)).alias(k) for k in ("good", "bad", "other")]).filter("good > 0")
+    kind = F.coalesce(F.when(F.col("good"), "good").when(~F.col("good"), "bad"), F.lit("other"))
+    marked = written(marked.groupBy("stratum", "bins", kind.alias("kind")).agg(F.count("*").alias("n")), "quality-bins")
+    sizes = marked.filter("kind = 'good'").groupBy("stratum").agg(F.sum("n").alias("good"))
 
     def plan(strata: pd.DataFrame) -> pd.DataFrame:
         """Which strata are tested on their own; one row a stratum comes here."""
@@ -189,24 +192,22 @@ def cutoffs(rows: DataFrame, labels: DataFrame, *, limit: float = 0.02, error: f
         tests = own + bool(enough(strata["good"][own:].sum(), own + 1))
         strata["pooled"] = strata.index >= own
         strata["alpha"] = error / max(1, tests)
-        group = strata["stratum"].where(~strata["pooled"], "")
-        for kind in ("bad", "other"):
-            strata[f"{kind}_share"] = fit_rows / strata.groupby([strata["pooled"], group])[kind].transform("sum").clip(lower=1)
-        return strata[["stratum", "pooled", "alpha", "bad_share", "other_share"]]
+        return strata[["stratum", "pooled", "alpha"]]
 
-    planned = written(sizes.withColumn("one", F.lit(1)).groupBy("one").applyInPandas(plan, "stratum string, pooled boolean, alpha double, bad_share double, other_share double"), "quality-strata")
+    planned = written(sizes.withColumn("one", F.lit(1)).groupBy("one").applyInPandas(plan, "stratum string, pooled boolean, alpha double"), "quality-strata")
     grouped = marked.join(lookup(planned), "stratum").withColumn("of", F.when(F.col("pooled"), "").otherwise(F.col("stratum")))
 
-    def fit(sample: pd.DataFrame) -> pd.DataFrame:
-        bins = np.array(sample["bins"].tolist(), np.int64).reshape(-1, len(RULES))
-        steps = path(bins[(sample["kind"] == "bad").to_numpy()], bins[(sample["kind"] == "other").to_numpy()])
-        return pd.DataFrame({"p_of": sample["of"].iloc[:1], "p_pooled": sample["pooled"].iloc[:1], "steps": [[list(x) for x in steps]], "first": [_first_steps(steps)]})
+    def fit(counted: pd.DataFrame) -> pd.DataFrame:
+        bins, n = np.array(counted["bins"].tolist(), np.int64).reshape(-1, len(RULES)), counted["n"].to_numpy()
+        bad, other = ((counted["kind"] == k).to_numpy() for k in ("bad", "other"))
+        steps = path(bins[bad], bins[other], (n[bad], n[other]))
+        return pd.DataFrame({"p_of": counted["of"].iloc[:1], "p_pooled": counted["pooled"].iloc[:1], "steps": [[list(x) for x in steps]], "first": [_first_steps(steps)]})
 
-    drawn = ((F.col("kind") == "bad") & (F.col("draw") < F.col("bad_share"))) | ((F.col("kind") == "other") & (F.col("draw") < F.col("other_share")))
-    paths = lookup(written(grouped.filter(drawn).groupBy("of", "pooled").applyInPandas(fit, "p_of string, p_pooled boolean, steps array<array<int>>, first array<array<int>>"), "quality-paths"))
+    vectors = grouped.filter("kind <> 'good'").groupBy("of", "pooled", "kind", "bins").agg(F.sum("n").alias("n"))
+    paths = lookup(written(vectors.groupBy("of", "pooled").applyInPandas(fit, "p_of string, p_pooled boolean, steps array<array<int>>, first array<array<int>>"), "quality-paths"))
     on = (F.col("of") == F.col("p_of")) & (F.col("pooled") == F.col("p_pooled"))
     rejects = F.array_min(F.zip_with("first", "bins", lambda of, b: F.get(of, b)))
-    levels = grouped.filter("kind = 'good'").join(paths, on, "left").groupBy("of", "pooled", "alpha", "steps", rejects.alias("level")).agg(F.count("*").alias("n"))
+    levels = grouped.filter("kind = 'good'").join(paths, on, "left").groupBy("of", "pooled", "alpha", "steps", rejects.alias("level")).agg(F.sum("n").alias("n"))
 
     def certify(counts: pd.DataFrame) -> pd.DataFrame:
         steps = [] if counts["steps"].iloc[0] is None else [tuple(x) for x in counts["steps"].iloc[0]]
@@ -230,7 +231,7 @@ def judge(docs: DataFrame, labels: DataFrame, *, carry: list[str] | None = None,
 
     A document is kept if it passes the base rules and no certified cutoff of its stratum is below its score. A stratum
     without good labels has no cutoffs. Null or empty texts have no words, so they fail the base rules; a null stratum counts
-    as the empty string; repeated rows are judged each. Empty tables give no rows. ``options``: limit, error and fit_rows of ``cutoffs``.
+    as the empty string; repeated rows are judged each. Empty tables give no rows. ``options``: limit and error of ``cutoffs``.
     """
     rows = scored(docs, carry=carry, text_col=text_col, id_col=id_col, stratum_col=stratum_col)
     cuts = written(cutoffs(rows, labels, **options), "quality-cutoffs")

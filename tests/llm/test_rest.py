@@ -453,3 +453,14 @@ def test_digests_of_queries(spark, sf_dir):
 
     r = queries.op4_secret_scan(spark, sf_dir).filter("n_assign + n_access + n_hex = 0").first()
     assert r.base_sha256 == hashlib.sha256(b"").hexdigest()
+
+
+def test_paths_of_counted_vectors_are_those_of_all_documents():
+    n = len(quality_rules.RULES)
+    r = np.random.Generator(np.random.PCG64(16))
+    bad, other = r.integers(0, 4, (300, n)), r.integers(0, 3, (4000, n))
+    bad[:, 1] += 20
+    other[::9, 1] += 18
+    counted = [np.unique(x, axis=0, return_counts=True) for x in (bad, other)]
+    assert len(counted[1][0]) < len(other)
+    assert quality_rules.path(counted[0][0], counted[1][0], (counted[0][1], counted[1][1])) == quality_rules.path(bad, other)
