@@ -45,9 +45,7 @@ def asked(spark):
 
 
 @pytest.mark.parametrize("options", [{}, {"shards": 1}, {"shards": 7, "k": 3}, {"shards": 3, "k": 200}])
-@pytest.mark.parametrize("first_read", [1, 128])
-def test_search_is_brute_force(spark, asked, monkeypatch, options, first_read):
-    monkeypatch.setattr(ls, "FIRST_READ", first_read)
+def test_search_is_brute_force(spark, asked, options):
     docs = [(r.doc_id, r.text) for r in corpus(spark).collect()]
     items = [(r.item_id, r.text) for r in asked.collect()]
     assert got(ls.search(corpus(spark), asked, **options)) == brute(docs, items, options.get("k", 10))

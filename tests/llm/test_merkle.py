@@ -46,24 +46,22 @@ def got(df):
 
 
 @pytest.mark.parametrize("levels", [1, 2, 10])
-def test_manifest_is_brute_force(spark, monkeypatch, levels):
+def test_manifest_is_brute_force(spark, levels):
     """Blocks of two, four and 1,024 leaves; nulls in all columns, repeated rows and ids."""
-    monkeypatch.setattr(merkle, "LEVELS", levels)
     docs = corpus(spark).cache()
-    out = merkle.manifest(docs, columns=COLUMNS)
+    out = merkle.manifest(docs, columns=COLUMNS, levels=levels)
     assert got(out) == brute(docs.collect())
     again = out.select((merkle.folded(F.col("leaf"), F.col("proof")) == F.col("root")).alias("ok"))
     assert {r.ok for r in again.collect()} == {True}
 
 
 @pytest.mark.parametrize("counts", [(1,), (1, 1, 1), (5, 1), (8, 3, 2), (17, 33)])
-def test_shapes_of_trees(spark, monkeypatch, counts):
-    monkeypatch.setattr(merkle, "LEVELS", 2)
+def test_shapes_of_trees(spark, counts):
     rows = [(p * 100 + i, f"p{p}", "text") for p, n in enumerate(counts) for i in range(n)]
     docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
     columns = ("doc_id", "text")
     want = [(str(a), b, c, d, e) for a, b, c, d, e in brute_of(docs.collect(), columns)]
-    assert got(merkle.manifest(docs, columns=columns)) == want
+    assert got(merkle.manifest(docs, columns=columns, levels=2)) == want
 
 
 def brute_of(rows, columns):
