@@ -66,3 +66,31 @@ def predict(model: LeadModel, df: DataFrame) -> DataFrame:
 
 def score(model: LeadModel, df: DataFrame) -> DataFrame:
     return predict(model, df).withColumn("lead_score", logistic_scale("probability"))
+
+
+@dataclass(frozen=True)
+class Weights:
+    """A model as numbers: standardised features times coefficients, and the intercept."""
+
+    features: tuple[str, ...]
+    means: tuple[float, ...]
+    deviations: tuple[float, ...]
+    coefficients: tuple[float, ...]
+    intercept: float
+
+
+def weights(model: LeadModel) -> Weights:
+    _, scaler, regression = model.pipeline.stages
+    plain = lambda values: tuple(float(v) for v in values)
+    return Weights(model.features, plain(scaler.mean), plain(scaler.std), plain(regression.coefficients), float(regression.intercept))
+
+
+def weighted(df: DataFrame, w: Weights) -> DataFrame:
+    """Adds ``probability`` and ``lead_score`` as plain expressions, so that a stored model scores batches and streams without a pipeline; nulls count as 0."""
+    missing = [f for f in w.features if f not in df.columns]
+    if missing:
+        raise ValueError(f"missing features: {', '.join(missing)}")
+    total = F.lit(w.intercept)
+    for f, mean, deviation, c in zip(w.features, w.means, w.deviations, w.coefficients):
+        total = total + F.lit(c) * ((F.coalesce(F.col(f).cast("double"), F.lit(0.0)) - mean) / deviation if deviation else F.lit(0.0))
+    return df.withColumn("probability", 1 / (1 + F.exp(-total))).withColumn("lead_score", logistic_scale("probability"))

@@ -148,5 +148,9 @@ UNION ALL SELECT 'More than half of the records lack an e-mail' FROM m WHERE e >
     "annotated_contacts": """SELECT CASE c_custkey % 3 WHEN 0 THEN 'deliverable' WHEN 1 THEN 'undeliverable' END AS email_status, CASE c_custkey % 3 WHEN 0 THEN 0.92 WHEN 1 THEN 0.0 END AS email_confidence,
   CASE WHEN c_custkey % 2 = 0 THEN 'deliverable' END AS phone_status, CASE WHEN c_custkey % 2 = 0 THEN 0.85 END AS phone_confidence, count(*) AS n, CAST(sum(c_custkey) AS BIGINT) AS ids FROM customer GROUP BY 1, 2, 3, 4""",
     "first_filled": "SELECT c_custkey, coalesce(CASE WHEN c_custkey % 3 = 1 THEN c_mktsegment END, CASE WHEN c_custkey % 5 = 0 THEN ' ' END, 'n' || c_custkey) AS value FROM customer",
+    "lead_weights": r"""WITH t AS (SELECT doc_id, length(text) AS c, len(string_split(text, ' ')) AS w, len(regexp_extract_all(text, '[#*$%&|<>!]')) AS s FROM documents),
+p AS (SELECT doc_id, 1 / (1 + exp(-(0.4 + 0.8 * (coalesce(c, 0) - 2400) / 2500 - 0.3 * (coalesce(w, 0) - 400) / 420 - 1.7 * (coalesce(s, 0) - 3) / 6))) AS p FROM t)
+SELECT doc_id, round(p, 6) AS probability, round(CASE WHEN p <= 0 THEN 0.0 WHEN p >= 1 THEN 1.0 ELSE 1 / (1 + exp(-12 * (p - 0.5))) END, 6) AS lead_score FROM p""",
+    "lead_metrics": "SELECT unnest(['roc_auc', 'precision', 'recall', 'own scores', 'better than chance']) AS metric, true AS holds",
     "ranked_orders": "SELECT o_orderkey, row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_totalprice DESC, o_orderkey) - 1 AS pos, count(*) OVER (PARTITION BY o_orderstatus) AS n FROM orders",
 }

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from goldpan.functions import table as tables
 from goldpan.functions import text as T
-from goldpan.operators import contacts, dedup, enrich, geo, intent, linkage, mapping, privacy, quality, stats
+from goldpan.operators import contacts, dedup, enrich, geo, intent, lead, linkage, mapping, privacy, quality, stats
 from goldpan.plans.tables import read
 from goldpan.scratch import new_path, written
 from goldpan.streaming import intent as streams
@@ -290,6 +290,28 @@ def first_filled(spark, d):
     return rows.select("c_custkey", T.first_filled("a", "b", F.concat(F.lit("n"), "c_custkey")).alias("value"))
 
 
+#: A stored model of ``_traits``: what a training run might have left.
+LEAD = lead.Weights(("chars", "words", "signs"), (2400.0, 400.0, 3.0), (2500.0, 420.0, 6.0), (0.8, -0.3, -1.7), 0.4)
+
+
+def _traits(spark, d):
+    return read(spark, d, "documents").select("doc_id", F.length("text").alias("chars"), F.size(F.split("text", " ")).alias("words"), F.regexp_count("text", F.lit(r"[#*$%&|<>!]")).alias("signs"))
+
+
+def lead_weights(spark, d):
+    """Scores of a stored model"""
+    return lead.weighted(_traits(spark, d), LEAD).select("doc_id", F.round("probability", 6).alias("probability"), F.round("lead_score", 6).alias("lead_score"))
+
+
+def lead_metrics(spark, d):
+    """How far a model trained here is to be trusted, on rows held out, and whether its numbers give its own scores"""
+    rows = _traits(spark, d).join(read(spark, d, "labels").select("doc_id", "quality"), "doc_id")
+    model = lead.train(rows, "quality", list(LEAD.features))
+    same = lead.predict(model, rows).select("doc_id", F.col("probability").alias("p")).join(lead.weighted(rows, lead.weights(model)), "doc_id").agg(F.max(F.abs(F.col("p") - F.col("probability"))) < 1e-9).first()[0]
+    found = [(name, bool(0.0 <= value <= 1.0)) for name, value in model.metrics.items()] + [("own scores", bool(same)), ("better than chance", bool(model.metrics["roc_auc"] > 0.5))]
+    return spark.createDataFrame(found, "metric string, holds boolean")
+
+
 def ranked_orders(spark, d):
     """Places within parts, by ranges"""
     o = read(spark, d, "orders").select("o_orderstatus", "o_orderkey", "o_totalprice")
@@ -301,6 +323,6 @@ FEATURE_QUERIES = {
     f.__name__: f
     for f in (
         estimated_weights, history_namesakes, fuzzy_classes, kept_per_cluster, history_lists, stream_batches, stream_sliding, stream_store, documents_redacted, redaction_events, redacted_lines, suite_examples, filled_types, filled_profile,
-        boxed_suppliers, provenance_totals, best_entries, contact_cells, consent_write, cache_totals, crawl_contacts, acquired, digest_weights, last_gates, run_totals, poor_advice, annotated_contacts, first_filled, ranked_orders,
+        boxed_suppliers, provenance_totals, best_entries, contact_cells, consent_write, cache_totals, crawl_contacts, acquired, digest_weights, last_gates, run_totals, poor_advice, annotated_contacts, first_filled, lead_weights, lead_metrics, ranked_orders,
     )
 }
