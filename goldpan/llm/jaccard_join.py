@@ -26,7 +26,7 @@ from .rolling import SPACED, U, Words, fixed_windows, grams, keyed, laid_out, mi
 
 SLACK = 1
 #: Sets of a hub that may meet at one shingle at once; more meet by rarity.
-FEW = 20
+FEW = 8
 _SETS = "ord long, text_hash long, n long, s1 long, s2 long, prints array<long>, shingles array<long>"
 
 
@@ -200,8 +200,8 @@ def _by_rarity(each: DataFrame, sets: DataFrame, total: str, prefix: str) -> Dat
     return placed.select("hub", "rep", "lone", F.posexplode(F.expr(f"slice(order, 1, {prefix} - lone).x")).alias("at", "x")).select("hub", "rep", (F.col("lone") + F.col("at")).alias("i"), "x")
 
 
-def _meetings(compared: DataFrame, members: DataFrame, found: DataFrame, *, num: int, den: int) -> DataFrame:
-    """hub, b, c: sets of a hub that may link and aren't in one component. ``compared``: hub-differences; ``members``: key, hub, rep; ``found``: node, component.
+def _meetings(compared: DataFrame, found: DataFrame, *, num: int, den: int) -> DataFrame:
+    """hub, b, c: sets of a hub that may link and aren't in one component. ``compared``: hub-differences; ``found``: node, component.
 
     A set that links to one of n shingles lacks fewer than q of these. A set is far from its hub if it adds q or more to it; of
     its first 2q - 1 additions a partner then has q, or all but q - 1 if there are fewer, and these are among the
@@ -223,14 +223,11 @@ def _meetings(compared: DataFrame, members: DataFrame, found: DataFrame, *, num:
     q = F.col("n") - F.ceil(num * F.col("n") / F.lit(den)) + 1
     named = compared.select("hub", "rep", "n", "linked", a.alias("a"), size.alias("s"), first.alias("first"), q.cast("int").alias("q"))
     labels = found.select(F.col("node").alias("rep"), "component")
-    every = written(named.join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep")).withColumn("far", F.col("a") >= F.col("q")), "hub-sets")
-    # Two sets have to meet only if they share a signature; most signatures have one set beside the hub, or sets of one component, and need nothing.
-    keys = members.join(every, ["hub", "rep"]).groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.bool_and("linked").alias("all"))
-    open_ = written(members.join(keys.filter("least < most and not all").select("key"), "key").select("hub", "rep").distinct().join(every, ["hub", "rep"]), "open-sets")
+    every = written(named.join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep")).withColumn("far", F.col("a") >= F.col("q")), "open-sets")
     # What no other open set of the hub adds or lacks sets a pair apart, whoever the partner is.
-    each = compared.select("hub", "rep", "adds", "lacks").join(open_.select("hub", "rep"), ["hub", "rep"]).select("hub", "rep", F.explode(F.concat("adds", "lacks")).alias("x"))
-    common = each.join(each.groupBy("hub", "x").agg(F.count("*").alias("c")).filter("c > 1"), ["hub", "x"]).groupBy("hub", "rep").agg(F.count("*").alias("common"))
-    sets = open_.join(common, ["hub", "rep"], "left").withColumn("alone", F.col("s") - F.coalesce("common", F.lit(0))).drop("common")
+    each = compared.select("hub", "rep", F.explode(F.concat("adds", "lacks")).alias("x"))
+    alone = each.groupBy("hub", "x").agg(F.count("*").alias("c"), F.min("rep").alias("rep")).filter("c = 1").groupBy("hub", "rep").agg(F.count("*").alias("alone"))
+    sets = every.join(alone, ["hub", "rep"], "left").withColumn("alone", F.coalesce("alone", F.lit(0)))
     sets = written(sets.filter(F.col("alone") <= reach), "hopeful-sets")
     full = compared.select("hub", "rep", "adds", "lacks").join(sets.select("hub", "rep", "q", "far"), ["hub", "rep"])
 
@@ -271,9 +268,11 @@ def similar_sets(rows: DataFrame, *, num: int, den: int) -> DataFrame:
 
     Sets are numbered in the order of their first rows, as one ord may stand for several texts.
 
-    Each set is compared with the first set (the hub) of each of its signatures, and what it adds to the hub and lacks of it
-    is kept. Two sets that share a signature share its hub, so all other links are between sets of one hub. Sets that both
-    link to the hub are in one component already; the others meet as ``_meetings`` says. No pairs of a group are listed.
+    Each set is compared with the first set (the hub) of each of its signatures, and links are noted. Two sets that share a
+    signature share its hub, so all other links are between sets of one hub. Most signatures have one set beside the hub, or
+    sets of one component, and need nothing more. The sets of the others are gathered under fewer hubs, as each hub gives way
+    to its own first one, and what a set adds to it and lacks of it is kept; so a set of a large family is stored with a few hubs,
+    not with all of its signatures'. Then sets meet as ``_meetings`` says. No pairs of a group are listed.
     """
     # The table of sets is narrow: signatures and shingles stay where they are and are read when they are needed.
     marked = rows.filter(F.size("prints") > 0)
@@ -283,27 +282,37 @@ def similar_sets(rows: DataFrame, *, num: int, den: int) -> DataFrame:
     keyed = marked.select(*at, "prints").join(chosen, at).select("rep", F.explode("prints").alias("key"))
     first = keyed.groupBy("key").agg(F.min("rep").alias("hub"), F.count("*").alias("c")).filter("c > 1").select("key", "hub")
     members = written(keyed.join(first, "key").filter("rep > hub").select("key", "hub", "rep"), "hub-members")
+    shingles = marked.select(*at, "n", "shingles")
+
+    def beside(pairs: DataFrame) -> DataFrame:
+        """hub, rep, n, shingles, hub_n, hub_shingles. Numbers are turned back into rows first, so that shingles are shuffled once to be found and once more by hub."""
+        reps = pairs.join(chosen, "rep").join(shingles, at).select("hub", "rep", "n", "shingles")
+        hubs = pairs.select(F.col("hub").alias("rep")).distinct().join(chosen, "rep").join(shingles, at).select(F.col("rep").alias("hub"), F.col("n").alias("hub_n"), F.col("shingles").alias("hub_shingles"))
+        return reps.join(hubs, "hub")
+
+    linked = lambda adds: den * (F.col("n") - adds) >= num * (F.col("hub_n") + adds)
     tried = written(members.select("hub", "rep").distinct(), "hub-pairs")
+    adds = F.size(F.array_except("shingles", "hub_shingles"))
+    links = written(beside(tried).select("hub", "rep", "n", "hub_n", adds.alias("adds")).filter(linked(F.col("adds"))).select(F.col("hub").alias("a"), F.col("rep").alias("b")), "hub-links")
+    found = written(connected_components(links), "set-components")
 
-    # Numbers are turned back into rows first, so that shingles are shuffled once to be found and once more by hub.
-    shingles = marked.select(*at, "n", "shingles")
-    reps = tried.join(chosen, "rep").join(shingles, at).select("hub", "rep", "n", "shingles")
-    hubs = tried.select(F.col("hub").alias("rep")).distinct().join(chosen, "rep").join(shingles, at).select(F.col("rep").alias("hub"), F.col("n").alias("hub_n"), F.col("shingles").alias("hub_shingles"))
-    compared = reps.join(hubs, "hub")
-    compared = compared.select("hub", "rep", "n", "hub_n", F.array_except("shingles", "hub_shingles").alias("adds"), F.array_except("hub_shingles", "shingles").alias("lacks"))
-    linked = den * (F.col("n") - F.size("adds")) >= num * (F.col("hub_n") + F.size("adds"))
-    compared = written(compared.withColumn("linked", linked), "hub-differences")
+    labels = found.select(F.col("node").alias("rep"), "component")
+    keys = members.join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep")).groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most"))
+    first_of = tried.groupBy(F.col("rep").alias("hub")).agg(F.min("hub").alias("root"))
+    open_ = members.join(keys.filter("least < most").select("key"), "key").select("hub", "rep").distinct()
+    open_ = written(open_.join(first_of, "hub", "left").select(F.coalesce("root", "hub").alias("hub"), "rep").distinct(), "open-pairs")
+    release(members)
     release(tried)
+    compared = beside(open_).select("hub", "rep", "n", "hub_n", F.array_except("shingles", "hub_shingles").alias("adds"), F.array_except("hub_shingles", "shingles").alias("lacks"))
+    compared = written(compared.withColumn("linked", linked(F.size("adds"))), "hub-differences")
     release(rows)
-    links = compared.filter("linked").select(F.col("hub").alias("a"), F.col("rep").alias("b"))
-    found = written(connected_components(links), "set-components")
 
-    met = written(_meetings(compared, members, found, num=num, den=den), "met-pairs")
-    release(members)
+    met = written(_meetings(compared, found, num=num, den=den), "met-pairs")
     side = lambda k: compared.select("hub", F.col("rep").alias(k), F.col("n").alias(f"n{k}"), F.col("adds").alias(f"a{k}"), F.col("lacks").alias(f"l{k}"))
     both = F.size(F.array_intersect("ab", "ac")) + F.size(F.array_intersect("lb", "lc"))
     apart = F.size("ab") + F.size("lb") + F.size("ac") + F.size("lc") - 2 * both
-    new = written(met.join(side("b"), ["hub", "b"]).join(side("c"), ["hub", "c"]).filter((den + num) * apart <= (den - num) * (F.col("nb") + F.col("nc"))).select(F.col("b").alias("a"), F.col("c").alias("b")).distinct(), "more-links")
+    near = met.join(side("b"), ["hub", "b"]).join(side("c"), ["hub", "c"]).filter((den + num) * apart <= (den - num) * (F.col("nb") + F.col("nc"))).select(F.col("b").alias("a"), F.col("c").alias("b"))
+    new = written(near.unionByName(compared.filter("linked").select(F.col("hub").alias("a"), F.col("rep").alias("b"))).distinct(), "more-links")
     if not new.isEmpty():
         found = written(connected_components(links.unionByName(new)), "set-components")
     release(compared)
