@@ -175,6 +175,18 @@ def strings(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return out
 
 
+def pieces(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """As ``strings``, at less cost where most are short: up to seven bytes the hash is a keyed one-to-one mixing."""
+    size = end - start
+    padded = np.concatenate((data, np.zeros(8, np.uint8)))
+    eight = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+    short = np.minimum(size, 7)
+    out = mix(mix((eight[start] & _FIRST[short]) ^ (short.astype(U) << U(56)) ^ U(_key.sip[0])) + U(_key.sip[1]))
+    long = np.flatnonzero(size > 7)
+    out[long] = strings(data, start[long], end[long])
+    return out
+
+
 def _times(x: np.ndarray, factor: int) -> np.ndarray:
     """x * factor modulo the prime, for values below it."""
     high, low = x >> U(32), x & U(0xFFFFFFFF)

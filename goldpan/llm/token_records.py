@@ -23,7 +23,7 @@ from pyspark.sql.window import Window
 from goldpan.scratch import lookup, new_path, written
 
 from .common import text_bytes
-from .rolling import U, keyed, laid_out, slices, strings, tidy
+from .rolling import U, keyed, laid_out, pieces, slices, tidy
 from .shared_prints import contains
 
 #: Distinct pieces that a worker remembers, at about 30 bytes each; beyond that it starts afresh.
@@ -154,7 +154,7 @@ class Encoder:
             start = np.flatnonzero(cut)
             close = offsets[1:][np.searchsorted(offsets, start, "right") - 1] - 1
             ends = np.minimum(np.append(start[1:], len(data)), close)
-            hashes = strings(data, start, ends)
+            hashes = pieces(data, start, ends)
             distinct, first, of = np.unique(hashes, return_index=True, return_inverse=True)
             if len(self.known) > CACHE_PIECES:
                 self._forget()
