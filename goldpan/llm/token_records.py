@@ -85,8 +85,13 @@ _SOLID = np.array([chr(b).isalnum() and b < 128 or 0xC3 <= b <= 0xE0 or 0xE4 <=
 _encoders: dict[tuple, "Encoder"] = {}
 
 
+def _each(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Places of all bytes of ranges laid end to end."""
+    return np.repeat(start - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
+
+
 class Encoder:
-    """Ids of texts by the tokenizers library, each distinct piece encoded once and remembered by its hash.
+    """Ids of texts by the tokenizers library, each distinct piece encoded once and remembered by its hash and bytes.
 
     Byte-level tokenizers never join a word to what stands before its leading space, so a text may be cut before each space
     that a solid character follows, and such pieces may be laid end to end and encoded together. A tokenizer of another
@@ -113,6 +118,8 @@ class Encoder:
 
     def _forget(self) -> None:
         self.known, self.at, self.count, self.pool = np.zeros(0, U), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, self.dtype)
+        #: The bytes of each known piece, as equal hashes are no proof.
+        self.place, self.size, self.bytes = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint8)
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, self.dtype) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
@@ -136,8 +143,21 @@ class Encoder:
         self.at = np.concatenate((self.at, len(self.pool) + np.cumsum(counts) - counts))
         self.count = np.concatenate((self.count, counts))
         self.pool = np.concatenate((self.pool, *ids, *lone)) if ids or lone else self.pool
+        self.place = np.concatenate((self.place, len(self.bytes) + np.cumsum(size) - size))
+        self.size = np.concatenate((self.size, size))
+        self.bytes = np.concatenate((self.bytes, data[_each(start, size)]))
         order = np.argsort(self.known, kind="stable")
-        self.known, self.at, self.count = self.known[order], self.at[order], self.count[order]
+        self.known, self.at, self.count, self.place, self.size = (x[order] for x in (self.known, self.at, self.count, self.place, self.size))
+
+    def _other(self, entry: np.ndarray, data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Which pieces aren't those that are known under their hash."""
+        other = self.size[entry] != size
+        same = np.flatnonzero(~other & (size > 0))
+        if len(same):
+            differ = data[_each(start[same], size[same])] != self.bytes[_each(self.place[entry[same]], size[same])]
+            if differ.any():
+                other[same] = np.logical_or.reduceat(differ, np.cumsum(size[same]) - size[same])
+        return other
 
     def __call__(self, texts: pa.Array) -> list[bytes]:
         """The ids of each text, with the end id, as bytes."""
@@ -167,7 +187,11 @@ class Encoder:
             ids = self.pool[np.repeat(self.at[entry] - total + counts, counts) + np.arange(int(counts.sum()))]
             upto = np.concatenate(([0], total))[np.searchsorted(start, offsets[1:])]
             edges = np.concatenate(([0], upto)).tolist()
-            out += [ids[a:b].tobytes() + end.tobytes() for a, b in zip(edges[:-1], edges[1:])]
+            found = [ids[a:b].tobytes() + end.tobytes() for a, b in zip(edges[:-1], edges[1:])]
+            other = self._other(entry, data, start, ends - start)
+            for i in np.unique(np.searchsorted(offsets, start[other], "right") - 1).tolist():  # hashes that clash: such texts are encoded whole
+                found[i] = np.concatenate((*self._encode([texts[begin + i].as_py()]), end)).tobytes()
+            out += found
         return out
 
 

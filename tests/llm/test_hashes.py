@@ -121,3 +121,14 @@ def test_rows_alike_go_to_several_shards(spark, tmp_path):
 def test_paths_are_those_of_spark(spark, tmp_path):
     for path in (f"{tmp_path}/x y", f"file:{tmp_path}/x y", f"file://{tmp_path}/x y"):
         assert token_records.arrow_uri(spark, path) == f"file://{tmp_path}/x%20y"
+
+
+def test_pieces_whose_hashes_clash_are_told_apart(monkeypatch):
+    """Whatever the hash: here all pieces of one length share it."""
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(token_records, "pieces", lambda data, start, end: (end - start).astype(U))
+    encode, plain = token_records.Encoder(tokenizer_path(), 0, "<u2", True), Tokenizer.from_file(tokenizer_path())
+    for texts in (["one two six", "ten red fox", "", "é  x\n"], ["red two one", "one two six"]):
+        want = [np.array(plain.encode(t, add_special_tokens=False).ids + [0], "<u2").tobytes() for t in texts]
+        assert encode(pa.array(texts)) == want
