@@ -105,7 +105,7 @@ SELECT 'member' AS what, count(*) AS n, CAST(sum(id) AS BIGINT) AS sum_x, CAST(s
 f AS (SELECT event_id, any_value(event_type) AS event_type, min(file) AS file FROM k GROUP BY event_id) SELECT CAST(file AS INT) AS file, event_type, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids FROM f GROUP BY 1, 2""",
     "stream_sliding": f"""WITH {_FILES}, k AS (SELECT s.*, border IS NULL OR ts >= border AS ok FROM s JOIN b USING (file)),
 w AS (SELECT (CAST(epoch(ts) AS BIGINT) // 172800 - i) * 172800 AS start, score FROM k, (SELECT unnest([0, 1]) AS i) WHERE ok)
-SELECT strftime(make_timestamp(CAST(start AS BIGINT) * 1000000), '%Y-%m-%d') AS day, count(*) AS n, round(sum(score), 4) AS score FROM w GROUP BY 1 UNION ALL SELECT 'late', count(*), NULL FROM k WHERE NOT ok""",
+SELECT strftime(make_timestamp(CAST(start AS BIGINT) * 1000000), '%Y-%m-%d') AS day, count(*) AS n, CAST(round(sum(CAST(score AS DECIMAL(28, 10))), 4) AS DOUBLE) AS score FROM w GROUP BY 1 UNION ALL SELECT 'late', count(*), NULL FROM k WHERE NOT ok""",
     "stream_store": f"WITH {_FILES} SELECT target_slug, event_type, event_id, CAST(file AS INT) AS file FROM s QUALIFY row_number() OVER (PARTITION BY target_slug, event_type ORDER BY file DESC, event_id DESC) = 1",
     "documents_redacted": f"SELECT doc_id, sha256({_replaced('text')}) AS redacted FROM documents",
     "redaction_events": f"WITH {_EVENTS} SELECT doc_id, 'text' AS column_name, type, start, stop, score FROM ev",

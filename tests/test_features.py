@@ -285,3 +285,16 @@ def test_digest_of_weights_and_silent_targets(spark):
 
     assert out["a"].score == pytest.approx(1 / (1 + math.exp(-12 * (0.65 - 0.5)))) and out["b"].score == 0 and out["b"].signal_count == 0 and out["b"].top_insights is None
     assert re.fullmatch("news|tech", out["a"].signal_types[0])
+
+
+def test_sliding_scores_are_rounded_from_exact_sums(spark, tmp_path):
+    """Sums with a 5 in the fifth digit, which sums of doubles round as the order of rows has it."""
+    from goldpan.plans.queries import QUERIES
+
+    rows = [(7 * i + 1, i % 60, "view", f"2024-01-{1 + i % 2:02d} 00:00:{i % 60:02d}", 0.072 + i % 97 / 1000) for i in range(1, 2002)]
+    rows = [x for x in rows if x[0] % 5] + [(7 * 5000 + 3, 1, "view", "2024-01-25 00:00:00", 1.0)]  # neither late ones nor repeats
+    spark.createDataFrame(rows, "event_id long, user_id long, event_type string, at string, value double").select("event_id", "user_id", "event_type", F.col("at").cast("timestamp_ntz").alias("ts"), "value").write.parquet(f"{tmp_path}/events.parquet")
+    want = sum(round(x[4] * 1000) for x in rows[:-1])
+    assert want % 10 == 5
+    got = {r.day: (r.n, r.score) for r in QUERIES["stream_sliding"](spark, str(tmp_path)).collect()}
+    assert got["2023-12-31"] == (len(rows) - 1, (want + 5) // 10 / 10000)
