@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from goldpan.operators.linkage import pairs_stood_for
+
 
 def flat(df: DataFrame) -> DataFrame:
     """Nested columns as JSON, for formats without them."""
@@ -31,11 +33,12 @@ def publish(refined: DataFrame, folder: str, output: str) -> str:
     return write_as(refined.orderBy("organization_name"), output)
 
 
-def write_linkage(scored: DataFrame, review: DataFrame, folder: str) -> DataFrame:
-    """matches, review queue and counts by class."""
+def write_linkage(scored: DataFrame, folder: str) -> DataFrame:
+    """Scored pairs of ``link_by_rules``, those under review, and by class the pairs of rows they stand for; pairs are scored once and read back."""
     write_as(scored, f"{folder}/matches.parquet")
-    write_as(review, f"{folder}/review.parquet")
-    counts = scored.groupBy("classification").agg(F.count("*").alias("n"))
+    kept = scored.sparkSession.read.schema(scored.schema).parquet(f"{folder}/matches.parquet")
+    write_as(kept.filter("classification = 'review'"), f"{folder}/review.parquet")
+    counts = kept.groupBy("classification").agg(F.sum(pairs_stood_for()).cast("long").alias("n"))
     write_as(counts, f"{folder}/metadata.json")
     return counts
 

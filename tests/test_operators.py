@@ -334,3 +334,24 @@ def test_target_signals_match_every_customer(spark, tmp_path):
     spark.createDataFrame([(i, 1 + i % 400) for i in range(800)], "event_id long, user_id long").write.parquet(f"{tmp_path}/events.parquet")
     got = {r.target_slug.lower(): r.n for r in QUERIES["target_signals"](spark, str(tmp_path)).collect()}
     assert got == {f"user-{i}": 2 for i in range(1, 401)}
+
+
+def test_rule_linkage_scores_classes(spark):
+    """Copies of rows add a row each, not a pair each; with their classes all pairs of rows and their scores are there."""
+    made = [(i, f"Acme {'Air' if i % 2 else 'Sea'}", "acme", f"m{i % 3}@x.example", f"+2782000000{i % 2}", None if i % 5 else "Gauteng") for i in range(120)]
+    df = spark.createDataFrame(made, "id long, organization_name string, organization_slug string, contact_primary_email string, contact_primary_phone string, province string").withColumn("website", F.lit(None).cast("string"))
+    rows = linkage.with_link_columns(df)
+    want = {(r.l, r.r): r.match_probability for r in linkage.rule_scores(rows, linkage.pairs_by(rows, F.col("link_slug"))).collect()}
+    _, scored, _ = linkage.link_by_rules(df)
+    found = scored.collect()
+    assert len(found) == 12 * 11 // 2 + 120 - 12
+    of = {r.r: r.l for r in found if r.alike}
+    classes = {}
+    for i in range(120):
+        classes.setdefault(of.get(i, i), []).append(i)
+    got = {}
+    for r in found:
+        inside = itertools.combinations(classes[r.l], 2) if r.alike else itertools.product(classes[r.l], classes[r.r])
+        got |= {(min(p), max(p)): r.match_probability for p in inside}
+    assert got == want
+    assert scored.agg(F.sum(linkage.pairs_stood_for())).first()[0] == len(want)
