@@ -313,3 +313,14 @@ def test_partial_classes_are_brute_force_and_meet_no_others(spark, threshold):
     want = [(i, j) for i, j in itertools.combinations(sorted(set(of.values())), 2) if similarity._partial(*short_first(i, j)) >= threshold]
     assert sorted(tuple(x) for x in pairs.collect()) == want
     assert linkage._shared_rests(10, 0.92) == [(10, 0, 0), (9, 1, 0)] and linkage._shared_rests(60, 0.92) is None
+
+
+def test_filled_samples_sort_no_table(spark):
+    """The first filled values of each column come from heaps of the tasks; what is sorted is what they leave."""
+    made = [(i * 7919 % 1009, None if i % 3 else f"a{i}", i if i > 900 else None) for i in range(1009)]
+    found = mapping.filled_samples(spark.createDataFrame(made, "i long, a string, b int").repartition(7), "i", 20)
+    for c, at in (("a", 1), ("b", 2)):
+        want = [str(x[at]) for x in sorted(made) if x[at] is not None][:20]
+        assert [r.value for r in sorted(found.filter(F.col("column_name") == c).collect(), key=lambda r: r["at"])] == want
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("TakeOrderedAndProject") == 2 and "Generate" not in plan
