@@ -263,14 +263,21 @@ def _meetings(compared: DataFrame, found: DataFrame, *, num: int, den: int) -> D
     return met.unionByName(by_first(written(_by_rarity(near, sets, "s", "first"), "rare-differences"), close)).distinct()
 
 
+def _hopeless(sets: DataFrame, *, num: int, den: int) -> DataFrame:
+    """rep of each of ``sets`` (rep, n, shingles; once each) that links to no other of them, as too many of its shingles are in no other. Each shingle makes one row."""
+    alone = sets.select("rep", "n", F.explode("shingles").alias("x")).groupBy("x").agg(F.count("*").alias("c"), F.min("rep").alias("rep"), F.min("n").alias("n")).filter("c = 1")
+    return alone.groupBy("rep").agg(F.count("*").alias("alone"), F.min("n").alias("n")).filter(F.col("alone") * den > F.col("n") * (den - num)).select("rep")
+
+
 def similar_sets(rows: DataFrame, *, num: int, den: int) -> DataFrame:
     """s1, s2 and first (ord and text_hash of the first row of its component) for each distinct set with a link to another; ``rows`` as of ``shingle_sets``, which is deleted on the way.
 
     Sets are numbered in the order of their first rows, as one ord may stand for several texts.
 
     Each set is compared with the first set (the hub) of each of its signatures, and links are noted. Two sets that share a
-    signature share its hub, so all other links are between sets of one hub. Most signatures have one set beside the hub, or
-    sets of one component, and need nothing more. The sets of the others are gathered under fewer hubs, as each hub gives way
+    signature share its hub, so all other links are between sets of one hub. Many hubs have one set beside them, or sets of one
+    component, and need nothing more. Of the sets of the others most have too many shingles that no other of these has, and go
+    before any two are compared. The rest are gathered under fewer hubs, as each hub gives way
     to its own first one, and what a set adds to it and lacks of it is kept; so a set of a large family is stored with a few hubs,
     not with all of its signatures'. Then sets meet as ``_meetings`` says. No pairs of a group are listed.
     """
@@ -281,7 +288,6 @@ def similar_sets(rows: DataFrame, *, num: int, den: int) -> DataFrame:
     chosen = written(ids.select("first.ord", "first.text_hash", "s1", "s2").orderBy(*at).withColumn("rep", F.monotonically_increasing_id()), "distinct-sets")
     keyed = marked.select(*at, "prints").join(chosen, at).select("rep", F.explode("prints").alias("key"))
     first = keyed.groupBy("key").agg(F.min("rep").alias("hub"), F.count("*").alias("c")).filter("c > 1").select("key", "hub")
-    members = written(keyed.join(first, "key").filter("rep > hub").select("key", "hub", "rep"), "hub-members")
     shingles = marked.select(*at, "n", "shingles")
 
     def beside(pairs: DataFrame) -> DataFrame:
@@ -291,17 +297,22 @@ def similar_sets(rows: DataFrame, *, num: int, den: int) -> DataFrame:
         return reps.join(hubs, "hub")
 
     linked = lambda adds: den * (F.col("n") - adds) >= num * (F.col("hub_n") + adds)
-    tried = written(members.select("hub", "rep").distinct(), "hub-pairs")
+    tried = written(keyed.join(first, "key").filter("rep > hub").select("hub", "rep").distinct(), "hub-pairs")
     adds = F.size(F.array_except("shingles", "hub_shingles"))
     links = written(beside(tried).select("hub", "rep", "n", "hub_n", adds.alias("adds")).filter(linked(F.col("adds"))).select(F.col("hub").alias("a"), F.col("rep").alias("b")), "hub-links")
     found = written(connected_components(links), "set-components")
 
     labels = found.select(F.col("node").alias("rep"), "component")
-    keys = members.join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep")).groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most"))
+
+    def of_open_hubs(pairs: DataFrame) -> DataFrame:
+        """Pairs of the hubs that have sets of two components beside them. Asked of hubs, not of keys, of which two sets may share hundreds."""
+        hubs = pairs.join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep")).groupBy("hub").agg(F.min("component").alias("least"), F.max("component").alias("most"))
+        return pairs.join(hubs.filter("least < most").select("hub"), "hub", "left_semi")
+
+    hopeless = written(_hopeless(of_open_hubs(tried).select("rep").distinct().join(chosen, "rep").join(shingles, at), num=num, den=den), "hopeless-sets")
+    open_ = written(of_open_hubs(tried.join(hopeless, "rep", "left_anti").select("hub", "rep")), "open-pairs")
     first_of = tried.groupBy(F.col("rep").alias("hub")).agg(F.min("hub").alias("root"))
-    open_ = members.join(keys.filter("least < most").select("key"), "key").select("hub", "rep").distinct()
     open_ = written(open_.join(first_of, "hub", "left").select(F.coalesce("root", "hub").alias("hub"), "rep").distinct(), "open-pairs")
-    release(members)
     release(tried)
     compared = beside(open_).select("hub", "rep", "n", "hub_n", F.array_except("shingles", "hub_shingles").alias("adds"), F.array_except("hub_shingles", "shingles").alias("lacks"))
     compared = written(compared.withColumn("linked", linked(F.size("adds"))), "hub-differences")

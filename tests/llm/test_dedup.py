@@ -167,6 +167,30 @@ def test_families_that_share_a_passage_are_linked_within_only(spark, monkeypatch
     assert got == dict(enumerate(label)) and 8 <= len(set(label)) < len(texts)
 
 
+def linked_and_written(spark, monkeypatch, texts, n, module=jaccard_join):
+    """Component of each text, and the rows of each scratch table by its name."""
+    rows, write = {}, jaccard_join.written
+
+    def counted(df, name):
+        out = write(df, name)
+        rows[name] = max(rows.get(name, 0), out.count())
+        return out
+
+    monkeypatch.setattr(jaccard_join, "written", counted)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return {x.doc_id: x.component_id for x in module.link_documents(docs, n=n, num=80, den=100, chunks=2).collect()}, rows
+
+
+def test_sets_with_too_much_of_their_own_are_not_compared_within_a_hub(spark, monkeypatch):
+    """Half of each text is a passage that all share, the rest its own; two of the texts are near copies."""
+    passage = " ".join(f"p{i}" for i in range(60))
+    texts = [f"{passage} " + " ".join(f"t{t}w{i}" for i in range(60)) for t in range(40)]
+    texts.append(texts[20].replace("t20w30", "changed"))
+    got, rows = linked_and_written(spark, monkeypatch, texts, 3)
+    assert got == {i: 20 if i == 40 else i for i in range(41)}
+    assert rows["hub-pairs"] > 30 and rows["hub-differences"] <= 2
+
+
 def test_bands_never_lose_a_link():
     import numpy as np
 
