@@ -191,6 +191,30 @@ def test_sets_with_too_much_of_their_own_are_not_compared_within_a_hub(spark, mo
     assert rows["hub-pairs"] > 30 and rows["hub-differences"] <= 2
 
 
+def test_near_copies_are_not_listed_for_each_of_their_keys(spark, monkeypatch):
+    """Copies with an edit each share hundreds of keys with each other and some with outsiders."""
+    from goldpan.llm import minhash
+
+    r = random.Random(6)
+    base = [f"w{i}" for i in range(200)]
+    texts = [" ".join(base)]
+    for i in range(60):
+        words = list(base)
+        for _ in range(1 if i < 50 else 14):
+            words[r.randrange(200)] = f"x{i}y{r.randrange(9)}"
+        texts.append(" ".join(words))
+    own = [sets(t, 4) for t in texts]
+    label = list(range(len(texts)))
+    for _ in range(8):
+        for i in range(len(texts)):
+            for j in range(i):
+                if 100 * len(own[i] & own[j]) >= 80 * len(own[i] | own[j]):
+                    label[i] = label[j] = min(label[i], label[j])
+    got, rows = linked_and_written(spark, monkeypatch, texts, 4, minhash)
+    assert got == dict(enumerate(label)) and len(set(label)) > 3
+    assert max(c for name, c in rows.items() if name not in ("shared-adds", "rare-adds", "rare-differences")) < 64 * len(texts)
+
+
 def test_bands_never_lose_a_link():
     import numpy as np
 
