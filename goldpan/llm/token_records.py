@@ -26,7 +26,7 @@ from .common import text_bytes
 from .rolling import U, keyed, laid_out, pieces, slices, tidy
 from .shared_prints import contains
 
-#: Distinct pieces that a worker remembers, at about 30 bytes each; beyond that it starts afresh.
+#: Distinct pieces that a worker remembers, at about 70 bytes each; beyond that it keeps the half that it met most.
 CACHE_PIECES = 400_000
 _BLOCK = 64
 
@@ -85,6 +85,44 @@ _SOLID = np.array([chr(b).isalnum() and b < 128 or 0xC3 <= b <= 0xE0 or 0xE4 <=
 _encoders: dict[tuple, "Encoder"] = {}
 
 
+def _kinds() -> tuple[np.ndarray, np.ndarray]:
+    """The kind of each ASCII byte, and whether a pre-token always ends between bytes of two kinds (at 8 * left + right)."""
+    kind = np.full(256, _UNKNOWN, np.uint8)
+    for b in range(33, 127):
+        kind[b] = _LETTER if chr(b).isalpha() else _DIGIT if chr(b).isdigit() else _QUOTE if b == 39 else _SIGN
+    kind[9:14], kind[32] = _WHITE, _SPACE
+    edge, solid = np.zeros((8, 8), bool), (_LETTER, _DIGIT, _SIGN, _QUOTE)
+    for left in solid:
+        for right in (*solid, _WHITE, _SPACE):
+            edge[left, right] = left != right and {left, right} != {_SIGN, _QUOTE}
+    edge[_QUOTE, _LETTER] = False  # may be a contraction
+    return kind, edge.ravel()
+
+
+#: What only the tokenizer can tell apart is unknown: control characters and all beyond U+023F, × and ÷.
+_UNKNOWN, _WHITE, _SPACE, _LETTER, _DIGIT, _SIGN, _QUOTE = range(7)
+_KIND, _EDGE = _kinds()
+
+
+def _cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where texts laid end to end (a line feed after each) may be cut, so that the pieces have the ids that they have in their text.
+
+    Before a space that a solid character follows; where the kind of character changes; and behind one white space, but a
+    blank, that stands alone.
+    """
+    kind = _KIND[data]
+    lead = np.flatnonzero((data >= 0xC3) & (data <= 0xC8))  # U+00C0 to U+023F: letters, but for two
+    lead = lead[(data[lead] != 0xC3) | ((data[lead + 1] & 0xDF) != 0x97)]
+    kind[lead] = kind[lead + 1] = _LETTER
+    kind[offsets[1:] - 1] = _UNKNOWN
+    cut = np.zeros(len(data), bool)
+    cut[1:] = _EDGE[kind[:-1] * np.uint8(8) + kind[1:]]
+    cut[:-1] |= (data[:-1] == 32) & _SOLID[data[1:]]
+    cut[offsets[:-1][np.diff(offsets) > 1]] = True
+    cut[1:] |= cut[:-1] & (kind[:-1] == _WHITE) & (kind[1:] >= _LETTER)
+    return cut
+
+
 def _each(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Places of all bytes of ranges laid end to end."""
     return np.repeat(start - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
@@ -93,9 +131,9 @@ def _each(start: np.ndarray, size: np.ndarray) -> np.ndarray:
 class Encoder:
     """Ids of texts by the tokenizers library, each distinct piece encoded once and remembered by its hash and bytes.
 
-    Byte-level tokenizers never join a word to what stands before its leading space, so a text may be cut before each space
-    that a solid character follows, and such pieces may be laid end to end and encoded together. A tokenizer of another
-    kind gets whole texts (``cut=False``).
+    Byte-level tokenizers never join words, numbers and signs to each other, so a text may be cut between them: a word is
+    learnt once, whatever stands beside it. Pieces that begin with a space and a solid character may be laid end to end and
+    encoded together. A tokenizer of another kind gets whole texts (``cut=False``).
     """
 
     def __init__(self, path: str, end_id: int, dtype: str, cut: bool):
@@ -107,6 +145,10 @@ class Encoder:
             self.bytes_of = np.zeros(max(vocabulary.values()) + 1, np.int64)
             for token, i in vocabulary.items():
                 self.bytes_of[i] = len(token)  # a character of a token stands for a byte
+            #: Added tokens are found before a text is split into words.
+            self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+            for i, t in self.tokenizer.get_added_tokens_decoder().items():
+                self.bytes_of[i] = len(t.content.encode())
             self._forget()
 
     @classmethod
@@ -120,6 +162,14 @@ class Encoder:
         self.known, self.at, self.count, self.pool = np.zeros(0, U), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, self.dtype)
         #: The bytes of each known piece, as equal hashes are no proof.
         self.place, self.size, self.bytes = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint8)
+        #: In how many slices each was met; halved whenever the memory was full.
+        self.met = np.zeros(0, np.int64)
+
+    def _trim(self) -> None:
+        keep = np.sort(np.argsort(-self.met, kind="stable")[: CACHE_PIECES // 2])
+        self.known, self.at, self.count, self.place, self.size, self.met = (x[keep] for x in (self.known, self.at, self.count, self.place, self.size, self.met // 2))
+        self.pool, self.bytes = self.pool[_each(self.at, self.count)], self.bytes[_each(self.place, self.size)]
+        self.at, self.place = np.cumsum(self.count) - self.count, np.cumsum(self.size) - self.size
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, self.dtype) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
@@ -146,8 +196,9 @@ class Encoder:
         self.place = np.concatenate((self.place, len(self.bytes) + np.cumsum(size) - size))
         self.size = np.concatenate((self.size, size))
         self.bytes = np.concatenate((self.bytes, data[_each(start, size)]))
+        self.met = np.concatenate((self.met, np.zeros(len(hashes), np.int64)))
         order = np.argsort(self.known, kind="stable")
-        self.known, self.at, self.count, self.place, self.size = (x[order] for x in (self.known, self.at, self.count, self.place, self.size))
+        self.known, self.at, self.count, self.place, self.size, self.met = (x[order] for x in (self.known, self.at, self.count, self.place, self.size, self.met))
 
     def _other(self, entry: np.ndarray, data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
         """Which pieces aren't those that are known under their hash."""
@@ -159,6 +210,15 @@ class Encoder:
                 other[same] = np.logical_or.reduceat(differ, np.cumsum(size[same]) - size[same])
         return other
 
+    def _added_in(self, data: np.ndarray):
+        """Place and size of each added token."""
+        raw = data.tobytes() if self.added else b""
+        for token in self.added:
+            i = raw.find(token)
+            while i >= 0:
+                yield i, len(token)
+                i = raw.find(token, i + 1)
+
     def __call__(self, texts: pa.Array) -> list[bytes]:
         """The ids of each text, with the end id, as bytes."""
         end = np.array([self.end], self.dtype)
@@ -167,21 +227,22 @@ class Encoder:
         out: list[bytes] = []
         for begin, stop in slices(texts, 1 << 19):
             data, offsets = laid_out(texts, begin, stop)
-            cut = np.zeros(len(data), bool)
-            cut[:-1] = (data[:-1] == 32) & _SOLID[data[1:]]
-            full = np.diff(offsets) > 1
-            cut[offsets[:-1][full]] = True
+            cut = _cuts(data, offsets)
+            for i, size in self._added_in(data):  # not within an added token
+                cut[i + 1 : i + size] = False
             start = np.flatnonzero(cut)
             close = offsets[1:][np.searchsorted(offsets, start, "right") - 1] - 1
             ends = np.minimum(np.append(start[1:], len(data)), close)
             hashes = pieces(data, start, ends)
             distinct, first, of = np.unique(hashes, return_index=True, return_inverse=True)
             if len(self.known) > CACHE_PIECES:
-                self._forget()
+                self._trim()
             new = ~contains(self.known, distinct)
             if new.any():
                 self._learn(distinct[new], data, start[first[new]], ends[first[new]])
-            entry = np.searchsorted(self.known, distinct)[of]
+            entry = np.searchsorted(self.known, distinct)
+            self.met[entry] += 1
+            entry = entry[of]
             counts = self.count[entry]
             total = np.cumsum(counts)
             ids = self.pool[np.repeat(self.at[entry] - total + counts, counts) + np.arange(int(counts.sum()))]
@@ -198,8 +259,11 @@ class Encoder:
 def _is_byte_level(path: str) -> bool:
     from tokenizers import Tokenizer
 
-    kind = str(Tokenizer.from_file(path).pre_tokenizer)
-    return "ByteLevel" in kind and "Sequence" not in kind and "add_prefix_space=False" in kind
+    tokenizer = Tokenizer.from_file(path)
+    kind = str(tokenizer.pre_tokenizer)
+    # An added token ends the text before it, where white space is split in another way; so texts are cut only beside those that start with a sign.
+    plain = not any(t.lstrip or t.rstrip or t.single_word or re.search(r"\s|^[^!-/:-@\[-`{-~]", t.content) for t in tokenizer.get_added_tokens_decoder().values())
+    return plain and tokenizer.normalizer is None and "ByteLevel" in kind and "Sequence" not in kind and "add_prefix_space=False" in kind and "use_regex=False" not in kind
 
 
 def _frames(ids: list[bytes], doc_ids: list[int | None], width: int) -> tuple[bytes, np.ndarray]:

@@ -132,3 +132,59 @@ def test_pieces_whose_hashes_clash_are_told_apart(monkeypatch):
     for texts in (["one two six", "ten red fox", "", "é  x\n"], ["red two one", "one two six"]):
         want = [np.array(plain.encode(t, add_special_tokens=False).ids + [0], "<u2").tobytes() for t in texts]
         assert encode(pa.array(texts)) == want
+
+
+def _ids(tokenizer, text: str) -> bytes:
+    return np.array(tokenizer.encode(text, add_special_tokens=False).ids + [0], "<u2").tobytes()
+
+
+def test_words_are_learnt_once_whatever_stands_beside_them():
+    encode = token_records.Encoder(tokenizer_path(), 0, "<u2", True)
+    words, signs = [f"w{x}ord" for x in "abcdefghijklmnopqrst"], ["", ".", ",", "!!", "###", "?\n", ".\nA", "7"]
+    texts = [" ".join(f"é{w}{s}" for w in words) for s in signs]
+    assert encode(pa.array(texts)) == [_ids(encode.tokenizer, t) for t in texts]
+    assert len(encode.known) < 2 * len(words) + 3 * len(signs)
+
+
+def test_a_full_memory_keeps_what_is_met_most(monkeypatch):
+    monkeypatch.setattr(token_records, "CACHE_PIECES", 60)
+    encode, learnt = token_records.Encoder(tokenizer_path(), 0, "<u2", True), []
+    learn = encode._learn
+    monkeypatch.setattr(encode, "_learn", lambda hashes, *rest: (learnt.append(len(hashes)), learn(hashes, *rest)))
+    common = " ".join(f"{a}{b}" for a in "abcd" for b in "mnop")
+    for i in range(40):
+        text = f"{common} " + " ".join(f"{a}{b}x" for a in "qrst" for b in [chr(97 + i % 26) * (i // 26 + 1)])
+        assert encode(pa.array([text])) == [_ids(encode.tokenizer, text)]
+        assert len(encode.known) <= 60 + 20
+    assert len(learnt) == 40 and sum(learnt) == 16 + 40 * 4  # the common words once only
+
+
+def test_pieces_of_random_texts_have_the_ids_of_whole_texts(monkeypatch):
+    monkeypatch.setattr(token_records, "CACHE_PIECES", 500)
+    encode = token_records.Encoder(tokenizer_path(), 0, "<u2", True)
+    parts = [*"aAzst'\"’.,!<|>09 \t\n\r\v\x00\x1c\x7f", "  ", "\n\n", "\r\n", "'s", "'re", "<|endoftext|>", "<|endof", "text|>", "é", "×", "÷", "ß", "ȿ", "ɀ", "\u0301", "\u00a0", "\u0085", "\u2028", "²", "—", "日", "🙂", "the"]
+    draw = np.random.Generator(np.random.PCG64(9))
+    for _ in range(30):
+        texts = ["".join(parts[k] for k in draw.integers(0, len(parts), n)) for n in draw.integers(0, 14, 200)]
+        assert encode(pa.array(texts)) == [_ids(encode.tokenizer, t) for t in texts]
+    signs = [chr(c) for c in range(0x3100) if not chr(c).isalnum() or c < 0x300]
+    texts = [f"a{c}b {c} 1{c}2\n{c}'s" for c in signs]
+    assert encode(pa.array(texts)) == [_ids(encode.tokenizer, t) for t in texts]
+
+
+def test_tokenizers_that_look_beyond_words_get_whole_texts(tmp_path):
+    from tokenizers import AddedToken, Tokenizer, normalizers, pre_tokenizers
+
+    assert token_records._is_byte_level(tokenizer_path())
+    changes = (
+        lambda t: setattr(t, "normalizer", normalizers.NFC()),
+        lambda t: setattr(t, "pre_tokenizer", pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)),
+        lambda t: t.add_tokens([AddedToken("<x>", rstrip=True)]),
+        lambda t: t.add_tokens([AddedToken("<x y>")]),
+        lambda t: t.add_tokens([AddedToken("tok")]),
+    )
+    for i, change in enumerate(changes):
+        other = Tokenizer.from_file(tokenizer_path())
+        change(other)
+        other.save(str(tmp_path / f"{i}.json"))
+        assert not token_records._is_byte_level(str(tmp_path / f"{i}.json"))
