@@ -7,8 +7,9 @@ Symbols are bytes or words. Steps, each a Spark job over groups of bounded size:
 2. Only the stretches under shared anchors go on. They are cut into runs again; a run's content is hashed and meets its equals in
    buckets by anchor, once a chunk with its smallest id. Copies that are not the first are covered at once.
 3. What is left is one copy of each distinct run whose anchor has several contents: edges of passages and of edits. These
-   meet by anchor in groups, where ``local`` finds their common parts. An anchor with very many contents is spread over
-   groups by content; each group sends its distinct windows once, by hash, and hears which of them a smaller id has.
+   meet by anchor in groups, where ``local`` finds their common parts, a few anchors at a time: equal windows have one anchor. An
+   anchor with very many contents is spread over groups by content; each group sends its distinct windows once, by hash, and
+   hears which of them a smaller id has. One whose contents are too long for ``local`` is settled by hashes of windows in its group.
 """
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ COVERED, LEFT = 0, 1
 #: log2 of the contents of one anchor up to which they meet in one group.
 TOGETHER = 12
 _SLICE = 1 << 20
+#: Symbols of whole anchors that ``local`` gets at once, and those of one anchor up to which it does: its arrays take about 200 bytes a symbol.
+_AT_A_TIME, _MOST = 1 << 18, 1 << 20
 
 
 class Runs:
@@ -192,13 +195,53 @@ def _meet(table: pa.Table) -> pa.Table:
     return pa.table({"chunk": cols["chunk"], "bucket": cols["bucket"], "flags": pa.array([flags[e - n : e].tobytes() for n, e in zip(sizes, ends)], pa.binary())})
 
 
+def _whole_anchors(prints: np.ndarray, lengths: np.ndarray):
+    """(begin, end) of rows in order of their anchors: whole anchors, of about ``_AT_A_TIME`` symbols together."""
+    first = np.append(np.flatnonzero(np.append(True, prints[1:] != prints[:-1])), len(prints))
+    before = np.append(0, np.cumsum(lengths))[first]
+    i = 0
+    while i < len(first) - 1:
+        j = max(i + 1, int(np.searchsorted(before, before[i] + _AT_A_TIME, "right")) - 1)
+        yield int(first[i]), int(first[j])
+        i = j
+
+
+def _by_windows(symbols: np.ndarray, lengths: np.ndarray, ord_: np.ndarray, length: int):
+    """Ranges that a smaller id has too, by the hash of each window: some rows at a time, of which only distinct windows stay."""
+    ends = np.cumsum(lengths)
+
+    def slices_():
+        begin = 0
+        while begin < len(lengths):
+            start = int(ends[begin] - lengths[begin])
+            end = max(begin + 1, int(np.searchsorted(ends, start + _SLICE, "right")))
+            own = lengths[begin:end]
+            at = np.flatnonzero(fixed_windows(own, length))
+            yield start + at, begin + np.repeat(np.arange(end - begin), own)[at], windows(_wide(symbols[start : int(ends[end - 1])]), length)[at]
+            begin = end
+
+    def distinct(hashes: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        order = np.lexsort((ids, hashes))
+        hashes = hashes[order]
+        new = np.append(True, hashes[1:] != hashes[:-1])[: len(hashes)]
+        return hashes[new], ids[order][new]
+
+    found = [distinct(w, ord_[owner]) for _, owner, w in slices_()]
+    known, least = distinct(*(np.concatenate(x) for x in zip(*found)))
+    hits = []
+    for at, owner, w in slices_():
+        hit = least[np.searchsorted(known, w)] < ord_[owner]
+        hits.append(_joined(at[hit], at[hit] + length, owner[hit]))
+    return tuple(np.concatenate(x) for x in zip(*hits))
+
+
 def covered(docs: DataFrame, *, length: int, k: int, read: Callable, dtype, local: Callable, chunks: int | None = None, together: int = TOGETHER) -> DataFrame:
     """ord, text_hash, spans (array of start, stop): which symbols of ``docs`` (doc_id, text) are covered, where any are.
 
     ``chunks``: tasks that the corpus is dealt to, by its size if not given; ``together``: log2 of the contents of one anchor
     up to which they meet in one group. ``read``: (texts, begin, end) -> symbols and their number in each text. ``local``: see step 3.
     """
-    chunks = chunks or sp.chunk_count(text_bytes(docs))
+    chunks = chunks or 4 * sp.chunk_count(text_bytes(docs) >> 2)  # half as large as others: a task holds about 35 bytes a symbol of its chunk
     parts = shared_parts(docs, read, length, k, chunks)
 
     def send(table: pa.Table) -> pa.Table:
@@ -269,23 +312,29 @@ def covered(docs: DataFrame, *, length: int, k: int, read: Callable, dtype, loca
         if not table.num_rows:
             return _FIELDS.empty_table()
         cols = sp.columns(table)
-        ord_, hash_, from_ = (sp.numbers(cols[n]) for n in ("ord", "text_hash", "start"))
-        symbols, lengths, windows = contents(cols)
-        starts = np.cumsum(lengths) - lengths
-        found = [local(symbols, lengths, ord_, length)]
-        if windows is not None and answers.num_rows:
-            at, owner, window = windows
-            told = sp.columns(answers)
+        order = pa.array(np.argsort(sp.numbers(cols["print"]), kind="stable"))
+        cols = {n: cols[n].take(order) for n in ("ord", "text_hash", "start", "spread", "print", "data")}
+        ord_, hash_, from_, prints = (sp.numbers(cols[n]) for n in ("ord", "text_hash", "start", "print"))
+        sizes = np.diff(np.frombuffer(cols["data"].buffers()[1], np.int32)[cols["data"].offset : cols["data"].offset + len(prints) + 1]) // np.dtype(dtype).itemsize
+        told = sp.columns(answers) if answers.num_rows else None
+        if told:
             known = mix(sp.numbers(told["window"]).view(U) ^ mix(sp.numbers(told["print"]).view(U), 1))
-            order = np.argsort(known)
-            key = mix(window ^ mix(sp.numbers(cols["print"])[owner].view(U), 1))
-            place = np.minimum(np.searchsorted(known[order], key), len(known) - 1)
-            hit = (known[order][place] == key) & (sp.numbers(told["first"])[order][place] < ord_[owner])
-            found.append(_joined(at[hit], at[hit] + length, owner[hit]))
+            sort = np.argsort(known)
+            known, first = known[sort], sp.numbers(told["first"])[sort]
         out = []
-        for low, high, owner in found:
-            shift = from_[owner] - starts[owner]
-            out.append(_table(COVERED, ord=ord_[owner], text_hash=hash_[owner], start=(low + shift).astype(np.int32), stop=(high + shift).astype(np.int32)))
+        for begin, end in _whole_anchors(prints, sizes):
+            symbols, lengths, windows = contents({n: c.slice(begin, end - begin) for n, c in cols.items()})
+            ids, starts = ord_[begin:end], np.cumsum(lengths) - lengths
+            found = [(local if len(symbols) <= _MOST else _by_windows)(symbols, lengths, ids, length)]
+            if windows is not None and told:
+                at, owner, window = windows
+                key = mix(window ^ mix(prints[begin + owner].view(U), 1))
+                place = np.minimum(np.searchsorted(known, key), len(known) - 1)
+                hit = (known[place] == key) & (first[place] < ids[owner])
+                found.append(_joined(at[hit], at[hit] + length, owner[hit]))
+            for low, high, owner in found:
+                shift, owner = from_[begin + owner] - starts[owner], begin + owner
+                out.append(_table(COVERED, ord=ord_[owner], text_hash=hash_[owner], start=(low + shift).astype(np.int32), stop=(high + shift).astype(np.int32)))
         return pa.concat_tables(out)
 
     met = parts.groupBy("chunk").applyInArrow(keyed(send), "bucket int, chunk int, prints binary, counts binary, contents binary, ords binary").groupBy("bucket").applyInArrow(_meet, "chunk int, bucket int, flags binary")

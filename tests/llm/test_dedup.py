@@ -42,6 +42,43 @@ def test_suffixes_are_brute_force(spark, spread):
     assert collected(got.withColumn("runs", F.size("spans")), "doc_id", "n_bytes", "n_removed", "runs", "kept") == sorted(want, key=repr)
 
 
+def test_suffix_arrays_are_small(spark):
+    """Anchors are compared a few at a time, and one with long contents by its windows, however much lands in one group."""
+    import string
+
+    from goldpan.llm import repeats
+
+    most = repeats._MOST
+
+    def small(symbols, lengths, ord_, length):
+        assert len(symbols) <= most
+        return suffix_dedup._by_suffixes(symbols, lengths, ord_, length)
+
+    marks = string.ascii_uppercase + string.digits + string.punctuation
+    data = [(i, "ab" * (10_000 + 17 * (i * 7 % 60)) + marks[i] * 60) for i in range(60)]
+    assert sum(len(t) for _, t in data) > most
+    found = repeats.covered(spark.createDataFrame(data, "doc_id long, text string"), length=50, k=32, read=suffix_dedup._read_bytes, dtype="uint8", local=small, chunks=1)
+    spans = lambda r: repeats.united([(s.start, s.stop) for s in r.spans])
+    assert {r.ord: spans(r) for r in found.collect()} == {i: [(0, len(t) - 60)] for i, t in data if i}
+
+
+def test_windows_settle_what_suffixes_do():
+    import numpy as np
+
+    from goldpan.llm import repeats
+
+    r = random.Random(4)
+    for alphabet in ("ab", "a"):
+        made = ["".join(r.choice(alphabet) for _ in range(r.randint(8, 40))).encode() for _ in range(60)]
+        symbols, lengths = np.frombuffer(b"".join(made), np.uint8), np.array([len(x) for x in made])
+        ids = np.array([r.randint(0, 30) for _ in made])
+        mask = lambda found: {(o, i) for low, high, o in zip(*map(np.ndarray.tolist, found)) for i in range(low, high)}
+        assert mask(repeats._by_windows(symbols, lengths, ids, 8)) == mask(suffix_dedup._by_suffixes(symbols, lengths, ids, 8)) != set()
+    prints = np.array([3, 3, 5, 7, 7, 7, 9])
+    at = repeats._AT_A_TIME
+    assert list(repeats._whole_anchors(prints, np.array([1, 1, at - 2, at, 1, 1, 5]))) == [(0, 3), (3, 6), (6, 7)]
+
+
 @pytest.mark.parametrize("spread", [{}, {"chunks": 6}, {"chunks": 23}])
 def test_windows_are_brute_force(spark, spread):
     data = [(i, t.encode().split()) for i, t in table(spark)]
