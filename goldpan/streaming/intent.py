@@ -15,12 +15,16 @@ def dedup_stream(found: DataFrame, keys: list[str], *, time: str = "observed_at"
     return found.withWatermark(time, watermark).dropDuplicatesWithinWatermark(keys)
 
 
-def windowed_digest(found: DataFrame, *, size: str, slide: str | None = None, session_gap: str | None = None, time: str = "observed_at", watermark: str = "1 day") -> DataFrame:
-    """target_slug, window_start, window_end, mean_score, signal_count in tumbling, sliding or session windows; works on batches too."""
+def windowed_digest(found: DataFrame, *, size: str, slide: str | None = None, session_gap: str | None = None, time: str = "observed_at", watermark: str = "1 day", total: str | None = None) -> DataFrame:
+    """target_slug, window_start, window_end, mean_score, signal_count in tumbling, sliding or session windows; works on batches too.
+
+    With ``total``, a decimal type, total_score too: the sum of the scores as decimals, which is the same in any order of rows.
+    """
     window = F.session_window(time, session_gap) if session_gap else F.window(time, size, slide) if slide else F.window(time, size)
     watched = found.withWatermark(time, watermark) if found.isStreaming else found
-    out = watched.groupBy(window.alias("w"), "target_slug").agg(F.avg("score").alias("mean_score"), F.count("*").alias("signal_count"))
-    return out.select("target_slug", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "mean_score", "signal_count")
+    totals = [F.sum(F.col("score").cast(total)).alias("total_score")] if total else []
+    out = watched.groupBy(window.alias("w"), "target_slug").agg(F.avg("score").alias("mean_score"), F.count("*").alias("signal_count"), *totals)
+    return out.select("target_slug", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "mean_score", "signal_count", *(["total_score"] if total else []))
 
 
 def run_to_table(df: DataFrame, path: str, checkpoint: str, mode: str = "append") -> StreamingQuery:

@@ -300,6 +300,24 @@ def test_sliding_scores_are_rounded_from_exact_sums(spark, tmp_path):
     assert got["2023-12-31"] == (len(rows) - 1, (want + 5) // 10 / 10000)
 
 
+def test_sliding_windows_at_their_borders(spark, tmp_path):
+    """Fractions of a second before a window, and one target with all rows, whose sums of doubles depend on their order."""
+    import duckdb
+
+    from goldpan.plans.feature_oracle import FEATURE_SQL
+    from goldpan.plans.queries import QUERIES
+    from tests.oracle import same
+
+    times = [f"2024-01-{1 + i % 30:02d} {('23:59:59.700000', '23:59:59.200000', '23:59:59.500000', '23:59:58.500000', '12:00:00.000001')[i // 30 % 5]}" for i in range(20_000)]
+    rows = [(i, 1, "view", at, 0.001 * (i * 7919 % 99_991)) for i, at in enumerate(times)]
+    made = spark.createDataFrame(rows, "event_id long, user_id long, event_type string, at string, value double")
+    made.select("event_id", "user_id", "event_type", F.col("at").cast("timestamp_ntz").alias("ts"), "value").write.parquet(f"{tmp_path}/events.parquet")
+    con = duckdb.connect()
+    con.execute("SET TimeZone = 'UTC'")
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
+    same(spark, con, QUERIES["stream_sliding"], FEATURE_SQL["stream_sliding"], str(tmp_path))
+
+
 @pytest.mark.parametrize("threshold", [0.92, 0.8])
 def test_partial_classes_are_brute_force_and_meet_no_others(spark, threshold):
     """Few characters and one beginning for all, some strings twice; short ones meet in what is left of them, longer ones in parts."""
